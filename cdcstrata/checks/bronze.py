@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcstrata.checks import rules as r
@@ -17,24 +17,94 @@ from cdcstrata.functions.payload import UNAVAILABLE_PAYLOAD
 from cdcstrata.plans.fields import EXPORT_CURRENT, EXPORT_PREVIOUS
 from cdcstrata.plans.registry import REGISTRIES
 
+EPOCH = "CAST(datediff(CAST(d AS DATE), DATE'1970-01-01') AS BIGINT) * 86400"
+LEAD_STATUS = "CASE WHEN s = 'F' THEN 142 WHEN s = 'P' THEN 143 WHEN k % 2 = 0 THEN 10 ELSE 20 END"
+LEAD_CLOSED = f"CASE WHEN s IN ('F', 'P') THEN {EPOCH} + k % 30 * 86400 END"
+LOG_START = "TIMESTAMP_NTZ'1995-01-01 00:00:00'"
+
+
+# --- SQL text builders ------------------------------------------------------------------------
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {rule}" for name, rule in fields.items()) + ")"
+
+
+def _json(fields: dict[str, str]) -> str:
+    return f"to_json({_struct(fields)})"
+
+
+def _select(fields: dict[str, str]) -> list[str]:
+    return [f"{rule} AS `{name}`" for name, rule in fields.items()]
+
 
-def _json_member(name: str, raw: Column) -> Column:
+def _member(name: str, raw: str) -> str:
     """``,"name":raw``, or nothing where raw is NULL."""
-    return F.coalesce(F.concat(F.lit(f',"{name}":'), raw), F.lit(""))
+    return f"coalesce(',\"{name}\":' || {raw}, '')"
 
 
-def _with_members(document: Column, members: list[Column]) -> Column:
+def _with_members(document: str, members: list[str]) -> str:
     """JSON object text with further members before the closing brace."""
-    return F.concat(F.left(document, F.length(document) - 1), *members, F.lit("}"))
+    return f"concat(rtrim('}}', {document}), {', '.join(members)}, '}}')"
 
 
-def _items(count: str, item: dict[str, str]) -> Column:
-    """JSON array text of up to ITEMS objects, their values SQL over the row and the item number i."""
+def _items(count: str, item: dict[str, str]) -> str:
+    """JSON array text of up to ITEMS objects, their values rules over the row and the item number i."""
     objects = []
     for i in range(1, r.ITEMS + 1):
-        fields = [F.expr(r.bound(rule, "i", i)).alias(key) for key, rule in item.items()]
-        objects.append(F.when(F.lit(i) <= F.expr(count), F.to_json(F.struct(*fields))))
-    return F.concat(F.lit("["), F.concat_ws(",", *objects), F.lit("]"))
+        bound = {key: r.bound(rule, "i", i) for key, rule in item.items()}
+        objects.append(f"CASE WHEN {i} <= {count} THEN {_json(bound)} END")
+    return f"'[' || concat_ws(',', {', '.join(objects)}) || ']'"
+
+
+def _versions(versions) -> str:
+    """Generator of the (op, lag) pairs a row has; everything else of a version is computed after it,
+    so that columns nobody asks for are never made."""
+    cases = [
+        f"CASE WHEN {where} THEN named_struct('op', '{op}', 'lag', {lag}) END" for op, lag, where in versions
+    ]
+    return f"inline(filter(array({', '.join(cases)}), x -> x IS NOT NULL))"
+
+
+def _signature(tin: str, name: str, full_name: str) -> str:
+    """JSON with the two plain fields and a signed XML document that also names a signer.
+
+    Some documents break the line inside the company element; one in fifteen updates lacks the number.
+    """
+    gap = "CASE WHEN k % 6 = 0 THEN chr(10) ELSE '' END"
+    company = f"'<company>' || {gap} || coalesce('<tin>' || {tin} || '</tin>', '') || '<name>' || {name} || '</name></company>'"
+    xml = f"'<?xml version=\"1.0\"?><doc>' || {company} || '<signer><tin>999999999999</tin></signer></doc>'"
+    return _json({"signed_xml": xml, "tin": tin, "full_name": full_name})
+
+
+def _custom_fields(fields: list[tuple[str, str]]) -> str:
+    entries = [
+        _struct({"field_id": str(500 + n), "field_name": f"'{name}'", "values": f"array(named_struct('value', {rule}))"})
+        for n, (name, rule) in enumerate(fields)
+    ]
+    return f"to_json(array({', '.join(entries)}))"
+
+
+def item_rules(position: int, spec) -> dict[str, str]:
+    """Item key -> rule. With two amount keys, the second item uses the older key and the rest the newer."""
+    out = {key: r.item_text(key) for key in spec.text.values()}
+    amount = r.item_amount(position)
+    for keys in spec.amounts.values():
+        if len(keys) == 1:
+            out[keys[0]] = amount
+        else:
+            out[keys[0]] = f"CASE WHEN i <> 2 THEN {amount} END"
+            out[keys[1]] = f"CASE WHEN i = 2 THEN {amount} END"
+    return out
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a small input: one file of one row group is one split, and one split one task.
+
+    An input that has splits enough, as any large one, passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 class Tables:
@@ -42,12 +112,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._logs: dict[tuple[bool, bool], DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def _base(self, name: str, columns: dict[str, str]) -> DataFrame:
-        return self.table(name).select(*[F.expr(rule).alias(column) for column, rule in columns.items()])
+        return spread(self.table(name).selectExpr(*_select(columns)))
 
     @cached_property
     def order_base(self) -> DataFrame:
@@ -62,176 +133,148 @@ class Tables:
     @cached_property
     def export_arrays(self) -> DataFrame:
         """Per order key: JSON array of {country, current_sum}, one object per supplier nation."""
-        lines = self.table("lineitem").select(
-            F.col("l_orderkey").alias("k"),
-            F.col("l_suppkey").alias("s_suppkey"),
-            F.floor("l_extendedprice").cast("bigint").alias("amount"),
+        lines = spread(
+            self.table("lineitem").selectExpr(
+                "l_orderkey AS k", "l_suppkey AS s_suppkey", "CAST(floor(l_extendedprice) AS BIGINT) AS amount"
+            )
         )
-        suppliers = self.table("supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
-        nations = self.table("nation").select("n_nationkey", F.expr(r.EXPORT_COUNTRY).alias("country"))
+        suppliers = self.table("supplier").selectExpr("s_suppkey", "s_nationkey AS n_nationkey")
+        nations = self.table("nation").selectExpr("n_nationkey", f"{r.EXPORT_COUNTRY} AS country")
         sums = (
             lines.join(suppliers, "s_suppkey")
             .groupBy("k", "n_nationkey")
             .agg(F.sum("amount").alias("current_sum"))
             .join(nations, "n_nationkey")
         )
-        item = F.struct("n_nationkey", F.to_json(F.struct("country", "current_sum")).alias("json"))
-        packed = sums.groupBy("k").agg(F.array_sort(F.collect_list(item)).alias("items"))
-        return packed.select(
-            "k",
-            F.concat(F.lit("["), F.array_join(F.col("items.json"), ","), F.lit("]")).alias("export_array"),
-        )
+        item = _struct({"n": "n_nationkey", "json": _json({"country": "country", "current_sum": "current_sum"})})
+        packed = sums.groupBy("k").agg(F.expr(f"array_sort(collect_list({item}))").alias("items"))
+        return packed.selectExpr("k", "'[' || array_join(items.json, ',') || ']' AS export_array")
 
     def report_cdc(self, exports: bool = False, registries: bool = False) -> DataFrame:
         """The report change log. The export array and the registry arrays are left out unless asked for."""
+        key = (exports, registries)
+        if key not in self._logs:
+            self._logs[key] = self._report_cdc(*key)
+        return self._logs[key]
+
+    def _report_cdc(self, exports: bool, registries: bool) -> DataFrame:
         base = self.order_base
-        members = [_json_member("income_total", F.expr(r.INCOME_RAW)), _json_member("activity_fields", F.expr(r.ACTIVITY))]
+        members = [_member("income_total", r.INCOME_RAW), _member("activity_fields", r.ACTIVITY)]
         if exports:
             base = base.join(self.export_arrays, "k", "left")
-            current = F.when(F.expr(r.EXPORT_IS_NUMBER), F.expr(r.EXPORT_NUMBER).cast("string")).otherwise(
-                F.coalesce("export_array", F.lit("[]"))
-            )
-            members.append(_json_member(EXPORT_CURRENT, current))
-        previous = _items(r.PREVIOUS_COUNT, {"country": r.PREVIOUS_COUNTRY, "sum": r.PREVIOUS_SUM})
+            array = "coalesce(export_array, '[]')"
+            number = f"CAST({r.EXPORT_NUMBER} AS STRING)"
+            members.append(_member(EXPORT_CURRENT, f"CASE WHEN {r.EXPORT_IS_NUMBER} THEN {number} ELSE {array} END"))
         if exports or registries:
-            members.append(_json_member(EXPORT_PREVIOUS, previous))
+            previous = {"country": r.PREVIOUS_COUNTRY, "sum": r.PREVIOUS_SUM}
+            members.append(_member(EXPORT_PREVIOUS, f"({_items(r.PREVIOUS_COUNT, previous)})"))
         fields = {**r.TEXT_RULES, **r.NUMBER_RULES}
         for position, spec in enumerate(REGISTRIES.values(), start=1):
-            fields[spec.flag] = r.flag_rule(position)
-            if registries and spec.array not in (EXPORT_CURRENT, EXPORT_PREVIOUS):
-                members.append(_json_member(spec.array, _items(r.ITEM_COUNT, item_rules(position, spec))))
-        document = F.to_json(F.struct(*[F.expr(rule).alias(name) for name, rule in fields.items()]))
-        rows = base.withColumn("payload", _with_members(document, members))
-        return rows.select(*self._report_columns(), F.inline(self._versions(r.VERSIONS, self._report_version)))
-
-    @staticmethod
-    def _report_columns() -> list[Column]:
-        return [F.expr(rule).alias(name) for name, rule in r.ENVELOPE.items()]
+            if registries:
+                fields[spec.flag] = r.flag_rule(position)
+                if spec.array not in (EXPORT_CURRENT, EXPORT_PREVIOUS):
+                    members.append(_member(spec.array, f"({_items(r.ITEM_COUNT, item_rules(position, spec))})"))
+            elif spec.flag in r.MART_FLAGS:
+                fields[spec.flag] = r.flag_rule(position)
+        changed = "d + make_interval(0, 0, 0, lag)"
+        masked_name = f"({r.MASKED_NAME})"
+        return base.select("*", F.expr(_versions(r.VERSIONS))).selectExpr(
+            *_select(r.ENVELOPE),
+            "op",
+            f"{changed} AS updated_ts",
+            f"{changed} AS updated_at",
+            f"CASE WHEN op IN ('r', 'c') THEN {_with_members(_json(fields), members)} "
+            f"WHEN op = 'u' AND k % 2 = 0 THEN '{UNAVAILABLE_PAYLOAD}' END AS data",
+            f"CASE WHEN op IN ('r', 'c') THEN {_signature(r.SIGNED_TIN, r.SIGNED_NAME, r.FULL_NAME)} "
+            f"WHEN op = 'u' THEN {_signature(r.MASKED_TIN, masked_name, masked_name)} END AS signature",
+            "array(CAST(k % 10 AS INT)) AS viewed",
+        )
 
-    @staticmethod
-    def _versions(versions, make) -> Column:
-        """Array of the versions a row has; those it does not have are filtered out."""
-        return F.filter(F.array(*[F.when(F.expr(where), make(op, lag)) for op, lag, where in versions]), F.isnotnull)
+    # --- request and company logs -------------------------------------------------------------
 
     @staticmethod
-    def _report_version(op: str, lag: int) -> Column:
-        changed = F.expr(f"d + INTERVAL {lag} DAY")
-        data, signature = F.lit(None).cast("string"), F.lit(None).cast("string")
-        if op in ("r", "c"):
-            data = F.col("payload")
-            signature = _signature(F.expr(r.SIGNED_TIN), F.expr(r.SIGNED_NAME), F.expr(r.FULL_NAME))
-        elif op == "u":
-            data = F.when(F.expr("k % 2 = 0"), F.lit(UNAVAILABLE_PAYLOAD))
-            name = F.expr(r.bound(r.MASKED_NAME, "lag", lag))
-            signature = _signature(F.expr(r.MASKED_TIN), name, name)
-        return F.struct(
-            F.lit(op).alias("op"),
-            changed.alias("updated_ts"),
-            changed.alias("updated_at"),
-            data.alias("data"),
-            signature.alias("signature"),
-            F.array(F.expr("CAST(k % 10 AS INT)")).alias("viewed"),
+    def _request_payload() -> str:
+        """JSON of a request; ``v`` is the age of the version."""
+        activation = {
+            "certificate_number": r.REQUEST_CERTIFICATE,
+            "issue_date": r.REQUEST_ISSUE,
+            "end_date": r.REQUEST_END,
+        }
+        return _json(
+            {
+                "activation_info": _struct(activation),
+                "deactivation_info": _struct({"reason": r.REQUEST_REASON, "exit_date": r.REQUEST_EXIT}),
+                "protocol": _struct({"info": _struct({"name": r.REQUEST_NAME})}),
+                "registration_date": "'2019-01-' || lpad(CAST(1 + c % 28 AS STRING), 2, '0')",
+            }
         )
 
-    # --- request and company logs -------------------------------------------------------------
-
     @cached_property
     def request_cdc(self) -> DataFrame:
-        return self.customer_base.select(
-            F.col("c").alias("id"),
-            F.expr(r.REQUEST_SERVICE).alias("service_id"),
-            F.col("c").alias("company_id"),
-            F.expr(r.REQUEST_SEARCH).alias("search_field"),
-            F.inline(self._versions(r.REQUEST_VERSIONS, self._request_version)),
-        )
-
-    @staticmethod
-    def _request_payload(version: int) -> Column:
-        def rule(text: str) -> Column:
-            return F.expr(r.bound(text, "v", version))
-
-        parts = {
-            "activation_info": {
-                "certificate_number": r.REQUEST_CERTIFICATE,
-                "issue_date": r.REQUEST_ISSUE,
-                "end_date": r.REQUEST_END,
-            },
-            "deactivation_info": {"reason": r.REQUEST_REASON, "exit_date": r.REQUEST_EXIT},
-        }
-        structs = [F.struct(*[rule(t).alias(n) for n, t in fs.items()]).alias(name) for name, fs in parts.items()]
-        protocol = F.struct(F.struct(rule(r.REQUEST_NAME).alias("name")).alias("info")).alias("protocol")
-        registered = rule("'2019-01-' || lpad(CAST(1 + c % 28 AS STRING), 2, '0')").alias("registration_date")
-        return F.to_json(F.struct(*structs, protocol, registered))
-
-    @classmethod
-    def _request_version(cls, op: str, lag: int) -> Column:
-        status = F.expr(r.bound(r.REQUEST_STATUS, "v", lag))
-        data = F.lit(None).cast("string") if op == "d" else cls._request_payload(lag)
-        return F.struct(
-            status.alias("bp_status"),
-            data.alias("data"),
-            F.expr(f"TIMESTAMP_NTZ'1995-01-01 00:00:00' + INTERVAL {lag} DAY").alias("updated_at"),
-            F.lit(op).alias("op"),
+        rows = self.customer_base.select("*", F.expr(_versions(r.REQUEST_VERSIONS))).withColumnRenamed("lag", "v")
+        return rows.selectExpr(
+            "c AS id",
+            f"{r.REQUEST_SERVICE} AS service_id",
+            "c AS company_id",
+            f"{r.REQUEST_STATUS} AS bp_status",
+            f"CASE WHEN op <> 'd' THEN {self._request_payload()} END AS data",
+            f"{r.REQUEST_SEARCH} AS search_field",
+            f"{LOG_START} + make_interval(0, 0, 0, v) AS updated_at",
+            "op",
         )
 
     @cached_property
     def company_cdc(self) -> DataFrame:
-        def version(op: str, lag: int) -> Column:
-            return F.struct(
-                F.expr(r.bound(r.COMPANY_NAME, "v", lag)).alias("name"),
-                F.expr(f"TIMESTAMP_NTZ'1995-01-01 00:00:00' + INTERVAL {lag} DAY").alias("updated_at"),
-                F.lit(op).alias("op"),
-            )
-
-        return self.customer_base.select(
-            F.col("c").alias("id"),
-            F.expr("'C' || CAST(c AS STRING)").alias("short_name"),
-            F.expr("lpad(CAST(c AS STRING), 12, '0')").alias("tin"),
-            F.inline(self._versions(r.COMPANY_VERSIONS, version)),
+        rows = self.customer_base.select("*", F.expr(_versions(r.COMPANY_VERSIONS))).withColumnRenamed("lag", "v")
+        return rows.selectExpr(
+            "c AS id",
+            f"{r.COMPANY_NAME} AS name",
+            "'C' || CAST(c AS STRING) AS short_name",
+            "lpad(CAST(c AS STRING), 12, '0') AS tin",
+            f"{LOG_START} + make_interval(0, 0, 0, v) AS updated_at",
+            "op",
         )
 
     # --- tables behind the registries ---------------------------------------------------------
 
     def service_report(self, exports: bool = False) -> DataFrame:
-        rows = self.report_cdc(exports=exports, registries=True).filter(F.col("op").isin("r", "c"))
+        rows = self.report_cdc(exports=exports, registries=True).filter("op IN ('r', 'c')")
         return rows.select(
             "id", "year", "status", "report_type", "data", "version", "signed_at", "service_request_id"
         )
 
     @cached_property
     def service_request(self) -> DataFrame:
-        return self.customer_base.select(
-            F.col("c").alias("id"),
-            F.expr("'R' || CAST(c AS STRING)").alias("number"),
-            self._request_payload(0).alias("data"),
-            F.col("c").alias("company_id"),
-            F.col("c").alias("hub_form_id"),
+        return self.customer_base.selectExpr(
+            "c AS id",
+            "'R' || CAST(c AS STRING) AS number",
+            f"{r.bound(self._request_payload(), 'v', 0)} AS data",
+            "c AS company_id",
+            "c AS hub_form_id",
         )
 
     @cached_property
     def company(self) -> DataFrame:
-        return self.customer_base.select(
-            F.col("c").alias("id"), "name", F.expr("lpad(CAST(c AS STRING), 12, '0')").alias("tin")
-        )
+        return self.customer_base.selectExpr("c AS id", "name", "lpad(CAST(c AS STRING), 12, '0') AS tin")
 
     @cached_property
     def hub_form(self) -> DataFrame:
-        head = F.expr("'Head ' || CAST(c AS STRING)").alias("heads_full_name")
-        return self.customer_base.select(F.col("c").alias("id"), F.to_json(F.struct(head)).alias("data"))
+        return self.customer_base.selectExpr(
+            "c AS id", "to_json(named_struct('heads_full_name', 'Head ' || CAST(c AS STRING))) AS data"
+        )
 
     # --- visits -------------------------------------------------------------------------------
 
     @cached_property
     def visit_responses(self) -> DataFrame:
         """One response document per event: narrow, so a busy person is not gathered anywhere."""
-        event = F.struct(
-            F.when(F.col("event_type").isin("click", "view"), "entry").otherwise("exit").alias("event"),
-            F.date_format("ts", "HH:mm:ss").alias("time"),
-        )
-        person = F.lpad(F.col("user_id").cast("string"), 12, "0")
-        return self.table("events").select(
-            F.col("ts").cast("date").alias("visit_date"),
-            F.to_json(F.create_map(person, F.array(event))).alias("raw_json"),
+        event = {
+            "event": "CASE WHEN event_type IN ('click', 'view') THEN 'entry' ELSE 'exit' END",
+            "time": "date_format(ts, 'HH:mm:ss')",
+        }
+        person = "lpad(CAST(user_id AS STRING), 12, '0')"
+        return spread(self.table("events").select("ts", "user_id", "event_type")).selectExpr(
+            "CAST(ts AS DATE) AS visit_date", f"to_json(map({person}, array({_struct(event)}))) AS raw_json"
         )
 
     # --- CRM ----------------------------------------------------------------------------------
@@ -243,56 +286,41 @@ class Tables:
             '{"id":142,"name":"Успешно реализовано","sort":1000,"color":"#0f0"},'
             '{"id":143,"name":"Закрыто и не реализовано","sort":1100,"color":"#f00"}]'
         )
-        return self.table("region").select(
-            F.col("r_regionkey").alias("id"),
-            F.col("r_name").alias("name"),
-            (F.col("r_regionkey") == 0).alias("is_main"),
-            F.lit(statuses).alias("statuses_json"),
+        return self.table("region").selectExpr(
+            "r_regionkey AS id", "r_name AS name", "r_regionkey = 0 AS is_main", f"'{statuses}' AS statuses_json"
         )
 
     @cached_property
     def crm_users(self) -> DataFrame:
-        return self.table("nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+        return self.table("nation").selectExpr("n_nationkey AS id", "n_name AS name")
 
     @cached_property
     def crm_leads(self) -> DataFrame:
         """Every fourth lead also has an older version, in another status."""
-
-        def version(op: str, lag: int) -> Column:
-            status = LEAD_STATUS if op == "new" else "10"
-            closed = LEAD_CLOSED if op == "new" else "CAST(NULL AS BIGINT)"
-            return F.struct(
-                F.expr(status).alias("status_id"),
-                F.expr(f"{EPOCH} + 86400 - {lag} * 43200").alias("updated_at"),
-                F.expr(closed).alias("closed_at"),
-            )
-
-        def json_list(*ids: str) -> Column:
-            return F.to_json(F.array(*[F.struct(F.expr(i).alias("id")) for i in ids]))
-
+        versions = _versions((("new", 0, "TRUE"), ("old", 1, "k % 4 = 0")))
         fields = [("БИН", "lpad(CAST(c AS STRING), 12, '0')"), ("Источник", "'source ' || CAST(k % 3 AS STRING)")]
-        return self.order_base.select(
-            F.col("k").alias("id"),
-            F.expr("'Lead ' || CAST(k AS STRING)").alias("name"),
-            F.col("p").alias("price"),
-            F.expr("CAST(k % 25 AS INT)").alias("responsible_user_id"),
-            F.expr("CAST(k % 5 AS INT)").alias("pipeline_id"),
-            F.expr("CASE WHEN s = 'P' THEN CAST(k % 4 AS INT) END").alias("loss_reason_id"),
-            F.expr(EPOCH).alias("created_at"),
-            F.expr("k % 50 = 0").alias("is_deleted"),
-            _custom_fields(fields).alias("custom_fields_values"),
-            json_list("c", "c + 1000000").alias("contacts_json"),
-            json_list("c").alias("companies_json"),
-            F.to_json(F.array(F.struct(F.lit(1).alias("id"), F.expr("'T' || CAST(k % 5 AS STRING)").alias("name")))).alias(
-                "tags_json"
-            ),
-            F.inline(self._versions((("new", 0, "TRUE"), ("old", 1, "k % 4 = 0")), version)),
+        return self.order_base.select("*", F.expr(versions)).selectExpr(
+            "k AS id",
+            "'Lead ' || CAST(k AS STRING) AS name",
+            "p AS price",
+            "CAST(k % 25 AS INT) AS responsible_user_id",
+            f"CASE WHEN op = 'new' THEN {LEAD_STATUS} ELSE 10 END AS status_id",
+            "CAST(k % 5 AS INT) AS pipeline_id",
+            "CASE WHEN s = 'P' THEN CAST(k % 4 AS INT) END AS loss_reason_id",
+            f"{EPOCH} AS created_at",
+            f"{EPOCH} + 86400 - lag * 43200 AS updated_at",
+            f"CASE WHEN op = 'new' THEN {LEAD_CLOSED} END AS closed_at",
+            "k % 50 = 0 AS is_deleted",
+            f"{_custom_fields(fields)} AS custom_fields_values",
+            "to_json(array(named_struct('id', 1, 'name', 'T' || CAST(k % 5 AS STRING)))) AS tags_json",
+            "to_json(array(named_struct('id', c), named_struct('id', c + 1000000))) AS contacts_json",
+            "to_json(array(named_struct('id', c))) AS companies_json",
         )
 
     @cached_property
     def crm_companies(self) -> DataFrame:
         fields = [("БИН", "lpad(CAST(c AS STRING), 12, '0')"), ("Сфера", "segment")]
-        return self._crm_parties(fields, F.col("name"))
+        return self._crm_parties(fields, "name")
 
     @cached_property
     def crm_contacts(self) -> DataFrame:
@@ -300,84 +328,46 @@ class Tables:
             ("Телефон", "'+7' || lpad(CAST(c AS STRING), 10, '0')"),
             ("Email", "'user' || CAST(c AS STRING) || '@mail.example'"),
         ]
-        full_name = F.expr("'First' || CAST(c AS STRING) || ' Last' || CAST(c AS STRING)")
-        return self._crm_parties(fields, full_name).withColumns(
-            {
-                "first_name": F.split_part("name", F.lit(" "), F.lit(1)),
-                "last_name": F.split_part("name", F.lit(" "), F.lit(2)),
-                "companies_json": F.concat(F.lit('[{"id":'), F.col("id").cast("string"), F.lit("}]")),
-                "leads_json": F.lit(None).cast("string"),
-            }
+        parties = self._crm_parties(fields, "'First' || CAST(c AS STRING) || ' Last' || CAST(c AS STRING)")
+        return parties.selectExpr(
+            "*",
+            "split_part(name, ' ', 1) AS first_name",
+            "split_part(name, ' ', 2) AS last_name",
+            "to_json(array(named_struct('id', id))) AS companies_json",
+            "CAST(NULL AS STRING) AS leads_json",
         )
 
-    def _crm_parties(self, fields: list[tuple[str, str]], name: Column) -> DataFrame:
-        return self.customer_base.select(
-            F.col("c").alias("id"),
-            name.alias("name"),
-            F.expr("CAST(c % 25 AS INT)").alias("responsible_user_id"),
-            F.expr("CAST(1000000000 + c % 1000 * 86400 AS BIGINT)").alias("created_at"),
-            F.expr("CAST(1100000000 + c % 1000 * 86400 AS BIGINT)").alias("updated_at"),
-            F.expr("c % 40 = 0").alias("is_deleted"),
-            _custom_fields(fields).alias("custom_fields_values"),
+    def _crm_parties(self, fields: list[tuple[str, str]], name: str) -> DataFrame:
+        return self.customer_base.selectExpr(
+            "c AS id",
+            f"{name} AS name",
+            "CAST(c % 25 AS INT) AS responsible_user_id",
+            "1000000000L + c % 1000 * 86400 AS created_at",
+            "1100000000L + c % 1000 * 86400 AS updated_at",
+            "c % 40 = 0 AS is_deleted",
+            f"{_custom_fields(fields)} AS custom_fields_values",
         )
 
     @cached_property
     def crm_tasks(self) -> DataFrame:
         """One task per order: done where the order is finished."""
-        return self.order_base.select(
-            F.col("k").alias("id"),
-            F.expr("CAST(c % 25 AS INT)").alias("responsible_user_id"),
-            F.col("k").alias("entity_id"),
-            F.lit("leads").alias("entity_type"),
-            F.expr("s = 'F'").alias("is_completed"),
-            F.expr(EPOCH).alias("created_at"),
-            F.expr(f"{EPOCH} + 5 * 86400").alias("updated_at"),
+        return self.order_base.selectExpr(
+            "k AS id",
+            "CAST(c % 25 AS INT) AS responsible_user_id",
+            "k AS entity_id",
+            "'leads' AS entity_type",
+            "s = 'F' AS is_completed",
+            f"{EPOCH} AS created_at",
+            f"{EPOCH} + 5 * 86400 AS updated_at",
         )
 
 
-EPOCH = "CAST(datediff(CAST(d AS DATE), DATE'1970-01-01') AS BIGINT) * 86400"
-LEAD_STATUS = "CASE WHEN s = 'F' THEN 142 WHEN s = 'P' THEN 143 WHEN k % 2 = 0 THEN 10 ELSE 20 END"
-LEAD_CLOSED = f"CASE WHEN s IN ('F', 'P') THEN {EPOCH} + k % 30 * 86400 END"
+_OPEN: dict[tuple[str, str], Tables] = {}
 
 
-def item_rules(position: int, spec) -> dict[str, str]:
-    """Item key -> rule. With two amount keys, odd items use the first and even items the second."""
-    out = {key: r.item_text(key) for key in spec.text.values()}
-    amount = r.item_amount(position)
-    for keys in spec.amounts.values():
-        if len(keys) == 1:
-            out[keys[0]] = amount
-        else:
-            out[keys[0]] = f"CASE WHEN i <> 2 THEN {amount} END"
-            out[keys[1]] = f"CASE WHEN i = 2 THEN {amount} END"
-    return out
-
-
-def _signature(tin: Column, name: Column, full_name: Column) -> Column:
-    """JSON with the two plain fields and a signed XML document that also names a signer.
-
-    Some documents break the line inside the company element; one in fifteen updates lacks the number.
-    """
-    gap = F.when(F.expr("k % 6 = 0"), F.lit("\n")).otherwise(F.lit(""))
-    company = F.concat(
-        F.lit("<company>"),
-        gap,
-        F.coalesce(F.concat(F.lit("<tin>"), tin, F.lit("</tin>")), F.lit("")),
-        F.lit("<name>"),
-        name,
-        F.lit("</name></company>"),
-    )
-    xml = F.concat(F.lit('<?xml version="1.0"?><doc>'), company, F.lit("<signer><tin>999999999999</tin></signer></doc>"))
-    return F.to_json(F.struct(xml.alias("signed_xml"), tin.alias("tin"), full_name.alias("full_name")))
-
-
-def _custom_fields(fields: list[tuple[str, str]]) -> Column:
-    entries = [
-        F.struct(
-            F.lit(500 + n).alias("field_id"),
-            F.lit(name).alias("field_name"),
-            F.array(F.struct(F.expr(rule).alias("value"))).alias("values"),
-        )
-        for n, (name, rule) in enumerate(fields)
-    ]
-    return F.to_json(F.array(*entries))
+def tables(spark: SparkSession, folder: str) -> Tables:
+    """The tables of a folder; within one application the plans are made once and reused."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _OPEN:
+        _OPEN[key] = Tables(spark, folder)
+    return _OPEN[key]

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcstrata.checks.bronze import Tables
+from cdcstrata.checks.bronze import Tables, tables
 from cdcstrata.checks.rules import START_YEAR
 from cdcstrata.functions.payload import json_str
 from cdcstrata.functions.periods import previous_quarter
@@ -330,7 +330,7 @@ def builds() -> dict[str, Build]:
 
 
 def _on(build: Build) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: build(Tables(spark, folder))
+    return lambda spark, folder: build(tables(spark, folder))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

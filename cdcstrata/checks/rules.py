@@ -104,6 +104,7 @@ MASKED_NAME = "'Masked ' || CAST(c AS STRING) || '.' || CAST(lag AS STRING)"
 
 # Registry arrays: item i (1..3) exists where i <= k % 4; the flag says true for every third order.
 ITEMS = 3
+MART_FLAGS = ("has_nonresidents", "has_borrowed_funds", "has_raised_investors_funds")
 ITEM_COUNT = "k % 4"
 
 

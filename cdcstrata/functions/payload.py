@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcstrata.functions.scalars import blank_to_null, is_blank
+from cdcstrata.functions.scalars import is_blank
 
 # Fixed values that decide results.
 UNAVAILABLE_PAYLOAD = "__debezium_unavailable_value"
@@ -61,9 +61,12 @@ def xml_tag(c: Column | str, scope: str, tag: str, content: str = "[^<]+", mode:
     """
     s, t = re.escape(scope), re.escape(tag)
     if mode == "first":
-        pattern = f"(?s)<{s}>(?:(?!</{s}>).)*?<{t}>({content})</{t}>"
+        # Two plain patterns: one with a lookahead for the end of the scope steps through every character.
+        inside = F.regexp_extract(_col(c), f"(?s)<{s}>(.*?)</{s}>", 1)
+        matches = F.regexp_extract_all(inside, F.lit(f"<{t}>({content})</{t}>"), F.lit(1))
     elif mode == "last":
-        pattern = f"(?s)<{s}>.*<{t}>({content})</{t}>"
+        matches = F.regexp_extract_all(_col(c), F.lit(f"(?s)<{s}>.*<{t}>({content})</{t}>"), F.lit(1))
     else:
         raise ValueError(f"mode must be 'first' or 'last', not {mode!r}")
-    return blank_to_null(F.regexp_extract(_col(c), pattern, 1))
+    # Indexing gives NULL for no match without naming the match twice, as a test for '' would.
+    return F.get(matches, F.lit(0))

@@ -18,18 +18,25 @@ TOKEN_SEPARATOR = "***"
 _WIDE_DECIMAL = "decimal(38,18)"
 
 
+def _read(c: Column | str, target: str) -> Column:
+    """A named column goes to the JVM as one expression; wide tables have dozens of these."""
+    if isinstance(c, str):
+        return F.expr(f"try_cast(try_cast({c} AS {_WIDE_DECIMAL}) AS {target})")
+    return c.try_cast(_WIDE_DECIMAL).try_cast(target)
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def to_bigint(c: Column | str) -> Column:
     """Text (or number) to BIGINT; fractions are truncated, exponents accepted, junk is NULL."""
-    return _col(c).try_cast(_WIDE_DECIMAL).try_cast("bigint")
+    return _read(c, "bigint")
 
 
 def to_int(c: Column | str) -> Column:
     """Like :func:`to_bigint`, for values that must fit INT; overflow is NULL."""
-    return _col(c).try_cast(_WIDE_DECIMAL).try_cast("int")
+    return _read(c, "int")
 
 
 def to_date(c: Column | str) -> Column:

@@ -203,7 +203,7 @@ REPORT_MART_25 = (
 
 def typed(doc: str, field: str, ints: Iterable[str] = ()) -> Column:
     """A payload field with its type: BIGINT for numbers (INT where asked), text otherwise."""
-    text = F.col(f"{doc}.{field}")
+    name = f"{doc}.{field}"
     if field in ints:
-        return to_int(text)
-    return to_bigint(text) if field in NUMERIC else text
+        return to_int(name)
+    return to_bigint(name) if field in NUMERIC else F.col(name)

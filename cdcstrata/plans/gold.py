@@ -342,8 +342,8 @@ def export_by_country_natural_key(
         "year",
         "report_type",
         F.col("doc.certificate_number").alias("certificate_number"),
-        first_non_blank("doc.company_tin", xml_tag(xml, "company", "tin", "[0-9]+")).alias("company_tin"),
-        first_non_blank("doc.company_name", xml_tag(xml, "company", "name")).alias("company_name"),
+        F.coalesce(blank_to_null("doc.company_tin"), xml_tag(xml, "company", "tin", "[0-9]+")).alias("company_tin"),
+        F.coalesce(blank_to_null("doc.company_name"), xml_tag(xml, "company", "name")).alias("company_name"),
         F.col(f"doc.{fl.EXPORT_CURRENT}").alias("export_json"),
     )
     resolved = _resolved(rows, participants, None, 0 if participants is None else 2, False, participants is not None, "")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdcstrata.functions.payload import is_json_array, json_str, parse_payload, xml_tag
-from cdcstrata.functions.scalars import first_non_blank, labelled_digits, nth_token, to_bigint, to_date
+from cdcstrata.functions.scalars import blank_to_null, first_non_blank, labelled_digits, nth_token, to_bigint, to_date
 from cdcstrata.operators.predicates import FIRST_YEAR, in_years, not_deleted, payload_available, requests_of
 from cdcstrata.operators.unnest import explode_items
 from cdcstrata.operators.versions import latest, stitch_versions
@@ -34,8 +34,8 @@ def _identity(identity: str, doc: str, signature: Column, xml_mode: str) -> tupl
     tin, name = F.col(f"{doc}.company_tin"), F.col(f"{doc}.company_name")
     if identity == "data_first":
         return (
-            first_non_blank(tin, _signed_tag(signature, "tin", xml_mode)),
-            first_non_blank(name, _signed_tag(signature, "name", xml_mode)),
+            F.coalesce(blank_to_null(tin), _signed_tag(signature, "tin", xml_mode)),
+            F.coalesce(blank_to_null(name), _signed_tag(signature, "name", xml_mode)),
         )
     if identity == "signature_fields":
         return (
@@ -132,9 +132,9 @@ def _stitched(
         return (old if attributes == "snapshot" else F.coalesce(F.col(f"update.{name}"), old)).alias(name)
 
     def resolved(tag: str, from_payload: str) -> Column:
-        return first_non_blank(
+        return F.coalesce(
             _signed_tag(F.col("update.signature"), tag, xml_mode),
-            F.col(from_payload),
+            blank_to_null(from_payload),
             _signed_tag(F.col("snapshot.signature"), tag, xml_mode),
         )
 
