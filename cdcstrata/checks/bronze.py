@@ -16,6 +16,7 @@ from cdcstrata.checks import rules as r
 from cdcstrata.functions.payload import UNAVAILABLE_PAYLOAD
 from cdcstrata.plans.fields import EXPORT_CURRENT, EXPORT_PREVIOUS
 from cdcstrata.plans.registry import REGISTRIES
+from cdcstrata.session import tune
 
 EPOCH = "CAST(datediff(CAST(d AS DATE), DATE'1970-01-01') AS BIGINT) * 86400"
 LEAD_STATUS = "CASE WHEN s = 'F' THEN 142 WHEN s = 'P' THEN 143 WHEN k % 2 = 0 THEN 10 ELSE 20 END"
@@ -112,7 +113,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
-        self._logs: dict[tuple[bool, bool], DataFrame] = {}
+        self._logs: dict[tuple, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -150,14 +151,14 @@ class Tables:
         packed = sums.groupBy("k").agg(F.expr(f"array_sort(collect_list({item}))").alias("items"))
         return packed.selectExpr("k", "'[' || array_join(items.json, ',') || ']' AS export_array")
 
-    def report_cdc(self, exports: bool = False, registries: bool = False) -> DataFrame:
-        """The report change log. The export array and the registry arrays are left out unless asked for."""
+    def report_cdc(self, exports: bool = False, registries: tuple[str, ...] = ()) -> DataFrame:
+        """The report change log. The export arrays and the arrays of named registries are made on request."""
         key = (exports, registries)
         if key not in self._logs:
             self._logs[key] = self._report_cdc(*key)
         return self._logs[key]
 
-    def _report_cdc(self, exports: bool, registries: bool) -> DataFrame:
+    def _report_cdc(self, exports: bool, registries: tuple[str, ...]) -> DataFrame:
         base = self.order_base
         members = [_member("income_total", r.INCOME_RAW), _member("activity_fields", r.ACTIVITY)]
         if exports:
@@ -165,17 +166,15 @@ class Tables:
             array = "coalesce(export_array, '[]')"
             number = f"CAST({r.EXPORT_NUMBER} AS STRING)"
             members.append(_member(EXPORT_CURRENT, f"CASE WHEN {r.EXPORT_IS_NUMBER} THEN {number} ELSE {array} END"))
-        if exports or registries:
+        if exports or "export_previous" in registries:
             previous = {"country": r.PREVIOUS_COUNTRY, "sum": r.PREVIOUS_SUM}
             members.append(_member(EXPORT_PREVIOUS, f"({_items(r.PREVIOUS_COUNT, previous)})"))
         fields = {**r.TEXT_RULES, **r.NUMBER_RULES}
-        for position, spec in enumerate(REGISTRIES.values(), start=1):
-            if registries:
-                fields[spec.flag] = r.flag_rule(position)
-                if spec.array not in (EXPORT_CURRENT, EXPORT_PREVIOUS):
-                    members.append(_member(spec.array, f"({_items(r.ITEM_COUNT, item_rules(position, spec))})"))
-            elif spec.flag in r.MART_FLAGS:
+        for position, (name, spec) in enumerate(REGISTRIES.items(), start=1):
+            if name in registries or spec.flag in r.MART_FLAGS:
                 fields[spec.flag] = r.flag_rule(position)
+            if name in registries and spec.array not in (EXPORT_CURRENT, EXPORT_PREVIOUS):
+                members.append(_member(spec.array, f"({_items(r.ITEM_COUNT, item_rules(position, spec))})"))
         changed = "d + make_interval(0, 0, 0, lag)"
         masked_name = f"({r.MASKED_NAME})"
         return base.select("*", F.expr(_versions(r.VERSIONS))).selectExpr(
@@ -237,8 +236,8 @@ class Tables:
 
     # --- tables behind the registries ---------------------------------------------------------
 
-    def service_report(self, exports: bool = False) -> DataFrame:
-        rows = self.report_cdc(exports=exports, registries=True).filter("op IN ('r', 'c')")
+    def service_report(self, exports: bool = False, registries: tuple[str, ...] = ()) -> DataFrame:
+        rows = self.report_cdc(exports, registries).filter("op IN ('r', 'c')")
         return rows.select(
             "id", "year", "status", "report_type", "data", "version", "signed_at", "service_request_id"
         )
@@ -369,5 +368,5 @@ def tables(spark: SparkSession, folder: str) -> Tables:
     """The tables of a folder; within one application the plans are made once and reused."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _OPEN:
-        _OPEN[key] = Tables(spark, folder)
+        _OPEN[key] = Tables(tune(spark), folder)
     return _OPEN[key]
