@@ -7,7 +7,8 @@ changes rewrite just the partitions they touch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,9 +65,23 @@ def full_refresh(df: DataFrame, spec, spark: SparkSession | None = None) -> None
     _overwrite_all(df, session, spec.name)
 
 
+@contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Set the overwrite mode for one write; ``insertInto`` takes it from the session only."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _overwrite_all(df: DataFrame, spark: SparkSession, name: str) -> None:
     """Static overwrite: partitions that no longer occur go away, whatever the session default is."""
-    _by_position(df, spark, name).write.option("partitionOverwriteMode", "static").insertInto(name, overwrite=True)
+    rows = _by_position(df, spark, name)
+    with _overwrite_mode(spark, "static"):
+        rows.write.insertInto(name, overwrite=True)
 
 
 def _by_position(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
@@ -103,7 +118,9 @@ def overwrite_partitions(df: DataFrame, name: str, fmt: str = "parquet") -> None
         df.writeTo(name).overwritePartitions()
         return
     spark = df.sparkSession
-    _by_position(df, spark, name).write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+    rows = _by_position(df, spark, name)
+    with _overwrite_mode(spark, "dynamic"):
+        rows.write.insertInto(name, overwrite=True)
 
 
 def refresh_years(
