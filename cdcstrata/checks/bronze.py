@@ -1,7 +1,8 @@
 """Change logs derived from the test tables, by the rules in :mod:`cdcstrata.checks.rules`.
 
-Everything but the export array is a narrow, shuffle-free projection: a report row becomes its versions in
-place. The export array sums line items per order and nation first, so what is gathered for one order is
+The logs that many queries read are stored once per application, as the change tables of a lakehouse are; what
+single queries need is derived in place. Everything but the export array is a narrow, shuffle-free projection: a
+report row becomes its versions where it is. The export array sums line items per order and nation first, so what is gathered for one order is
 bounded by the number of nations, however many line items it has.
 """
 
@@ -9,14 +10,17 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdcstrata.checks import rules as r
 from cdcstrata.functions.payload import UNAVAILABLE_PAYLOAD
 from cdcstrata.plans.fields import EXPORT_CURRENT, EXPORT_PREVIOUS
 from cdcstrata.plans.registry import REGISTRIES
 from cdcstrata.session import tune
+from cdcstrata.sources.scratch import has_scratch, store
 
 EPOCH = "CAST(datediff(CAST(d AS DATE), DATE'1970-01-01') AS BIGINT) * 86400"
 LEAD_STATUS = "CASE WHEN s = 'F' THEN 142 WHEN s = 'P' THEN 143 WHEN k % 2 = 0 THEN 10 ELSE 20 END"
@@ -113,7 +117,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
-        self._logs: dict[tuple, DataFrame] = {}
+        self._stored: dict[str, tuple[str, T.StructType]] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -129,6 +133,22 @@ class Tables:
     def customer_base(self) -> DataFrame:
         return self._base("customer", r.CUSTOMER_COLUMNS)
 
+    def stored(self, name: str, log: DataFrame) -> DataFrame:
+        """The log from the shared folder, written there on first use or if the copy has gone.
+
+        On a cluster that names no shared folder, the log as it is derived.
+        """
+        if name in self._stored:
+            path, schema = self._stored[name]
+            try:
+                return self.spark.read.schema(schema).parquet(path)
+            except AnalysisException:
+                del self._stored[name]
+        if not has_scratch(self.spark):
+            return log
+        self._stored[name] = (store(log, name), log.schema)
+        return self.stored(name, log)
+
     # --- report log ---------------------------------------------------------------------------
 
     @cached_property
@@ -151,14 +171,21 @@ class Tables:
         packed = sums.groupBy("k").agg(F.expr(f"array_sort(collect_list({item}))").alias("items"))
         return packed.selectExpr("k", "'[' || array_join(items.json, ',') || ']' AS export_array")
 
-    def report_cdc(self, exports: bool = False, registries: tuple[str, ...] = ()) -> DataFrame:
-        """The report change log. The export arrays and the arrays of named registries are made on request."""
-        key = (exports, registries)
-        if key not in self._logs:
-            self._logs[key] = self._report_cdc(*key)
-        return self._logs[key]
+    def report_cdc(self, exports: bool = False) -> DataFrame:
+        """The report change log, on request with the export arrays in its payloads."""
+        if exports:
+            return self.stored("report_cdc_exports", self._export_log)
+        return self.stored("report_cdc", self._plain_log)
+
+    @cached_property
+    def _plain_log(self) -> DataFrame:
+        return self._report_log()
+
+    @cached_property
+    def _export_log(self) -> DataFrame:
+        return self._report_log(exports=True)
 
-    def _report_cdc(self, exports: bool, registries: tuple[str, ...]) -> DataFrame:
+    def _report_log(self, exports: bool = False, registries: tuple[str, ...] = ()) -> DataFrame:
         base = self.order_base
         members = [_member("income_total", r.INCOME_RAW), _member("activity_fields", r.ACTIVITY)]
         if exports:
@@ -166,14 +193,14 @@ class Tables:
             array = "coalesce(export_array, '[]')"
             number = f"CAST({r.EXPORT_NUMBER} AS STRING)"
             members.append(_member(EXPORT_CURRENT, f"CASE WHEN {r.EXPORT_IS_NUMBER} THEN {number} ELSE {array} END"))
-        if exports or "export_previous" in registries:
             previous = {"country": r.PREVIOUS_COUNTRY, "sum": r.PREVIOUS_SUM}
             members.append(_member(EXPORT_PREVIOUS, f"({_items(r.PREVIOUS_COUNT, previous)})"))
         fields = {**r.TEXT_RULES, **r.NUMBER_RULES}
         for position, (name, spec) in enumerate(REGISTRIES.items(), start=1):
-            if name in registries or spec.flag in r.MART_FLAGS:
+            is_export = spec.array in (EXPORT_CURRENT, EXPORT_PREVIOUS)
+            if name in registries or spec.flag in r.MART_FLAGS or (exports and is_export):
                 fields[spec.flag] = r.flag_rule(position)
-            if name in registries and spec.array not in (EXPORT_CURRENT, EXPORT_PREVIOUS):
+            if name in registries:
                 members.append(_member(spec.array, f"({_items(r.ITEM_COUNT, item_rules(position, spec))})"))
         changed = "d + make_interval(0, 0, 0, lag)"
         masked_name = f"({r.MASKED_NAME})"
@@ -208,8 +235,12 @@ class Tables:
             }
         )
 
-    @cached_property
+    @property
     def request_cdc(self) -> DataFrame:
+        return self.stored("request_cdc", self._request_log)
+
+    @cached_property
+    def _request_log(self) -> DataFrame:
         rows = self.customer_base.select("*", F.expr(_versions(r.REQUEST_VERSIONS))).withColumnRenamed("lag", "v")
         return rows.selectExpr(
             "c AS id",
@@ -236,8 +267,15 @@ class Tables:
 
     # --- tables behind the registries ---------------------------------------------------------
 
-    def service_report(self, exports: bool = False, registries: tuple[str, ...] = ()) -> DataFrame:
-        rows = self.report_cdc(exports, registries).filter("op IN ('r', 'c')")
+    def service_report(self, registry: str | None = None) -> DataFrame:
+        """Reports as the operational database has them, with the array of one registry."""
+        if registry in ("export_current", "export_previous", "residents"):
+            log = self.report_cdc(exports=True)
+        elif registry is None:
+            log = self.report_cdc()
+        else:
+            log = self._report_log(registries=(registry,))
+        rows = log.filter("op IN ('r', 'c')")
         return rows.select(
             "id", "year", "status", "report_type", "data", "version", "signed_at", "service_request_id"
         )

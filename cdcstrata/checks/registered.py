@@ -64,8 +64,7 @@ def _export_stitched(t: Tables) -> DataFrame:
 
 def _registry(name: str) -> Build:
     def build(t: Tables) -> DataFrame:
-        reports = t.service_report(name in ("export_current", "residents"), (name,))
-        return registry.run_registry(name, reports, t.service_request, t.company, t.hub_form)
+        return registry.run_registry(name, t.service_report(name), t.service_request, t.company, t.hub_form)
 
     return build
 

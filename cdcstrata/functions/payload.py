@@ -38,6 +38,11 @@ def parse_payload(df: DataFrame, fields: Iterable[str], payload: str = "data", i
     return df.withColumn(into, F.from_json(F.col(payload), schema))
 
 
+def parse_nested(df: DataFrame, schema: str, payload: str = "data", into: str = "doc") -> DataFrame:
+    """Like :func:`parse_payload` for nested fields: ``schema`` is DDL with structs."""
+    return df.withColumn(into, F.from_json(F.col(payload), schema))
+
+
 def is_json_array(c: Column | str) -> Column:
     """Shape guard for fields that hold a number in some report versions and an array in others."""
     return _col(c).startswith("[")

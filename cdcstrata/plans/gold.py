@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cdcstrata.functions.payload import has_item_country, is_json_array, json_str, parse_payload, xml_tag
+from cdcstrata.functions.payload import has_item_country, is_json_array, json_str, parse_nested, parse_payload, xml_tag
 from cdcstrata.functions.scalars import (
     HOME_COUNTRY,
     NO_CERTIFICATE,
@@ -33,7 +33,7 @@ from cdcstrata.operators.predicates import (
 from cdcstrata.operators.unnest import explode_items
 from cdcstrata.operators.versions import latest
 from cdcstrata.plans import fields as fl
-from cdcstrata.plans.silver import NATURAL_KEY, SERVICE_ID
+from cdcstrata.plans.silver import NATURAL_KEY, REQUEST_PAYLOAD, SERVICE_ID
 
 # Mart column -> column of the report table.
 FINANCING = {
@@ -68,11 +68,11 @@ RESOLVED = ("resolved_certificate", "resolved_issue_date", "resolved_end_date",
 def latest_certificates(requests: DataFrame, service_id: str = SERVICE_ID) -> DataFrame:
     """Certificate facts of the newest version of every request: id, cert_number, dates."""
     newest = latest(requests_of(requests, service_id), ["id"], ["updated_at"], tombstones="before")
-    return newest.select(
+    return parse_nested(newest, REQUEST_PAYLOAD).select(
         "id",
-        json_str("data", "activation_info.certificate_number").alias("cert_number"),
-        to_date(json_str("data", "activation_info.issue_date")).alias("cert_issue_date"),
-        to_date(json_str("data", "activation_info.end_date")).alias("cert_end_date"),
+        F.col("doc.activation_info.certificate_number").alias("cert_number"),
+        to_date("doc.activation_info.issue_date").alias("cert_issue_date"),
+        to_date("doc.activation_info.end_date").alias("cert_end_date"),
     )
 
 
@@ -359,15 +359,14 @@ def export_by_country_stitched(
     service_id: str = SERVICE_ID,
 ) -> DataFrame:
     """From report rows that carry the raw array themselves: no second pass over the log."""
-    rows = signed(silver_with_arrays).filter(is_json_array(fl.EXPORT_CURRENT))
+    rows = signed(silver_with_arrays)
     resolved = _resolved(rows, participants, requests, cert_fallback, False, cert_fallback >= 2, service_id)
     return _by_country(resolved, fl.EXPORT_CURRENT, _keep_resolved())
 
 
 def gold_export_details(silver_with_arrays: DataFrame) -> DataFrame:
     """Countries out of the array column of the natural-key report table, without any fallback."""
-    rows = not_deleted(silver_with_arrays).filter(is_json_array(fl.EXPORT_CURRENT))
-    items = explode_items(rows, F.col(fl.EXPORT_CURRENT), ["country", "current_sum"])
+    items = explode_items(not_deleted(silver_with_arrays), F.col(fl.EXPORT_CURRENT), ["country", "current_sum"])
     return items.filter(F.col("item.country").isNotNull()).select(
         "year",
         "report_type",

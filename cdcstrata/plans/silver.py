@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cdcstrata.functions.payload import is_json_array, json_str, parse_payload, xml_tag
+from cdcstrata.functions.payload import json_str, parse_nested, parse_payload, xml_tag
 from cdcstrata.functions.scalars import blank_to_null, first_non_blank, labelled_digits, nth_token, to_bigint, to_date
 from cdcstrata.operators.predicates import FIRST_YEAR, in_years, not_deleted, payload_available, requests_of
 from cdcstrata.operators.unnest import explode_items
@@ -21,6 +21,12 @@ NATURAL_KEY = ("service_request_id", "report_type", "year")
 TIN_TOKEN = 4
 TIN_LABEL = "БИН"
 
+# Payload of a service request, as far as it is read.
+REQUEST_PAYLOAD = (
+    "activation_info struct<certificate_number string, issue_date string, end_date string>, "
+    "protocol struct<info struct<name string>>, deactivation_info struct<reason string, exit_date string>"
+)
+
 IDENTITIES = ("data_first", "signature_fields", "masked_first")
 
 
@@ -192,17 +198,17 @@ def silver_participants(
     rows = requests_of(not_deleted(requests), service_id, statuses)
     newest = latest(rows, ["id"], ["updated_at"], tombstones="before")
     tin = nth_token("search_field", TIN_TOKEN) if tin_from == "token" else labelled_digits("search_field", TIN_LABEL)
-    return newest.select(
+    return parse_nested(newest, REQUEST_PAYLOAD).select(
         F.col("id").alias("service_request_id"),
         "company_id",
         "bp_status",
-        json_str("data", "activation_info.certificate_number").alias("certificate_number"),
-        to_date(json_str("data", "activation_info.issue_date")).alias("certificate_issue_date"),
-        to_date(json_str("data", "activation_info.end_date")).alias("certificate_end_date"),
-        json_str("data", "protocol.info.name").alias("company_name"),
+        F.col("doc.activation_info.certificate_number").alias("certificate_number"),
+        to_date("doc.activation_info.issue_date").alias("certificate_issue_date"),
+        to_date("doc.activation_info.end_date").alias("certificate_end_date"),
+        F.col("doc.protocol.info.name").alias("company_name"),
         tin.alias("company_tin"),
-        json_str("data", "deactivation_info.reason").alias("deactivation_reason"),
-        to_date(json_str("data", "deactivation_info.exit_date")).alias("deactivation_date"),
+        F.col("doc.deactivation_info.reason").alias("deactivation_reason"),
+        to_date("doc.deactivation_info.exit_date").alias("deactivation_date"),
         "search_field",
     )
 
@@ -222,7 +228,7 @@ def export_details(cdc: DataFrame, start_year: int | None = FIRST_YEAR) -> DataF
     names = ("company_tin", "company_name", "certificate_number", fl.EXPORT_CURRENT, fl.EXPORT_PREVIOUS)
     parsed = parse_payload(in_years(not_deleted(cdc), start_year), names)
     current, previous = F.col(f"doc.{fl.EXPORT_CURRENT}"), F.col(f"doc.{fl.EXPORT_PREVIOUS}")
-    periods = parsed.filter(is_json_array(current) | is_json_array(previous)).select(
+    periods = parsed.select(
         F.col("id").alias("report_id"),
         "service_request_id",
         "year",

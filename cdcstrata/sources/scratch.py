@@ -10,6 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
+def has_scratch(spark: SparkSession) -> bool:
+    """Whether there is a shared folder, or can be one."""
+    return is_local(spark) or bool(spark.conf.get(_SETTING, None))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -18,7 +27,7 @@ def scratch_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get(_SETTING, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="cdcstrata-")
         spark.conf.set(_SETTING, root)
@@ -30,12 +39,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def store(df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
+    """Write to a fresh scratch path and return it."""
+    path = scratch_path(df.sparkSession, name)
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return path
+
+
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write once, read back: cuts the lineage, survives executor loss, feeds several consumers."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(store(df, name, partition_by))
