@@ -47,10 +47,22 @@ def _mart(name: str, level: int = 3) -> Build:
     return lambda t: gold.MARTS[name](_silver(t), _participants(t), t.request_cdc, level)
 
 
-def _export_by_country(t: Tables) -> DataFrame:
-    return gold.export_by_country(
-        _silver(t), t.report_cdc(exports=True), _participants(t), t.request_cdc, start_year=START_YEAR
-    )
+def _resolved(t: Tables) -> DataFrame:
+    """Signed reports with their certificates: what all marts of one query share."""
+    return gold.certificate_for(predicates.signed(_silver(t)), _participants(t), t.request_cdc)
+
+
+def _marts(t: Tables, *names: str) -> list[DataFrame]:
+    rows = _resolved(t)
+    return [gold.MARTS[name](rows) for name in names]
+
+
+def _export_by_country(t: Tables, reports: DataFrame | None = None) -> DataFrame:
+    """Reports may come with their certificates resolved already."""
+    log = t.report_cdc(exports=True)
+    if reports is not None:
+        return gold.export_by_country(reports, log, start_year=START_YEAR)
+    return gold.export_by_country(_silver(t), log, _participants(t), t.request_cdc, start_year=START_YEAR)
 
 
 def _export_stitched(t: Tables) -> DataFrame:
@@ -182,8 +194,9 @@ def _quality() -> dict[str, Build]:
     indicators = _mart("general_indicators")
 
     def counts(t: Tables) -> DataFrame:
-        tables = {name: _mart(name)(t) for name in gold.MARTS}
-        return quality.table_counts({**tables, "export_by_country": _export_by_country(t)})
+        rows = _resolved(t)
+        tables = {name: mart(rows) for name, mart in gold.MARTS.items()}
+        return quality.table_counts({**tables, "export_by_country": _export_by_country(t, rows)})
 
     def value_counts(t: Tables) -> DataFrame:
         log = t.report_cdc()
@@ -222,14 +235,18 @@ def _quality() -> dict[str, Build]:
 
 
 def _bi() -> dict[str, Build]:
-    g, x, e, f = (_mart(n) for n in ("general_indicators", "tax_benefits", "employees", "financing"))
+    def shares(t: Tables) -> DataFrame:
+        rows = _resolved(t)
+        return bi.export_share(_export_by_country(t, rows), gold.general_indicators(rows))
+
+    per_company = ("general_indicators", "tax_benefits", "employees")
     return {
-        "bi_yearly_dashboard": lambda t: bi.yearly_dashboard(g(t), x(t), e(t)),
-        "bi_company_detail": lambda t: bi.company_detail(g(t), x(t), e(t)),
-        "bi_export_share": lambda t: bi.export_share(_export_by_country(t), g(t)),
+        "bi_yearly_dashboard": lambda t: bi.yearly_dashboard(*_marts(t, *per_company)),
+        "bi_company_detail": lambda t: bi.company_detail(*_marts(t, *per_company)),
+        "bi_export_share": shares,
         "bi_top_countries": lambda t: bi.top_countries(_export_by_country(t)),
         "bi_countries_by_year": lambda t: bi.export_countries_by_year(_export_by_country(t)),
-        "bi_top_funding": lambda t: bi.top_funding(f(t)),
+        "bi_top_funding": lambda t: bi.top_funding(_mart("financing")(t)),
         "bi_top_identities": lambda t: bi.top_identities(_silver(t)),
     }
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdcstrata.functions.scalars import percent
@@ -29,13 +29,14 @@ def rows_by_year(df: DataFrame) -> DataFrame:
     return value_counts(df, "year")
 
 
-def with_percent(grouped: DataFrame, count: str = "cnt", name: str = "percent") -> DataFrame:
+def with_percent(grouped: DataFrame, count: str = "cnt", name: str = "percent", few: bool = False) -> DataFrame:
     """Add each group's share of the total.
 
-    The total is a scalar subquery, so the groups themselves never gather in one task the way they do
-    under a window without partitions.
+    The total is a scalar subquery, so the groups never gather in one task the way they do under a window
+    without partitions. That computes the groups twice; pass ``few`` where their number is fixed and small,
+    such as the branches of a CASE, to use the window instead.
     """
-    total = grouped.agg(F.sum(count)).scalar()
+    total = F.sum(count).over(Window.partitionBy()) if few else grouped.agg(F.sum(count)).scalar()
     return grouped.withColumn(name, percent(F.col(count), total))
 
 

@@ -24,12 +24,12 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def status_buckets(
     df: DataFrame, bucket, name: str, income: str | None = None, share: bool = False
 ) -> DataFrame:
-    """Rows per bucket of a CASE column, optionally with an income sum and the share of all rows."""
+    """Rows per branch of a CASE column, optionally with an income sum and the share of all rows."""
     aggs = [F.count(F.lit(1)).alias("cnt")]
     if income is not None:
         aggs.append(F.sum(income).alias("total_income"))
     out = df.groupBy(bucket.alias(name)).agg(*aggs)
-    return with_percent(out) if share else out
+    return with_percent(out, few=True) if share else out
 
 
 def masking_coverage(

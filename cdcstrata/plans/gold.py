@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,33 +86,40 @@ def certificate_for(
     """Report rows with the certificate resolved over up to three levels.
 
     Level 1 is the report's own number, level 2 the participants table, level 3 the newest request
-    version (whose '-1' means none). Pass what there is: nothing, ``participants``, or both. The joins
-    are left joins on unique keys, so rows neither vanish nor multiply. Spark broadcasts a side only
-    when its measured size allows; else the skew-aware sort-merge join takes over.
+    version (whose '-1' means none). Pass what there is: nothing, ``participants``, or both. The join is a
+    left join on a unique key, so rows neither vanish nor multiply. Spark broadcasts the lookup only when
+    its measured size allows; else a sort-merge join runs, whose hot keys are split at run time. That is
+    why it is a single join: two in a row on one key would rule the splitting out.
     """
-    out, number = silver, [blank_to_null("certificate_number")]
-    issue, end = [], []
+    key = "service_request_id"
+    number, issue, end = [blank_to_null("certificate_number")], [], []
     tin = name = F.lit(None).cast("string")
+    sides = []
     if participants is not None:
-        p = participants.select(
-            F.col("service_request_id"),
-            F.col("certificate_number").alias("p_number"),
-            F.col("certificate_issue_date").alias("p_issue"),
-            F.col("certificate_end_date").alias("p_end"),
-            F.col("company_tin").alias("p_tin"),
-            F.col("company_name").alias("p_name"),
+        sides.append(
+            participants.select(
+                key,
+                F.col("certificate_number").alias("p_number"),
+                F.col("certificate_issue_date").alias("p_issue"),
+                F.col("certificate_end_date").alias("p_end"),
+                F.col("company_tin").alias("p_tin"),
+                F.col("company_name").alias("p_name"),
+            )
         )
-        out = out.join(p, "service_request_id", "left")
         number.append(F.col("p_number"))
         issue.append(F.col("p_issue"))
         end.append(F.col("p_end"))
         tin, name = F.col("p_tin"), F.col("p_name")
     if requests is not None:
-        c = latest_certificates(requests, service_id).withColumnRenamed("id", "service_request_id")
-        out = out.join(c, "service_request_id", "left")
+        sides.append(latest_certificates(requests, service_id).withColumnRenamed("id", key))
         number.append(F.nullif(F.col("cert_number"), F.lit(NO_CERTIFICATE)))
         issue.append(F.col("cert_issue_date"))
         end.append(F.col("cert_end_date"))
+    out = silver
+    if sides:
+        # The lookups meet first: the reports then take part in one join only.
+        lookup = reduce(lambda left, right: left.join(right, key, "full"), sides)
+        out = silver.join(lookup, key, "left")
     none = F.lit(None).cast("date")
     return out.select(
         *silver.columns,
@@ -442,7 +450,8 @@ def certificate_sources(silver: DataFrame, participants: DataFrame, requests: Da
     """How many signed reports take their certificate from which level."""
     p = participants.select("service_request_id", F.col("certificate_number").alias("p_number"))
     c = latest_certificates(requests, service_id).select(F.col("id").alias("service_request_id"), "cert_number")
-    rows = signed(silver).join(p, "service_request_id", "left").join(c, "service_request_id", "left")
+    lookup = p.join(c, "service_request_id", "full")
+    rows = signed(silver).join(lookup, "service_request_id", "left")
     source = certificate_source("certificate_number", "p_number", "cert_number")
     return rows.groupBy(source.alias("source")).agg(F.count(F.lit(1)).alias("cnt"))
 

@@ -66,7 +66,7 @@ def to_catalog(database: str, fmt: str = "parquet") -> Callable[[DataFrame, str]
         parts = ["year"] if "year" in df.columns else []
         rows = writers.with_load_time(df)
         if parts:
-            rows = writers.spread_partitions(rows, parts)
+            rows = writers.clustered(rows, parts)
         writers.create_or_replace(rows, table, fmt, partition_by=parts)
         return df.sparkSession.table(table).drop("etl_loaded_at")
 

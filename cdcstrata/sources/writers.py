@@ -85,31 +85,20 @@ def _overwrite_all(df: DataFrame, spark: SparkSession, name: str) -> None:
 
 
 def _by_position(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
-    """Columns in table order (``insertInto`` goes by position), clustered by the partition columns.
-
-    The exchange keeps one task from opening a file in every partition. It also hashes the whole row
-    into a few slices, so that one big year is still written by many tasks.
-    """
+    """Columns in table order, since ``insertInto`` goes by position, clustered by table partition."""
     columns = spark.catalog.listColumns(table)
     ordered = df.select(*[c.name for c in columns])
     parts = [c.name for c in columns if c.isPartition]
-    return spread_partitions(ordered, parts) if parts else ordered
+    return clustered(ordered, parts) if parts else ordered
 
 
-def spread_partitions(df: DataFrame, parts: Sequence[str], slices: int = 64) -> DataFrame:
-    """Cluster rows by table partition, each partition split in ``slices`` by row hash.
+def clustered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows of a table partition together, so that a task does not open a file in every partition.
 
-    AQE merges the small slices again, so a thin partition does not end up as 64 tiny files.
+    It is a rebalance: AQE cuts a large partition into tasks of the advisory size and merges small ones,
+    whatever the spread over the years.
     """
-    rest = [c for c in df.columns if c not in parts and _hashable(df, c)]
-    if not rest:
-        return df
-    slice_no = F.pmod(F.xxhash64(*rest[:8]), F.lit(slices))
-    return df.withColumn("__slice", slice_no).repartition(*parts, "__slice").drop("__slice")
-
-
-def _hashable(df: DataFrame, column: str) -> bool:
-    return "map" not in df.schema[column].dataType.simpleString()
+    return df.hint("rebalance", *parts)
 
 
 def overwrite_partitions(df: DataFrame, name: str, fmt: str = "parquet") -> None:
