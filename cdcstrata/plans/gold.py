@@ -321,12 +321,15 @@ def export_by_country(
 ) -> DataFrame:
     """Canonical: signed reports of the report table, countries from the newest snapshot with an array.
 
-    Arrays stay packed until both joins are done, so the joins move one row per report.
+    The ranking moves the arrays and not the payloads they are cut from. Arrays stay packed until both joins
+    are done, so the joins move one row per report.
     """
-    array = json_str("data", fl.EXPORT_CURRENT)
-    snapshots = payload_available(with_op(in_years(cdc, start_year), "r")).filter(is_json_array(array))
-    arrays = latest(snapshots, ["id"], ["updated_ts"], tombstones="keep").select(
-        F.col("id").alias("report_id"), array.alias("export_json")
+    snapshots = payload_available(with_op(in_years(cdc, start_year), "r"))
+    with_array = snapshots.select(
+        "id", "updated_ts", "updated_at", "op", json_str("data", fl.EXPORT_CURRENT).alias("export_json")
+    ).filter(is_json_array("export_json"))
+    arrays = latest(with_array, ["id"], ["updated_ts"], tombstones="keep").select(
+        F.col("id").alias("report_id"), "export_json"
     )
     rows = signed(silver).join(arrays, "report_id")
     resolved = _resolved(rows, participants, requests, cert_fallback, False, identity_fallback, service_id)
@@ -340,19 +343,28 @@ def export_by_country_natural_key(
 
     Identity is payload, signed XML, participants, in this order; the certificate likewise without XML.
     """
-    array = json_str("data", fl.EXPORT_CURRENT)
-    log = signed(not_deleted(in_years(cdc, start_year))).filter(is_json_array(array))
-    newest = latest(log, NATURAL_KEY, ["updated_at"], tombstones="before")
-    parsed = parse_payload(newest, ("company_tin", "company_name", "certificate_number", fl.EXPORT_CURRENT))
-    xml = json_str("signature", "signed_xml")
-    rows = parsed.select(
-        "service_request_id",
-        "year",
-        "report_type",
-        F.col("doc.certificate_number").alias("certificate_number"),
-        F.coalesce(blank_to_null("doc.company_tin"), xml_tag(xml, "company", "tin", "[0-9]+")).alias("company_tin"),
-        F.coalesce(blank_to_null("doc.company_name"), xml_tag(xml, "company", "name")).alias("company_name"),
+    log = signed(not_deleted(in_years(cdc, start_year)))
+    parsed = parse_payload(log, ("company_tin", "company_name", "certificate_number", fl.EXPORT_CURRENT))
+    with_array = parsed.select(
+        *NATURAL_KEY,
+        "updated_at",
+        "updated_ts",
+        "id",
+        "op",
+        "signature",
+        "doc.company_tin",
+        "doc.company_name",
+        "doc.certificate_number",
         F.col(f"doc.{fl.EXPORT_CURRENT}").alias("export_json"),
+    ).filter(is_json_array("export_json"))
+    newest = latest(with_array, NATURAL_KEY, ["updated_at"], tombstones="before")
+    xml = json_str("signature", "signed_xml")
+    rows = newest.select(
+        *NATURAL_KEY,
+        "certificate_number",
+        F.coalesce(blank_to_null("company_tin"), xml_tag(xml, "company", "tin", "[0-9]+")).alias("company_tin"),
+        F.coalesce(blank_to_null("company_name"), xml_tag(xml, "company", "name")).alias("company_name"),
+        "export_json",
     )
     resolved = _resolved(rows, participants, None, 0 if participants is None else 2, False, participants is not None, "")
     return _by_country(resolved, "export_json", _keep_resolved(), "export_amount")
