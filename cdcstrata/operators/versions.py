@@ -24,9 +24,10 @@ def _op_order() -> Column:
 
 def _newest_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> list[Column]:
     """The wanted order, then ties: the other change time, the entity id, the operation."""
-    ties = [c for c in ("updated_ts", "updated_at", "id") if c in df.columns and c not in (*order_by, *keys)]
+    columns = df.columns
+    ties = [c for c in ("updated_ts", "updated_at", "id") if c in columns and c not in (*order_by, *keys)]
     order = [F.col(c).desc_nulls_last() for c in (*order_by, *ties)]
-    return [*order, _op_order().desc()] if "op" in df.columns else order
+    return [*order, _op_order().desc()] if "op" in columns else order
 
 
 def latest(
@@ -78,8 +79,9 @@ def stitch_versions(
     """
     is_snapshot = F.col("op").isin(*snapshot_ops) & has_payload(payload)
     is_update = F.col("op").isin(*update_ops)
-    rest = [c for c in cdc.columns if c not in keys]
-    ties = [c for c in ("updated_at",) if c in cdc.columns and c not in order_by]
+    columns = cdc.columns
+    rest = [c for c in columns if c not in keys]
+    ties = [c for c in ("updated_at",) if c in columns and c not in order_by]
     age = F.struct(*[F.col(c) for c in (*order_by, *ties)])
 
     def newest(cond: Column, columns: list[str], name: str) -> Column:

@@ -134,9 +134,9 @@ def certificate_for(
 def _resolved(silver, participants, requests, cert_fallback, signed_only, identity_fallback, service_id) -> DataFrame:
     if cert_fallback not in (0, 2, 3):
         raise ValueError("cert_fallback must be 0, 2 or 3")
-    if set(RESOLVED) <= set(silver.columns):
-        return signed(silver) if signed_only else silver
     rows = signed(silver) if signed_only else silver
+    if set(RESOLVED) <= set(silver.columns):
+        return rows
     out = certificate_for(
         rows,
         participants if cert_fallback >= 2 else None,
