@@ -20,7 +20,7 @@ from cdcstrata.functions.payload import UNAVAILABLE_PAYLOAD
 from cdcstrata.plans.fields import EXPORT_CURRENT, EXPORT_PREVIOUS
 from cdcstrata.plans.registry import REGISTRIES
 from cdcstrata.session import tune
-from cdcstrata.sources.scratch import has_scratch, store
+from cdcstrata.sources.scratch import store
 
 EPOCH = "CAST(datediff(CAST(d AS DATE), DATE'1970-01-01') AS BIGINT) * 86400"
 LEAD_STATUS = "CASE WHEN s = 'F' THEN 142 WHEN s = 'P' THEN 143 WHEN k % 2 = 0 THEN 10 ELSE 20 END"
@@ -103,15 +103,6 @@ def item_rules(position: int, spec) -> dict[str, str]:
     return out
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a small input: one file of one row group is one split, and one split one task.
-
-    An input that has splits enough, as any large one, passes through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 class Tables:
     """The test tables of one folder and the logs derived from them, each defined on first use."""
 
@@ -123,7 +114,7 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def _base(self, name: str, columns: dict[str, str]) -> DataFrame:
-        return spread(self.table(name).selectExpr(*_select(columns)))
+        return self.table(name).selectExpr(*_select(columns))
 
     @cached_property
     def order_base(self) -> DataFrame:
@@ -134,18 +125,13 @@ class Tables:
         return self._base("customer", r.CUSTOMER_COLUMNS)
 
     def stored(self, name: str, log: DataFrame) -> DataFrame:
-        """The log from the shared folder, written there on first use or if the copy has gone.
-
-        On a cluster that names no shared folder, the log as it is derived.
-        """
+        """The log from the shared folder, written there on first use or if the copy has gone."""
         if name in self._stored:
             path, schema = self._stored[name]
             try:
                 return self.spark.read.schema(schema).parquet(path)
             except AnalysisException:
                 del self._stored[name]
-        if not has_scratch(self.spark):
-            return log
         self._stored[name] = (store(log, name), log.schema)
         return self.stored(name, log)
 
@@ -154,10 +140,8 @@ class Tables:
     @cached_property
     def export_arrays(self) -> DataFrame:
         """Per order key: JSON array of {country, current_sum}, one object per supplier nation."""
-        lines = spread(
-            self.table("lineitem").selectExpr(
-                "l_orderkey AS k", "l_suppkey AS s_suppkey", "CAST(floor(l_extendedprice) AS BIGINT) AS amount"
-            )
+        lines = self.table("lineitem").selectExpr(
+            "l_orderkey AS k", "l_suppkey AS s_suppkey", "CAST(floor(l_extendedprice) AS BIGINT) AS amount"
         )
         suppliers = self.table("supplier").selectExpr("s_suppkey", "s_nationkey AS n_nationkey")
         nations = self.table("nation").selectExpr("n_nationkey", f"{r.EXPORT_COUNTRY} AS country")
@@ -310,7 +294,7 @@ class Tables:
             "time": "date_format(ts, 'HH:mm:ss')",
         }
         person = "lpad(CAST(user_id AS STRING), 12, '0')"
-        return spread(self.table("events").select("ts", "user_id", "event_type")).selectExpr(
+        return self.table("events").select("ts", "user_id", "event_type").selectExpr(
             "CAST(ts AS DATE) AS visit_date", f"to_json(map({person}, array({_struct(event)}))) AS raw_json"
         )
 

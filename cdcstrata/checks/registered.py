@@ -15,7 +15,7 @@ from cdcstrata.functions.periods import previous_quarter
 from cdcstrata.operators import aggregates, predicates, quality, versions
 from cdcstrata.plans import bi, crm, fields, gold, refresh, registry, silver, summary, visits
 from cdcstrata.sources import writers
-from cdcstrata.sources.scratch import has_scratch, materialise, scratch_path
+from cdcstrata.sources.scratch import materialise, scratch_path
 from cdcstrata.streaming import changes
 
 Build = Callable[[Tables], DataFrame]
@@ -50,7 +50,7 @@ def _mart(name: str, level: int = 3) -> Build:
 def _resolved(t: Tables) -> DataFrame:
     """Signed reports with their certificates, written once for a query that reads several marts."""
     rows = gold.certificate_for(predicates.signed(_silver(t)), _participants(t), t.request_cdc)
-    return materialise(rows, "report_certificates") if has_scratch(t.spark) else rows
+    return materialise(rows, "report_certificates")
 
 
 def _marts(t: Tables, *names: str) -> list[DataFrame]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,26 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def has_scratch(spark: SparkSession) -> bool:
-    """Whether there is a shared folder, or can be one."""
-    return is_local(spark) or bool(spark.conf.get(_SETTING, None))
-
-
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Where the setting is missing, as in local tests, one is made and recorded in the session, so that
-    every later call agrees on it.
+    Where the setting is missing, as in tests, a folder inside the warehouse is taken, which the executors
+    share as well; it is recorded in the session, so that every later call agrees on it.
     """
     root = spark.conf.get(_SETTING, None)
     if not root:
-        if not is_local(spark):
-            raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="cdcstrata-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.conf.set(_SETTING, root)
     return root.rstrip("/")
 
@@ -50,3 +38,10 @@ def store(df: DataFrame, name: str, partition_by: list[str] | None = None) -> st
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write once, read back: cuts the lineage, survives executor loss, feeds several consumers."""
     return df.sparkSession.read.schema(df.schema).parquet(store(df, name, partition_by))
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
