@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcstrata.llm import secrets, shards, token_files
+from cdcstrata.llm import mixing, secrets, shards, syncmers, token_files
 from cdcstrata.llm.vocabularies import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_syncmers(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.compared(table(spark, folder, "documents"))
+
+
 def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.write_and_read(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
 
 
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(table(spark, folder, "documents"))
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(table(spark, folder, "documents"))
 
@@ -29,7 +37,7 @@ def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_token_files, op9_secrets, op10_shards)}
+    return {f.__name__: f for f in (op1_syncmers, op3_token_files, op7_mixing, op9_secrets, op10_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
