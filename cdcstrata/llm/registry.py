@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcstrata.llm import mixing, secrets, shards, syncmers, token_files
+from cdcstrata.llm import mixing, quality, secrets, shards, syncmers, token_files, toxicity
 from cdcstrata.llm.vocabularies import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,10 +24,18 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.write_and_read(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(table(spark, folder, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(table(spark, folder, "documents"))
 
@@ -37,7 +45,16 @@ def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_syncmers, op3_token_files, op7_mixing, op9_secrets, op10_shards)}
+    found = (
+        op1_syncmers,
+        op3_token_files,
+        op4_quality,
+        op7_mixing,
+        op8_toxicity,
+        op9_secrets,
+        op10_shards,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
