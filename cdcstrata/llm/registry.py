@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcstrata.llm import mixing, near_vectors, quality, secrets, shards, syncmers, token_files, toxicity
+from cdcstrata.llm import mixing, near_texts, near_vectors, quality, secrets, shards, syncmers, token_files, toxicity
 from cdcstrata.llm.vocabularies import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_texts.jaccard_join(table(spark, folder, "documents"))
+
+
 def op6_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, folder, "embeddings"))
 
@@ -53,6 +57,7 @@ def queries() -> dict[str, Query]:
         op1_syncmers,
         op3_token_files,
         op4_quality,
+        op5_jaccard_join,
         op6_near_vectors,
         op7_mixing,
         op8_toxicity,

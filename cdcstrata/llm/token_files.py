@@ -19,19 +19,20 @@ import binascii
 import os
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cdcstrata.sources.scratch import scratch_path
+from cdcstrata.sources.scratch import materialise, scratch_path
 
 SEGMENT_IDS = 1 << 20
-MEMO = 250_000  # distinct pieces of text whose ids a worker remembers
+MEMO = 600_000  # distinct pieces of text whose ids a worker remembers
 
 #: One row a segment. ``counts``: ids of each document in it; ``opens``/``closes``: whether its first document begins
 #: and its last one ends here.
@@ -57,7 +58,9 @@ _ARROW = pa.schema(
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 # A single space between two characters that are not white space: no token of a byte-level BPE crosses its left side.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_WIDE = re.compile(r"\s\s")
+# Texts in which white space meets white space are cut by the expression, others at every space.
+_WIDE = r"[\t-\r\x{1c}-\x{20}\x{85}\pZ]{2}"
+_PUNCTUATED = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]+)")
 
 
 # --- the code -------------------------------------------------------------------------------------
@@ -65,18 +68,19 @@ _WIDE = re.compile(r"\s\s")
 
 def pack(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """Ids to (rank table, control bytes, data bytes)."""
-    values, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    by_rank = np.lexsort((values, -counts))
-    rank = np.empty(len(values), np.uint32)
-    rank[by_rank] = np.arange(len(values), dtype=np.uint32)
-    codes = rank[inverse]
+    counts = np.bincount(ids)
+    values = np.flatnonzero(counts)
+    by_rank = values[np.lexsort((values, -counts[values]))]
+    rank = np.empty(len(counts), np.uint32)
+    rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
+    codes = rank[ids]
     lengths = 1 + (codes > 0xFF) + (codes > 0xFFFF) + (codes > 0xFFFFFF)
     padded = np.zeros(-(-len(codes) // 4) * 4, np.uint8)
     padded[: len(codes)] = lengths - 1
     control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8)
     cells = codes.astype("<u4").view(np.uint8).reshape(-1, 4)
     data = cells[np.arange(4) < lengths[:, None]]
-    return values[by_rank].astype("<u4").tobytes(), control.tobytes(), data.tobytes()
+    return by_rank.astype("<u4").tobytes(), control.tobytes(), data.tobytes()
 
 
 def unpack(ranked: bytes, control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -96,45 +100,115 @@ def unpack(ranked: bytes, control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 class Encoder:
-    """The tokenizer, with a bounded memory of pieces that it has seen."""
+    """The tokenizer, with a bounded memory of the pieces that it has seen.
+
+    A text is cut where no token can cross: before a single space with ink on both sides. A piece is known by what
+    follows its space, a piece without one (a text's first) by a tuple. New pieces go to the tokenizer many at a time, as
+    one text, whose ids are told apart by the bytes they stand for. A word with punctuation behind it is made of the ids
+    of the word and of the punctuation, between which the tokenizer itself always cuts.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes_of[i] = len(token)  # a byte-level vocabulary writes each byte as one character
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}  # a piece's place in starts
+        self.known: dict[str | tuple[str], int] = {}  # a piece's place in starts
         self.starts, self.flat = array("q", [0]), array("I")
 
-    def pieces(self, text: str) -> list[str]:
-        """The text cut where no token can cross: before a single space with ink on both sides."""
-        parts = _CUT.split(text) if _WIDE.search(text) or text[:1].isspace() else text.split(" ")
-        return [parts[0], *[f" {x}" for x in parts[1:]]]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.pieces(x) for x in texts]
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _add(self, piece: str | tuple[str], ids) -> None:
+        self.known[piece] = len(self.starts) - 1
+        self.flat.extend(ids)
+        self.starts.append(len(self.flat))
+
+    def _learn(self, new: list[str | tuple[str]]) -> None:
+        """Add pieces, none of them known."""
+        known, match = self.known, _PUNCTUATED.fullmatch
+        made, wanted = [], {}
+        for x in new:
+            if isinstance(x, str) and (m := match(x)):
+                word, rest = m[1], (m[2],)
+                made.append((x, word, rest))
+                if word not in known:
+                    wanted[word] = None
+                if rest not in known:
+                    wanted[rest] = None
+            else:
+                wanted[x] = None
+        special = re.compile("|".join(map(re.escape, self.special)) or "(?!)").search
+        plain = [x for x in wanted if isinstance(x, str) and x and not x[-1].isspace() and not special(x)]
+        for x in wanted.keys() - set(plain):
+            self._add(x, self._ids(x[0] if isinstance(x, tuple) else f" {x}"))
+        for at in range(0, len(plain), 512):
+            some = plain[at : at + 512]
+            run = np.array(self._ids(" " + " ".join(some)), np.uint32)
+            sizes = np.cumsum([len(x.encode()) + 1 for x in some])
+            ends = np.searchsorted(np.cumsum(self.bytes_of[run]), sizes) + 1
+            first, place = len(self.flat), len(self.starts) - 1
+            self.flat.frombytes(run.tobytes())
+            known |= zip(some, range(place, place + len(some)), strict=True)
+            self.starts.extend((ends + first).tolist())
+        # What is made of two known pieces, all at once.
+        starts, flat = np.array(self.starts, np.int64), np.array(self.flat, np.uint32)
+        parts = np.array([known[x] for _, word, rest in made for x in (word, rest)], np.int64)
+        lengths = starts[parts + 1] - starts[parts]
+        ends = np.cumsum(lengths)
+        picked = flat[np.repeat(starts[parts] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        first, place = len(self.flat), len(self.starts) - 1
+        self.flat.frombytes(picked.tobytes())
+        known |= zip((x for x, _, _ in made), range(place, place + len(made)))
+        self.starts.extend((ends[1::2] + first).tolist())
+
+    def _places(self, pieces: list[str | tuple[str]]) -> np.ndarray:
+        places = list(map(self.known.get, pieces))
+        if None in places:
+            self._learn(list(dict.fromkeys(x for x, p in zip(pieces, places, strict=True) if p is None)))
+            places = list(map(self.known.__getitem__, pieces))
+        return np.array(places, np.int64)
+
+    def _split(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All pieces in a row, and where each text's begin and end."""
+        lists = pc.split_pattern(texts, " ")
+        if pc.any(wide := pc.match_substring_regex(texts, _WIDE)).as_py():
+            found = lists.to_pylist()
+            for k in np.flatnonzero(wide.to_numpy(zero_copy_only=False)).tolist():
+                found[k] = _CUT.split(texts[k].as_py())
+            lists = pa.array(found, pa.list_(pa.string()))
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        return lists.flatten(), np.concatenate([[0], ends])
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
         if len(self.known) > MEMO:
             self.forget()
-        known = self.known
-        new = list({x for parts in cut for x in parts if x not in known})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[piece] = len(self.starts) - 1
-                self.flat.extend(found.ids)
-                self.starts.append(len(self.flat))
-        places = np.fromiter((known[x] for parts in cut for x in parts), np.int64, sum(map(len, cut)))
+        pieces, bounds = self._split(texts)
+        coded = pieces.dictionary_encode()
+        places = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        heads = [(x,) for x in pieces.take(pa.array(bounds[:-1])).to_pylist()]
+        places[bounds[:-1]] = self._places(heads)
         starts = np.array(self.starts, np.int64)
         first, lengths = starts[places], starts[places + 1] - starts[places]
         ends = np.cumsum(lengths)
         ids = np.array(self.flat, np.uint32)[np.repeat(first - ends + lengths, lengths) + np.arange(ends[-1])]
-        last = ends[np.cumsum([len(parts) for parts in cut]) - 1]
-        return np.split(ids, last[:-1])
+        return np.split(ids, ends[bounds[1:-1] - 1])
+
+
+_ENCODERS: dict[str, Encoder] = {}
 
 
 def _encoder(path: str) -> Encoder:
+    """The worker process's own encoder, which tasks after the first find warm."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
-    return Encoder(path)
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 class _Segments:
@@ -172,17 +246,14 @@ class _Segments:
         self.held += len(ids)
 
 
-def _batches(rows: Iterable[tuple], limit: int = 1 << 20) -> Iterator[list[tuple]]:
-    """Rows in lists of about ``limit`` characters."""
-    held, size = [], 0
-    for row in rows:
-        held.append(row)
-        size += len(row[1])
-        if size >= limit:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def _portions(texts: pa.Array, limit: int = 1 << 23) -> Iterator[tuple[int, int]]:
+    """Index ranges of about ``limit`` bytes of text."""
+    ends, first = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)), 0
+    while first < len(texts):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield first, last
+        first = last
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, text: str = "text") -> str:
@@ -192,9 +263,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, te
         encoder, segments = _encoder(tokenizer), _Segments(TaskContext.get().partitionId())
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            for some in _batches(rows):
-                for (doc_id, _), ids in zip(some, encoder.encode([x for _, x in some]), strict=True):
+            ids_of, texts = batch.column(0).to_pylist(), batch.column(1)
+            for a, b in _portions(texts):
+                for doc_id, ids in zip(ids_of[a:b], encoder.encode(texts.slice(a, b - a)), strict=True):
                     for row in segments.add(doc_id, np.concatenate([ids, end])):
                         yield pa.RecordBatch.from_pylist([row], _ARROW)
         if segments.ids:
@@ -311,7 +382,7 @@ def summary(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     first = F.broadcast(_starts(segments.select("part", "seq", "n_ids")))  # a row for each million ids
-    rows = segments.mapInArrow(run, schema).join(first, ["part", "seq"])
+    rows = materialise(segments.mapInArrow(run, schema), "token-rows").join(first, ["part", "seq"])
     rows = rows.withColumn("start", F.col("first_id") + F.col("inside"))
     whole = rows.filter("begins AND ends").select(
         "doc_id", "start", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32")
