@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcstrata.llm import mixing, near_texts, near_vectors, quality, secrets, shards, syncmers, token_files, toxicity
+from cdcstrata.llm import mixing, near_texts, near_vectors, pieces, quality, secrets, shards, syncmers, token_files, toxicity
 from cdcstrata.llm.vocabularies import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,10 @@ def op1_syncmers(spark: SparkSession, folder: str) -> DataFrame:
     return syncmers.compared(table(spark, folder, "documents"))
 
 
+def op2_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.write_and_read(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
 
@@ -55,6 +60,7 @@ def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     found = (
         op1_syncmers,
+        op2_pieces,
         op3_token_files,
         op4_quality,
         op5_jaccard_join,
@@ -64,8 +70,8 @@ def queries() -> dict[str, Query]:
         op9_secrets,
         op10_shards,
     )
-    return {f.__name__: f for f in found}
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

@@ -252,17 +252,36 @@ def _known_terms(docs: DataFrame, number: dict[str, int], modulus: int, remainde
     return materialise(rows, "toxic-terms")
 
 
-def score(
-    docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, text: str = "text", learn_from=None
-) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score``, ``predicted`` and ``evidence`` of every row.
+@dataclass
+class Judge:
+    """The fitted model, or the flat score where there is nothing to learn from; and the known terms of the documents."""
 
-    ``learn_from``: the documents that labels speak of, if not ``docs``.
-    """
-    sample = labelled_sample(
-        docs if learn_from is None else learn_from, labels, "toxic", modulus, remainder, PER_LABEL, MOST_CHARS, text
+    model: Model | None
+    flat: float
+    number: dict[str, int]
+    rows: DataFrame
+
+    def scorer(self):
+        """A function from terms and their counts to (score, evidence), which remembers what it has seen."""
+        model, flat = self.model, self.flat
+        seen: dict[tuple, tuple] = {}
+
+        def of(found: list[int], counts: list[int]) -> tuple[float, list[dict]]:
+            key = (*found, -1, *counts)
+            if key not in seen:
+                if len(seen) > 50_000:
+                    seen.clear()
+                s, near = model.score(dict(zip(found, counts, strict=True))) if model else (flat, [])
+                seen[key] = (s, [{"doc_id": model.ids[i], "cosine": c, "toxic": int(model.toxic[i])} for c, i in near])
+            return seen[key]
+
+        return of
+
+
+def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, text: str = "text") -> Judge:
+    sample = independent(
+        labelled_sample(docs, labels, "toxic", modulus, remainder, PER_LABEL, MOST_CHARS, text)
     )
-    sample = independent(sample)
     number = {t: k for k, t in enumerate(telling_terms(sample) if all(sample.texts) else [])}
     rows = _known_terms(docs, number, modulus, remainder, text)
     total = rows.count()
@@ -271,32 +290,28 @@ def score(
     for r in seen:
         frequency[r["term"]] = r["count"]
     idf = np.log((total + 1) / (frequency + 1)) + 1
-    model = build(sample, number, idf) if number else None
-    flat = sample.share
+    return Judge(build(sample, number, idf) if number else None, sample.share, number, rows)
+
+
+_EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
+
+
+def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, text: str = "text") -> DataFrame:
+    """``doc_id``, ``held_out``, ``score``, ``predicted`` and ``evidence`` of every row."""
+    judge = fit(docs, labels, modulus, remainder, text)
+    rows, judge.rows = judge.rows, None  # the function that goes to the tasks holds no table
 
     def run(batches):
-        remembered: dict[tuple, tuple] = {}
+        of = judge.scorer()
         for batch in batches:
-            scores, evidence = [], []
-            for t, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                key = (*t, -1, *n)
-                if key not in remembered:
-                    if len(remembered) > 50_000:
-                        remembered.clear()
-                    s, found = model.score(dict(zip(t, n, strict=True))) if model else (flat, [])
-                    near = [{"doc_id": model.ids[i], "cosine": c, "toxic": int(model.toxic[i])} for c, i in found]
-                    remembered[key] = (s, near)
-                s, near = remembered[key]
-                scores.append(s)
-                evidence.append(near)
-            kept = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
+            found = [of(t, n) for t, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array(scores, pa.float64()),
-                    pa.array([int(s >= THRESHOLD) for s in scores], pa.int32()),
-                    pa.array(evidence, kept),
+                    pa.array([s for s, _ in found], pa.float64()),
+                    pa.array([int(s >= THRESHOLD) for s, _ in found], pa.int32()),
+                    pa.array([near for _, near in found], _EVIDENCE),
                 ],
                 names=["doc_id", "held_out", "score", "predicted", "evidence"],
             )
@@ -306,3 +321,19 @@ def score(
         "doc_id bigint, held_out boolean, score double, predicted int, "
         "evidence array<struct<doc_id:bigint,cosine:double,toxic:int>>",
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, as they are, that are not predicted toxic; texts are judged where they lie."""
+    judge = fit(docs, labels, text=text)
+    judge.rows = None
+    at = docs.columns.index(text)
+
+    def run(batches):
+        of = judge.scorer()
+        for batch in batches:
+            found = [hits(judge.number, x) for x in batch.column(at).to_pylist()]
+            clean = [of(list(f), list(f.values()))[0] < THRESHOLD for f in found]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
