@@ -3,8 +3,8 @@
 Equal texts (null counts as empty) form a group, and a group stays whole. The items that are differenced are the
 groups of at least 1/8192 of all bytes, of which there are 8192 at most, and 8192 bins of the smaller groups, dealt by
 their hash. So at most 16,384 items are known in the driver, however many groups there are, while a shard's size
-can be off by no more than the last differences of items a ten-thousandth of the whole each; a group that is larger
-than a shard's share makes its shard as large as itself and the others equal.
+can be off by no more than the last differences of items a ten-thousandth of the whole each. A group that is larger
+than a shard's share has a shard alone, and the others come out equal.
 
 Nulls: a null text has no bytes; a null doc_id is numbered first. Repeated rows are rows of their own, in the same shard.
 An empty table gives an empty result.
@@ -24,6 +24,18 @@ BINS = 8192  # bins for small groups; also the least share of all bytes that mak
 CHUNKS = 1024  # a shard's rows are numbered in so many independent chunks
 
 
+def spread_out(sizes: dict[str, int], shards: int) -> dict[str, int]:
+    """Items to shards. An item that fills an even share by itself has a shard alone; the rest is differenced."""
+    found, left = {}, sum(sizes.values())
+    for name in sorted(sizes, key=lambda n: (-sizes[n], n))[: shards - 1]:
+        open_shards = shards - len(found)
+        if sizes[name] * open_shards < left:
+            break
+        left -= sizes[name]
+        found[name] = open_shards - 1
+    return found | karmarkar_karp({n: v for n, v in sizes.items() if n not in found}, shards - len(found))
+
+
 def karmarkar_karp(sizes: dict[str, int], shards: int) -> dict[str, int]:
     """Items to shards: the two partial partitions of largest spread are combined, oppositely ordered, until one is left.
 
@@ -86,7 +98,7 @@ def balance(rows: DataFrame, shards: int = 8) -> DataFrame:
     # At most BINS groups reach 1/BINS of the whole, and there are at most BINS bins: both results are bounded.
     own = {r["group"]: r["bytes"] for r in binned.filter(large).select("group", "bytes").collect()}
     bins = binned.filter(~large).groupBy("bin").agg(F.sum("bytes").alias("bytes")).collect()
-    shard_of = karmarkar_karp({**own, **{f"bin {r['bin']}": r["bytes"] for r in bins}}, shards)
+    shard_of = spread_out({**own, **{f"bin {r['bin']}": r["bytes"] for r in bins}}, shards)
     by_group = _small(spark, ((g, shard_of[g]) for g in own), "group string, own int")
     by_bin = _small(spark, ((r["bin"], shard_of[f"bin {r['bin']}"]) for r in bins), "bin int, shared int")
     return (
