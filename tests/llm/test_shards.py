@@ -49,7 +49,7 @@ def test_balance_and_groups(spark, make_docs, odd_texts):
 
 
 def test_a_third_in_one_group(spark, make_docs):
-    texts = ["copy " * 100] * 150 + [prose(k, 60) for k in range(400)]
+    texts = ["copy " * 100] * 150 + [prose(k, 60) for k in range(399)]  # 57 for each of the other seven
     rows = S.assign(make_docs(texts)).collect()
     sums = [0] * 8
     for r in rows:
