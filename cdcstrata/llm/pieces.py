@@ -18,6 +18,7 @@ giant text's matrices meet in one task: at most 65,536 of them (a value holds 2
 from __future__ import annotations
 
 import binascii
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +55,9 @@ class Pieces:
             if p.type == _BYTE:
                 self.byte_ids[int(p.piece[3:5], 16)] = i
         self.longest = max(map(len, self.id_of))
+        # Where no piece has a space behind another character, none reaches over the beginning of a word.
+        self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.id_of)
+        self._words: dict[str, list[str]] = {}
         self._stable: dict[str, bool] = {}
         self._fit: dict[tuple[str, str], bool] = {}
 
@@ -92,6 +96,14 @@ class Pieces:
             known = self._fit[a, b] = self.merged(a + b) == [a, b]
         return known
 
+    def word(self, text: str) -> list[str]:
+        """The pieces of a word with the spaces before it."""
+        if (known := self._words.get(text)) is None:
+            if len(self._words) > 300_000:
+                self._words.clear()
+            known = self._words[text] = self.merged(text)
+        return known
+
     def ids(self, piece: str) -> list[int]:
         found = self.id_of.get(piece)
         return [self.byte_ids[b] for b in piece.encode()] if found is None else [found]
@@ -114,31 +126,56 @@ def entries(pieces: Pieces, window: str, begin: int) -> list[int]:
     return found
 
 
-def paths(pieces: Pieces, window: str, begin: int, end: int, states: list[int]) -> dict[int, dict[int, int]]:
-    """Where pieces end, where they begin, and the set of entry states, as bits, from which a path leads there."""
-    ends: dict[int, dict[int, int]] = {}
+_WORD_START = re.compile(f"(?<!{SPACE}){SPACE}")
+LONG_WORD = 64
+
+Ends = dict[int, dict[int, int]]
+Words = dict[int, tuple[int, list[str]]]
+
+
+def paths(pieces: Pieces, window: str, begin: int, end: int, states: list[int]) -> tuple[Ends, Words]:
+    """Where pieces end, where they begin, and the set of entry states, as bits, from which a path leads there.
+
+    All paths pass the beginning of a word and go on alike, so a word is taken in one step, if it is not too long and
+    ends within the chunk; by its end, where it begins and its pieces are given as well. Else steps are single pieces.
+    """
+    ends: Ends = {}
+    words: Words = {}
     for k, state in enumerate(states):
         before, beyond = (0, 0) if state == _START else divmod(state, 64)
         ends.setdefault(begin + beyond, {})[begin - before] = 1 << k
-    for at in range(begin, end):
+    starts = [m.start() for m in _WORD_START.finditer(window, begin, end)] if pieces.by_word else []
+    next_word = dict(zip(starts, starts[1:], strict=False))
+    at = begin
+    while at < end:
         here = ends.get(at)
-        if not here:
-            continue
-        before = [(None if start == at else window[start:at], mask) for start, mask in here.items()]
-        for stop in range(at + 1, min(at + pieces.longest, len(window)) + 1):
-            piece = window[at:stop]
-            if not pieces.stable(piece):
-                continue
+        stop = next_word.get(at)
+        if here and stop is not None and stop - at <= LONG_WORD:
             mask = 0
-            for last, reached in before:
-                if last is None or pieces.fit(last, piece):
-                    mask |= reached
-            if mask:
-                ends.setdefault(stop, {})[at] = mask
-    return ends
-
-
-def exits(ends: dict[int, dict[int, int]], end: int) -> dict[int, int]:
+            for reached in here.values():
+                mask |= reached
+            found = pieces.word(window[at:stop])
+            words[stop] = (at, found)
+            ends[stop] = {stop - len(found[-1]): mask}
+            at = stop
+            continue
+        if here:
+            before = [(None if start == at else window[start:at], mask) for start, mask in here.items()]
+            for stop in range(at + 1, min(at + pieces.longest, len(window)) + 1):
+                piece = window[at:stop]
+                if not pieces.stable(piece):
+                    continue
+                mask = 0
+                for last, reached in before:
+                    if last is None or pieces.fit(last, piece):
+                        mask |= reached
+                if mask:
+                    ends.setdefault(stop, {})[at] = mask
+        at += 1
+    return ends, words
+
+
+def exits(ends: Ends, end: int) -> dict[int, int]:
     """States behind a chunk, with the entry states that lead to them."""
     return {
         (end - start) * 64 + stop - end: mask
@@ -152,7 +189,7 @@ def exits(ends: dict[int, dict[int, int]], end: int) -> dict[int, int]:
 def transfer(pieces: Pieces, window: str, begin: int, end: int) -> tuple[list[int], list[int], np.ndarray]:
     """Entry states, exit states and the matrix between them: 0 where a path leads, else minus infinity."""
     states = entries(pieces, window, begin)
-    out = exits(paths(pieces, window, begin, end, states), end)
+    out = exits(paths(pieces, window, begin, end, states)[0], end)
     matrix = np.full((len(states), len(out)), -np.inf)
     for j, mask in enumerate(out.values()):
         matrix[[k for k in range(len(states)) if mask >> k & 1], j] = 0
@@ -161,15 +198,20 @@ def transfer(pieces: Pieces, window: str, begin: int, end: int) -> tuple[list[in
 
 def trace(pieces: Pieces, window: str, begin: int, end: int, entry: int, exit_state: int) -> list[int]:
     """Ids of the pieces that begin in the chunk, on the one path between two states."""
-    ends = paths(pieces, window, begin, end, [entry])
+    ends, words = paths(pieces, window, begin, end, [entry])
     before, beyond = divmod(exit_state, 64)
     start, stop, found = end - before, end + beyond, []
     while start >= begin:
-        piece = window[start:stop]
-        found.append(piece)
-        if start == begin and entry == _START:
+        if stop in words:
+            start, whole = words[stop]
+            found += reversed(whole)
+            last = next(iter(ends[start]))
+        else:
+            piece = window[start:stop]
+            found.append(piece)
+            last = next(s for s in ends[start] if s == start or pieces.fit(window[s:start], piece))
+        if last == start:  # the beginning of the text
             break
-        last = next(s for s in ends[start] if pieces.fit(window[s:start], piece))
         start, stop = last, start
     return [i for piece in reversed(found) for i in pieces.ids(piece)]
 
