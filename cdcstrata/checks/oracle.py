@@ -560,8 +560,9 @@ def _quality() -> dict[str, str]:
         ),
         "dq_numeric_profile": _with(
             " UNION ALL ".join(
-                f"SELECT '{c}' AS \"column\", COUNT({c}) AS \"count\", AVG({c}) AS mean, CAST(MIN({c}) AS BIGINT) AS \"min\", "
-                f"CAST(MAX({c}) AS BIGINT) AS \"max\" FROM rep WHERE op <> 'd' AND status = 'signed' AND {YEARS}"
+                f"SELECT '{c}' AS \"column\", COUNT({c}) AS \"count\", AVG({c}) AS mean, round(STDDEV_SAMP({c}), 4) AS stddev, "
+                f"CAST(MIN({c}) AS BIGINT) AS \"min\", quantile_cont({c}, 0.25) AS p25, quantile_cont({c}, 0.5) AS p50, "
+                f"quantile_cont({c}, 0.75) AS p75, CAST(MAX({c}) AS BIGINT) AS \"max\" FROM rep WHERE op <> 'd' AND status = 'signed' AND {YEARS}"
                 for c in ("residents_count", "nonresidents_count", "income_total", "tax_incentives")
             ),
             "rep",

@@ -44,17 +44,20 @@ def _participants(t: Tables) -> DataFrame:
 
 
 def _mart(name: str, level: int = 3) -> Build:
-    return lambda t: gold.MARTS[name](_silver(t), _participants(t), t.request_cdc, level)
+    return lambda t: gold.MARTS[name](
+        _silver(t, columns=gold.NEEDED[name]), _participants(t), t.request_cdc, level
+    )
 
 
-def _resolved(t: Tables) -> DataFrame:
-    """Signed reports with their certificates, written once for a query that reads several marts."""
-    rows = gold.certificate_for(predicates.signed(_silver(t)), _participants(t), t.request_cdc)
-    return materialise(rows, "report_certificates")
+def _resolved(t: Tables, *marts: str) -> DataFrame:
+    """Signed reports with their certificates, as far as the named marts read them."""
+    reports = _silver(t, columns=gold.needed_by(*marts))
+    return gold.certificate_for(predicates.signed(reports), _participants(t), t.request_cdc)
 
 
 def _marts(t: Tables, *names: str) -> list[DataFrame]:
-    rows = _resolved(t)
+    """Marts of one plan; Spark reuses the exchange that the shared rows come out of."""
+    rows = _resolved(t, *names)
     return [gold.MARTS[name](rows) for name in names]
 
 
@@ -63,7 +66,7 @@ def _export_by_country(t: Tables, reports: DataFrame | None = None) -> DataFrame
     log = t.report_cdc(exports=True)
     if reports is not None:
         return gold.export_by_country(reports, log, start_year=START_YEAR)
-    return gold.export_by_country(_silver(t), log, _participants(t), t.request_cdc, start_year=START_YEAR)
+    return gold.export_by_country(_silver(t, columns=("certificate_number",)), log, _participants(t), t.request_cdc, start_year=START_YEAR)
 
 
 def _export_stitched(t: Tables) -> DataFrame:
@@ -195,7 +198,7 @@ def _quality() -> dict[str, Build]:
     indicators = _mart("general_indicators")
 
     def counts(t: Tables) -> DataFrame:
-        rows = _resolved(t)
+        rows = _resolved(t, *gold.MARTS)
         tables = {name: mart(rows) for name, mart in gold.MARTS.items()}
         return quality.table_counts({**tables, "export_by_country": _export_by_country(t, rows)})
 
@@ -210,7 +213,7 @@ def _quality() -> dict[str, Build]:
     def profile(t: Tables) -> DataFrame:
         mart = gold.report_mart(t.report_cdc(), start_year=START_YEAR)
         columns = ["residents_count", "nonresidents_count", "income_total", "tax_incentives"]
-        return aggregates.numeric_profile(mart, columns).select("column", "count", "mean", "min", "max")
+        return aggregates.numeric_profile(mart, columns).withColumn("stddev", F.round("stddev", 4))
 
     def reduction(t: Tables) -> DataFrame:
         before = t.report_cdc().filter(predicates.report_filter(start_year=START_YEAR))
@@ -226,18 +229,20 @@ def _quality() -> dict[str, Build]:
         "dq_blank_certificate_detail": lambda t: quality.blank_audit(
             indicators(t), "certificate_number", detail=True
         ),
-        "dq_certificate_sources": lambda t: gold.certificate_sources(_silver(t), _participants(t), t.request_cdc),
+        "dq_certificate_sources": lambda t: gold.certificate_sources(
+            _silver(t, columns=("certificate_number",), with_identity=False), _participants(t), t.request_cdc
+        ),
         "dq_field_coverage": lambda t: aggregates.field_coverage(indicators(t), ["tax_saved", "government_support"]),
         "dq_value_counts": value_counts,
         "dq_numeric_profile": profile,
-        "dq_rows_by_year": lambda t: aggregates.rows_by_year(_silver(t)),
+        "dq_rows_by_year": lambda t: aggregates.rows_by_year(_silver(t, columns=(), with_identity=False)),
         "dq_row_reduction": reduction,
     }
 
 
 def _bi() -> dict[str, Build]:
     def shares(t: Tables) -> DataFrame:
-        rows = _resolved(t)
+        rows = _resolved(t, "general_indicators")
         return bi.export_share(_export_by_country(t, rows), gold.general_indicators(rows))
 
     per_company = ("general_indicators", "tax_benefits", "employees")
@@ -248,7 +253,7 @@ def _bi() -> dict[str, Build]:
         "bi_top_countries": lambda t: bi.top_countries(_export_by_country(t)),
         "bi_countries_by_year": lambda t: bi.export_countries_by_year(_export_by_country(t)),
         "bi_top_funding": lambda t: bi.top_funding(_mart("financing")(t)),
-        "bi_top_identities": lambda t: bi.top_identities(_silver(t)),
+        "bi_top_identities": lambda t: bi.top_identities(_silver(t, columns=())),
     }
 
 
@@ -279,7 +284,7 @@ def _crm() -> dict[str, Build]:
 
     def linked(t: Tables) -> DataFrame:
         rows = companies(t).drop("created_at", "updated_at", "responsible_user_name")
-        return crm.link_by_bin(rows, _silver(t))
+        return crm.link_by_bin(rows, _silver(t, columns=("income_total",)))
 
     return {
         "crm_pipeline_statuses": statuses,

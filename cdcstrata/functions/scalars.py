@@ -88,11 +88,10 @@ def null_safe_sum(*cols: Column | str) -> Column:
 def percent(part: Column | str, whole: Column | str, digits: int = 2) -> Column:
     """``round(part * 100 / whole, digits)`` as an exact decimal, NULL where whole is 0.
 
-    Decimal division keeps the rounding identical on every platform.
+    Decimal division keeps the rounding identical on every platform. Both sides may have six decimal places.
     """
-    share = (_col(part).cast("decimal(25,0)") * F.lit(100)) / F.nullif(
-        _col(whole).cast("decimal(25,0)"), F.lit(0).cast("decimal(25,0)")
-    )
+    number = "decimal(25,6)"
+    share = (_col(part).cast(number) * F.lit(100)) / F.nullif(_col(whole).cast(number), F.lit(0).cast(number))
     return F.round(share, digits).cast("double")
 
 

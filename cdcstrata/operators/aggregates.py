@@ -40,24 +40,30 @@ def with_percent(grouped: DataFrame, count: str = "cnt", name: str = "percent",
     return grouped.withColumn(name, percent(F.col(count), total))
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
+def numeric_profile(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """One row per column: count, mean, stddev, min, quartiles, max.
 
-    Quartiles come from a mergeable sketch with relative rank error 1/accuracy. All columns are
-    profiled in the same pass.
+    Quartiles are exact and interpolated; exact ones keep a count per distinct value. With ``accuracy`` they come from
+    a mergeable sketch with relative rank error 1/accuracy, which any number of values fits. All columns are
+    profiled in the same pass. Minimum and maximum keep the columns' type where they share a whole-number one
+    and are doubles otherwise.
     """
-    quartiles = [0.25, 0.5, 0.75]
+    kinds = dict(df.select(*columns).dtypes)
+    whole = all(k in ("tinyint", "smallint", "int", "bigint") for k in kinds.values())
+    kind = "bigint" if whole else "double"
+    points = [0.25, 0.5, 0.75]
     stats = []
     for c in columns:
+        quartiles = F.percentile(c, points) if accuracy is None else F.percentile_approx(c, points, accuracy)
         stats.append(
             F.struct(
                 F.lit(c).alias("column"),
                 F.count(c).alias("count"),
                 F.avg(c).alias("mean"),
                 F.stddev(c).alias("stddev"),
-                F.min(c).cast("bigint").alias("min"),
-                F.percentile_approx(c, quartiles, accuracy).cast("array<bigint>").alias("quartiles"),
-                F.max(c).cast("bigint").alias("max"),
+                F.min(c).cast(kind).alias("min"),
+                quartiles.cast("array<double>").alias("quartiles"),
+                F.max(c).cast(kind).alias("max"),
             )
         )
     rows = df.agg(F.array(*stats).alias("stats")).select(F.inline("stats"))

@@ -70,32 +70,46 @@ def stitch_versions(
     snapshot_ops: Sequence[str] = ("r",),
     update_ops: Sequence[str] = ("u",),
     payload: str = "data",
+    snapshot_columns: Sequence[str] | None = None,
+    update_columns: Sequence[str] | None = None,
+    tombstones: str = "before",
 ) -> DataFrame:
     """One row per key with two structs: ``snapshot`` (newest with payload) and ``update`` (newest).
 
-    ``update`` is NULL where there was none; keys without a snapshot vanish. Both come out of one
-    scan and one exchange, and partial aggregation leaves one row per key and map task to ship. The
-    update side never needs the payload, so it is left out of that struct.
+    ``update`` is NULL where there was none; keys without a snapshot vanish. Name the columns that each side
+    needs: structs are not pruned, and what is left out is not shipped. By default the snapshot has all and the
+    update all but the payload. ``tombstones="after"`` drops keys whose newest version is a delete,
+    ``"before"`` passes over deletes.
+
+    Versions of one time are told apart by the other change time, the operation, the version label and a
+    hash of the whole row, so the outcome does not hang on the order of the input. Both structs come out of one
+    scan and one exchange, and partial aggregation leaves one row per key and map task to ship.
     """
+    if tombstones not in ("after", "before"):
+        raise ValueError(f"tombstones must be 'after' or 'before', not {tombstones!r}")
     is_snapshot = F.col("op").isin(*snapshot_ops) & has_payload(payload)
     is_update = F.col("op").isin(*update_ops)
     columns = cdc.columns
     rest = [c for c in columns if c not in keys]
-    ties = [c for c in ("updated_at",) if c in columns and c not in order_by]
-    age = F.struct(*[F.col(c) for c in (*order_by, *ties)])
+    ties = [F.col(c) for c in ("updated_at",) if c in columns and c not in order_by]
+    label = [F.col("version")] if "version" in columns else []
+    age = F.struct(*[F.col(c) for c in order_by], *ties, _op_order(), *label, F.xxhash64(*sorted(rest)))
 
-    def newest(cond: Column, columns: list[str], name: str) -> Column:
+    def newest(cond: Column, columns: Sequence[str], name: str) -> Column:
         return F.max_by(F.struct(*columns), F.when(cond, age)).alias(name)
 
-    return (
-        cdc.filter(is_snapshot | is_update)
-        .groupBy(*keys)
-        .agg(
-            newest(is_snapshot, rest, "snapshot"),
-            newest(is_update, [c for c in rest if c != payload], "update"),
-        )
-        .filter(F.col("snapshot").isNotNull())
-    )
+    sides = [
+        newest(is_snapshot, rest if snapshot_columns is None else snapshot_columns, "snapshot"),
+        newest(is_update, [c for c in rest if c != payload] if update_columns is None else update_columns, "update"),
+    ]
+    wanted = is_snapshot | is_update
+    if tombstones == "before":
+        out = cdc.filter(wanted).groupBy(*keys).agg(*sides)
+    else:
+        last = F.max_by(F.col("op"), age).alias("__last_op")
+        out = cdc.filter(wanted | (F.col("op") == DELETE)).groupBy(*keys).agg(*sides, last)
+        out = out.filter(F.col("__last_op") != DELETE).drop("__last_op")
+    return out.filter(F.col("snapshot").isNotNull())
 
 
 def drop_replays(cdc: DataFrame, keys: Sequence[str] = ("id", "updated_ts")) -> DataFrame:

@@ -59,6 +59,25 @@ INDICATORS = {
     "income_total": "income_total",
     "income_total_current_quarter": "income_total_current_quarter",
 }
+# Columns of the report table that a mart reads, beside envelope and identity.
+NEEDED = {
+    "general_indicators": ("certificate_number", *INDICATORS.values(), "investor_country_company"),
+    "financing": (
+        "certificate_number",
+        *FINANCING.values(),
+        "finance_source_investment",
+    ),
+    "tax_benefits": ("certificate_number", *TAX_BENEFITS.values()),
+    "employees": ("certificate_number", *fl.STAFF),
+    "exports": ("certificate_number", "income_international"),
+}
+
+
+def needed_by(*marts: str) -> tuple[str, ...]:
+    """What the named marts read together; pass it as ``columns`` to the report table."""
+    return tuple(dict.fromkeys(c for m in marts for c in NEEDED[m]))
+
+
 # What the certificate resolution adds to a report row.
 RESOLVED = ("resolved_certificate", "resolved_issue_date", "resolved_end_date", "fallback_tin", "fallback_name")
 
@@ -134,15 +153,17 @@ def certificate_for(
 def _resolved(silver, participants, requests, cert_fallback, signed_only, identity_fallback, service_id) -> DataFrame:
     if cert_fallback not in (0, 2, 3):
         raise ValueError("cert_fallback must be 0, 2 or 3")
-    rows = signed(silver) if signed_only else silver
+    out = signed(silver) if signed_only else silver
     if set(RESOLVED) <= set(silver.columns):
-        return rows
-    out = certificate_for(
-        rows,
-        participants if cert_fallback >= 2 else None,
-        requests if cert_fallback == 3 else None,
-        service_id,
-    )
+        if cert_fallback != 3:
+            raise ValueError("the rows come with their certificate; resolve them at the level that is wanted")
+    else:
+        out = certificate_for(
+            out,
+            participants if cert_fallback >= 2 else None,
+            requests if cert_fallback == 3 else None,
+            service_id,
+        )
     if identity_fallback:
         out = out.withColumns(
             {

@@ -89,6 +89,7 @@ def silver_reports(
     *,
     start_year: int | None = FIRST_YEAR,
     columns: Sequence[str] = fl.SILVER_REPORT,
+    with_identity: bool = True,
     xml_mode: str = "first",
     tombstones: str = "before",
     require_payload: bool = False,
@@ -99,57 +100,75 @@ def silver_reports(
 
     ``masked_first`` (canonical): payload of the newest snapshot, identity from the signature of the
     newest update, then payload, then the snapshot's signature. Envelope columns come from the update
-    where there is one; ``attributes="snapshot"`` takes them from the snapshot.
+    where there is one; ``attributes="snapshot"`` takes them from the snapshot. Snapshots without payload
+    are always passed over, so ``require_payload`` has nothing to add here and is refused.
 
     ``data_first``: newest version per natural key, identity from payload, then signed XML.
     ``signature_fields``: the same, with the signature's own ``tin`` and ``full_name`` as fallback.
     For these two, updates that carry no payload win as the newest version and blank the measures;
     ``require_payload=True`` passes over them.
+
+    Fields are cut from payload and signature before versions are ranked, and only those in ``columns``; without
+    ``with_identity`` company number and name are left out as well. So name what is needed: neither text is shuffled.
     """
     log = in_years(cdc, start_year)
     if identity == "masked_first":
-        return _stitched(log, columns, xml_mode, attributes, snapshot_ops)
+        if require_payload:
+            raise ValueError("masked_first takes snapshots with a payload in any case; require_payload does not apply")
+        return _stitched(log, columns, with_identity, xml_mode, attributes, snapshot_ops, tombstones)
+    fields = ("company_tin", "company_name", *columns) if with_identity else tuple(columns)
     newest = latest(
         log, NATURAL_KEY, ["updated_at"], tombstones=tombstones, require_payload=require_payload
     )
-    parsed = parse_payload(newest, ("company_tin", "company_name", *columns))
-    tin, name = _identity(identity, "doc", F.col("signature"), xml_mode)
-    return parsed.select(
-        F.col("id").alias("report_id"),
-        *fl.ENVELOPE,
-        tin.alias("company_tin"),
-        name.alias("company_name"),
-        *_columns("doc", columns),
-    )
+    parsed = parse_payload(newest, fields)
+    named = []
+    if with_identity:
+        tin, name = _identity(identity, "doc", F.col("signature"), xml_mode)
+        named = [tin.alias("company_tin"), name.alias("company_name")]
+    return parsed.select(F.col("id").alias("report_id"), *fl.ENVELOPE, *named, *_columns("doc", columns))
 
 
 def _stitched(
-    log: DataFrame, columns: Sequence[str], xml_mode: str, attributes: str, snapshot_ops: Sequence[str]
+    log: DataFrame,
+    columns: Sequence[str],
+    with_identity: bool,
+    xml_mode: str,
+    attributes: str,
+    snapshot_ops: Sequence[str],
+    tombstones: str,
 ) -> DataFrame:
     needed = ["id", *fl.ENVELOPE, "updated_ts", "data", "signature"]
-    stitched = stitch_versions(log.select(*needed), snapshot_ops=snapshot_ops)
-    parsed = parse_payload(
-        stitched.select("id", "snapshot", "update", F.col("snapshot.data").alias("data")),
-        ("company_tin", "company_name", *columns),
+    fields = ("company_tin", "company_name", *columns) if with_identity else tuple(columns)
+    cut = {f"f_{c}": fl.typed("doc", c) for c in columns}
+    if with_identity:
+        cut |= {"doc_tin": F.col("doc.company_tin"), "doc_name": F.col("doc.company_name")}
+        cut |= {f"signed_{tag}": _signed_tag(F.col("signature"), tag, xml_mode) for tag in ("tin", "name")}
+    parsed = parse_payload(log.select(*needed), fields) if fields else log.select(*needed)
+    rows = parsed.select(*needed, *[c.alias(name) for name, c in cut.items()])
+    # What is resolved from the row alone never depends on it: the hash that settles ties covers the row as it came.
+    from_update = [c for c in cut if c.startswith("signed_")]
+    stitched = stitch_versions(
+        rows,
+        snapshot_ops=snapshot_ops,
+        snapshot_columns=[*fl.ENVELOPE, *cut],
+        update_columns=list(dict.fromkeys([*(() if attributes == "snapshot" else fl.ENVELOPE), *from_update, "op"])),
+        tombstones=tombstones,
     )
 
     def envelope(name: str) -> Column:
         old = F.col(f"snapshot.{name}")
         return (old if attributes == "snapshot" else F.coalesce(F.col(f"update.{name}"), old)).alias(name)
 
-    def resolved(tag: str, from_payload: str) -> Column:
+    def resolved(tag: str) -> Column:
         return F.coalesce(
-            _signed_tag(F.col("update.signature"), tag, xml_mode),
-            blank_to_null(from_payload),
-            _signed_tag(F.col("snapshot.signature"), tag, xml_mode),
-        )
+            F.col(f"update.signed_{tag}"), blank_to_null(f"snapshot.doc_{tag}"), F.col(f"snapshot.signed_{tag}")
+        ).alias(f"company_{tag}")
 
-    return parsed.select(
+    return stitched.select(
         F.col("id").alias("report_id"),
         *[envelope(c) for c in fl.ENVELOPE],
-        resolved("tin", "doc.company_tin").alias("company_tin"),
-        resolved("name", "doc.company_name").alias("company_name"),
-        *_columns("doc", columns),
+        *([resolved("tin"), resolved("name")] if with_identity else []),
+        *[F.col(f"snapshot.f_{c}").alias(c) for c in columns],
     )
 
 
