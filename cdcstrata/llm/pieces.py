@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,7 +58,7 @@ class Pieces:
         self.longest = max(map(len, self.id_of))
         # Where no piece has a space behind another character, none reaches over the beginning of a word.
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.id_of)
-        self._words: dict[str, list[str]] = {}
+        self._words: dict[str, bytes] = {}
         self._stable: dict[str, bool] = {}
         self._fit: dict[tuple[str, str], bool] = {}
 
@@ -91,18 +92,24 @@ class Pieces:
     def fit(self, a: str, b: str) -> bool:
         """Whether two pieces stay as they are next to each other."""
         if (known := self._fit.get((a, b))) is None:
-            if len(self._fit) > 1_000_000:
+            if len(self._fit) > 100_000:
                 self._fit.clear()
             known = self._fit[a, b] = self.merged(a + b) == [a, b]
         return known
 
     def word(self, text: str) -> list[str]:
-        """The pieces of a word with the spaces before it."""
+        """The pieces of a word with the spaces before it; their lengths are remembered."""
         if (known := self._words.get(text)) is None:
-            if len(self._words) > 300_000:
+            if len(self._words) > 100_000:
                 self._words.clear()
-            known = self._words[text] = self.merged(text)
-        return known
+            found = self.merged(text)
+            self._words[text] = bytes(map(len, found))
+            return found
+        found, at = [], 0
+        for n in known:
+            found.append(text[at : at + n])
+            at += n
+        return found
 
     def ids(self, piece: str) -> list[int]:
         found = self.id_of.get(piece)
@@ -287,15 +294,14 @@ def _library(path: str) -> sentencepiece.SentencePieceProcessor:
     return _LOADED[key]
 
 
-def _portions(texts: list[str], limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
-    first, size = 0, 0
-    for k, x in enumerate(texts):
-        size += len(x)
-        if size >= limit:
-            yield first, k + 1
-            first, size = k + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+def _portions(texts: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Index ranges of about ``limit`` bytes, so that few texts and ids are Python objects at a time."""
+    ends, first = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)), 0
+    while first < len(texts):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield first, last
+        first = last
 
 
 def _giant_ids(giants: DataFrame, path: str, chunk: int) -> DataFrame:
@@ -371,9 +377,8 @@ def _checked(path: str, encoded: bool):
     def run(batches):
         library = _library(path)
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            for a, b in _portions(texts):
-                some = texts[a:b]
+            for a, b in _portions(batch.column(1)):
+                some = batch.column(1).slice(a, b - a).to_pylist()
                 ids = batch.column(2).slice(a, b - a).to_pylist() if encoded else library.encode(some, num_threads=1)
                 back = library.decode(ids)
                 flat = [np.array(x, "<i4") for x in ids]

@@ -8,13 +8,14 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from cdcstrata.llm import mixing, near_texts, near_vectors, pieces, quality, secrets, shards, syncmers, token_files, toxicity
+from cdcstrata.llm.batches import bound_batches
 from cdcstrata.llm.vocabularies import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return bound_batches(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def op1_syncmers(spark: SparkSession, folder: str) -> DataFrame:

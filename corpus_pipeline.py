@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcstrata.llm import mixing, near_texts, pieces, secrets, toxicity
+from cdcstrata.llm.batches import bound_batches
 from cdcstrata.llm.vocabularies import vocabulary
 from cdcstrata.sources.scratch import materialise
 
@@ -19,7 +20,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic, by the labels of the folder."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = bound_batches(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.without_toxic(docs.select(*COLUMNS), labels)
 
 
@@ -28,6 +29,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     The texts meet the ids once, dealt by id, and rows that repeat an id fall together in the same place.
     """
+    bound_batches(spark)
     groups = near_texts.jaccard_join(docs.select("doc_id", "text"))
     first = groups.filter("doc_id = class_id").select("doc_id").distinct()
     named = docs.select(*COLUMNS).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -36,6 +38,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, each secret in it replaced by a note of its kind."""
+    bound_batches(spark)
     clean = secrets.scan(docs, carry=("doc_id", "lang", "source"))
     clean = clean.withColumnRenamed("clean", "text").withColumn("n_chars", F.char_length("text").cast("bigint"))
     return clean.select(*COLUMNS)
@@ -50,6 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every drawn text, with the check that they decode to it."""
+    bound_batches(spark)
     return pieces.encode(docs, vocabulary("piece_bpe_32k.model"))
 
 
