@@ -1,13 +1,14 @@
 """N-gram Jaccard join by chosen paths: similar sets meet by choosing the same tokens, level after level.
 
 Every text is its set of word shingles; equal sets are one class, compared once. On each level of a run a set chooses
-those of its shingles whose hash falls below ``BRANCHES`` / (``LEAST`` * set size), so that two sets of at least that
-similarity choose ``BRANCHES`` common ones on average, and a bucket is the path of choices made so far. A bucket of up
-to ``SMALL`` sets is compared by brute force. A larger one is first compared with a few pivots: what is near a pivot is
-tied to it, and what is as near as a link needs no other way, since whatever links with it is tied to the pivot, too. The
-rest goes on to the next level, by the tokens chosen there. What is still in a large bucket after the last level is
-brute-forced in pairs of blocks. A level misses a link with probability exp(-BRANCHES) and runs repeat, with other
-hashes, until the target recall is met: two of them for 0.999.
+``BRANCHES`` of its shingles, each the one of least hash under a hash function of its own, so that two sets choose the same
+one with the probability of their Jaccard index. A bucket is the path of choices made so far, and as sets that share
+little part at every level, common passages do not hold a bucket together. A bucket of up to ``SMALL`` sets is
+compared by brute force. A larger one is first compared with a few pivots: a set that is very near a pivot is tied to it
+and stops there, since whatever it links with is near the pivot, too, and tied to it as well. The rest goes on to the
+next level. What is still in a large bucket after the last level is brute-forced in pairs of blocks. A level misses
+a link of the least similarity with probability (1 - LEAST) ** BRANCHES and runs repeat, with other hashes, until
+the target recall is met: two of them for 0.999.
 
 All this compares sketches (64 one-permutation minima, 128 bytes) and finds which sets may be linked at all. The sets of
 each such candidate group are then compared exactly, all with all, in pairs of bounded blocks, which give counts and a
@@ -30,22 +31,23 @@ from pyspark.sql import functions as F
 
 from cdcstrata.llm.components import connected_components
 from cdcstrata.llm.shingles import mixed, portions, shingle_sets
-from cdcstrata.sources.scratch import materialise
+from cdcstrata.sources.scratch import materialise, release, store
 
 LEAST = 0.8
 TARGET = 0.999
-BRANCHES, LEVELS = 6, 3
+BRANCHES, LEVELS = 3, 3
 SMALL, PIVOTS = 64, 4
 BINS = 64
-MAYBE, TIED = 0.6, 0.4  # estimates that make a candidate in a small bucket, and that tie a set to a pivot
-BLOCK, BLOCK_SHINGLES = 256, 2_000_000
+MAYBE = 0.6  # the least estimate that makes two sets candidates
+STOPS = 0.85  # an estimate at which a set stops at its pivot
+BLOCK, BLOCK_SHINGLES, SKETCH_BLOCK = 256, 2_000_000, 1024
 
 _LINKED = "set_key string, links bigint, a bigint, b bigint"
 
 
 def runs(target: float = TARGET) -> int:
     """How many runs miss a link with probability 1 - target at most."""
-    return max(1, math.ceil(math.log(1 - target) / math.log(LEVELS * math.exp(-BRANCHES))))
+    return max(1, math.ceil(math.log(1 - target) / math.log(LEVELS * (1 - LEAST) ** BRANCHES)))
 
 
 # --- features -------------------------------------------------------------------------------------
@@ -61,13 +63,16 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def chosen(shingles: np.ndarray, run: int, level: int) -> np.ndarray:
-    """The shingles that a set takes as branches."""
-    share = BRANCHES / (LEAST * len(shingles))
-    if share >= 1:
-        return shingles
-    own = mixed(shingles, salt=1 + run * LEVELS + level)
-    return shingles[own < np.uint64(int(share * 2.0**64))]
+def choices(sets: list[np.ndarray], n_runs: int) -> np.ndarray:
+    """The shingles that each set takes as branches: a row a set, a column a run, level and branch."""
+    out = np.zeros((len(sets), n_runs * LEVELS * BRANCHES), np.uint64)
+    filled = [k for k, s in enumerate(sets) if len(s)]
+    if filled:
+        flat = np.concatenate([sets[k] for k in filled])
+        starts = np.cumsum([0, *(len(sets[k]) for k in filled[:-1])])
+        for way in range(out.shape[1]):
+            out[filled, way] = np.minimum.reduceat(mixed(flat, salt=1 + way), starts)
+    return out
 
 
 def key_of(shingles: np.ndarray) -> str | None:
@@ -75,21 +80,21 @@ def key_of(shingles: np.ndarray) -> str | None:
 
 
 def _features(docs: DataFrame, n_runs: int, text: str) -> DataFrame:
-    """``doc_id``, ``set_key`` (null without words), ``n``, ``sketch``, ``choices``: by run and level."""
-    ways = [(r, level) for r in range(n_runs) for level in range(LEVELS)]
+    """``doc_id``, ``set_key`` (null without words), ``n``, ``sketch``, ``choices``: by run, level and branch."""
 
     def run(batches):
         for batch in batches:
             for a, b in portions(batch.column(1)):
                 sets = shingle_sets(batch.column(1).slice(a, b - a))
-                choices = [[chosen(s, *way).view(np.int64) for way in ways] if len(s) else [] for s in sets]
+                taken = choices(sets, n_runs).view(np.int64)
+                offsets = np.arange(len(sets) + 1, dtype=np.int32) * taken.shape[1]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a),
                         pa.array([key_of(s) for s in sets], pa.string()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary()),
-                        pa.array(choices, pa.list_(pa.list_(pa.int64()))),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(taken.ravel())),
                     ],
                     names=["doc_id", "set_key", "n", "sketch", "choices"],
                 )
@@ -98,7 +103,7 @@ def _features(docs: DataFrame, n_runs: int, text: str) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
     return rows.mapInArrow(
-        run, "doc_id bigint, set_key string, n bigint, sketch binary, choices array<array<bigint>>"
+        run, "doc_id bigint, set_key string, n bigint, sketch binary, choices array<bigint>"
     )
 
 
@@ -211,7 +216,7 @@ def _tied(large: DataFrame) -> DataFrame:
             ids = np.array([i for some in pivots for i in some], np.int64)
             best = np.zeros(len(batch))
             np.maximum.at(best, row, likeness)
-            tied = likeness >= TIED
+            tied = likeness >= MAYBE
             ends = np.cumsum(np.bincount(row[tied], minlength=len(batch)))[:-1]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -219,7 +224,7 @@ def _tied(large: DataFrame) -> DataFrame:
                     batch.column("bucket"),
                     batch.column("class_id"),
                     pa.array([x.tolist() for x in np.split(ids[tied], ends)], pa.list_(pa.int64())),
-                    pa.array(best < LEAST),
+                    pa.array(best < STOPS),
                 ],
                 names=["run", "bucket", "class_id", "pivots", "stays"],
             )
@@ -239,7 +244,7 @@ def _block_pairs(rows: DataFrame, keys: list[str], blocks: str) -> DataFrame:
 
 def _in_blocks(left: DataFrame) -> DataFrame:
     """Candidate links within the buckets that no level has split, by pairs of blocks."""
-    counts = left.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    counts = left.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / SKETCH_BLOCK).cast("int").alias("blocks"))
     dealt = _block_pairs(left.join(counts, "bucket").select("bucket", "class_id", "sketch", "blocks"), ["bucket"], "blocks")
 
     def run(batches):
@@ -261,32 +266,43 @@ def _in_blocks(left: DataFrame) -> DataFrame:
 
 def _candidates(classes: DataFrame, n_runs: int) -> DataFrame:
     """Links between classes that the exact comparison looks into."""
-    ways = F.sequence(F.lit(0), F.lit(n_runs - 1))
-    level_of = lambda level: F.get("choices", F.col("run") * LEVELS + level)
-    each = classes.select("class_id", "sketch", "choices", F.explode(ways).alias("run"))
-    rows = each.select("run", "class_id", F.explode(level_of(0)).alias("token"))
-    rows = rows.select("run", "class_id", F.xxhash64("run", "token").alias("bucket"))
+    spark = classes.sparkSession
+    paths: list[str] = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        paths.append(store(df, name))
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    def branched(rows: DataFrame, level: int) -> DataFrame:
+        """Rows with ``bucket`` and ``choices`` once for every branch that the set takes on the level."""
+        first = (F.col("run") * LEVELS + level) * BRANCHES
+        branches = F.posexplode(F.slice("choices", first + 1, BRANCHES)).alias("branch", "token")
+        split = rows.select("run", "class_id", "bucket", branches)
+        return split.select("run", "class_id", F.xxhash64("bucket", "branch", "token").alias("bucket"))
+
+    each = classes.select("class_id", "choices", F.explode(F.sequence(F.lit(0), F.lit(n_runs - 1))).alias("run"))
+    rows = branched(each.withColumn("bucket", F.col("run").cast("bigint")), 0)
     sketches = classes.select("class_id", "sketch")
     small, found = [], []
     for level in range(LEVELS):
-        rows = materialise(rows, "paths")
+        rows = kept(rows, "paths")
         counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-        shared = materialise(rows.join(counts, "bucket").join(sketches, "class_id"), "shared-paths")
+        shared = kept(rows.join(counts, "bucket").join(sketches, "class_id"), "shared-paths")
         small.append(shared.filter(F.col("members") <= SMALL).select("bucket", "class_id", "sketch"))
-        large = shared.filter(F.col("members") > SMALL)
-        tied = materialise(_tied(large), "tied-paths")
+        tied = kept(_tied(shared.filter(F.col("members") > SMALL)), "tied-paths")
         found.append(tied.select(F.col("class_id").alias("a"), F.explode("pivots").alias("b")))
         staying = tied.filter("stays").select("run", "bucket", "class_id")
         if level + 1 < LEVELS:
-            onward = staying.join(classes.select("class_id", "choices"), "class_id")
-            onward = onward.select("run", "bucket", "class_id", F.explode(level_of(level + 1)).alias("token"))
-            rows = onward.select("run", "class_id", F.xxhash64("bucket", "token").alias("bucket"))
+            rows = branched(staying.join(classes.select("class_id", "choices"), "class_id"), level + 1)
     found += [_small_buckets(s) for s in small]
     found.append(_in_blocks(staying.join(sketches, "class_id")))
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
-    return materialise(links.filter("a <> b").distinct(), "candidates")
+    ends = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = materialise(ends.filter("a < b").distinct(), "candidates")
+    release(spark, *paths)
+    return links
 
 
 # --- exact links ----------------------------------------------------------------------------------

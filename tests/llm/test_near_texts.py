@@ -97,6 +97,18 @@ def test_sketches_estimate():
     assert N.runs(0.999) == 2
 
 
+def test_choices_agree_as_often_as_sets():
+    r = np.random.default_rng(7)
+    pairs = []
+    for _ in range(400):
+        a = np.unique(r.integers(0, 2**63, 90).astype(np.uint64))
+        b = np.unique(np.concatenate([a[:80], r.integers(0, 2**63, 10).astype(np.uint64)]))
+        pairs += [a, b]
+    taken = N.choices([*pairs, np.empty(0, np.uint64)], 2)
+    assert taken.shape == (801, 2 * N.LEVELS * N.BRANCHES)
+    assert abs((taken[0:800:2] == taken[1:800:2]).mean() - 0.8) < 0.02
+
+
 def test_shingles():
     sets = shingle_sets(pa.array(["a b c d e f", " A  b c d e\tF ", "a b", None, "", "b a"]))
     assert (sets[0] == sets[1]).all() and len(sets[0]) == 2
