@@ -95,20 +95,23 @@ def stitch_versions(
     label = [F.col("version")] if "version" in columns else []
     age = F.struct(*[F.col(c) for c in order_by], *ties, _op_order(), *label, F.xxhash64(*sorted(rest)))
 
-    def newest(cond: Column, columns: Sequence[str], name: str) -> Column:
-        return F.max_by(F.struct(*columns), F.when(cond, age)).alias(name)
-
-    sides = [
-        newest(is_snapshot, rest if snapshot_columns is None else snapshot_columns, "snapshot"),
-        newest(is_update, [c for c in rest if c != payload] if update_columns is None else update_columns, "update"),
-    ]
-    wanted = is_snapshot | is_update
+    snapshot = list(rest if snapshot_columns is None else snapshot_columns)
+    update = list([c for c in rest if c != payload] if update_columns is None else update_columns)
+    # What is compared is made ahead of the aggregate, which sorts its rows: so they come without the texts.
+    shipped = list(dict.fromkeys([*keys, *snapshot, *update]))
+    flags = [is_snapshot.alias("__snapshot"), is_update.alias("__update"), (F.col("op") == DELETE).alias("__delete")]
+    made = cdc.select(*shipped, *flags, age.alias("__age"))
+
+    def newest(flag: str, columns: list[str], name: str) -> Column:
+        return F.max_by(F.struct(*columns), F.when(F.col(flag), F.col("__age"))).alias(name)
+
+    sides = [newest("__snapshot", snapshot, "snapshot"), newest("__update", update, "update")]
     if tombstones == "before":
-        out = cdc.filter(wanted).groupBy(*keys).agg(*sides)
+        out = made.filter("__snapshot OR __update").groupBy(*keys).agg(*sides)
     else:
-        last = F.max_by(F.col("op"), age).alias("__last_op")
-        out = cdc.filter(wanted | (F.col("op") == DELETE)).groupBy(*keys).agg(*sides, last)
-        out = out.filter(F.col("__last_op") != DELETE).drop("__last_op")
+        last = F.max_by(F.col("__delete"), F.col("__age")).alias("__deleted")
+        out = made.filter("__snapshot OR __update OR __delete").groupBy(*keys).agg(*sides, last)
+        out = out.filter(~F.col("__deleted")).drop("__deleted")
     return out.filter(F.col("snapshot").isNotNull())
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cdcstrata.operators.predicates import FIRST_YEAR, changed_since, signed
 from cdcstrata.plans import gold, silver
@@ -82,16 +83,19 @@ def refresh(
     *,
     years: Sequence[int] | None = None,
     since: str | None = None,
-    keys: Sequence[str] = ("service_request_id", "report_type", "year"),
+    keys: Mapping[str, str] | Sequence[str] = ("service_request_id", "report_type", "year"),
+    entity: str = "id",
     changed_by: str = "updated_at",
     fmt: str = "parquet",
 ) -> None:
-    """Refresh one table that ``build`` makes from a change log.
-
-    ``full`` replaces the table. ``years`` replaces the partitions of those years. ``incremental`` takes
-    changes from ``since`` on, rebuilds just the keys they touch, and merges them in. Rebuilding reads all
-    versions of a touched key (a semi join), so late and out-of-order versions resolve as in a full run.
-    Keys whose newest version is a delete are taken out.
+    """Refresh one table, partitioned by year, that ``build`` makes from a change log.
+
+    ``full`` replaces the table. ``years`` replaces the partitions of those years. ``incremental`` takes the entities
+    that changed from ``since`` on and rebuilds every key that any of their versions ever had; ``keys`` names what
+    the table has one row of, as log column -> table column where they differ (``{"id": "report_id"}`` for the canonical
+    table). Rebuilding reads all versions of those keys, so late and out-of-order versions resolve as in a full
+    run. The keys' old rows are taken out wherever they were, so a row whose year or key moved leaves nothing behind, and
+    a key whose newest version is a delete is gone. NULL is a key like any other.
     """
     if mode == "full":
         writers.create_or_replace(build(log), table, fmt, partition_by=["year"])
@@ -100,26 +104,26 @@ def refresh(
     elif mode == "incremental":
         if since is None:
             raise ValueError("incremental refresh needs the moment to start from")
-        touched = changed_since(log, since, changed_by).select(*keys).distinct()
-        years_hit = touched.select("year").distinct()
-        rebuilt = build(log.join(touched, list(keys), "left_semi"))
-        target = spark.table(table)
-        untouched = target.join(years_hit, ["year"], "left_semi").join(touched, list(keys), "left_anti")
-        staged = materialise(untouched.unionByName(rebuilt.select(*target.columns)), "refresh")
-        writers.overwrite_partitions(staged, table, fmt)
-        _drop_empty_years(spark, table, years_hit, staged, fmt)
+        named = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
+        changed = changed_since(log, since, changed_by).select(entity).distinct()
+        touched = _matching(log, changed, {entity: entity}).select(*named).distinct()
+        with writers.staged(touched, "touched") as touched:
+            rebuilt = build(_matching(log, touched, {k: k for k in named}))
+            target = spark.table(table)
+            by_table = {t: k for k, t in named.items()}
+            with writers.staged(rebuilt.select(*target.columns), "rebuilt") as rebuilt:
+                old = _matching(target, touched, by_table).select("year")
+                hit = old.unionByName(rebuilt.select("year")).distinct()
+                with writers.staged(hit, "years") as hit:
+                    near = _matching(target, hit, {"year": "year"})
+                    rest = _matching(near, touched, by_table, "left_anti")
+                    with writers.staged(rest.unionByName(rebuilt), "refresh") as rows:
+                        writers.swap_partitions(spark, table, rows, hit, fmt)
     else:
         raise ValueError(f"mode must be 'full', 'years' or 'incremental', not {mode!r}")
 
 
-def _drop_empty_years(spark: SparkSession, table: str, years_hit: DataFrame, staged: DataFrame, fmt: str) -> None:
-    """A year whose last row was deleted is not in the rewritten rows, so its partition must go by name.
-
-    The list that reaches the driver has one entry per calendar year.
-    """
-    left = staged.select("year").distinct()
-    for (year,) in years_hit.join(left, ["year"], "left_anti").collect():
-        if fmt in writers.FILE_FORMATS:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (year = {int(year)})")
-        else:
-            spark.sql(f"DELETE FROM {table} WHERE year = {int(year)}")
+def _matching(rows: DataFrame, keys: DataFrame, columns: Mapping[str, str], how: str = "left_semi") -> DataFrame:
+    """Rows whose columns are among the keys (row column -> key column), NULL equal to NULL."""
+    same = [F.col(f"r.{r}").eqNullSafe(F.col(f"k.{k}")) for r, k in columns.items()]
+    return rows.alias("r").join(keys.alias("k"), same, how)

@@ -1,4 +1,4 @@
-"""Sources: catalog tables, Parquet paths, JDBC, parameterised SQL, rows, synthetic change logs."""
+"""Sources: catalog tables, Parquet paths, JDBC, parameterised SQL and rows."""
 
 from __future__ import annotations
 
@@ -79,38 +79,3 @@ def describe(spark: SparkSession, table: str) -> DataFrame:
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     names = [(t.name, t.tableType, t.isTemporary) for t in spark.catalog.listTables(database)]
     return spark.createDataFrame(names, "name string, kind string, temporary boolean")
-
-
-# Fixed values of the synthetic log.
-_SYNTHETIC_TYPES = ("annual", "quarterly", "monthly")
-_SYNTHETIC_STATUSES = ("draft", "submitted", "approved", "rejected", "signed")
-
-
-def synthetic_cdc(spark: SparkSession, n: int, year: int = 2024) -> DataFrame:
-    """A report change log of n rows made by modulo rules from ``range(1, n + 1)``.
-
-    Every 20th row is a delete, every other 10th an update, the rest creations.
-    """
-    rows = spark.range(1, n + 1)
-    i = F.col("id")
-
-    def pick(values: tuple[str, ...]):
-        return F.element_at(F.array(*[F.lit(v) for v in values]), (i % len(values) + 1).cast("int"))
-
-    op = F.when(i % 20 == 0, "d").when(i % 10 == 0, "u").otherwise("c")
-    tin = F.lpad((i % 100000).cast("string"), 12, "0")
-    now = F.current_timestamp()
-    return rows.select(
-        "id",
-        (i % 3000 + 1).alias("service_request_id"),
-        F.lit(year).alias("year"),
-        pick(_SYNTHETIC_TYPES).alias("report_type"),
-        pick(_SYNTHETIC_STATUSES).alias("status"),
-        op.alias("op"),
-        (i % 5 + 1).cast("int").alias("version"),
-        now.alias("created_at"),
-        now.alias("updated_at"),
-        F.lit(None).cast("timestamp").alias("signed_at"),
-        (i % 100 + 1).cast("int").alias("author_id"),
-        F.to_json(F.struct(tin.alias("company_tin"))).alias("data"),
-    )

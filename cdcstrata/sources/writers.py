@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcstrata.sources.scratch import materialise
+from cdcstrata.sources.scratch import release, store
 
 FILE_FORMATS = ("parquet", "orc")
 
@@ -58,11 +59,22 @@ def append(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequenc
 
 
 def full_refresh(df: DataFrame, spec, spark: SparkSession | None = None) -> None:
-    """Rebuild a table from its definition: drop, create, fill. Rows are laid out as the definition says."""
+    """Rebuild a table from its definition, laid out as that says.
+
+    A new table is filled under another name and takes the place of the old one at the end. So a frame that fails,
+    or that reads the very table, leaves the old rows where they are.
+    """
     session = spark or df.sparkSession
+    fresh = f"{spec.name}__new"
+    session.sql(f"DROP TABLE IF EXISTS {fresh}")
+    session.sql(replace(spec, name=fresh).ddl())
+    try:
+        _overwrite_all(df, session, fresh)
+    except BaseException:
+        session.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
     session.sql(f"DROP TABLE IF EXISTS {spec.name}")
-    session.sql(spec.ddl())
-    _overwrite_all(df, session, spec.name)
+    session.sql(f"ALTER TABLE {fresh} RENAME TO {spec.name}")
 
 
 @contextmanager
@@ -112,6 +124,49 @@ def overwrite_partitions(df: DataFrame, name: str, fmt: str = "parquet") -> None
         rows.write.insertInto(name, overwrite=True)
 
 
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The frame stored in shared scratch, to be swapped in from there; the copy goes when the swap is done.
+
+    If the swap fails the copy stays, so that it can be run again.
+    """
+    path = store(df, name)
+    yield df.sparkSession.read.schema(df.schema).parquet(path)
+    release(df.sparkSession, path)
+
+
+def swap_partitions(
+    spark: SparkSession, name: str, rows: DataFrame, hit: DataFrame, fmt: str = "parquet"
+) -> None:
+    """Replace the partitions listed in ``hit`` by ``rows``; those that no row is left for go away.
+
+    ``hit`` has the table's partition columns; its distinct values, a few a partition column, reach the driver.
+    """
+    columns = hit.columns
+    overwrite_partitions(rows, name, fmt)
+    left = rows.select(*columns).distinct().withColumn("__left", F.lit(True))
+    same = [F.col(f"h.{c}").eqNullSafe(F.col(f"l.{c}")) for c in columns]
+    gone = hit.distinct().alias("h").join(left.alias("l"), same, "left_anti")
+    for row in gone.collect():
+        if fmt in FILE_FORMATS:
+            values = ", ".join(f"`{c}` = {_literal(row[c])}" for c in columns)
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({values})")
+        else:
+            values = " AND ".join(f"`{c}` <=> {_literal(row[c])}" for c in columns)
+            spark.sql(f"DELETE FROM {name} WHERE {values}")
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return text if isinstance(value, int) else f"'{text}'"
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def refresh_years(
     build: Callable[[DataFrame], DataFrame],
     source: DataFrame,
@@ -119,9 +174,19 @@ def refresh_years(
     years: Iterable[int] | None = None,
     fmt: str = "parquet",
 ) -> None:
-    """Backfill any number of years in one job: one shuffle over all of them, partitions swapped at the end."""
-    wanted = source if years is None else source.filter(F.col("year").isin(*years))
-    overwrite_partitions(build(wanted), name, fmt)
+    """Backfill any number of years in one job: one shuffle over all of them, partitions swapped at the end.
+
+    A year that is asked for and has no row any more is emptied. Without ``years`` the whole table is replaced.
+    """
+    spark = source.sparkSession
+    if years is None:
+        with staged(build(source), "years") as rows:
+            _overwrite_all(rows, spark, name) if fmt in FILE_FORMATS else rows.writeTo(name).overwrite(F.lit(True))
+        return
+    wanted = list(dict.fromkeys(years))
+    with staged(build(source.filter(F.col("year").isin(*wanted))), "years") as rows:
+        hit = spark.createDataFrame([(y,) for y in wanted], "year int")
+        swap_partitions(spark, name, rows.filter(F.col("year").isin(*wanted)), hit, fmt)
 
 
 def merged(
@@ -172,23 +237,32 @@ def upsert(
     if partition_by:
         touched = source.select(*partition_by).distinct()
         target = target.join(touched, list(partition_by), "left_semi")
-    staged = materialise(merged(target, source, keys, newer_by), "upsert")
-    if partition_by:
-        overwrite_partitions(staged, name, fmt)
-    else:
-        _overwrite_all(staged, spark, name)
+    with staged(merged(target, source, keys, newer_by), "upsert") as rows:
+        if partition_by:
+            overwrite_partitions(rows, name, fmt)
+        else:
+            _overwrite_all(rows, spark, name)
 
 
 def delete_where(spark: SparkSession, name: str, predicate: str, fmt: str = "parquet") -> None:
     """Delete the rows an SQL predicate matches; a predicate that is NULL keeps the row.
 
-    File tables are rewritten without the rows, by way of shared scratch.
+    File tables: only the partitions that hold a matching row are rewritten, by way of shared scratch.
     """
     if fmt not in FILE_FORMATS:
         spark.sql(f"DELETE FROM {name} WHERE {predicate}")
         return
-    keep = spark.table(name).filter(~F.coalesce(F.expr(predicate), F.lit(False)))
-    _overwrite_all(materialise(keep, "delete"), spark, name)
+    matches = F.coalesce(F.expr(predicate), F.lit(False))
+    table, parts = spark.table(name), partition_columns(spark, name)
+    if not parts:
+        with staged(table.filter(~matches), "delete") as rows:
+            _overwrite_all(rows, spark, name)
+        return
+    with staged(table.filter(matches).select(*parts).distinct(), "delete-partitions") as hit:
+        same = [F.col(f"t.{c}").eqNullSafe(F.col(f"h.{c}")) for c in parts]
+        keep = table.filter(~matches).alias("t").join(hit.alias("h"), same, "left_semi")
+        with staged(keep, "delete") as rows:
+            swap_partitions(spark, name, rows, hit, fmt)
 
 
 def truncate(spark: SparkSession, name: str) -> None:

@@ -1,8 +1,8 @@
 """Applying a change stream to a table of current rows.
 
 Each micro-batch keeps its newest version per key and appends that to a change table in a folder of its
-own, deletes included. The current rows are the newest version per key over that table. So a batch
-never rewrites what is there, a repeated batch replaces its own folder, and an older version that
+own, deletes included. The current rows are the newest version per key over that table, which a compaction
+keeps from growing for ever. So a batch never rewrites what is there, a repeated batch replaces its own folder, and an older version that
 arrives late loses by its timestamp, whatever the order of arrival.
 """
 
@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cdcstrata.operators.versions import latest
-from cdcstrata.sources.scratch import materialise
 
 
 def read_changes(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -61,10 +60,36 @@ def apply_cdc_stream(
     )
 
 
+def _folders(spark: SparkSession, target: str) -> list[str]:
+    """Names of the table's batch folders."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(path) if s.isDirectory() and "batch=" in s.getPath().getName())
+
+
+def _live_folders(spark: SparkSession, target: str) -> list[str]:
+    """The folders that make up the table: the newest finished compaction and the batches it does not hold.
+
+    A compaction names the last batch in it, and is finished when Spark's mark of success is there. What it holds
+    may still lie about for readers that began earlier.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = _folders(spark, target)
+    done = [n for n in names if n.startswith("upto_batch=") and files.exists(path(f"{target}/{n}/_SUCCESS"))]
+    upto = max((int(n.split("=")[1]) for n in done), default=None)
+    live = [n for n in names if n.startswith("batch=") and (upto is None or int(n.split("=")[1]) > upto)]
+    return live if upto is None else [f"upto_batch={upto}", *live]
+
+
 def read_change_table(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    """All rows of the change table, without the folder column."""
-    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    return spark.read.schema(with_batch).option("basePath", target).parquet(target).drop("batch")
+    """All rows of the change table as it stands."""
+    folders = _live_folders(spark, target)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{target}/{n}" for n in folders])
 
 
 def current_rows(
@@ -78,16 +103,26 @@ def current_rows(
     return latest(read_change_table(spark, target, schema), keys, order_by, tombstones="after")
 
 
-def compacted(
+def compact(
     spark: SparkSession,
     target: str,
     schema: T.StructType,
     keys: Sequence[str] = ("id",),
     order_by: Sequence[str] = ("updated_ts",),
-) -> DataFrame:
-    """Newest version per key with deletes kept, written to a new folder.
+) -> None:
+    """Fold the batches so far into one folder with the newest version per key, deletes kept.
 
-    A later stream can start from it: copy nothing, point the reader at both folders.
+    Call it between batches. The fold counts from its mark of success on; readers that plan their read later take it
+    in place of what it holds, earlier ones still find their folders. Those go with the next compaction.
     """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    live = _live_folders(spark, target)
+    stale = [n for n in _folders(spark, target) if n not in live]
+    last = max((int(n.split("=")[1]) for n in live), default=None)
+    if last is None or live == [f"upto_batch={last}"]:
+        return
     newest = latest(read_change_table(spark, target, schema), keys, order_by, tombstones="keep")
-    return materialise(newest, "compacted")
+    newest.write.mode("overwrite").parquet(f"{target}/upto_batch={last}")
+    for name in stale:
+        files.delete(path(f"{target}/{name}"), True)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cdcstrata import functions as fn
+from cdcstrata.operators.aggregates import numeric_profile
 
 
 def values(spark, column, inputs, type_="string"):
@@ -129,3 +130,15 @@ def test_array_guard(spark):
     assert values(spark, fn.is_json_array("x"), texts) == [True, True, False, False, None]
     assert values(spark, fn.json_items("x"), ['[1,{"a":2}]', "5", "[]"]) == [["1", '{"a":2}'], None, []]
     assert values(spark, fn.has_item_country("x"), ["A", "", "None", None]) == [True, False, False, False]
+
+
+def test_percent_and_profile_of_fractions(spark):
+    df = spark.createDataFrame([(0.4, 0.8), (1.0, 3.0), (2.0, 0.0)], "a double, b double")
+    assert [r[0] for r in df.select(fn.percent("a", "b")).collect()] == [50.0, 33.33, None]
+    values = spark.createDataFrame([(1.5, 1), (2.5, 2), (3.25, 3), (None, 5)], "x double, n int")
+    row = numeric_profile(values, ["x"]).first()
+    assert (row["min"], row["p25"], row["p50"], row["p75"], row["max"], row["count"]) == (1.5, 2.0, 2.5, 2.875, 3.25, 3)
+    whole = numeric_profile(values, ["n"]).first()
+    assert (whole["min"], whole["p25"], whole["max"]) == (1, 1.75, 5)
+    assert dict(numeric_profile(values, ["n"]).dtypes)["min"] == "bigint"
+    assert numeric_profile(values, ["n"], accuracy=100).first()["p50"] == 2.0

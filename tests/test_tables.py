@@ -1,6 +1,7 @@
 """Silver tables, marts, summaries, registries and dashboards on hand-written rows."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -288,4 +289,48 @@ def test_share_needs_no_single_task_window(spark):
 
 def test_numeric_profile(spark):
     got = one(aggregates.numeric_profile(spark.range(1, 101).selectExpr("CAST(id AS INT) AS a"), ["a"]))
-    assert (got["count"], got["mean"], got["min"], got.p25, got.p50, got.p75, got["max"]) == (100, 50.5, 1, 25, 50, 75, 100)
+    assert (got["count"], got["mean"], got["min"], got.p25, got.p50, got.p75, got["max"]) == (100, 50.5, 1, 25.75, 50.5, 75.25, 100)
+
+
+def _sorted_and_shipped(df):
+    """Columns of the rows that the partial aggregate sorts, which holds what it ships."""
+    plan = df._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert text.count("Exchange hashpartitioning") == 1
+    lines = text.splitlines()
+    partial = next(k for k, line in enumerate(lines) if "partial_max_by" in line)
+    project = next(line for line in lines[partial:] if "- Project [" in line)
+    depth, items = 0, [""]
+    for c in project[project.index("[") + 1 : project.rindex("]")]:
+        depth += (c in "([") - (c in ")]")
+        if c == "," and not depth:
+            items.append("")
+        else:
+            items[-1] += c
+    return {re.search(r"(\w+)#\d+L?$", item).group(1) for item in items}
+
+
+def test_the_canonical_build_ships_only_what_is_asked_for(spark, log):
+    """Neither payload nor signature is sorted or shuffled, and of the fields just those that are named."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.debug.maxToStringFields", "spark.sql.maxMetadataStringLength")}
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    try:
+        df = log({"id": 1, "data": '{"company_tin":"1","residents_count":3}'})
+        wide = _sorted_and_shipped(silver.silver_reports(df, columns=gold.NEEDED["employees"]))
+        bare = _sorted_and_shipped(silver.silver_reports(df, columns=(), with_identity=False))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {"f_residents_count", "signed_tin", "doc_tin"} <= wide and not {"data", "signature"} & wide
+    assert not {"data", "signature", "signed_tin"} & bare and not any(c.startswith("f_") for c in bare)
+
+
+def test_arguments_that_do_not_apply_are_refused(spark, log):
+    df = log({"id": 1, "data": "{}"}, {"id": 1, "day": 9, "op": "d"})
+    with pytest.raises(ValueError):
+        silver.silver_reports(df, require_payload=True)
+    assert silver.silver_reports(df).count() == 1
+    assert silver.silver_reports(df, tombstones="after").count() == 0
+    resolved = gold.certificate_for(silver.silver_reports(df))
+    with pytest.raises(ValueError):
+        gold.financing(resolved, cert_fallback=2)

@@ -123,3 +123,23 @@ def test_predicates(log):
     assert ids(df.filter(q.report_filter(year=2018, report_type="quarter1"))) == [1]
     assert ids(q.changed_since(df, "2024-01-02")) == []
     assert len(ids(q.changed_since(df, "2024-01-01 00:00:00"))) == 5
+
+
+def test_stitching_settles_equal_times(spark, log):
+    """Whatever the order of the input, versions of one time give one outcome; a snapshot is not an update."""
+    versions_ = [{"id": 1, "day": 3, "data": f'{{"v":{k}}}', "signature": f"s{k}"} for k in range(6)]
+    versions_ += [{"id": 1, "day": 4, "op": "u", "signature": f"u{k}"} for k in range(6)]
+    seen = set()
+    for turn in range(4):
+        df = log(*(versions_[turn:] + versions_[:turn])).repartition(3 + turn)
+        row = v.stitch_versions(df).first()
+        seen.add((row.snapshot.data, row.update.signature))
+    assert len(seen) == 1
+
+
+def test_stitching_tombstones(spark, log):
+    df = log({"id": 1, "day": 1, "data": "{}"}, {"id": 1, "day": 5, "op": "d"}, {"id": 2, "day": 1, "op": "d"}, {"id": 2, "day": 2, "data": "{}"})
+    assert [r.id for r in v.stitch_versions(df).orderBy("id").collect()] == [1, 2]
+    assert [r.id for r in v.stitch_versions(df, tombstones="after").collect()] == [2]
+    with pytest.raises(ValueError):
+        v.stitch_versions(df, tombstones="keep")
