@@ -32,7 +32,7 @@ from tokenizers import Tokenizer
 from cdcstrata.sources.scratch import materialise, scratch_path
 
 SEGMENT_IDS = 1 << 20
-MEMO = 600_000  # distinct pieces of text whose ids a worker remembers
+MEMO = 900_000  # distinct pieces of text whose ids a worker remembers
 
 #: One row a segment. ``counts``: ids of each document in it; ``opens``/``closes``: whether its first document begins
 #: and its last one ends here.
@@ -60,7 +60,7 @@ _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uin
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 # Texts in which white space meets white space are cut by the expression, others at every space.
 _WIDE = r"[\t-\r\x{1c}-\x{20}\x{85}\pZ]{2}"
-_PUNCTUATED = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]+)")
+_PUNCTUATED = r"^(?P<word>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+)(?P<mark>[!-/:-@\[-`{-~]+)$"
 
 
 # --- the code -------------------------------------------------------------------------------------
@@ -74,12 +74,13 @@ def pack(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     rank = np.empty(len(counts), np.uint32)
     rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
     codes = rank[ids]
-    lengths = 1 + (codes > 0xFF) + (codes > 0xFFFF) + (codes > 0xFFFFFF)
+    lengths = np.uint8(1) + (codes > 0xFF) + (codes > 0xFFFF) + (codes > 0xFFFFFF)
     padded = np.zeros(-(-len(codes) // 4) * 4, np.uint8)
     padded[: len(codes)] = lengths - 1
     control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8)
-    cells = codes.astype("<u4").view(np.uint8).reshape(-1, 4)
-    data = cells[np.arange(4) < lengths[:, None]]
+    most = 2 if len(by_rank) <= 1 << 16 else 4
+    cells = codes.astype(f"<u{most}").view(np.uint8).reshape(-1, most)
+    data = cells[np.arange(most) < lengths[:, None]]
     return by_rank.astype("<u4").tobytes(), control.tobytes(), data.tobytes()
 
 
@@ -131,22 +132,13 @@ class Encoder:
 
     def _learn(self, new: list[str | tuple[str]]) -> None:
         """Add pieces, none of them known."""
-        known, match = self.known, _PUNCTUATED.fullmatch
-        made, wanted = [], {}
-        for x in new:
-            if isinstance(x, str) and (m := match(x)):
-                word, rest = m[1], (m[2],)
-                made.append((x, word, rest))
-                if word not in known:
-                    wanted[word] = None
-                if rest not in known:
-                    wanted[rest] = None
-            else:
-                wanted[x] = None
+        known = self.known
         special = re.compile("|".join(map(re.escape, self.special)) or "(?!)").search
-        plain = [x for x in wanted if isinstance(x, str) and x and not x[-1].isspace() and not special(x)]
-        for x in wanted.keys() - set(plain):
-            self._add(x, self._ids(x[0] if isinstance(x, tuple) else f" {x}"))
+        plain = [x for x in new if isinstance(x, str) and x and not x[-1].isspace() and not special(x)]
+        for x in set(new).difference(plain):
+            known[x] = len(self.starts) - 1
+            self.flat.extend(self._ids(x[0] if isinstance(x, tuple) else f" {x}"))
+            self.starts.append(len(self.flat))
         for at in range(0, len(plain), 512):
             some = plain[at : at + 512]
             run = np.array(self._ids(" " + " ".join(some)), np.uint32)
@@ -156,23 +148,45 @@ class Encoder:
             self.flat.frombytes(run.tobytes())
             known |= zip(some, range(place, place + len(some)), strict=True)
             self.starts.extend((ends + first).tolist())
-        # What is made of two known pieces, all at once.
+
+    def _ranges(self, pieces: pa.Array, heads: list[tuple[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids that hold those of every piece, and where its own begin and end.
+
+        Words with punctuation are not remembered, but put together from their two known parts.
+        """
+        texts = pieces.to_pylist()
+        places, unknown = self._places(texts)
+        unseen = pa.array([texts[k] for k in unknown], pa.string())
+        parts = pc.extract_regex(unseen, _PUNCTUATED)
+        whole = parts.is_null().to_numpy(zero_copy_only=False)
+        made, alone = unknown[~whole], unknown[whole]
+        parts = parts.filter(pa.array(~whole))
+        words = pc.struct_field(parts, "word").to_pylist()
+        marks = [(m,) for m in pc.struct_field(parts, "mark").to_pylist()]
+        word_at, new_words = self._places(words)
+        mark_at, new_marks = self._places(marks)
+        head_at, new_heads = self._places(heads)
+        tasks = ((places, texts, alone), (word_at, words, new_words), (mark_at, marks, new_marks), (head_at, heads, new_heads))
+        self._learn(list(dict.fromkeys(items[k] for _, items, rows in tasks for k in rows.tolist())))
+        for at, items, rows in tasks:
+            at[rows] = [self.known[items[k]] for k in rows.tolist()]
+        places[made] = 0
         starts, flat = np.array(self.starts, np.int64), np.array(self.flat, np.uint32)
-        parts = np.array([known[x] for _, word, rest in made for x in (word, rest)], np.int64)
-        lengths = starts[parts + 1] - starts[parts]
-        ends = np.cumsum(lengths)
-        picked = flat[np.repeat(starts[parts] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
-        first, place = len(self.flat), len(self.starts) - 1
-        self.flat.frombytes(picked.tobytes())
-        known |= zip((x for x, _, _ in made), range(place, place + len(made)))
-        self.starts.extend((ends[1::2] + first).tolist())
-
-    def _places(self, pieces: list[str | tuple[str]]) -> np.ndarray:
-        places = list(map(self.known.get, pieces))
-        if None in places:
-            self._learn(list(dict.fromkeys(x for x, p in zip(pieces, places, strict=True) if p is None)))
-            places = list(map(self.known.__getitem__, pieces))
-        return np.array(places, np.int64)
+        at = np.concatenate([places, head_at])
+        first, last = starts[at], starts[at + 1]
+        if len(made):
+            pair = np.stack([word_at, mark_at], axis=1).ravel()
+            both = _gathered(flat, starts[pair], starts[pair + 1])
+            ends = np.cumsum(starts[pair + 1] - starts[pair])[1::2] + len(flat)
+            first[made] = np.concatenate([[len(flat)], ends[:-1]])
+            last[made] = ends
+            flat = np.concatenate([flat, both])
+        return flat, first, last
+
+    def _places(self, pieces: list[str | tuple[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where pieces are remembered, and which are not."""
+        places = np.array([-1 if p is None else p for p in map(self.known.get, pieces)], np.int64)
+        return places, np.flatnonzero(places < 0)
 
     def _split(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """All pieces in a row, and where each text's begin and end."""
@@ -190,14 +204,20 @@ class Encoder:
             self.forget()
         pieces, bounds = self._split(texts)
         coded = pieces.dictionary_encode()
-        places = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         heads = [(x,) for x in pieces.take(pa.array(bounds[:-1])).to_pylist()]
-        places[bounds[:-1]] = self._places(heads)
-        starts = np.array(self.starts, np.int64)
-        first, lengths = starts[places], starts[places + 1] - starts[places]
-        ends = np.cumsum(lengths)
-        ids = np.array(self.flat, np.uint32)[np.repeat(first - ends + lengths, lengths) + np.arange(ends[-1])]
-        return np.split(ids, ends[bounds[1:-1] - 1])
+        flat, first, last = self._ranges(coded.dictionary, heads)
+        codes = coded.indices.to_numpy().copy()
+        codes[bounds[:-1]] = np.arange(len(heads)) + len(coded.dictionary)
+        first, last = first[codes], last[codes]
+        ends = np.cumsum(last - first)
+        return np.split(_gathered(flat, first, last), ends[bounds[1:-1] - 1])
+
+
+def _gathered(flat: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The ranges of an array, one after the other."""
+    lengths = last - first
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(first - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
