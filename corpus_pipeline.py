@@ -45,9 +45,9 @@ def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a row for each draw of a document, sorted into its output shard's order within the written files."""
+    """The mix: a row for each draw of a document, in its output shard's shuffled order within every written file."""
     mixed = mixing.mix(docs.select(*COLUMNS))
-    mixed = mixed.repartition("shard", F.pmod("position_key", F.lit(64))).sortWithinPartitions("shard", "position_key")
+    mixed = mixed.repartition("shard", "position_key").sortWithinPartitions("shard", "position_key")
     return mixed.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*COLUMNS)
 
 
