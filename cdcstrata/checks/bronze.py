@@ -298,6 +298,13 @@ class Tables:
             "CAST(ts AS DATE) AS visit_date", f"to_json(map({person}, array({_struct(event)}))) AS raw_json"
         )
 
+    @cached_property
+    def people(self) -> DataFrame:
+        """Directory of persons: every third is not in it."""
+        return self.table("customer").filter("c_custkey % 3 <> 0").selectExpr(
+            "lpad(CAST(c_custkey AS STRING), 12, '0') AS iin", "lpad(CAST(c_nationkey AS STRING), 12, '9') AS bin"
+        )
+
     # --- CRM ----------------------------------------------------------------------------------
 
     @cached_property
@@ -355,7 +362,7 @@ class Tables:
             "split_part(name, ' ', 1) AS first_name",
             "split_part(name, ' ', 2) AS last_name",
             "to_json(array(named_struct('id', id))) AS companies_json",
-            "CAST(NULL AS STRING) AS leads_json",
+            "to_json(array(named_struct('id', id * 3), named_struct('id', id * 3 + 1))) AS leads_json",
         )
 
     def _crm_parties(self, fields: list[tuple[str, str]], name: str) -> DataFrame:
@@ -383,12 +390,19 @@ class Tables:
         )
 
 
-_OPEN: dict[tuple[str, str], Tables] = {}
+_OPEN: dict[tuple, Tables] = {}
+
+
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of what lies in a folder, so that logs derived from older tables are not taken."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
 
 
 def tables(spark: SparkSession, folder: str) -> Tables:
-    """The tables of a folder; within one application the plans are made once and reused."""
-    key = (spark.sparkContext.applicationId, folder)
+    """The tables of a folder; within one application the plans are made once and reused while the tables stay."""
+    key = (spark.sparkContext.applicationId, folder, _state(spark, folder))
     if key not in _OPEN:
         _OPEN[key] = Tables(tune(spark), folder)
     return _OPEN[key]

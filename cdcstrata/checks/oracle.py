@@ -5,12 +5,10 @@ They compute from the typed columns by the rules and never build or parse JSON o
 
 from __future__ import annotations
 
+from cdcstrata.checks import expected as fl
 from cdcstrata.checks import rules as r
-from cdcstrata.plans import fields as fl
-from cdcstrata.plans import gold, registry, summary
 
 PAYLOAD = {**r.TEXT_RULES, **r.NUMBER_RULES, "income_total": r.INCOME_VALUE, "activity_fields": r.ACTIVITY}
-ENVELOPE_SQL = ", ".join(("report_id", *fl.ENVELOPE))
 
 
 def _select(columns: dict[str, str], table: str) -> str:
@@ -61,6 +59,7 @@ def _blank(c: str) -> str:
 
 
 YEARS = f"year >= {r.START_YEAR}"
+CARRIED = "company_tin, certificate_number, residents_count, income_total"
 
 
 def _masked(columns=fl.SILVER_REPORT) -> str:
@@ -74,6 +73,12 @@ FROM ({_ranked('rep', 'id', 'updated_ts DESC', f"op = 'r' AND {YEARS}")}) s
 LEFT JOIN ({_ranked('rep', 'id', 'updated_ts DESC', f"op = 'u' AND {YEARS}")}) u ON s.id = u.id"""
 
 
+# The canonical table without reports whose newest version is a delete.
+AFTER_DELETES = (
+    "SELECT * FROM silver WHERE report_id NOT IN "
+    f"(SELECT id FROM ({_ranked('rep', 'id', 'updated_ts DESC')}) newest WHERE op = 'd')"
+)
+
 # Named pieces; a query lists the ones it needs and gets what those need as well.
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "o": (_select(r.ORDER_COLUMNS, "orders"), ()),
@@ -110,21 +115,31 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
         f"FROM o CROSS JOIN (VALUES (1), (2), (3)) items(i) WHERE i <= {r.PREVIOUS_COUNT}",
         ("o",),
     ),
-    "resolved": (
-        "SELECT s.*, COALESCE(NULLIF(s.certificate_number, ''), p.certificate_number, NULLIF(ss.cert_number, '-1')) AS cert3, "
-        "COALESCE(NULLIF(s.certificate_number, ''), p.certificate_number) AS cert2, NULLIF(s.certificate_number, '') AS cert0, "
-        "p.certificate_number AS p_number, ss.cert_number, "
-        "COALESCE(p.certificate_issue_date, ss.cert_issue_date) AS issue3, p.certificate_issue_date AS issue2, CAST(NULL AS DATE) AS issue0, "
-        "COALESCE(p.certificate_end_date, ss.cert_end_date) AS end3, p.certificate_end_date AS end2, CAST(NULL AS DATE) AS end0, "
-        "p.company_tin AS p_tin, p.company_name AS p_name "
-        "FROM silver s LEFT JOIN participants p ON s.service_request_id = p.service_request_id "
-        "LEFT JOIN certs ss ON s.service_request_id = ss.id WHERE s.status = 'signed'",
+    # Three places a certificate may come from, the first that has one counts; '' and '-1' are none.
+    "places": (
+        "SELECT report_id, CASE WHEN silver.certificate_number <> '' THEN silver.certificate_number END AS own, "
+        "listed.certificate_number AS listed, CASE WHEN asked.cert_number <> '-1' THEN asked.cert_number END AS asked, "
+        "listed.certificate_issue_date AS listed_issue, listed.certificate_end_date AS listed_end, "
+        "asked.cert_issue_date AS asked_issue, asked.cert_end_date AS asked_end, asked.cert_number, "
+        "listed.company_tin AS p_tin, listed.company_name AS p_name FROM silver "
+        "LEFT JOIN participants AS listed USING (service_request_id) "
+        "LEFT JOIN certs AS asked ON asked.id = silver.service_request_id",
         ("silver", "participants", "certs"),
     ),
+    "resolved_all": (
+        "SELECT silver.*, own AS cert0, CASE WHEN own IS NULL THEN listed ELSE own END AS cert2, "
+        "CASE WHEN own IS NOT NULL THEN own WHEN listed IS NOT NULL THEN listed ELSE asked END AS cert3, "
+        "listed AS p_number, cert_number, CAST(NULL AS DATE) AS issue0, listed_issue AS issue2, "
+        "CASE WHEN listed_issue IS NULL THEN asked_issue ELSE listed_issue END AS issue3, CAST(NULL AS DATE) AS end0, "
+        "listed_end AS end2, CASE WHEN listed_end IS NULL THEN asked_end ELSE listed_end END AS end3, p_tin, p_name "
+        "FROM silver JOIN places USING (report_id)",
+        ("places",),
+    ),
+    "resolved": ("SELECT * FROM resolved_all WHERE status = 'signed'", ("resolved_all",)),
     "base": (
         "SELECT k, id, year, status, report_type, version, signed_at, name AS company_name, lpad(CAST(c AS STRING), 12, '0') AS company_tin, c, "
         + ", ".join(PAYLOAD_COLUMNS := [n for n in PAYLOAD if n not in ("company_tin", "company_name")])
-        + ", p FROM rep JOIN cust ON service_request_id = c WHERE op IN ('r', 'c') AND status = 'signed'",
+        + ", p FROM rep LEFT JOIN cust ON service_request_id = c WHERE op IN ('r', 'c') AND status = 'signed'",
         ("rep", "cust"),
     ),
 }
@@ -177,7 +192,7 @@ def _with(body: str, *needed: str, **extra: str) -> str:
 
 
 def _versions() -> dict[str, str]:
-    columns = "id, service_request_id, year, report_type, status, op, updated_ts, has_data"
+    columns = f"id, service_request_id, year, report_type, status, op, updated_ts, has_data, {CARRIED}"
     by_id = "updated_ts DESC, id DESC"
     no_data_or_delete = "(has_data OR op = 'd')"
     return {
@@ -200,9 +215,10 @@ def _versions() -> dict[str, str]:
             "(SELECT *, SUM(cnt) OVER () AS total FROM (SELECT status, report_type, COUNT(*) AS cnt FROM rep GROUP BY ALL))",
             "rep",
         ),
-        "win_drop_replays": _with("SELECT id, updated_ts, op, status FROM rep", "rep"),
+        "win_drop_replays": _with(f"SELECT {columns} FROM rep", "rep"),
         "win_stitch_versions": _with(
-            "SELECT s.id, s.updated_ts AS snapshot_ts, u.updated_ts AS update_ts, u.sig_name AS update_name FROM "
+            f"SELECT s.id, s.updated_ts AS snapshot_ts, {', '.join('s.' + c.strip() for c in CARRIED.split(','))}, "
+            "u.updated_ts AS update_ts, u.sig_name AS update_name FROM "
             f"({_ranked('rep', 'id', by_id, chr(111) + 'p = ' + repr('r'))}) s LEFT JOIN "
             f"({_ranked('rep', 'id', by_id, chr(111) + 'p = ' + repr('u'))}) u ON s.id = u.id",
             "rep",
@@ -256,6 +272,15 @@ def _silver() -> dict[str, str]:
         "silver_reports_snapshot_attributes": _with(
             masked_extra.replace("COALESCE(u.", "COALESCE(s.", len(fl.ENVELOPE)), "rep"
         ),
+        # The last number of a signature is the signer's, whoever that is.
+        "silver_reports_xml_last": _with(
+            "SELECT * REPLACE (CASE WHEN report_id IN (SELECT id FROM rep WHERE op = 'u' AND " + YEARS + ") THEN '999999999999' "
+            "ELSE (SELECT ANY_VALUE(COALESCE(NULLIF(company_tin, ''), CASE WHEN sig_name <> '' THEN '999999999999' END)) "
+            "FROM rep WHERE op = 'r' AND rep.id = report_id) END AS company_tin) FROM silver",
+            "silver",
+            "rep",
+        ),
+        "silver_reports_tombstones_after": _with(AFTER_DELETES, "silver", "rep"),
         "silver_reports_by_id": _with(
             f"SELECT id AS report_id, service_request_id, year, report_type, status, {data_tin}, {data_name}, {', '.join(fl.SILVER_BY_ID)} "
             f"FROM ({_ranked('rep', 'id', 'updated_ts DESC', 'has_data')})",
@@ -288,13 +313,13 @@ FROM live JOIN previous USING (k) WHERE previous.country IS NOT NULL""",
     }
 
 
-def mart_sql(name: str, level: int) -> str:
+def mart_sql(name: str, level: int, source: str = "resolved") -> str:
     """Body of a mart over ``resolved``."""
     head = f"year, report_type, cert{level} AS certificate_number, company_tin AS bin"
     renamed = {
-        "general_indicators": gold.INDICATORS,
-        "financing": gold.FINANCING,
-        "tax_benefits": gold.TAX_BENEFITS,
+        "general_indicators": fl.INDICATORS,
+        "financing": fl.FINANCING,
+        "tax_benefits": fl.TAX_BENEFITS,
         "employees": {c: c for c in fl.STAFF},
         "exports": {"export_income": "income_international"},
     }[name]
@@ -307,14 +332,15 @@ def mart_sql(name: str, level: int) -> str:
         "exports": ", company_name",
     }.get(name, "")
     where = " WHERE op <> 'd'" if level == 0 else ""
-    return f"SELECT {head}, {columns}{extra} FROM resolved{where}"
+    return f"SELECT {head}, {columns}{extra} FROM {source}{where}"
 
 
 def _gold() -> dict[str, str]:
     out = {}
-    for name in gold.MARTS:
+    for name in fl.MARTS:
         for level, suffix in ((3, ""), (2, "_cert2"), (0, "_cert0")):
             out[f"gold_{name}{suffix}"] = _with(mart_sql(name, level), "resolved")
+        out[f"gold_{name}_unsigned"] = _with(mart_sql(name, 3, "resolved_all"), "resolved_all")
     country_head = "year, report_type, {cert} AS certificate_number, {tin} AS bin, {name} AS company_name, country"
     natural = _ranked(
         "(SELECT rep.* FROM rep WHERE has_data AND status = 'signed' AND NOT (" + r.EXPORT_IS_NUMBER + "))",
@@ -323,7 +349,7 @@ def _gold() -> dict[str, str]:
         YEARS,
     )
     report = {n: n for n in (*fl.REPORT_MART,) if n not in fl.FLAGS}
-    flags = {spec.flag: r.flag_rule(i) for i, spec in enumerate(registry.REGISTRIES.values(), start=1)}
+    flags = {f"has_{array}": r.flag_rule(i) for i, (array, _, _) in enumerate(fl.REGISTRIES.values(), start=1)}
     mart_columns = ", ".join(
         [
             "id AS report_id",
@@ -373,6 +399,15 @@ def _gold() -> dict[str, str]:
             f"SELECT cdc_operation, {', '.join(fl.REPORT_MART_25)} FROM (SELECT {mart_columns}, op AS cdc_operation FROM rep WHERE {live} AND year = 1998)",
             "rep",
         ),
+        "gold_report_mart_27": _with(
+            f"SELECT {', '.join(fl.REPORT_MART_27)} FROM (SELECT {mart_columns} FROM rep WHERE {live})", "rep"
+        ),
+        "gold_report_mart_28": _with(
+            f"SELECT {', '.join(fl.REPORT_MART_28)} FROM (SELECT {mart_columns}, op AS cdc_operation FROM rep WHERE {live})", "rep"
+        ),
+        "gold_report_mart_quarter": _with(
+            f"SELECT {mart_columns} FROM rep WHERE {live} AND year = 1998 AND report_type = 'quarter2'", "rep"
+        ),
         "gold_deduped_report_mart": _with(
             f"SELECT id AS report_id, {', '.join(fl.ENVELOPE)}, {', '.join(fl.DEDUPED_MART)} FROM ({_ranked('rep', NATURAL, _NEWEST, live)})",
             "rep",
@@ -383,7 +418,7 @@ def _gold() -> dict[str, str]:
 
 def _summaries() -> dict[str, str]:
     silver_cte = {"quarterly": f"SELECT * FROM ({_ranked('rep', NATURAL, _NEWEST, chr(111) + 'p <> ' + repr('d') + ' AND ' + YEARS)})"}
-    annual_sums = ", ".join(_sum(c) for c in (*summary.ANNUAL_SUMS, *summary.ANNUAL_TAX_SUMS))
+    annual_sums = ", ".join(_sum(c) for c in (*fl.ANNUAL_SUMS, *fl.ANNUAL_TAX_SUMS))
     quarters = "status = 'signed' AND report_type IN ('quarter1', 'quarter2', 'quarter3', 'quarter4')"
 
     def annual(taxes: str, old_support: str) -> str:
@@ -393,10 +428,10 @@ def _summaries() -> dict[str, str]:
             f"FROM quarterly WHERE {quarters} GROUP BY service_request_id, year"
         )
 
-    period_sums = ", ".join(_sum(src, out) for out, src in summary.PERIOD_SUMS.items())
-    registry_sums = ", ".join(_sum(c) for c in summary.REGISTRY_SUMS)
+    period_sums = ", ".join(_sum(src, out) for out, src in fl.PERIOD_SUMS.items())
+    registry_sums = ", ".join(_sum(c) for c in fl.REGISTRY_SUMS)
     quarter_sums = ", ".join(
-        _sum("CAST(NULL AS BIGINT)", c) if c == fl.SUPPORT_OLD else _sum(c) for c in summary.QUARTER_SUMS
+        _sum("CAST(NULL AS BIGINT)", c) if c == fl.SUPPORT_OLD else _sum(c) for c in fl.QUARTER_SUMS
     )
     live = f"op <> 'd' AND status = 'signed' AND {YEARS}"
     totals = (
@@ -471,10 +506,8 @@ def _summaries() -> dict[str, str]:
 
 
 def _registries() -> dict[str, str]:
-    from cdcstrata.checks.bronze import item_rules
-
     out = {}
-    for position, (name, spec) in enumerate(registry.REGISTRIES.items(), start=1):
+    for position, (name, (_, text, amounts)) in enumerate(fl.REGISTRIES.items(), start=1):
         flagged = f"{r.flag_rule(position)} = 'true'"
         head = "id, company_name, company_tin"
         if name == "export_previous":
@@ -484,9 +517,8 @@ def _registries() -> dict[str, str]:
             body = f"SELECT {head}, exports.country AS country_current, current_sum AS sum_current FROM base JOIN exports USING (k) WHERE {flagged}"
             out[f"reg_{name}"] = _with(body, "base", "exports")
         else:
-            rules = item_rules(position, spec)
-            columns = [f"{rules[key]} AS {column}" for column, key in spec.text.items()]
-            columns += [f"COALESCE({', '.join(rules[k] for k in keys)}) AS \"{column}\"" for column, keys in spec.amounts.items()]
+            columns = [f"{r.item_text(key)} AS {column}" for column, key in text.items()]
+            columns += [f'{r.item_amount(position)} AS "{column}"' for column in amounts]
             body = (
                 f"SELECT {head}, {', '.join(columns)} FROM base CROSS JOIN (VALUES (1), (2), (3)) items(i) "
                 f"WHERE i <= {r.ITEM_COUNT} AND {flagged}"
@@ -494,7 +526,7 @@ def _registries() -> dict[str, str]:
             out[f"reg_{name}"] = _with(body, "base")
     fields = [
         f"CAST({c} AS INTEGER) AS {c}" if c in fl.STAFF else c
-        for c in registry.RESIDENT_FIELDS
+        for c in fl.RESIDENT_FIELDS
         if c not in (fl.EXPORT_CURRENT, fl.EXPORT_PREVIOUS)
     ]
     number = f"CASE WHEN {r.EXPORT_IS_NUMBER} THEN {r.EXPORT_NUMBER} END AS {fl.EXPORT_CURRENT}"
@@ -507,6 +539,10 @@ SELECT id, company_name, 'R' || CAST(c AS STRING) AS request_number, {cert} AS c
 FROM base""".replace("certificate_number AS certificate_number", "certificate_number"),
         "base",
     )
+    out["reg_residents_year"] = out["reg_residents"] + " WHERE year = 1997"
+    out["reg_nonresidents_quarter"] = out["reg_nonresidents"] + " AND year = 1998 AND report_type = 'quarter2'"
+    host, documents = r.item_text("fullname_host"), r.item_text("documents")
+    out["reg_family_renamed"] = out["reg_nonresidents_family"].replace(f"{host} AS", f"{documents} AS")
     return out
 
 
@@ -519,7 +555,7 @@ def _quality() -> dict[str, str]:
 
     marts = {"marts": mart_sql("general_indicators", 3)}
     blank_cert = "certificate_number IS NULL OR certificate_number = ''"
-    counts = " UNION ALL ".join(f"SELECT '{m}' AS table_name, COUNT(*) AS cnt FROM resolved" for m in gold.MARTS)
+    counts = " UNION ALL ".join(f"SELECT '{m}' AS table_name, COUNT(*) AS cnt FROM resolved" for m in fl.MARTS)
     return {
         "dq_table_counts": _with(
             counts + " UNION ALL SELECT 'export_by_country', COUNT(*) FROM resolved JOIN valid_exports ON report_id = k",
@@ -611,6 +647,12 @@ def _bi() -> dict[str, str]:
             *needs,
             **marts,
         ),
+        "bi_company_detail_tin": _with(
+            "SELECT gy.bin, gy.year, company_name, income_total, export_income, total_funding, total_tax_saved, residents_count, "
+            f"nonresidents_count FROM {joined} WHERE gy.bin = '777777000007'",
+            *needs,
+            **marts,
+        ),
         "bi_export_share": _with(
             f"SELECT xs.*, income_total, {_percent('export_income', 'income_total')} AS export_share_percent FROM "
             f"(SELECT bin, year, report_type, country, MAX(company_name) AS company_name, {_raw_sum('export_income')} FROM x GROUP BY bin, year, report_type, country) xs "
@@ -664,6 +706,17 @@ FROM daily GROUP BY 1, 2, 3"""
     return {
         "visits_silver": _with("SELECT * FROM visits", visits=events),
         "visits_daily": _with("SELECT * FROM daily", visits=events, daily=daily),
+        "visits_of_days": (
+            "SELECT CAST(ts AS DATE) AS visit_date, '{\"' || lpad(CAST(user_id AS STRING), 12, '0') || '\":[{\"event\":\"' || "
+            "CASE WHEN event_type IN ('click', 'view') THEN 'entry' ELSE 'exit' END || '\",\"time\":\"' || strftime(ts, '%H:%M:%S') || "
+            "'\"}]}' AS raw_json FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-09'"
+        ),
+        "visits_company": _with(
+            "SELECT daily.*, CASE WHEN c_custkey % 3 <> 0 THEN lpad(CAST(c_nationkey AS STRING), 12, '9') END AS bin "
+            "FROM daily LEFT JOIN customer ON lpad(CAST(c_custkey AS STRING), 12, '0') = iin",
+            visits=events,
+            daily=daily,
+        ),
         "visits_monthly": _with(monthly, visits=events, daily=daily),
     }
 
@@ -691,12 +744,10 @@ SELECT responsible_user_name, closed, 0, CAST(is_won AS INTEGER), CAST(is_lost A
 UNION ALL
 SELECT n_name, d + to_days(5), 0, 0, 0, 0, 1, 0 FROM o LEFT JOIN nation ON CAST(c % 25 AS INTEGER) = n_nationkey WHERE s = 'F'"""
     live = "SELECT * FROM named WHERE NOT is_deleted"
-    party = "c AS {id}, n_name AS responsible_user_name, to_timestamp_utc"
     created = "TIMESTAMP '1970-01-01 00:00:00' + to_seconds(1000000000 + c % 1000 * 86400) AS created_at"
     updated = "TIMESTAMP '1970-01-01 00:00:00' + to_seconds(1100000000 + c % 1000 * 86400) AS updated_at"
-    del party
     manager = "LEFT JOIN nation ON CAST(c % 25 AS INTEGER) = n_nationkey"
-    return {
+    out = {
         "crm_pipeline_statuses": _with("SELECT * FROM statuses", statuses=statuses),
         "crm_leads_silver": _with(
             """
@@ -713,7 +764,8 @@ SELECT k AS lead_id, 'Lead ' || CAST(k AS STRING) AS lead_name, p AS price, mana
             f"""
 SELECT c AS contact_id, 'First' || CAST(c AS STRING) || ' Last' || CAST(c AS STRING) AS full_name, 'First' || CAST(c AS STRING) AS first_name,
   'Last' || CAST(c AS STRING) AS last_name, '********' || right(lpad(CAST(c AS STRING), 10, '0'), 4) AS phone, 'u***@mail.example' AS email,
-  {created}, {updated}, c % 40 = 0 AS is_deleted, CAST(c AS STRING) AS company_ids, n_name AS responsible_user_name FROM cust {manager}""",
+  {created}, {updated}, c % 40 = 0 AS is_deleted, CAST(c AS STRING) AS company_ids,
+  CAST(c * 3 AS STRING) || ',' || CAST(c * 3 + 1 AS STRING) AS lead_ids, n_name AS responsible_user_name FROM cust {manager}""",
             "cust",
         ),
         "crm_companies_silver": _with(
@@ -762,31 +814,58 @@ ON lpad(CAST(c AS STRING), 12, '0') = company_tin""",
             "silver",
         ),
     }
+    out["crm_incremental_load"] = out["crm_leads_silver"]
+    return out
 
 
 def _incremental() -> dict[str, str]:
     columns = "id, service_request_id, year, report_type, status, op, updated_ts"
-    newest = f"SELECT {columns} FROM ({_ranked('rep', 'id', 'updated_ts DESC, id DESC')}) WHERE op <> 'd'"
+    newest = f"SELECT {columns}, has_data, {CARRIED} FROM ({_ranked('rep', 'id', 'updated_ts DESC, id DESC')}) WHERE op <> 'd'"
     return {
         "inc_changed_since": _with(f"SELECT {columns} FROM rep WHERE updated_at >= TIMESTAMP '1999-06-01 00:00:00'", "rep"),
         "inc_upsert_equals_full": _with(newest, "rep"),
+        "inc_refresh_equals_full": _with(AFTER_DELETES, "silver", "rep"),
         "stream_cdc_equals_batch": _with(newest, "rep"),
-        "refresh_table_counts": _with(
-            " UNION ALL ".join(
-                ["SELECT 'silver_reports' AS table_name, COUNT(*) AS cnt FROM silver", "SELECT 'silver_participants', COUNT(*) FROM participants"]
-                + [f"SELECT '{m}', COUNT(*) FROM resolved" for m in gold.MARTS]
-                + ["SELECT 'export_by_country', COUNT(*) FROM resolved JOIN valid_exports ON report_id = k"]
-            ),
-            "resolved",
-            "valid_exports",
-        ),
+        "refresh_silver_reports": _silver()["silver_reports_masked_first"],
+        "refresh_silver_participants": _silver()["silver_participants"],
+        "refresh_financing": _gold()["gold_financing"],
+        "refresh_export_by_country": _gold()["gold_export_by_country"],
         "expr_previous_quarter": "SELECT o_orderkey AS id, CAST(year(o_orderdate - INTERVAL 3 MONTH) AS INTEGER) AS year, "
         "'quarter' || CAST(quarter(o_orderdate - INTERVAL 3 MONTH) AS STRING) AS report_type FROM orders",
+        "expr_days_before": "SELECT o_orderkey AS id, CAST(CAST(o_orderdate AS DATE) - 45 AS DATE) AS cutoff FROM orders",
+        "expr_labelled_digits": "SELECT c_custkey AS id, CASE WHEN c_custkey % 4 > 0 THEN CAST(c_custkey AS STRING) END AS digits FROM customer",
+        "src_bound_sql": "SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 3 = 0",
+    }
+
+
+def _sinks() -> dict[str, str]:
+    columns = ("id", "service_request_id", "report_type", "status", "updated_ts", *CARRIED.split(", "), "year")
+
+    def rows(where: str = "TRUE", **instead: str) -> str:
+        named = ", ".join(f"{instead[c]} AS {c}" if c in instead else c for c in columns)
+        return _with(f"SELECT {named} FROM rep WHERE op IN ('r', 'c') AND ({where})", "rep")
+
+    return {
+        "sink_create_or_replace": rows("year >= 1998"),
+        "sink_overwrite": rows("year < 1998"),
+        "sink_append": rows(),
+        "sink_overwrite_partitions": rows(status="CASE WHEN year = 1997 THEN 'kept' ELSE status END"),
+        "sink_full_refresh": rows("year <> 1996"),
+        "sink_years_backfill": rows("year <> 1997", status="CASE WHEN year = 1996 THEN status ELSE 'old' END"),
+        "sink_delete_where": rows("NOT (status = 'draft' AND year IN (1996, 1998) OR year = 1997)"),
+        "sink_truncate": rows("year = 1998"),
+        "sink_load_time": rows(),
+        # CSV does not tell an empty text from none.
+        "sink_sorted_csv": _with(
+            "SELECT " + ", ".join(c if c != "certificate_number" and c != "company_tin" else f"NULLIF({c}, '') AS {c}" for c in columns if c != "updated_ts")
+            + " FROM rep WHERE op IN ('r', 'c')",
+            "rep",
+        ),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    families = (_versions, _silver, _gold, _summaries, _registries, _quality, _bi, _visits, _crm, _incremental)
+    families = (_versions, _silver, _gold, _summaries, _registries, _quality, _bi, _visits, _crm, _incremental, _sinks)
     out: dict[str, str] = {}
     for family in families:
         out |= family()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -10,29 +11,35 @@ from pyspark.sql import functions as F
 
 from cdcstrata.checks.bronze import Tables, tables
 from cdcstrata.checks.rules import START_YEAR
-from cdcstrata.functions.payload import json_str
-from cdcstrata.functions.periods import previous_quarter
+from cdcstrata.functions.payload import json_str, parse_payload
+from cdcstrata.functions.periods import days_before, previous_quarter
+from cdcstrata.functions.scalars import labelled_digits
 from cdcstrata.operators import aggregates, predicates, quality, versions
 from cdcstrata.plans import bi, crm, fields, gold, refresh, registry, silver, summary, visits
-from cdcstrata.sources import writers
-from cdcstrata.sources.scratch import materialise, scratch_path
+from cdcstrata.sources import readers, writers
+from cdcstrata.sources.scratch import materialise, release, scratch_path
+from cdcstrata.sources.tables import TableSpec, create_table
 from cdcstrata.streaming import changes
 
 Build = Callable[[Tables], DataFrame]
+TIN = "777777000007"  # the company that the one-company report is about
 NATURAL = list(silver.NATURAL_KEY)
 
 
-def _has_data(df: DataFrame) -> DataFrame:
-    return df.select(
-        "id",
-        "service_request_id",
-        "year",
-        "report_type",
-        "status",
-        "op",
-        "updated_ts",
-        F.coalesce(predicates.has_payload("data"), F.lit(False)).alias("has_data"),
-    )
+# Payload fields that the checks of the version operators carry along, as the report table types them.
+CARRIED = ("company_tin", "certificate_number", "residents_count", "income_total")
+
+
+def _cut(log: DataFrame, *more: str) -> DataFrame:
+    """The log with the carried fields in place of payload and signature, so that ranking ships no text."""
+    parsed = parse_payload(log, CARRIED)
+    columns = ("id", "service_request_id", "year", "report_type", "status", "op", "updated_ts", "updated_at", *more)
+    has_data = F.coalesce(predicates.has_payload("data"), F.lit(False)).alias("has_data")
+    return parsed.select(*columns, has_data, *[fields.typed("doc", c).alias(c) for c in CARRIED])
+
+
+def _carried(df: DataFrame) -> DataFrame:
+    return df.select("id", "service_request_id", "year", "report_type", "status", "op", "updated_ts", "has_data", *CARRIED)
 
 
 def _silver(t: Tables, identity: str = "masked_first", **options) -> DataFrame:
@@ -43,9 +50,9 @@ def _participants(t: Tables) -> DataFrame:
     return silver.silver_participants(t.request_cdc)
 
 
-def _mart(name: str, level: int = 3) -> Build:
+def _mart(name: str, level: int = 3, **options) -> Build:
     return lambda t: gold.MARTS[name](
-        _silver(t, columns=gold.NEEDED[name]), _participants(t), t.request_cdc, level
+        _silver(t, columns=gold.NEEDED[name]), _participants(t), t.request_cdc, level, **options
     )
 
 
@@ -78,9 +85,9 @@ def _export_stitched(t: Tables) -> DataFrame:
     return gold.export_by_country_stitched(rows, _participants(t), t.request_cdc)
 
 
-def _registry(name: str) -> Build:
+def _registry(name: str, **options) -> Build:
     def build(t: Tables) -> DataFrame:
-        return registry.run_registry(name, t.service_report(name), t.service_request, t.company, t.hub_form)
+        return registry.run_registry(name, t.service_report(name), t.service_request, t.company, t.hub_form, **options)
 
     return build
 
@@ -91,15 +98,23 @@ def _registry_summary(t: Tables) -> DataFrame:
 
 def _versions() -> dict[str, Build]:
     def replayed(t: Tables) -> DataFrame:
-        log = t.report_cdc().select("id", "updated_ts", "op", "status")
-        return versions.drop_replays(log.unionByName(log.filter(F.col("op") == "u")))
+        log = _cut(t.report_cdc())
+        return _carried(versions.drop_replays(log.unionByName(log), ("id", "updated_ts", "op")))
 
     def stitched(t: Tables) -> DataFrame:
-        return versions.stitch_versions(t.report_cdc()).select(
+        log = t.report_cdc().withColumn("update_name", json_str("signature", "full_name"))
+        log = parse_payload(log, CARRIED).select(
+            "id", "op", "updated_ts", "updated_at", "data", "update_name", *[fields.typed("doc", c).alias(c) for c in CARRIED]
+        )
+        rows = versions.stitch_versions(
+            log, snapshot_columns=("updated_ts", *CARRIED), update_columns=("updated_ts", "update_name")
+        )
+        return rows.select(
             "id",
             F.col("snapshot.updated_ts").alias("snapshot_ts"),
+            *[F.col(f"snapshot.{c}").alias(c) for c in CARRIED],
             F.col("update.updated_ts").alias("update_ts"),
-            json_str("update.signature", "full_name").alias("update_name"),
+            "update.update_name",
         )
 
     def percent(t: Tables) -> DataFrame:
@@ -108,14 +123,14 @@ def _versions() -> dict[str, Build]:
 
     snapshots = ("r", "c")
     return {
-        "win_latest_by_id": lambda t: _has_data(versions.latest(t.report_cdc(), ["id"])),
-        "win_latest_by_natural_key": lambda t: _has_data(
-            versions.latest(t.report_cdc(), NATURAL, ["updated_at"], require_payload=True)
+        "win_latest_by_id": lambda t: _carried(versions.latest(_cut(t.report_cdc()), ["id"])),
+        "win_latest_by_natural_key": lambda t: _carried(
+            versions.latest(_cut(t.report_cdc(), "data"), NATURAL, ["updated_at"], require_payload=True)
         ),
-        "win_tombstone_before": lambda t: _has_data(
-            versions.latest(t.report_cdc(), NATURAL, ["updated_at"], tombstones="before")
+        "win_tombstone_before": lambda t: _carried(
+            versions.latest(_cut(t.report_cdc()), NATURAL, ["updated_at"], tombstones="before")
         ),
-        "win_tombstone_after": lambda t: _has_data(versions.latest(t.report_cdc(), NATURAL, ["updated_at"])),
+        "win_tombstone_after": lambda t: _carried(versions.latest(_cut(t.report_cdc()), NATURAL, ["updated_at"])),
         "win_duplicate_groups": lambda t: versions.duplicate_groups(
             predicates.with_op(t.report_cdc(), *snapshots), NATURAL
         ),
@@ -139,6 +154,8 @@ def _silver_tables() -> dict[str, Build]:
         "silver_reports_snapshot_attributes": lambda t: _silver(
             t, attributes="snapshot", columns=(*fields.SILVER_REPORT, "country")
         ),
+        "silver_reports_xml_last": lambda t: _silver(t, xml_mode="last"),
+        "silver_reports_tombstones_after": lambda t: _silver(t, tombstones="after"),
         "silver_reports_by_id": lambda t: silver.silver_reports_by_id(t.report_cdc()),
         "silver_preview": lambda t: silver.silver_preview(t.report_cdc()),
         "silver_participants": _participants,
@@ -153,6 +170,7 @@ def _gold_tables() -> dict[str, Build]:
         out[f"gold_{name}"] = _mart(name)
         out[f"gold_{name}_cert2"] = _mart(name, 2)
         out[f"gold_{name}_cert0"] = _mart(name, 0)
+        out[f"gold_{name}_unsigned"] = _mart(name, signed_only=False)
     return out | {
         "gold_export_by_country": _export_by_country,
         "gold_export_by_country_stitched": _export_stitched,
@@ -166,6 +184,13 @@ def _gold_tables() -> dict[str, Build]:
         "gold_report_mart_reduced": lambda t: gold.report_mart(
             t.report_cdc(), year=1998, columns=(*fields.REPORT_MART_25, "cdc_operation")
         ),
+        "gold_report_mart_27": lambda t: gold.report_mart(
+            t.report_cdc(), columns=fields.REPORT_MART_27, start_year=START_YEAR
+        ),
+        "gold_report_mart_28": lambda t: gold.report_mart(
+            t.report_cdc(), columns=fields.REPORT_MART_28, start_year=START_YEAR
+        ),
+        "gold_report_mart_quarter": lambda t: gold.report_mart(t.report_cdc(), 1998, "quarter2"),
         "gold_deduped_report_mart": lambda t: gold.deduped_report_mart(t.report_cdc(), start_year=START_YEAR),
     }
 
@@ -249,6 +274,7 @@ def _bi() -> dict[str, Build]:
     return {
         "bi_yearly_dashboard": lambda t: bi.yearly_dashboard(*_marts(t, *per_company)),
         "bi_company_detail": lambda t: bi.company_detail(*_marts(t, *per_company)),
+        "bi_company_detail_tin": lambda t: bi.company_detail(*_marts(t, *per_company), tin=TIN),
         "bi_export_share": shares,
         "bi_top_countries": lambda t: bi.top_countries(_export_by_country(t)),
         "bi_countries_by_year": lambda t: bi.export_countries_by_year(_export_by_country(t)),
@@ -263,6 +289,8 @@ def _visits() -> dict[str, Build]:
 
     return {
         "visits_silver": events,
+        "visits_of_days": lambda t: visits.visits_of_days(t.visit_responses, "2024-01-05", "2024-01-09"),
+        "visits_company": lambda t: visits.link_to_company(visits.daily_attendance(events(t)), t.people),
         "visits_daily": lambda t: visits.daily_attendance(events(t)),
         "visits_monthly": lambda t: visits.monthly_attendance(visits.daily_attendance(events(t))),
     }
@@ -286,48 +314,81 @@ def _crm() -> dict[str, Build]:
         rows = companies(t).drop("created_at", "updated_at", "responsible_user_name")
         return crm.link_by_bin(rows, _silver(t, columns=("income_total",)))
 
+    def incremental_load(t: Tables) -> DataFrame:
+        """Leads after a first load of their older versions and a second one of what changed since."""
+        older = t.crm_leads.filter(F.col("status_id") == 10)
+        kept = lambda df, name: materialise(df, f"crm-{name}")
+        parts = {"pipelines": t.crm_pipelines, "users": t.crm_users}
+        first = crm.load_entities({**parts, "leads": older}, kept)
+        second = crm.load_entities({**parts, "leads": t.crm_leads}, kept, first, since_epoch=0)
+        rows = crm.crm_leads_silver(second["leads"], crm.crm_pipeline_statuses(second["pipelines"]), second["users"])
+        return joined_ids(rows, "contact_ids", "company_ids", "tags")
+
     return {
         "crm_pipeline_statuses": statuses,
         "crm_leads_silver": lambda t: joined_ids(leads(t), "contact_ids", "company_ids", "tags"),
         "crm_contacts_silver": lambda t: joined_ids(
-            crm.crm_contacts_silver(t.crm_contacts, t.crm_users).drop("lead_ids"), "company_ids"
+            crm.crm_contacts_silver(t.crm_contacts, t.crm_users), "company_ids", "lead_ids"
         ),
         "crm_companies_silver": companies,
         "crm_funnel": lambda t: crm.sales_funnel(leads(t)),
         "crm_manager_activity": lambda t: crm.manager_activity(leads(t), t.crm_tasks, t.crm_users),
         "crm_client_analytics": lambda t: crm.client_analytics(leads(t), companies(t)),
         "crm_companies_with_reports": linked,
+        "crm_incremental_load": incremental_load,
     }
 
 
 def _incremental() -> dict[str, Build]:
     columns = ["id", "service_request_id", "year", "report_type", "status", "op", "updated_ts"]
-
-    def log(t: Tables) -> DataFrame:
-        return t.report_cdc().select(*columns, "data")
+    before, since = "updated_ts < DATE'1999-06-01'", "updated_ts >= DATE'1999-06-01'"
 
     def upserted(t: Tables) -> DataFrame:
-        """State of the first years, stored; then the later changes merged in by time, deletes last."""
-        cut = F.lit("1999-06-01").cast("date")
-        newest = versions.latest(log(t).filter(F.col("updated_ts") < cut), ["id"], tombstones="keep")
-        state = materialise(newest, "state")
-        batch = versions.latest(log(t).filter(F.col("updated_ts") >= cut), ["id"], tombstones="keep")
-        merged = writers.merged(state, batch, ["id"], ["updated_ts"])
-        return predicates.not_deleted(merged).select(*columns)
+        """A table of the state of the first years; then the later changes merged in by time, deletes last."""
+        log = _cut(t.report_cdc())
+        newest = lambda rows: versions.latest(rows, ["id"], tombstones="keep")
+
+        def work(name: str) -> None:
+            writers.create_or_replace(newest(log.filter(before)), name)
+            writers.upsert(t.spark, name, newest(log.filter(since)), ["id"], newer_by=["updated_ts"])
+
+        return _carried(predicates.not_deleted(_through_table(t, work)))
 
     def streamed(t: Tables) -> DataFrame:
-        """The log as files, read back as a stream in about four batches."""
-        source, target = scratch_path(t.spark, "changes"), scratch_path(t.spark, "current")
-        staged = log(t)
-        staged.write.parquet(source)
-        files = len(t.spark.read.schema(staged.schema).parquet(source).inputFiles())
-        stream = changes.read_changes(t.spark, source, staged.schema, files_per_batch=max(1, -(-files // 4)))
-        changes.apply_cdc_stream(stream, target, scratch_path(t.spark, "progress")).awaitTermination()
-        return changes.current_rows(t.spark, target, staged.schema).select(*columns)
-
-    def refreshed(t: Tables) -> DataFrame:
-        bronze = refresh.Bronze(t.report_cdc(exports=True), t.request_cdc)
-        return quality.table_counts(refresh.refresh_tables(bronze, refresh.to_scratch, START_YEAR))
+        """The log as files, read back as a stream in batches of a file, compacted twice on the way."""
+        source, target, progress = (scratch_path(t.spark, n) for n in ("changes", "current", "progress"))
+        log = t.report_cdc().select(*columns, "updated_at", "data")
+        for part in range(3):
+            log.filter(F.pmod("id", F.lit(3)) == part).repartition(2, "id").write.mode("append").parquet(source)
+            stream = changes.read_changes(t.spark, source, log.schema, files_per_batch=1)
+            changes.apply_cdc_stream(stream, target, progress).awaitTermination()
+            if part < 2:
+                changes.compact(t.spark, target, log.schema)
+        rows = materialise(_carried(_cut(changes.current_rows(t.spark, target, log.schema))), "streamed")
+        release(t.spark, source, target, progress)
+        return rows
+
+    def refreshed(table: str) -> Build:
+        marts = () if table.startswith("silver") else (table,)
+
+        def build(t: Tables) -> DataFrame:
+            bronze = refresh.Bronze(t.report_cdc(exports=True), t.request_cdc)
+            return refresh.refresh_tables(bronze, refresh.to_scratch, START_YEAR, marts=marts)[table]
+
+        return build
+
+    def incremental(t: Tables) -> DataFrame:
+        """The canonical table as of an early log, then refreshed by what changed since."""
+
+        def make(log: DataFrame) -> DataFrame:
+            return silver.silver_reports(log, start_year=START_YEAR, tombstones="after")
+
+        def work(name: str) -> None:
+            log = t.report_cdc()
+            refresh.refresh(t.spark, make, log.filter(before), name)
+            refresh.refresh(t.spark, make, log, name, "incremental", since="1999-06-01", keys={"id": "report_id"})
+
+        return _through_table(t, work)
 
     def quarters(t: Tables) -> DataFrame:
         year, report_type = previous_quarter("o_orderdate")
@@ -335,20 +396,118 @@ def _incremental() -> dict[str, Build]:
             F.col("o_orderkey").alias("id"), year.alias("year"), report_type.alias("report_type")
         )
 
+    def cutoffs(t: Tables) -> DataFrame:
+        return t.table("orders").select(F.col("o_orderkey").alias("id"), days_before("o_orderdate", 45).alias("cutoff"))
+
+    def labelled(t: Tables) -> DataFrame:
+        text = F.concat(F.lit("ИИН: 1 "), F.when(F.col("c_custkey") % 4 > 0, F.lit("БИН: ")), F.col("c_custkey").cast("string"))
+        return t.table("customer").select(F.col("c_custkey").alias("id"), labelled_digits(text, "БИН").alias("digits"))
+
+    def bound(t: Tables) -> DataFrame:
+        t.table("orders").createOrReplaceTempView("bound_orders")
+        text = "SELECT o_orderkey AS id, o_orderstatus AS status FROM bound_orders WHERE o_orderstatus = :s AND o_custkey % :m = 0"
+        return readers.sql(t.spark, text, s="F", m=3)
+
     return {
         "inc_changed_since": lambda t: predicates.changed_since(t.report_cdc(), "1999-06-01 00:00:00").select(*columns),
         "inc_upsert_equals_full": upserted,
+        "inc_refresh_equals_full": incremental,
         "stream_cdc_equals_batch": streamed,
-        "refresh_table_counts": refreshed,
+        **{f"refresh_{name}": refreshed(name) for name in ("silver_reports", "silver_participants", "financing", "export_by_country")},
         "expr_previous_quarter": quarters,
+        "expr_days_before": cutoffs,
+        "expr_labelled_digits": labelled,
+        "src_bound_sql": bound,
+    }
+
+
+def _through_table(t: Tables, work: Callable[[str], None]) -> DataFrame:
+    """What a table holds after the work, kept apart so that the table itself can go."""
+    name = f"check_{uuid.uuid4().hex}"
+    try:
+        work(name)
+        return materialise(readers.read_table(t.spark, name), "table")
+    finally:
+        t.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _sinks() -> dict[str, Build]:
+    def rows(t: Tables) -> DataFrame:
+        kept = _cut(predicates.with_op(t.report_cdc(), "r", "c"))
+        return kept.select("id", "service_request_id", "report_type", "status", "updated_ts", *CARRIED, "year")
+
+    def sink(work: Callable[[Tables, DataFrame, str], None]) -> Build:
+        return lambda t: _through_table(t, lambda name: work(t, rows(t), name))
+
+    def replaced(t: Tables, df: DataFrame, name: str) -> None:
+        writers.create_or_replace(df, name)
+        writers.create_or_replace(df.filter("year >= 1998"), name, partition_by=["year"])
+
+    def overwritten(t: Tables, df: DataFrame, name: str) -> None:
+        writers.create_or_replace(df, name, partition_by=["year"])
+        writers.overwrite(df.filter("year < 1998"), name, partition_by=["year"])
+
+    def appended(t: Tables, df: DataFrame, name: str) -> None:
+        writers.create_or_replace(df.filter("year < 1998"), name, partition_by=["year"])
+        writers.append(df.filter("year >= 1998"), name, partition_by=["year"])
+
+    def partitions(t: Tables, df: DataFrame, name: str) -> None:
+        writers.create_or_replace(df, name, partition_by=["year"])
+        writers.overwrite_partitions(df.filter("year = 1997").withColumn("status", F.lit("kept")), name)
+
+    def full(t: Tables, df: DataFrame, name: str) -> None:
+        spec = TableSpec(name, df.schema, ("year",), "reports", props={"layer": "checks"})
+        create_table(t.spark, spec)
+        writers.full_refresh(df, spec)
+        writers.full_refresh(t.spark.table(name).filter("year <> 1996"), spec)
+
+    def backfilled(t: Tables, df: DataFrame, name: str) -> None:
+        writers.create_or_replace(df.withColumn("status", F.lit("old")), name, partition_by=["year"])
+        writers.refresh_years(lambda d: d.filter("year <> 1997"), df, name, [1996, 1997])
+
+    def deleted(t: Tables, df: DataFrame, name: str) -> None:
+        writers.create_or_replace(df, name, partition_by=["year"])
+        writers.delete_where(t.spark, name, "status = 'draft' AND year IN (1996, 1998) OR year = 1997")
+
+    def truncated(t: Tables, df: DataFrame, name: str) -> None:
+        writers.create_or_replace(df, name)
+        writers.truncate(t.spark, name)
+        writers.append(df.filter("year = 1998"), name)
+
+    def timed(t: Tables, df: DataFrame, name: str) -> None:
+        writers.create_or_replace(writers.with_load_time(df), name)
+
+    def exported(t: Tables) -> DataFrame:
+        """A sorted CSV export, read back with the line numbers that the order gives."""
+        df, path = rows(t).drop("updated_ts"), scratch_path(t.spark, "export")
+        order = (F.desc("year"), F.asc("report_type"), F.desc("id"))
+        writers.export_csv(aggregates.sort_for_export(df, *order), path, order)
+        return t.spark.read.schema(df.schema).option("header", True).csv(path)
+
+    return {
+        "sink_create_or_replace": sink(replaced),
+        "sink_overwrite": sink(overwritten),
+        "sink_append": sink(appended),
+        "sink_overwrite_partitions": sink(partitions),
+        "sink_full_refresh": sink(full),
+        "sink_years_backfill": sink(backfilled),
+        "sink_delete_where": sink(deleted),
+        "sink_truncate": sink(truncated),
+        "sink_load_time": lambda t: sink(timed)(t).filter("etl_loaded_at IS NOT NULL").drop("etl_loaded_at"),
+        "sink_sorted_csv": exported,
     }
 
 
 def builds() -> dict[str, Build]:
     out: dict[str, Build] = {}
-    for family in (_versions, _silver_tables, _gold_tables, _summaries, _quality, _bi, _visits, _crm, _incremental):
+    for family in (_versions, _silver_tables, _gold_tables, _summaries, _quality, _bi, _visits, _crm, _incremental, _sinks):
         out |= family()
-    return out | {f"reg_{name}": _registry(name) for name in ("residents", *registry.REGISTRIES)}
+    out |= {f"reg_{name}": _registry(name) for name in ("residents", *registry.REGISTRIES)}
+    return out | {
+        "reg_nonresidents_quarter": _registry("nonresidents", year=1998, report_type="quarter2"),
+        "reg_residents_year": _registry("residents", year=1997),
+        "reg_family_renamed": _registry("nonresidents_family", rename_keys={registry.HOST_KEY: "documents"}),
+    }
 
 
 def _on(build: Build) -> Callable[[SparkSession, str], DataFrame]:

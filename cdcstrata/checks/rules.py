@@ -77,9 +77,13 @@ INCOME_VALUE = "CASE WHEN k % 17 = 0 OR k % 19 = 0 OR k % 23 = 0 THEN NULL ELSE
 # Envelope columns of a version.
 ENVELOPE = {
     "id": "k",
-    "service_request_id": "c",
+    "service_request_id": "CASE WHEN k % 97 <> 0 THEN c END",
     "year": "y",
-    "report_type": "CASE WHEN k % 11 = 0 THEN 'yearly' ELSE 'quarter' || CAST(q AS STRING) END",
+    # The oldest kind of update moves a report to the next quarter, and so to another natural key.
+    "report_type": (
+        "CASE WHEN k % 11 = 0 THEN 'yearly' WHEN lag = 3 THEN 'quarter' || CAST(q % 4 + 1 AS STRING) "
+        "ELSE 'quarter' || CAST(q AS STRING) END"
+    ),
     "status": "CASE WHEN s = 'P' THEN 'draft' ELSE 'signed' END",
     "version": "'1.' || CAST(k % 4 AS STRING)",
     "created_at": "d",

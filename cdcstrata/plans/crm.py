@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdcstrata.operators.aggregates import sum_or_zero
 from cdcstrata.operators.versions import latest
+from cdcstrata.sources.writers import merged
 
 # Fixed values that decide results.
 WON = "Успешно реализовано"
@@ -288,3 +291,29 @@ def entity_changes_since(df: DataFrame, since_epoch: int) -> DataFrame:
 
 # Load order of the entities: directories first, then what refers to them.
 LOAD_ORDER = ("pipelines", "users", "companies", "contacts", "leads", "tasks")
+
+
+def load_entities(
+    changes: Mapping[str, DataFrame],
+    save: Callable[[DataFrame, str], DataFrame],
+    before: Mapping[str, DataFrame] | None = None,
+    since_epoch: int | None = None,
+) -> dict[str, DataFrame]:
+    """Load the entities in dependency order; returns the tables as ``save`` hands them back.
+
+    With ``before``, the tables of an earlier load, only rows changed ``since_epoch`` are taken and merged in by id, the
+    later change winning. Directories without a change time (pipelines, users) are taken whole.
+    """
+    out: dict[str, DataFrame] = {}
+    for name in LOAD_ORDER:
+        if name not in changes:
+            continue
+        rows = changes[name]
+        if before and name in before and "updated_at" in rows.columns:
+            if since_epoch is not None:
+                rows = entity_changes_since(rows, since_epoch)
+            rows = merged(before[name], _newest(rows), ["id"], ["updated_at"])
+        elif "updated_at" in rows.columns:
+            rows = _newest(rows)
+        out[name] = save(rows, name)
+    return out

@@ -199,6 +199,12 @@ REPORT_MART_25 = (
     "oked",
     "executor_fullname",
 )
+REPORT_MART_27 = (
+    *REPORT_MART_25,
+    "finance_source_increase_authorized_capital",
+    "finance_source_loan_foreign",
+)
+REPORT_MART_28 = (*REPORT_MART_27, "cdc_operation")
 
 
 def typed(doc: str, field: str, ints: Iterable[str] = ()) -> Column:

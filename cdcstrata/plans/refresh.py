@@ -28,10 +28,11 @@ def refresh_tables(
     save: Callable[[DataFrame, str], DataFrame],
     start_year: int | None = FIRST_YEAR,
     cert_fallback: int = 3,
+    marts: Sequence[str] = (*gold.MARTS, "export_by_country"),
 ) -> dict[str, DataFrame]:
     """Build silver once, resolve certificates once, then project the marts from what was written.
 
-    ``save(df, name)`` writes a table and returns it as read back; every mart reads that copy, so the logs
+    ``marts`` names those that are wanted. ``save(df, name)`` writes a table and returns it as read back; every mart reads that copy, so the logs
     are scanned and parsed once however many marts there are. Marts write with their load time.
     """
     reports = save(silver.silver_reports(bronze.reports, "masked_first", start_year=start_year), "silver_reports")
@@ -39,6 +40,8 @@ def refresh_tables(
     out = {"silver_reports": reports, "silver_participants": participants}
     if bronze.companies is not None:
         out["silver_companies"] = save(silver.silver_companies(bronze.companies), "silver_companies")
+    if not marts:
+        return out
     resolved = save(
         gold.certificate_for(
             signed(reports),
@@ -48,9 +51,11 @@ def refresh_tables(
         "report_certificates",
     )
     for name, mart in gold.MARTS.items():
-        out[name] = save(mart(resolved), name)
-    by_country = gold.export_by_country(resolved, bronze.reports, start_year=start_year)
-    out["export_by_country"] = save(by_country, "export_by_country")
+        if name in marts:
+            out[name] = save(mart(resolved), name)
+    if "export_by_country" in marts:
+        by_country = gold.export_by_country(resolved, bronze.reports, start_year=start_year)
+        out["export_by_country"] = save(by_country, "export_by_country")
     return out
 
 

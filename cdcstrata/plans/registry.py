@@ -259,8 +259,12 @@ def run_registry(
     year: int | None = None,
     report_type: str | None = None,
     use_flag: bool = True,
+    rename_keys: dict[str, str] | None = None,
 ) -> DataFrame:
-    """One registry job by name: ``summary``, ``residents`` or a key of ``REGISTRIES``."""
+    """One registry job by name: ``summary``, ``residents`` or a key of ``REGISTRIES``.
+
+    ``rename_keys`` maps an output column to the item key that holds it in the payload at hand.
+    """
     if name == "summary":
         if year is None:
             raise ValueError("the summary registry is made for one year")
@@ -271,7 +275,5 @@ def run_registry(
         raise ValueError(f"unknown registry {name!r}")
     spec = REGISTRIES[name]
     flag = spec.flag if use_flag else None
-    return unnest_registry(registry_base(reports, requests, companies, None, year, report_type, flag), spec)
-
-
-REGISTRY_NAMES = ("summary", "residents", *REGISTRIES)
+    base = registry_base(reports, requests, companies, None, year, report_type, flag)
+    return unnest_registry(base, spec, rename_keys=rename_keys)
