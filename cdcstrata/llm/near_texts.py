@@ -233,6 +233,17 @@ def _tied(large: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "run int, bucket bigint, class_id bigint, pivots array<bigint>, stays boolean")
 
 
+def _ties(tied: DataFrame) -> DataFrame:
+    """Links that connect every set with all of its pivots: with the first, and the first with the others.
+
+    The latter are links between a bucket's few pivots, the same for many sets.
+    """
+    first = F.get("pivots", F.lit(0))
+    own = tied.filter(F.size("pivots") > 0).select(F.col("class_id").alias("a"), first.alias("b"))
+    sets = tied.filter(F.size("pivots") > 1).select("pivots").distinct()
+    return own.unionByName(sets.select(first.alias("a"), F.explode("pivots").alias("b")))
+
+
 def _block_pairs(rows: DataFrame, keys: list[str], blocks: str) -> DataFrame:
     """Each row once for every pair of blocks that its own is part of: as many rows as its group has blocks."""
     own = F.pmod(F.xxhash64("class_id", F.lit(3)), F.col(blocks)).cast("int")
@@ -290,7 +301,7 @@ def _candidates(classes: DataFrame, n_runs: int) -> DataFrame:
         shared = kept(rows.join(counts, "bucket").join(sketches, "class_id"), "shared-paths")
         small.append(shared.filter(F.col("members") <= SMALL).select("bucket", "class_id", "sketch"))
         tied = kept(_tied(shared.filter(F.col("members") > SMALL)), "tied-paths")
-        found.append(tied.select(F.col("class_id").alias("a"), F.explode("pivots").alias("b")))
+        found.append(_ties(tied))
         staying = tied.filter("stays").select("run", "bucket", "class_id")
         if level + 1 < LEVELS:
             rows = branched(staying.join(classes.select("class_id", "choices"), "class_id"), level + 1)
