@@ -1,14 +1,26 @@
-"""How much of a table a Python worker holds at a time."""
+"""What Python workers need from the session: this package on their path, and batches of bounded size."""
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 #: Spark's own limit is 64 MB a batch, of which a task holds a few copies in either process.
 BATCH_BYTES = "8m"
+_ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def bound_batches(spark: SparkSession) -> SparkSession:
-    """Limit the batches that go to Python by bytes, whatever the length of the texts; a setting of the session."""
+    """Limit the batches that go to Python by bytes, whatever the length of the texts, and let workers find this package.
+
+    Workers start in a folder of their own, so the driver's path does not hold there; on a cluster the package lies
+    at the same place on every node, or comes with ``--py-files``.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
     return spark

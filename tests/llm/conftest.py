@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from cdcstrata.llm.batches import bound_batches
+
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -11,6 +13,11 @@ def prose(seed: int, words: int) -> str:
     return " ".join("".join(r.choice(syllables) for _ in range(r.randint(1, 4))) for _ in range(words))
 
 
+@pytest.fixture(scope="session", autouse=True)
+def workers(spark):
+    return bound_batches(spark)
+
+
 @pytest.fixture(scope="session")
 def make_docs(spark):
     """Documents from texts, or from (doc_id, text) pairs; sources go round."""
