@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcstrata.llm import mixing, near_texts, near_vectors, pieces, quality, secrets, shards, syncmers, token_files, toxicity
+from cdcstrata.llm import mixing, near_texts, near_vectors, oracle, pieces, quality, secrets, shards, syncmers, token_files, toxicity
 from cdcstrata.llm.batches import bound_batches
 from cdcstrata.llm.vocabularies import vocabulary
 
@@ -75,4 +75,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return oracle.oracle_sql() | whole
