@@ -243,8 +243,8 @@ def manager_activity(leads: DataFrame, tasks: DataFrame, users: DataFrame) -> Da
 def client_analytics(leads: DataFrame, companies: DataFrame) -> DataFrame:
     """Per company: leads, outcomes, revenue, first and last deal, and its tags as sorted text.
 
-    Leads are summed per company before the company table is joined. Tags are made distinct per company by
-    an aggregate of their own, so what is gathered for one company is its tag vocabulary, not its leads.
+    Leads are summed per company before the company table is joined, tags in the same aggregate: what is gathered for
+    one company is the different sets of tags that its leads carry, made distinct on the map side, not its leads.
     """
     linked = _live(leads).select(
         F.explode("company_ids").alias("company_id"), "price", "is_won", "is_lost", "created_at", "tags"
@@ -257,17 +257,12 @@ def client_analytics(leads: DataFrame, companies: DataFrame) -> DataFrame:
         F.min(F.col("created_at").cast("date")).alias("first_deal_date"),
         F.max(F.col("created_at").cast("date")).alias("last_deal_date"),
         sum_or_zero("price").alias("total_price"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("tags")))).alias("tags"),
     )
-    tags = (
-        linked.select("company_id", F.explode("tags").alias("tag"))
-        .distinct()
-        .groupBy("company_id")
-        .agg(F.array_join(F.array_sort(F.collect_list("tag")), ", ").alias("tags"))
-    )
+    totals = totals.withColumn("tags", F.when(F.size("tags") > 0, F.array_join("tags", ", ")))
     company = companies.select("company_id", "company_name", "bin")
     return (
-        totals.join(tags, "company_id", "left")
-        .join(company, "company_id", "left")
+        totals.join(company, "company_id", "left")
         .withColumn("avg_deal_price", F.expr("total_price div total_leads"))
         .drop("total_price")
     )
