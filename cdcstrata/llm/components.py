@@ -20,7 +20,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     clean = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
     edges_path = store(clean, "links")
     edges = spark.read.schema("a bigint, b bigint").parquet(edges_path)
-    nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     labels_path = store(nodes.select("node", F.col("node").alias("component")), "labels")
     labels = spark.read.schema("node bigint, component bigint").parquet(labels_path)
     while not edges.isEmpty():

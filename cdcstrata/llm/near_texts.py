@@ -244,6 +244,31 @@ def _ties(tied: DataFrame) -> DataFrame:
     return own.unionByName(sets.select(first.alias("a"), F.explode("pivots").alias("b")))
 
 
+def _thinned(links: DataFrame, most: int = 1 << 20) -> DataFrame:
+    """Links that connect what the given ones connect, with few rounds in them.
+
+    All links of a set come to one task, which replaces up to ``most`` links at a time by a spanning forest.
+    """
+
+    def forest(x: list[np.ndarray], y: list[np.ndarray]) -> pa.RecordBatch:
+        ids, ends = np.unique(np.concatenate([*x, *y]), return_inverse=True)
+        return _edges(ids, *np.split(ends, 2))
+
+    def run(batches):
+        x, y, size = [], [], 0
+        for batch in batches:
+            x.append(batch.column(0).to_numpy())
+            y.append(batch.column(1).to_numpy())
+            size += len(batch)
+            if size >= most:
+                yield forest(x, y)
+                x, y, size = [], [], 0
+        if size:
+            yield forest(x, y)
+
+    return links.repartition("a").mapInArrow(run, "a bigint, b bigint")
+
+
 def _block_pairs(rows: DataFrame, keys: list[str], blocks: str) -> DataFrame:
     """Each row once for every pair of blocks that its own is part of: as many rows as its group has blocks."""
     own = F.pmod(F.xxhash64("class_id", F.lit(3)), F.col(blocks)).cast("int")
@@ -310,8 +335,7 @@ def _candidates(classes: DataFrame, n_runs: int) -> DataFrame:
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
-    ends = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = materialise(ends.filter("a < b").distinct(), "candidates")
+    links = materialise(_thinned(links.filter("a <> b")), "candidates")
     release(spark, *paths)
     return links
 
