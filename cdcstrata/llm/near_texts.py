@@ -6,7 +6,8 @@ one with the probability of their Jaccard index. A bucket is the path of choices
 little part at every level, common passages do not hold a bucket together. A bucket of up to ``SMALL`` sets is
 compared by brute force. A larger one is first compared with a few pivots: a set that is very near a pivot is tied to it
 and stops there, since whatever it links with is near the pivot, too, and tied to it as well. The rest goes on to the
-next level. What is still in a large bucket after the last level is brute-forced in pairs of blocks. A level misses
+next level. A bucket of near copies, nearly all tied to one pivot, ends there: its few other sets are compared with all of
+it. What is still in a large bucket after the last level is brute-forced in pairs of blocks. A level misses
 a link of the least similarity with probability (1 - LEAST) ** BRANCHES and runs repeat, with other hashes, until
 the target recall is met: two of them for 0.999.
 
@@ -241,7 +242,41 @@ def _ties(tied: DataFrame) -> DataFrame:
     first = F.get("pivots", F.lit(0))
     own = tied.filter(F.size("pivots") > 0).select(F.col("class_id").alias("a"), first.alias("b"))
     sets = tied.filter(F.size("pivots") > 1).select("pivots").distinct()
-    return own.unionByName(sets.select(first.alias("a"), F.explode("pivots").alias("b")))
+    return own.unionByName(sets.select(first.alias("a"), F.explode("pivots").alias("b")).distinct())
+
+
+def _nearly_tied(tied: DataFrame) -> DataFrame:
+    """Large buckets all but ``SMALL`` of whose sets are tied to one pivot, their ``main``: groups of near copies.
+
+    The tied ones are connected already, so such a bucket is done when the others are compared with all of it.
+    """
+    votes = tied.select("bucket", F.explode("pivots").alias("pivot")).groupBy("bucket", "pivot")
+    votes = votes.agg(F.count(F.lit(1)).alias("near"))
+    best = votes.groupBy("bucket").agg(
+        F.max_by("pivot", F.struct("near", "pivot")).alias("main"), F.max("near").alias("near")
+    )
+    sizes = tied.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
+    blocks = F.ceil(F.col("members") / SKETCH_BLOCK).cast("int").alias("blocks")
+    return sizes.join(best, "bucket").filter(F.col("members") - F.col("near") <= SMALL).select("bucket", "main", blocks)
+
+
+def _closed(rows: DataFrame) -> DataFrame:
+    """Candidate links of the sets that are not tied to their bucket's main pivot, with all sets of the bucket."""
+    far = ~F.array_contains("pivots", F.col("main"))
+    own = F.pmod(F.xxhash64("class_id", F.lit(5)), F.col("blocks")).cast("int")
+    places = F.when(F.col("far"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
+    dealt = rows.withColumn("far", far).select("bucket", "class_id", "sketch", "far", F.explode(places).alias("block"))
+    dealt = dealt.repartition("bucket", "block").sortWithinPartitions("bucket", "block")
+
+    def one(key: tuple, table: pa.Table) -> pa.RecordBatch:
+        sketches, xs, ys = _sketches(table), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for k in np.flatnonzero(table["far"].to_numpy()).tolist():
+            hit = np.flatnonzero(estimates(sketches[k], sketches) >= MAYBE)
+            xs.append(np.full(len(hit), k))
+            ys.append(hit)
+        return _edges(table["class_id"].to_numpy(), np.concatenate(xs), np.concatenate(ys))
+
+    return _by_group(dealt, ["bucket", "block"], one, "a bigint, b bigint")
 
 
 def _thinned(links: DataFrame, most: int = 1 << 20) -> DataFrame:
@@ -326,8 +361,9 @@ def _candidates(classes: DataFrame, n_runs: int) -> DataFrame:
         shared = kept(rows.join(counts, "bucket").join(sketches, "class_id"), "shared-paths")
         small.append(shared.filter(F.col("members") <= SMALL).select("bucket", "class_id", "sketch"))
         tied = kept(_tied(shared.filter(F.col("members") > SMALL)), "tied-paths")
-        found.append(_ties(tied))
-        staying = tied.filter("stays").select("run", "bucket", "class_id")
+        closing = kept(_nearly_tied(tied), "closing-paths")
+        found += [_ties(tied), _closed(tied.join(closing, "bucket").join(sketches, "class_id"))]
+        staying = tied.filter("stays").join(closing, "bucket", "left_anti").select("run", "bucket", "class_id")
         if level + 1 < LEVELS:
             rows = branched(staying.join(classes.select("class_id", "choices"), "class_id"), level + 1)
     found += [_small_buckets(s) for s in small]
