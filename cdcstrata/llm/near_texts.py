@@ -4,10 +4,10 @@ Every text is its set of word shingles; equal sets are one class, compared once.
 ``BRANCHES`` of its shingles, each the one of least hash under a hash function of its own, so that two sets choose the same
 one with the probability of their Jaccard index. A bucket is the path of choices made so far, and as sets that share
 little part at every level, common passages do not hold a bucket together. A bucket of up to ``SMALL`` sets is
-compared by brute force. A larger one is first compared with a few pivots: a set that is very near a pivot is tied to it
-and stops there, since whatever it links with is near the pivot, too, and tied to it as well. The rest goes on to the
-next level. A bucket of near copies, nearly all tied to one pivot, ends there: its few other sets are compared with all of
-it. What is still in a large bucket after the last level is brute-forced in pairs of blocks. A level misses
+compared by brute force, one of up to ``MEDIUM`` in pairs of blocks. A larger one is first compared with a few pivots: a
+set that is very near a pivot is tied to it and stops there, since whatever it links with is near the pivot, too, and tied
+to it as well. The rest goes on to the next level. A bucket of near copies, nearly all tied to one pivot, ends there: its
+few other sets are compared with all of it. What is still in a large bucket after the last level is brute-forced in pairs of blocks. A level misses
 a link of the least similarity with probability (1 - LEAST) ** BRANCHES and runs repeat, with other hashes, until
 the target recall is met: two of them for 0.999.
 
@@ -37,7 +37,7 @@ from cdcstrata.sources.scratch import materialise, release, store
 LEAST = 0.8
 TARGET = 0.999
 BRANCHES, LEVELS = 3, 3
-SMALL, PIVOTS = 64, 4
+SMALL, MEDIUM, PIVOTS = 64, 4096, 4
 BINS = 64
 MAYBE = 0.6  # the least estimate that makes two sets candidates
 STOPS = 0.85  # an estimate at which a set stops at its pivot
@@ -314,25 +314,23 @@ def _block_pairs(rows: DataFrame, keys: list[str], blocks: str) -> DataFrame:
 
 
 def _in_blocks(left: DataFrame) -> DataFrame:
-    """Candidate links within the buckets that no level has split, by pairs of blocks."""
+    """Candidate links within buckets, by pairs of blocks: the medium ones and those that no level has split."""
     counts = left.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / SKETCH_BLOCK).cast("int").alias("blocks"))
     dealt = _block_pairs(left.join(counts, "bucket").select("bucket", "class_id", "sketch", "blocks"), ["bucket"], "blocks")
 
-    def run(batches):
-        for table in _groups(batches, ["bucket", "low", "high"]):
-            keys = np.stack([table[k].to_numpy() for k in ("bucket", "low", "high")], axis=1)
-            starts = np.flatnonzero(np.any(np.diff(keys, axis=0, prepend=keys[:1] - 1), axis=1))
-            rows, xs, ys = _sketches(table), [], []
-            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(table)], strict=True):
-                for k in range(a, b - 1):
-                    hit = np.flatnonzero(estimates(rows[k], rows[k + 1 : b]) >= MAYBE) + k + 1
-                    xs.append(np.full(len(hit), k))
-                    ys.append(hit)
-            none = np.empty(0, np.int64)
-            yield _edges(table["class_id"].to_numpy(), np.concatenate([none, *xs]), np.concatenate([none, *ys]))
-
-    columns = ["bucket", "low", "high", "class_id", "sketch"]
-    return dealt.select(*columns).mapInArrow(run, "a bigint, b bigint")
+    def one(key: tuple, table: pa.Table) -> pa.RecordBatch:
+        sketches, own = _sketches(table), table["own"].to_numpy()
+        xs, ys = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        others = np.flatnonzero(own == key[2])
+        for k in np.flatnonzero(own == key[1]).tolist():
+            against = others[others > k] if key[1] == key[2] else others
+            hit = against[estimates(sketches[k], sketches[against]) >= MAYBE]
+            xs.append(np.full(len(hit), k))
+            ys.append(hit)
+        return _edges(table["class_id"].to_numpy(), np.concatenate(xs), np.concatenate(ys))
+
+    columns = ["bucket", "low", "high", "own", "class_id", "sketch"]
+    return _by_group(dealt.select(*columns), ["bucket", "low", "high"], one, "a bigint, b bigint")
 
 
 def _candidates(classes: DataFrame, n_runs: int) -> DataFrame:
@@ -354,20 +352,21 @@ def _candidates(classes: DataFrame, n_runs: int) -> DataFrame:
     each = classes.select("class_id", "choices", F.explode(F.sequence(F.lit(0), F.lit(n_runs - 1))).alias("run"))
     rows = branched(each.withColumn("bucket", F.col("run").cast("bigint")), 0)
     sketches = classes.select("class_id", "sketch")
-    small, found = [], []
+    small, medium, found = [], [], []
     for level in range(LEVELS):
         rows = kept(rows, "paths")
         counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
         shared = kept(rows.join(counts, "bucket").join(sketches, "class_id"), "shared-paths")
         small.append(shared.filter(F.col("members") <= SMALL).select("bucket", "class_id", "sketch"))
-        tied = kept(_tied(shared.filter(F.col("members") > SMALL)), "tied-paths")
+        medium.append(shared.filter(F.col("members").between(SMALL + 1, MEDIUM)).select("bucket", "class_id", "sketch"))
+        tied = kept(_tied(shared.filter(F.col("members") > MEDIUM)), "tied-paths")
         closing = kept(_nearly_tied(tied), "closing-paths")
         found += [_ties(tied), _closed(tied.join(closing, "bucket").join(sketches, "class_id"))]
         staying = tied.filter("stays").join(closing, "bucket", "left_anti").select("run", "bucket", "class_id")
         if level + 1 < LEVELS:
             rows = branched(staying.join(classes.select("class_id", "choices"), "class_id"), level + 1)
     found += [_small_buckets(s) for s in small]
-    found.append(_in_blocks(staying.join(sketches, "class_id")))
+    found += [_in_blocks(m) for m in (*medium, staying.join(sketches, "class_id"))]
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)

@@ -58,10 +58,13 @@ def test_equals_all_pairs(spark, make_docs, corpus):
     assert len({r["class_id"] for r in rows}) < len(rows) - 150
 
 
-def test_blocks_of_big_groups(spark, make_docs, corpus, monkeypatch):
+@pytest.mark.parametrize("medium", [9, 60, 4096])
+def test_blocks_of_big_groups(spark, make_docs, corpus, monkeypatch, medium):
     """Groups in several blocks, and buckets that no level splits."""
     monkeypatch.setattr(N, "BLOCK", 20)
     monkeypatch.setattr(N, "SMALL", 8)
+    monkeypatch.setattr(N, "SKETCH_BLOCK", 30)
+    monkeypatch.setattr(N, "MEDIUM", medium)
     some = corpus[-150:]
     rows = N.jaccard_join(make_docs(some)).collect()
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in rows} == brute(some)
