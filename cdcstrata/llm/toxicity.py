@@ -1,16 +1,17 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words in lower case and, for words of over five letters, their first five. A bounded sample of labelled rows
-(``PER_LABEL`` of either label, of at most ``MOST_CHARS`` characters, near copies left out) tells which terms go with a label at all, by the
-likelihood ratio; those, ``MOST_TERMS`` at most, are the vector space. Document frequencies are counted over all
-documents. The examples with at least one term are indexed: postings by term in blocks of 64 examples, each with its
-greatest weight. A query adds up the bounds of every block, opens blocks from the highest bound down, and stops when no
-bound reaches its k-th best cosine, so the neighbours are exact.
-
-Neighbours vote with weights that fall with their distance, either label weighted to its share among all labelled rows.
-Votes are calibrated by a logistic fit to the examples' own votes, each without itself and its copies. A text
-without any term, null and empty ones among them, gets the share of label 1 among examples like it. Evidence is the
-nearest examples with their cosines.
+Terms are words in lower case and, for words of over five letters, their first five. The vector space holds every term
+of a bounded sample of labelled rows (``PER_LABEL`` of either label, of at most ``MOST_CHARS`` characters, near copies
+left out); a term that no example has can match none. Document frequencies are counted over all documents. The examples
+are indexed: a matrix for the terms that many of them hold, whose part of the cosine is taken for 64 queries at once, and
+for the others postings by term in blocks of 64 examples, each with its greatest weight. A query adds up the bounds of
+every block, opens blocks from the highest bound down, and stops when no bound reaches its k-th best cosine, so the
+neighbours are exact.
+
+A neighbour's vote grows with its cosine, and with the part of it that lies in terms that go with a label, by the
+likelihood ratio; either label is weighted to its share among all labelled rows. Votes are calibrated by a logistic fit
+to the examples' own votes, each without itself and its copies. A text without any term, null and empty ones among them,
+gets the share of label 1 among examples like it. Evidence is the nearest examples with their cosines.
 
 Without a labelled row the score is the smoothed share, a half, for every row; likewise with one label only, their share.
 Repeated rows are scored alike.
@@ -18,9 +19,11 @@ Repeated rows are scored alike.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,9 +35,11 @@ from cdcstrata.llm.labelled import Sample, held_out, labelled_sample
 from cdcstrata.sources.scratch import materialise
 
 PER_LABEL, MOST_CHARS = 2000, 20_000
-MOST_TERMS, LEAST_ROWS, LEAST_RATIO = 4096, 3, 30.0  # the last: by chance, one term in some ten million
+LEAST_RATIO = 10.0  # from which a term says something of a label: by chance, one in some 600
 BLOCK = 64
-NEIGHBOURS, EVIDENCE = 15, 3
+QUERIES = 64
+COMMON, MOST_COMMON = 16, 1024  # a term that one example in so many holds is common; at most so many terms are
+NEIGHBOURS, EVIDENCE = 30, 3
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
 STEM = 5
@@ -68,8 +73,8 @@ def independent(sample: Sample) -> Sample:
     return Sample(texts, ids, sample.rows)
 
 
-def telling_terms(sample: Sample) -> list[str]:
-    """The terms whose presence goes with a label, best first."""
+def sample_terms(sample: Sample) -> tuple[list[str], np.ndarray]:
+    """All terms of the sample, in order, and the likelihood ratio of each term's presence and the label."""
     clean, toxic = (Counter(t for x in some for t in terms(x)) for some in sample.texts)
     n0, n1 = map(len, sample.texts)
 
@@ -82,26 +87,44 @@ def telling_terms(sample: Sample) -> list[str]:
         cells = ((a, have, n1), (b, have, n0), (n1 - a, n - have, n1), (n0 - b, n - have, n0))
         return 2 * sum(part(x, row * column / n) for x, row, column in cells)
 
-    known = [t for t in clean.keys() | toxic.keys() if clean[t] + toxic[t] >= LEAST_ROWS]
-    found = sorted(((-ratio(t), t) for t in known))
-    return [t for r, t in found[:MOST_TERMS] if -r >= LEAST_RATIO]
+    known = sorted(clean.keys() | toxic.keys())
+    return known, np.array([ratio(t) for t in known])
 
 
-Vector = tuple[tuple[int, float], ...]
+Vector = Sequence[tuple[int, float]] | np.ndarray  # terms, in order, with their weights
+
+
+def _split(vector: Vector) -> tuple[np.ndarray, np.ndarray]:
+    pairs = np.asarray(vector, np.float64).reshape(-1, 2)
+    return pairs[:, 0].astype(np.int64), pairs[:, 1]
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 @dataclass
 class Space:
-    """Terms and how rare they are among all documents."""
+    """Terms, how rare they are among all documents, and how much they tell of a label."""
 
     number: dict[str, int]
     idf: np.ndarray
+    telling: np.ndarray
 
-    def vector(self, counts: dict[int, int]) -> Vector:
+    def vector(self, found: Sequence[int], counts: Sequence[int]) -> np.ndarray:
         """Weights by term, of length one; empty without a term."""
-        raw = [(t, (1 + math.log(n)) * float(self.idf[t])) for t, n in sorted(counts.items())]
-        length = math.sqrt(sum(w * w for _, w in raw))
-        return tuple((t, w / length) for t, w in raw)
+        found, counts = np.asarray(found, np.int64), np.asarray(counts, np.float64)
+        order = np.argsort(found)
+        weights = ((1 + np.log(counts)) * self.idf[found])[order]
+        return np.stack([found[order], weights / math.sqrt(weights @ weights) if len(found) else weights], axis=1)
+
+    def telling_part(self, vector: np.ndarray) -> dict[int, float]:
+        """The weights of the terms that go with a label."""
+        t, w = _split(vector)
+        some = self.telling[t] > 0
+        return dict(zip(t[some].tolist(), w[some].tolist(), strict=True))
 
 
 def hits(number: dict[str, int], text: str | None) -> dict[int, int]:
@@ -121,43 +144,95 @@ class BlockMaxIndex:
     """
 
     def __init__(self, vectors: list[Vector]):
-        self.order = sorted((k for k, v in enumerate(vectors) if v), key=lambda k: (sorted(vectors[k], key=lambda x: -x[1]), k))
-        postings: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for place, k in enumerate(self.order):
-            for t, w in vectors[k]:
-                postings.setdefault((t, place // BLOCK), []).append((place % BLOCK, w))
-        self.blocks = -(-len(self.order) // BLOCK)
-        self.postings = {key: (np.array([p for p, _ in x]), np.array([w for _, w in x])) for key, x in postings.items()}
-        bounds: dict[int, list[tuple[int, float]]] = {}
-        for (t, b), (_, w) in self.postings.items():
-            bounds.setdefault(t, []).append((b, float(w.max())))
-        self.bounds = {t: (np.array([b for b, _ in x]), np.array([w for _, w in x])) for t, x in bounds.items()}
+        split = [_split(v) for v in vectors]
+        heaviest = [tuple(t[np.argsort(-w, kind="stable")[:8]].tolist()) for t, w in split]
+        self.order = np.array(sorted((k for k, (t, _) in enumerate(split) if len(t)), key=lambda k: (heaviest[k], k)), np.int64)
+        held = [split[k] for k in self.order]
+        terms = np.concatenate([t for t, _ in held]) if held else np.zeros(0, np.int64)
+        places = np.repeat(np.arange(len(held), dtype=np.int32), [len(t) for t, _ in held])
+        weights = np.concatenate([w for _, w in held]) if held else np.zeros(0)
+        by_term = np.lexsort((places, terms))
+        terms, places, weights = terms[by_term], places[by_term], weights[by_term]
+        self.terms = int(terms[-1]) + 1 if len(terms) else 0
+        held_by = np.bincount(terms, minlength=self.terms)
+        common = np.argsort(-held_by, kind="stable")[:MOST_COMMON]
+        common = common[held_by[common] * COMMON >= len(held)]
+        self.column = np.full(self.terms, -1)
+        self.column[common] = np.arange(len(common))
+        dense = self.column[terms] >= 0
+        self.matrix = np.zeros((len(held), len(common)))
+        self.matrix[places[dense], self.column[terms[dense]]] = weights[dense]
+        terms, self.places, self.weights = terms[~dense], places[~dense], weights[~dense]
+        self.blocks = -(-len(held) // BLOCK)
+        # A group is the postings of a term in a block.
+        block = self.places // BLOCK
+        new = np.ones(len(terms), bool)
+        new[1:] = (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])
+        begins = np.nonzero(new)[0]
+        self.begins = np.append(begins, len(terms))
+        self.block = block[begins]
+        self.most = np.maximum.reduceat(self.weights, begins) if len(begins) else np.zeros(0)
+        self.first = np.searchsorted(terms[begins], np.arange(self.terms + 1))  # group of each term
 
     def nearest(self, query: Vector, k: int) -> list[tuple[float, int]]:
         """The k greatest cosines with their vectors' numbers; vectors without a common term are not listed."""
-        bound = np.zeros(self.blocks)
-        for t, w in query:
-            if t in self.bounds:
-                blocks, most = self.bounds[t]
-                bound[blocks] += w * most
-        found: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(found) == k and bound[b] < -found[-1][0] - 1e-12:
-                break
-            cosine = np.zeros(min(BLOCK, len(self.order) - b * BLOCK))
-            for t, w in query:
-                if (t, b) in self.postings:
-                    places, weights = self.postings[t, b]
-                    cosine[places] += w * weights
-            found += [(-float(c), self.order[b * BLOCK + p]) for p, c in enumerate(cosine) if c > 0]
-            found = sorted(found)[:k]
-        return [(-c, i) for c, i in found]
+        return self.nearest_all([query], k)[0]
+
+    def nearest_all(self, queries: Sequence[Vector], k: int) -> list[list[tuple[float, int]]]:
+        """The nearest ones of each query."""
+        result = []
+        for at in range(0, len(queries), QUERIES):
+            split = [_split(q) for q in queries[at : at + QUERIES]]
+            split = [(t[t < self.terms], w[t < self.terms]) for t, w in split]
+            dense = np.zeros((len(split), self.matrix.shape[1]))
+            for row, (t, w) in zip(dense, split, strict=True):
+                column = self.column[t]
+                row[column[column >= 0]] = w[column >= 0]
+            parts = dense @ self.matrix.T
+            result += [self._nearest(*q, row, part, k) for q, row, part in zip(split, dense, parts, strict=True)]
+        return result
+
+    def _nearest(self, t: np.ndarray, w: np.ndarray, dense: np.ndarray, part: np.ndarray, k: int) -> list[tuple[float, int]]:
+        if not len(part):
+            return []
+        sizes = self.first[t + 1] - self.first[t]
+        groups, share = _ranges(self.first[t], sizes), np.repeat(w, sizes)
+        block = self.block[groups]
+        bound = np.bincount(block, share * self.most[groups], self.blocks)
+        bound = bound + np.maximum.reduceat(part, np.arange(0, len(part), BLOCK))
+        # What the matrix gives is a part of each cosine, so its k-th best is no more than the k-th best cosine.
+        cosine, least, step = part, self._least(part, k), 12
+        ranked = np.argsort(-bound, kind="stable")
+        ranked = ranked[(bound[ranked] > 0) & (bound[ranked] >= least)]
+        rest = np.zeros(len(part))
+        while len(ranked):
+            opened = np.zeros(self.blocks, bool)
+            opened[ranked[:step]] = True
+            some = opened[block]
+            chosen = groups[some]
+            sizes = self.begins[chosen + 1] - self.begins[chosen]
+            at = _ranges(self.begins[chosen], sizes)
+            rest += np.bincount(self.places[at], self.weights[at] * np.repeat(share[some], sizes), len(rest))
+            cosine = part + rest
+            least = self._least(cosine, k)
+            ranked, step = ranked[step:], 4 * step
+            ranked = ranked[bound[ranked] >= least]
+        found = np.nonzero((cosine > 0) & (cosine >= least))[0]
+        # Summed anew, one by one, so that the cosines do not depend on the queries beside this one.
+        exact = (self.matrix[found] * dense).sum(axis=1) + rest[found]
+        return sorted(zip(exact.tolist(), self.order[found].tolist(), strict=True), key=lambda x: (-x[0], x[1]))[:k]
+
+    @staticmethod
+    def _least(cosine: np.ndarray, k: int) -> float:
+        """The k-th best, less what rounding may take from it."""
+        return float(np.partition(cosine, len(cosine) - k)[len(cosine) - k]) - 1e-12 if len(cosine) > k else -1.0
 
 
 @dataclass
 class Model:
     space: Space
     index: BlockMaxIndex
+    parts: list[dict[int, float]]  # of each example, the telling one
     ids: list[int]
     toxic: np.ndarray
     weight: np.ndarray  # of an example: rows of its label that it stands for
@@ -166,11 +241,16 @@ class Model:
     slope: float = 1.0
     shift: float = 0.0
 
-    def vote(self, found: list[tuple[float, int]]) -> float:
-        """The log-odds of label 1 among neighbours; the whole sample's share counts as a far one."""
+    def vote(self, own: dict[int, float], found: list[tuple[float, int]]) -> float:
+        """The log-odds of label 1 among neighbours; the whole sample's share counts as a far one.
+
+        ``own`` is the telling part of the text.
+        """
         yes = no = 0.0
         for cosine, i in found:
-            w = self.weight[i] * cosine / (1.05 - min(cosine, 1.0))
+            other = self.parts[i]
+            told = sum(w * other[t] * float(self.space.telling[t]) for t, w in own.items() if t in other)
+            w = float(self.weight[i]) * (cosine**2 * _near(cosine) + _near(told))
             if self.toxic[i]:
                 yes += w
             else:
@@ -178,16 +258,26 @@ class Model:
         far = 0.1 * float(self.weight.mean())
         return math.log((yes + far * self.share) / (no + far * (1 - self.share)))
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[float, int]]]:
-        if not counts:
-            return self.bare, []
-        found = self.index.nearest(self.space.vector(counts), NEIGHBOURS)
+    def scores(self, rows: Sequence[tuple[Sequence[int], Sequence[int]]]) -> list[tuple[float, list[tuple[float, int]]]]:
+        """Score and evidence of texts, given as their terms and counts."""
+        vectors = [self.space.vector(*row) for row in rows]
+        return [
+            self._score(v, found) if len(v) else (self.bare, [])
+            for v, found in zip(vectors, self.index.nearest_all(vectors, NEIGHBOURS), strict=True)
+        ]
+
+    def _score(self, vector: np.ndarray, found: list[tuple[float, int]]) -> tuple[float, list[tuple[float, int]]]:
         if not found:
             return self.share, []
-        x = self.slope * self.vote(found) + self.shift
+        x = self.slope * self.vote(self.space.telling_part(vector), found) + self.shift
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x)))), found[:EVIDENCE]
 
 
+def _near(likeness: float) -> float:
+    likeness = min(likeness, 1.0)
+    return likeness / (1.05 - likeness)
+
+
 def _calibrated(votes: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and shift of the logistic fit, by Newton steps with a weak pull to slope 1."""
     x = np.stack([votes, np.ones_like(votes)], axis=1)
@@ -202,25 +292,25 @@ def _calibrated(votes: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tup
     return (float(beta[0]), float(beta[1])) if np.isfinite(beta).all() and beta[0] > 0 else (1.0, 0.0)
 
 
-def build(sample: Sample, number: dict[str, int], idf: np.ndarray) -> Model:
-    space = Space(number, idf)
+def build(sample: Sample, space: Space) -> Model:
     texts, ids = [x for some in sample.texts for x in some], [i for some in sample.ids for i in some]
     toxic = np.repeat([0, 1], [len(some) for some in sample.texts])
     each = [sample.rows[k] / max(1, len(sample.texts[k])) for k in (0, 1)]
     weight = np.repeat(each, [len(some) for some in sample.texts])
-    vectors = [space.vector(c) if (c := hits(number, x)) else () for x in texts]
-    bare = np.array([not v for v in vectors])
+    vectors = [space.vector(list(c), list(c.values())) for c in (hits(space.number, x) for x in texts)]
+    parts = [space.telling_part(v) for v in vectors]
+    bare = np.array([not len(v) for v in vectors])
     yes, no = (float(weight[bare & (toxic == k)].sum()) for k in (1, 0))
     model = Model(
-        space, BlockMaxIndex(vectors), ids, toxic, weight, sample.share, (yes + sample.share) / (yes + no + 1)
+        space, BlockMaxIndex(vectors), parts, ids, toxic, weight, sample.share, (yes + sample.share) / (yes + no + 1)
     )
     votes, truth, weights = [], [], []
     copies = Counter(texts)
-    for k, v in enumerate(vectors):
-        if v:
-            found = model.index.nearest(v, NEIGHBOURS + copies[texts[k]])
+    listed = model.index.nearest_all(vectors, NEIGHBOURS + max(copies.values(), default=0))
+    for k, (v, found) in enumerate(zip(vectors, listed, strict=True)):
+        if len(v):
             if others := [(c, i) for c, i in found if texts[i] != texts[k]][:NEIGHBOURS]:
-                votes.append(model.vote(others))
+                votes.append(model.vote(parts[k], others))
                 truth.append(toxic[k])
                 weights.append(weight[k])
     if len(set(truth)) == 2:
@@ -252,6 +342,26 @@ def _known_terms(docs: DataFrame, number: dict[str, int], modulus: int, remainde
     return materialise(rows, "toxic-terms")
 
 
+def _frequencies(rows: DataFrame, n: int) -> np.ndarray:
+    """How many documents hold each known term."""
+
+    def run(batches):
+        held = np.zeros(n, np.int64)
+        for batch in batches:
+            held += np.bincount(batch.column(0).flatten().to_numpy(), minlength=n)
+        some = np.nonzero(held)[0]
+        for at in range(0, len(some), 10_000):
+            part = some[at : at + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(held[part])], names=["term", "held"])
+
+    frequency = np.zeros(n)
+    if n:
+        counted = rows.select("terms").mapInArrow(run, "term int, held bigint").groupBy("term").agg(F.sum("held").alias("held"))
+        found = counted.toArrow()  # a row for each term of the sample at most
+        frequency[found["term"].to_numpy()] = found["held"].to_numpy()
+    return frequency
+
+
 @dataclass
 class Judge:
     """The fitted model, or the flat score where there is nothing to learn from; and the known terms of the documents."""
@@ -262,18 +372,20 @@ class Judge:
     rows: DataFrame
 
     def scorer(self):
-        """A function from terms and their counts to (score, evidence), which remembers what it has seen."""
+        """A function from texts, as terms and their counts, to (score, evidence) of each, which remembers what it has seen."""
         model, flat = self.model, self.flat
-        seen: dict[tuple, tuple] = {}
-
-        def of(found: list[int], counts: list[int]) -> tuple[float, list[dict]]:
-            key = (*found, -1, *counts)
-            if key not in seen:
-                if len(seen) > 50_000:
-                    seen.clear()
-                s, near = model.score(dict(zip(found, counts, strict=True))) if model else (flat, [])
+        seen: dict[bytes, tuple] = {}
+
+        def of(rows: list[tuple[list[int], list[int]]]) -> list[tuple[float, list[dict]]]:
+            if not model:
+                return [(flat, [])] * len(rows)
+            if len(seen) > 20_000:
+                seen.clear()
+            keys = [hashlib.blake2b(np.array(row, np.int64).tobytes(), digest_size=16).digest() for row in rows]
+            new = {key: row for key, row in zip(keys, rows, strict=True) if key not in seen}
+            for key, (s, near) in zip(new, model.scores(list(new.values())), strict=True):
                 seen[key] = (s, [{"doc_id": model.ids[i], "cosine": c, "toxic": int(model.toxic[i])} for c, i in near])
-            return seen[key]
+            return [seen[key] for key in keys]
 
         return of
 
@@ -282,15 +394,13 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2
     sample = independent(
         labelled_sample(docs, labels, "toxic", modulus, remainder, PER_LABEL, MOST_CHARS, text)
     )
-    number = {t: k for k, t in enumerate(telling_terms(sample) if all(sample.texts) else [])}
+    known, ratio = sample_terms(sample) if all(sample.texts) else ([], np.zeros(0))
+    number = {t: k for k, t in enumerate(known)}
     rows = _known_terms(docs, number, modulus, remainder, text)
     total = rows.count()
-    seen = rows.select(F.explode("terms").alias("term")).groupBy("term").count().collect()  # MOST_TERMS rows at most
-    frequency = np.zeros(len(number))
-    for r in seen:
-        frequency[r["term"]] = r["count"]
-    idf = np.log((total + 1) / (frequency + 1)) + 1
-    return Judge(build(sample, number, idf) if number else None, sample.share, number, rows)
+    idf = np.log((total + 1) / (_frequencies(rows, len(number)) + 1)) + 1
+    space = Space(number, idf, np.where(ratio >= LEAST_RATIO, ratio / LEAST_RATIO, 0.0))
+    return Judge(build(sample, space) if number else None, sample.share, number, rows)
 
 
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
@@ -304,7 +414,7 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int =
     def run(batches):
         of = judge.scorer()
         for batch in batches:
-            found = [of(t, n) for t, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            found = of(list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -333,7 +443,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text") -> Dat
         of = judge.scorer()
         for batch in batches:
             found = [hits(judge.number, x) for x in batch.column(at).to_pylist()]
-            clean = [of(list(f), list(f.values()))[0] < THRESHOLD for f in found]
+            clean = [s < THRESHOLD for s, _ in of([(list(f), list(f.values())) for f in found])]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

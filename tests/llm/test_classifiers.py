@@ -122,3 +122,15 @@ def test_index_is_exact():
         got = index.nearest(query, 7)
         assert [c for c, _ in got] == pytest.approx([c for c, _ in want])
         assert T.BlockMaxIndex([]).nearest(query, 7) == []
+
+
+def test_rare_terms_find_their_neighbour(spark, data):
+    """Words of one example alone go with no label by any ratio, yet they are what its nearest text has in common."""
+    docs, labels = corpus()
+    rare = "quorvix zemblat frondule wexhampt gribbolt snurvane plockett druvimor"
+    taught = next(i for i in range(9100, 9200) if zlib.crc32(str(i).encode()) % 4 != 2)
+    docs += [(taught, rare, None, None, 0), (9300, f"{rare} {prose(1, 3)}", None, None, 0)]
+    frames = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame([*labels, (taught, 1, 1)], LABELS)
+    row = T.score(*frames).filter("doc_id = 9300").first()
+    assert row["evidence"][0]["doc_id"] == taught and row["evidence"][0]["cosine"] > 0.8 and row["predicted"] == 1
+    assert 9300 not in {r["doc_id"] for r in T.without_toxic(*frames).collect()}
