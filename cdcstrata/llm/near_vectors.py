@@ -3,8 +3,11 @@
 Vectors are compared only under equal labels (and of equal length). Equal vectors are one class and counted by their
 number. The classes of a label are dealt by hash to shards of about ``SHARD`` classes, and each shard gets a graph. Every
 two shards of a label, a shard and itself included, are one task: all vectors of either query the graph of the other, so
-every vector queries every shard. A task compares a sample of its queries with brute force and doubles its beam until
-at least ``AUDIT`` of their links are found; a beam as wide as the shard is brute force itself. Cosines are
+every vector queries every shard. A task compares a sample of its queries with brute force and doubles its beam until,
+among the queries of every degree (by powers of two), at least ``AUDIT`` of a query's links are found on average, itself
+left out; so a large group does not hide what others lose. It samples until ``AUDITED`` queries of less than the greatest
+degree are seen, or all queries;
+a beam as wide as the shard is brute force itself. Cosines are
 computed in double precision, so no pair below the threshold is linked. A task gives counts and a spanning forest of
 its links, not the pairs; pairs of shards are disjoint, so counts add up.
 
@@ -97,11 +100,34 @@ def _links(a: Graph, b: Graph, beam: int) -> set[tuple[int, int]]:
     return found
 
 
-def _recall(graph: Graph, queries: np.ndarray, beam: int) -> float:
-    """Of the links of the queries, found by brute force, the share that the graph finds."""
-    sought = queries @ graph.vectors.T >= LEAST
-    hit = sum(len(graph.within(q, LEAST, beam)) for q in queries)
-    return hit / max(1, int(sought.sum()))
+def _sampled(graph: Graph, queries: np.ndarray, same: bool, rows: int = 512) -> list[list[tuple[int, np.ndarray]]]:
+    """Queries with their links by brute force, those to themselves left out: lists by degree, the least one first."""
+    order = np.random.default_rng(7).permutation(len(queries))
+    by_degree: dict[int, list[tuple[int, np.ndarray]]] = {}
+    for at in range(0, len(order), rows):
+        part = order[at : at + rows]
+        near = queries[part] @ graph.vectors.T >= LEAST
+        if same:
+            near[np.arange(len(part)), part] = False
+        for k, row in zip(part.tolist(), near, strict=True):
+            links = np.nonzero(row)[0]
+            some = by_degree.setdefault(len(links).bit_length(), []) if len(links) else []
+            if len(some) < AUDITED:
+                some.append((k, links))
+        if sum(len(some) for degree, some in by_degree.items() if degree < max(by_degree)) >= AUDITED:
+            break
+    return [by_degree[degree] for degree in sorted(by_degree)]
+
+
+def _passes(graph: Graph, queries: np.ndarray, sampled: list[list[tuple[int, np.ndarray]]], beam: int) -> bool:
+    """Whether the graph finds enough of the links of every degree's queries, each query counted alike."""
+    for some in sampled:
+        lost = 0.0
+        for k, links in some:
+            lost += 1 - np.isin(links, graph.within(queries[k], LEAST, beam)).mean()
+            if lost > (1 - AUDIT) * len(some):
+                return False
+    return True
 
 
 def _brute(a: Graph, b: Graph, rows: int = 512) -> set[tuple[int, int]]:
@@ -116,9 +142,11 @@ def audited_links(a: Graph, b: Graph) -> tuple[set[tuple[int, int]], int]:
     """The links between two shards, and the beam at which the audit passed."""
     beam = BEAM
     size = max(len(a.vectors), len(b.vectors))
-    sampled = [g.vectors[np.linspace(0, len(g.vectors) - 1, min(AUDITED, len(g.vectors))).astype(int)] for g in (a, b)]
+    ways = [(b, a.vectors, _sampled(b, a.vectors, a is b))]
+    if a is not b:
+        ways.append((a, b.vectors, _sampled(a, b.vectors, False)))
     while beam < size:
-        if min(_recall(b, sampled[0], beam), _recall(a, sampled[1], beam)) >= AUDIT:
+        if all(_passes(*way, beam) for way in ways):
             return _links(a, b, beam), beam
         beam *= 2
     return _brute(a, b), beam

@@ -70,6 +70,22 @@ def test_audit_widens_to_brute_force():
     assert found == N._brute(graph, graph) and beam >= 300
 
 
+def test_audit_sees_beside_a_hot_group():
+    """A third of the vectors is one group; all pairs beside it are out of the graph's reach and must be found all the same."""
+    r = np.random.default_rng(3)
+    hot = r.normal(size=24) + 0.1 * r.normal(size=(1000, 24))
+    pairs = np.repeat(r.normal(size=(1000, 24)), 2, axis=0) + 0.05 * r.normal(size=(2000, 24))
+    vectors = N._unit(np.concatenate([hot, pairs]))
+    built = Graph.build(vectors[:1000])
+    layers = [np.concatenate([x, np.full((2000, x.shape[1]), -1, x.dtype)]) for x in built.layers]
+    graph = Graph(vectors, layers, built.entry)
+    sampled = vectors[np.linspace(0, len(vectors) - 1, 96).astype(int)]
+    pooled = sum(len(graph.within(q, N.LEAST, N.BEAM)) for q in sampled) / (sampled @ vectors.T >= N.LEAST).sum()
+    assert pooled >= N.AUDIT  # what a figure over all links would say
+    found, beam = N.audited_links(graph, graph)
+    assert found == N._brute(graph, graph) and beam > N.BEAM
+
+
 def test_repeats_and_empty(spark):
     v = [1.0, 2.0]
     assert result(spark, [(1, v, 0), (1, v, 0), (1, None, 0), (2, [2.0, 4.0], 0)]) == [
