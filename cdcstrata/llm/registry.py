@@ -7,7 +7,22 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcstrata.llm import mixing, near_texts, near_vectors, oracle, pieces, quality, secrets, shards, syncmers, token_files, toxicity
+from cdcstrata.llm import (
+    conversations,
+    line_dedup,
+    merkle,
+    mixing,
+    near_texts,
+    near_vectors,
+    oracle,
+    pieces,
+    quality,
+    secrets,
+    shards,
+    syncmers,
+    token_files,
+    toxicity,
+)
 from cdcstrata.llm.batches import bound_batches
 from cdcstrata.llm.vocabularies import vocabulary
 
@@ -58,6 +73,18 @@ def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.assign(table(spark, folder, "documents"), shards=8)
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verified(table(spark, folder, "documents"))
+
+
+def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair_damage(table(spark, folder, "conversations"))
+
+
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digest(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_syncmers,
@@ -70,6 +97,9 @@ def queries() -> dict[str, Query]:
         op8_toxicity,
         op9_secrets,
         op10_shards,
+        op11_merkle,
+        op12_conversations,
+        op13_line_dedup,
     )
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
