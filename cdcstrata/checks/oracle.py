@@ -818,6 +818,41 @@ ON lpad(CAST(c AS STRING), 12, '0') = company_tin""",
     return out
 
 
+def _kept_up() -> dict[str, str]:
+    """Summaries of the canonical table without deleted reports."""
+    none = "CAST(NULL AS BIGINT)"
+    sums = ", ".join(
+        _sum(none if c == fl.SUPPORT_OLD else c, c) for c in (*fl.ANNUAL_SUMS, *fl.ANNUAL_TAX_SUMS)
+    )
+    annual = (
+        f"SELECT service_request_id, year, COUNT(*) AS signed_quarters, {sums}, {_sum('tax_incentives', 'taxes_saved')} FROM live "
+        "WHERE status = 'signed' AND report_type IN ('quarter1', 'quarter2', 'quarter3', 'quarter4') GROUP BY service_request_id, year"
+    )
+    totals = ", ".join(
+        _raw_sum(c, n)
+        for c, n in (
+            ("signed_quarters", "total_signed_quarters"),
+            ("income_total", "total_income"),
+            ("income_international", "total_export"),
+            ("taxes_saved", "total_taxes_saved"),
+        )
+    )
+    quarter = ", ".join(_sum(none if c == fl.SUPPORT_OLD else c, c) for c in fl.QUARTER_SUMS)
+    needs, live = ("silver", "rep"), {"live": AFTER_DELETES}
+    return {
+        "inc_summary_equals_full": _with(annual, *needs, **live),
+        "inc_summary_totals_equals_full": _with(
+            f"SELECT year, COUNT(*) AS companies_count, {totals} FROM ({annual}) GROUP BY year", *needs, **live
+        ),
+        "inc_summary_quarter_equals_full": _with(
+            f"SELECT year, report_type, COUNT(*) AS total_reports, {quarter}, {_period('ru_short')} FROM live "
+            "WHERE status = 'signed' AND op <> 'd' GROUP BY year, report_type",
+            *needs,
+            **live,
+        ),
+    }
+
+
 def _incremental() -> dict[str, str]:
     columns = "id, service_request_id, year, report_type, status, op, updated_ts"
     newest = f"SELECT {columns}, has_data, {CARRIED} FROM ({_ranked('rep', 'id', 'updated_ts DESC, id DESC')}) WHERE op <> 'd'"
@@ -825,6 +860,7 @@ def _incremental() -> dict[str, str]:
         "inc_changed_since": _with(f"SELECT {columns} FROM rep WHERE updated_at >= TIMESTAMP '1999-06-01 00:00:00'", "rep"),
         "inc_upsert_equals_full": _with(newest, "rep"),
         "inc_refresh_equals_full": _with(AFTER_DELETES, "silver", "rep"),
+        **_kept_up(),
         "stream_cdc_equals_batch": _with(newest, "rep"),
         "refresh_silver_reports": _silver()["silver_reports_masked_first"],
         "refresh_silver_participants": _silver()["silver_participants"],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdcstrata.functions.payload import parse_payload
@@ -103,35 +103,46 @@ def registry_summary(base: DataFrame, year: int) -> DataFrame:
     return out.withColumn("year", F.lit(year)).withColumn("period", period_label("report_type", year, "ru_long"))
 
 
-def _with_missing(df: DataFrame, columns) -> DataFrame:
+def with_missing(df: DataFrame, columns) -> DataFrame:
     """Older and newer report tables differ by the support measure; an absent column counts as NULL."""
     absent = {c: F.lit(None).cast("bigint") for c in columns if c not in df.columns}
     return df.withColumns(absent) if absent else df
 
 
+def quarter_rows(silver: DataFrame) -> DataFrame:
+    """The report rows that a quarter summary counts."""
+    return with_missing(signed(not_deleted(silver)), QUARTER_SUMS)
+
+
 def quarter_summary(silver: DataFrame) -> DataFrame:
     """Per (year, report type) over signed report rows: count, thirteen sums, short period."""
-    rows = _with_missing(signed(not_deleted(silver)), QUARTER_SUMS)
-    out = rows.groupBy("year", "report_type").agg(
+    out = quarter_rows(silver).groupBy("year", "report_type").agg(
         F.count(F.lit(1)).alias("total_reports"), *sums(QUARTER_SUMS)
     )
     return out.withColumn("period", period_label("report_type", "year", "ru_short"))
 
 
+def annual_rows(silver: DataFrame) -> DataFrame:
+    """The report rows that an annual summary counts."""
+    return with_missing(quarters_only(signed(silver)), (*ANNUAL_SUMS, "total_tax_saved"))
+
+
+def taxes_saved(taxes: str) -> Column:
+    if taxes == "incentives":
+        return F.col("tax_incentives")
+    if taxes == "saved_first":
+        return F.coalesce("total_tax_saved", "tax_incentives")
+    raise ValueError(f"taxes must be 'incentives' or 'saved_first', not {taxes!r}")
+
+
 def annual_summary(silver: DataFrame, year: int | None = None, taxes: str = "incentives") -> DataFrame:
     """Per (participant, year) over signed quarters: number of quarters and sixteen sums.
 
     ``taxes="saved_first"`` counts the reported saving where there is one and the incentives otherwise.
     """
-    rows = _with_missing(quarters_only(signed(silver)), (*ANNUAL_SUMS, "total_tax_saved"))
+    rows, saved = annual_rows(silver), taxes_saved(taxes)
     if year is not None:
         rows = rows.filter(F.col("year") == year)
-    if taxes == "incentives":
-        saved = F.col("tax_incentives")
-    elif taxes == "saved_first":
-        saved = F.coalesce("total_tax_saved", "tax_incentives")
-    else:
-        raise ValueError(f"taxes must be 'incentives' or 'saved_first', not {taxes!r}")
     return rows.groupBy("service_request_id", "year").agg(
         F.count(F.lit(1)).alias("signed_quarters"),
         *sums(ANNUAL_SUMS),

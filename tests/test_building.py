@@ -11,7 +11,7 @@ from cdcstrata.sources.scratch import scratch_root
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
-WRITES = ("inc_upsert", "inc_refresh", "stream_", "refresh_", "sink_", "crm_incremental")
+WRITES = ("inc_upsert", "inc_refresh", "inc_summary", "stream_", "refresh_", "sink_", "crm_incremental")
 
 
 def _reads_a_footer(tracker, job):
