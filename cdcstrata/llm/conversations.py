@@ -223,9 +223,23 @@ _CHOSEN_ARROW = pa.schema(
 )
 
 
-def _combined(pieces: pa.Table) -> pa.Table:
-    """The pieces of one conversation put together from the end: the audit of each; cost and illegal pairs with the first."""
-    rows = sorted(pieces.to_pylist(), key=lambda r: r["slab"])
+def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of whole conversations in order, each conversation put together; the pieces of one are held."""
+    pieces: list[dict] = []
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            if pieces and r["conv_id"] != pieces[0]["conv_id"]:
+                out += _chosen(pieces)
+                pieces = []
+            pieces.append(r)
+        yield pa.RecordBatch.from_pylist(out, _CHOSEN_ARROW)
+    if pieces:
+        yield pa.RecordBatch.from_pylist(_chosen(pieces), _CHOSEN_ARROW)
+
+
+def _chosen(rows: Sequence[dict]) -> list[dict]:
+    """The cheapest way through the pieces of one conversation, from the end: the audit of each; totals with the first."""
     rest: dict[int, tuple[int, str, tuple | None]] = {q: (0, "", None) for q in ENDS}
     for r in reversed(rows):
         found: dict[int, tuple[int, str, tuple | None]] = {}
@@ -244,7 +258,7 @@ def _combined(pieces: pa.Table) -> pa.Table:
     for k, r in enumerate(rows):
         piece, chain = chain
         out.append({"conv_id": r["conv_id"], "place": r["place"], "piece": piece, "cost": 0 if k else cost, "illegal": 0 if k else illegal})
-    return pa.Table.from_pylist(out, _CHOSEN_ARROW)
+    return out
 
 
 _REPAIRED = "conv_id bigint, audit string, repaired_sha256 string"
@@ -289,10 +303,13 @@ def repaired(conversations: DataFrame) -> DataFrame:
     )
     slabs = faults.select("conv_id", "place", "letter", "fault", F.shiftright("place", SLAB_BITS).alias("slab"))
     pieces = slabs.groupBy("slab").applyInArrow(_searched, _PIECES)
-    chosen = materialise(pieces.groupBy("conv_id").applyInArrow(_combined, _CHOSEN), "turn-edits")
+    # Dealt by number, as rows that cost this much to handle are too few bytes for adaptive sizes to keep apart.
+    tasks = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pieces.repartition(tasks, "conv_id").sortWithinPartitions("conv_id", "slab")
+    chosen = materialise(dealt.mapInArrow(_combined, _CHOSEN), "turn-edits")
     totals = chosen.groupBy("conv_id").agg(F.sum("cost").alias("cost"), F.sum("illegal").alias("illegal"))
     edited = rows.join(chosen.select("place", "piece"), "place", "left").select("conv_id", "place", "role", "text", "piece")
-    texts = edited.repartition("conv_id").sortWithinPartitions("conv_id", "place").mapInArrow(_streamed, _REPAIRED)
+    texts = edited.repartition(tasks, "conv_id").sortWithinPartitions("conv_id", "place").mapInArrow(_streamed, _REPAIRED)
     return _beside(_beside(counts, totals), texts).select(
         "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
     )
