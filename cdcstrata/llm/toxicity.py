@@ -3,10 +3,10 @@
 Terms are words in lower case and, for words of over five letters, their first five. The vector space holds every term
 of a bounded sample of labelled rows (``PER_LABEL`` of either label, of at most ``MOST_CHARS`` characters, near copies
 left out); a term that no example has can match none. Document frequencies are counted over all documents. The examples
-are indexed: a matrix for the terms that many of them hold, whose part of the cosine is taken for 64 queries at once, and
-for the others postings by term in blocks of 64 examples, each with its greatest weight. A query adds up the bounds of
-every block, opens blocks from the highest bound down, and stops when no bound reaches its k-th best cosine, so the
-neighbours are exact.
+are indexed: a matrix for the terms that many of them hold, and for the others postings by term in blocks of 64 examples,
+each with its greatest weight. Queries go 64 at a time. Each adds up the bounds of all blocks, opens the likeliest ones
+first and then those alone whose bound reaches its k-th best cosine, so the neighbours are exact; what comes into
+question is summed anew in double precision.
 
 A neighbour's vote grows with its cosine, and with the part of it that lies in terms that go with a label, by the
 likelihood ratio; either label is weighted to its share among all labelled rows. Votes are calibrated by a logistic fit
@@ -25,11 +25,14 @@ import re
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdcstrata.llm.labelled import Sample, held_out, labelled_sample
 from cdcstrata.sources.scratch import materialise
@@ -37,11 +40,13 @@ from cdcstrata.sources.scratch import materialise
 PER_LABEL, MOST_CHARS = 2000, 20_000
 LEAST_RATIO = 10.0  # from which a term says something of a label: by chance, one in some 600
 BLOCK = 64
-QUERIES = 64
-COMMON, MOST_COMMON = 16, 1024  # a term that one example in so many holds is common; at most so many terms are
+QUERIES, TOGETHER, FIRST_BLOCKS = 64, 16, 12  # queries that share a pass over the matrix, and over the postings
+SLACK = 2e-4  # single precision over at most MOST_COMMON products of weights whose squares sum to one
+COMMON, MOST_COMMON = 32, 2048  # a term that one example in so many holds is common; at most so many terms are
 NEIGHBOURS, EVIDENCE = 30, 3
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
+_BETWEEN = r"[^\p{L}\p{Nl}\p{No}]+"  # what lies between such words, as Arrow's expressions put it
 STEM = 5
 
 
@@ -120,11 +125,9 @@ class Space:
         weights = ((1 + np.log(counts)) * self.idf[found])[order]
         return np.stack([found[order], weights / math.sqrt(weights @ weights) if len(found) else weights], axis=1)
 
-    def telling_part(self, vector: np.ndarray) -> dict[int, float]:
-        """The weights of the terms that go with a label."""
-        t, w = _split(vector)
-        some = self.telling[t] > 0
-        return dict(zip(t[some].tolist(), w[some].tolist(), strict=True))
+    def telling_part(self, vector: np.ndarray) -> np.ndarray:
+        """Of a vector, the terms that go with a label: their numbers and weights."""
+        return vector[self.telling[vector[:, 0].astype(np.int64)] > 0]
 
 
 def hits(number: dict[str, int], text: str | None) -> dict[int, int]:
@@ -137,6 +140,53 @@ def hits(number: dict[str, int], text: str | None) -> dict[int, int]:
     return found
 
 
+class Finder:
+    """The known terms of many texts at once: words are told apart and looked up by Arrow, each once."""
+
+    CHARS = 4_000_000  # so much text at a time, or one text, which bounds the memory
+
+    def __init__(self, number: dict[str, int]):
+        self.size = max(1, len(number))
+        self.sets = []
+        for ending in ("", "*"):
+            some = {t.removesuffix("*"): k for t, k in number.items() if t.endswith("*") == bool(ending)}
+            self.sets.append((pa.array(some, pa.large_string()), np.array([*some.values(), -1], np.int64)))
+
+    def columns(self, texts: Sequence[str | None]) -> tuple[pa.Array, pa.Array]:
+        """Terms and counts of each text as two columns of lists."""
+        parts, few, chars = [], [], 0
+        for k, x in enumerate(texts):
+            few.append(x)
+            chars += len(x or "")
+            if chars > self.CHARS or k == len(texts) - 1:
+                parts.append(self._hits(few))
+                few, chars = [], 0
+        sizes, terms, counts = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.zeros(0, np.int64)] * 3
+        ends = pa.array(np.cumsum([0, *sizes.tolist()]), pa.int32())
+        return tuple(pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (terms, counts))
+
+    def _hits(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How many terms each text has, all terms, their counts."""
+        split = pc.split_pattern_regex(pa.array([(x or "").lower() for x in texts], pa.large_string()), pattern=_BETWEEN)
+        words = split.flatten().dictionary_encode()
+        code, text = words.indices.to_numpy(), np.repeat(np.arange(len(texts)), split.value_lengths().to_numpy())
+        known = words.dictionary
+        stems = pc.if_else(pc.greater(pc.utf8_length(known), STEM), pc.utf8_slice_codeunits(known, 0, STEM), None)
+        keys = []
+        for asked, (value_set, numbers) in zip((known, stems), self.sets, strict=True):
+            found = numbers[pc.fill_null(pc.index_in(asked, value_set=value_set), -1).to_numpy()][code]
+            keys.append(text[found >= 0] * self.size + found[found >= 0])
+        key, counts = np.unique(np.concatenate(keys), return_counts=True)
+        return np.bincount(key // self.size, minlength=len(texts)), key % self.size, counts
+
+
+def _rows(terms: pa.ListArray, counts: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The two columns as an array of terms and one of counts for each row."""
+    ends = np.cumsum([0, *(n or 0 for n in terms.value_lengths().to_pylist())])
+    t, c = terms.flatten().to_numpy(), counts.flatten().to_numpy()
+    return [(t[a:b], c[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 class BlockMaxIndex:
     """Exact nearest neighbours by cosine among vectors of length one.
 
@@ -160,8 +210,12 @@ class BlockMaxIndex:
         self.column = np.full(self.terms, -1)
         self.column[common] = np.arange(len(common))
         dense = self.column[terms] >= 0
-        self.matrix = np.zeros((len(held), len(common)))
+        self.matrix = np.zeros((len(held), len(common)), np.float32)
         self.matrix[places[dense], self.column[terms[dense]]] = weights[dense]
+        # The same weights in double precision, example by example; ``row`` tells where each begins.
+        by_row = np.nonzero(dense)[0][np.argsort(places[dense], kind="stable")]
+        self.rows = self.column[terms[by_row]].astype(np.int32), weights[by_row]
+        self.row = np.searchsorted(places[by_row], np.arange(len(held) + 1))
         terms, self.places, self.weights = terms[~dense], places[~dense], weights[~dense]
         self.blocks = -(-len(held) // BLOCK)
         # A group is the postings of a term in a block.
@@ -179,7 +233,7 @@ class BlockMaxIndex:
         return self.nearest_all([query], k)[0]
 
     def nearest_all(self, queries: Sequence[Vector], k: int) -> list[list[tuple[float, int]]]:
-        """The nearest ones of each query."""
+        """The nearest ones of each query; so many queries at once share each pass over matrix and postings."""
         result = []
         for at in range(0, len(queries), QUERIES):
             split = [_split(q) for q in queries[at : at + QUERIES]]
@@ -188,51 +242,73 @@ class BlockMaxIndex:
             for row, (t, w) in zip(dense, split, strict=True):
                 column = self.column[t]
                 row[column[column >= 0]] = w[column >= 0]
-            parts = dense @ self.matrix.T
-            result += [self._nearest(*q, row, part, k) for q, row, part in zip(split, dense, parts, strict=True)]
+            # The matrix' part of each cosine in single precision: SLACK is more than that can be off.
+            parts = dense.astype(np.float32) @ self.matrix.T
+            for few in range(0, len(split), TOGETHER):
+                some = slice(few, few + TOGETHER)
+                result += self._nearest(split[some], dense[some], parts[some], k)
         return result
 
-    def _nearest(self, t: np.ndarray, w: np.ndarray, dense: np.ndarray, part: np.ndarray, k: int) -> list[tuple[float, int]]:
-        if not len(part):
-            return []
+    def _nearest(
+        self, split: list[tuple[np.ndarray, np.ndarray]], dense: np.ndarray, cosine: np.ndarray, k: int
+    ) -> list[list[tuple[float, int]]]:
+        count, n = len(split), len(self.order)
+        if not n:
+            return [[] for _ in split]
+        q = np.repeat(np.arange(count), [len(t) for t, _ in split])
+        t, w = (np.concatenate(x) for x in zip(*split, strict=True))
         sizes = self.first[t + 1] - self.first[t]
-        groups, share = _ranges(self.first[t], sizes), np.repeat(w, sizes)
-        block = self.block[groups]
-        bound = np.bincount(block, share * self.most[groups], self.blocks)
-        bound = bound + np.maximum.reduceat(part, np.arange(0, len(part), BLOCK))
+        groups, asked, share = _ranges(self.first[t], sizes), np.repeat(q, sizes), np.repeat(w, sizes)
+        at = asked * self.blocks + self.block[groups]
+        bound = np.bincount(at, share * self.most[groups], count * self.blocks).reshape(count, -1).astype(float)
+        bound += np.maximum.reduceat(cosine, np.arange(0, n, BLOCK), axis=1)
         # What the matrix gives is a part of each cosine, so its k-th best is no more than the k-th best cosine.
-        cosine, least, step = part, self._least(part, k), 12
-        ranked = np.argsort(-bound, kind="stable")
-        ranked = ranked[(bound[ranked] > 0) & (bound[ranked] >= least)]
-        rest = np.zeros(len(part))
-        while len(ranked):
-            opened = np.zeros(self.blocks, bool)
-            opened[ranked[:step]] = True
-            some = opened[block]
-            chosen = groups[some]
-            sizes = self.begins[chosen + 1] - self.begins[chosen]
-            at = _ranges(self.begins[chosen], sizes)
-            rest += np.bincount(self.places[at], self.weights[at] * np.repeat(share[some], sizes), len(rest))
-            cosine = part + rest
-            least = self._least(cosine, k)
-            ranked, step = ranked[step:], 4 * step
-            ranked = ranked[bound[ranked] >= least]
-        found = np.nonzero((cosine > 0) & (cosine >= least))[0]
-        # Summed anew, one by one, so that the cosines do not depend on the queries beside this one.
-        exact = (self.matrix[found] * dense).sum(axis=1) + rest[found]
-        return sorted(zip(exact.tolist(), self.order[found].tolist(), strict=True), key=lambda x: (-x[0], x[1]))[:k]
+        open_ = bound >= np.maximum(self._least(cosine, k), np.finfo(float).tiny)[:, None]
+        first = np.zeros_like(open_)
+        best = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST_BLOCKS]
+        np.put_along_axis(first, best, True, axis=1)
+        rest = np.zeros(count * n)
+        self._add(rest, groups, asked, share, (first & open_).ravel()[at])
+        # With the likeliest blocks known, no other is opened than those that may hold one of the k best.
+        least = self._least(cosine + rest.reshape(count, n), k)
+        more = open_ & ~first & (bound >= least[:, None])
+        self._add(rest, groups, asked, share, more.ravel()[at])
+        rest = rest.reshape(count, n)
+        cosine = cosine + rest
+        least = np.maximum(self._least(cosine, k), 0)
+        who, found = np.nonzero((cosine > 0) & (cosine >= least[:, None]))
+        # Summed anew in double precision, example by example, so that no query depends on those beside it.
+        sizes = self.row[found + 1] - self.row[found]
+        at = _ranges(self.row[found], sizes)
+        products = dense[np.repeat(who, sizes), self.rows[0][at]] * self.rows[1][at]
+        exact = np.bincount(np.repeat(np.arange(len(found)), sizes), products, len(found)) + rest[who, found]
+        numbers = self.order[found]
+        order = np.lexsort((numbers, -exact, who))
+        ends = np.searchsorted(who, np.arange(count + 1))
+        listed = list(zip(exact[order].tolist(), numbers[order].tolist(), strict=True))
+        return [listed[a : min(a + k, b)] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    def _add(self, rest: np.ndarray, groups: np.ndarray, asked: np.ndarray, share: np.ndarray, some: np.ndarray) -> None:
+        """Add the postings of some groups to the cosines of the queries that ask for them."""
+        chosen = groups[some]
+        sizes = self.begins[chosen + 1] - self.begins[chosen]
+        at = _ranges(self.begins[chosen], sizes)
+        to = np.repeat(asked[some] * len(self.order), sizes) + self.places[at]
+        rest += np.bincount(to, self.weights[at] * np.repeat(share[some], sizes), len(rest))
 
     @staticmethod
-    def _least(cosine: np.ndarray, k: int) -> float:
-        """The k-th best, less what rounding may take from it."""
-        return float(np.partition(cosine, len(cosine) - k)[len(cosine) - k]) - 1e-12 if len(cosine) > k else -1.0
+    def _least(cosine: np.ndarray, k: int) -> np.ndarray:
+        """The k-th best of each query, less what rounding may take from it."""
+        n = cosine.shape[1]
+        return np.partition(cosine, n - k, axis=1)[:, n - k] - SLACK if n > k else np.full(len(cosine), -1.0)
 
 
 @dataclass
 class Model:
     space: Space
     index: BlockMaxIndex
-    parts: list[dict[int, float]]  # of each example, the telling one
+    told: np.ndarray  # of each example, its weight of every telling term times how telling that is
+    column: np.ndarray  # of each term, where ``told`` has it, if it does
     ids: list[int]
     toxic: np.ndarray
     weight: np.ndarray  # of an example: rows of its label that it stands for
@@ -241,23 +317,22 @@ class Model:
     slope: float = 1.0
     shift: float = 0.0
 
-    def vote(self, own: dict[int, float], found: list[tuple[float, int]]) -> float:
+    def vote(self, own: np.ndarray, found: list[tuple[float, int]]) -> float:
         """The log-odds of label 1 among neighbours; the whole sample's share counts as a far one.
 
         ``own`` is the telling part of the text.
         """
-        yes = no = 0.0
-        for cosine, i in found:
-            other = self.parts[i]
-            told = sum(w * other[t] * float(self.space.telling[t]) for t, w in own.items() if t in other)
-            w = float(self.weight[i]) * (cosine**2 * _near(cosine) + _near(told))
-            if self.toxic[i]:
-                yes += w
-            else:
-                no += w
-        far = 0.1 * float(self.weight.mean())
+        cosine, at = np.array([c for c, _ in found]), np.array([i for _, i in found])
+        told = self.told[np.ix_(at, self.column[own[:, 0].astype(np.int64)])] @ own[:, 1]
+        w = self.weight[at] * (cosine**2 * _near(cosine) + _near(told))
+        yes, no = float(w[self.toxic[at] == 1].sum()), float(w[self.toxic[at] == 0].sum())
+        far = 0.1 * self.mean
         return math.log((yes + far * self.share) / (no + far * (1 - self.share)))
 
+    @cached_property
+    def mean(self) -> float:
+        return float(self.weight.mean())
+
     def scores(self, rows: Sequence[tuple[Sequence[int], Sequence[int]]]) -> list[tuple[float, list[tuple[float, int]]]]:
         """Score and evidence of texts, given as their terms and counts."""
         vectors = [self.space.vector(*row) for row in rows]
@@ -273,8 +348,8 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x)))), found[:EVIDENCE]
 
 
-def _near(likeness: float) -> float:
-    likeness = min(likeness, 1.0)
+def _near(likeness: np.ndarray) -> np.ndarray:
+    likeness = np.minimum(likeness, 1.0)
     return likeness / (1.05 - likeness)
 
 
@@ -298,11 +373,16 @@ def build(sample: Sample, space: Space) -> Model:
     each = [sample.rows[k] / max(1, len(sample.texts[k])) for k in (0, 1)]
     weight = np.repeat(each, [len(some) for some in sample.texts])
     vectors = [space.vector(list(c), list(c.values())) for c in (hits(space.number, x) for x in texts)]
-    parts = [space.telling_part(v) for v in vectors]
+    telling = np.nonzero(space.telling > 0)[0]
+    column = np.full(len(space.telling), -1)
+    column[telling] = np.arange(len(telling))
+    told = np.zeros((len(vectors), len(telling)))
+    for row, part in zip(told, map(space.telling_part, vectors), strict=True):
+        row[column[part[:, 0].astype(np.int64)]] = part[:, 1] * space.telling[part[:, 0].astype(np.int64)]
     bare = np.array([not len(v) for v in vectors])
     yes, no = (float(weight[bare & (toxic == k)].sum()) for k in (1, 0))
     model = Model(
-        space, BlockMaxIndex(vectors), parts, ids, toxic, weight, sample.share, (yes + sample.share) / (yes + no + 1)
+        space, BlockMaxIndex(vectors), told, column, ids, toxic, weight, sample.share, (yes + sample.share) / (yes + no + 1)
     )
     votes, truth, weights = [], [], []
     copies = Counter(texts)
@@ -310,7 +390,7 @@ def build(sample: Sample, space: Space) -> Model:
     for k, (v, found) in enumerate(zip(vectors, listed, strict=True)):
         if len(v):
             if others := [(c, i) for c, i in found if texts[i] != texts[k]][:NEIGHBOURS]:
-                votes.append(model.vote(parts[k], others))
+                votes.append(model.vote(space.telling_part(v), others))
                 truth.append(toxic[k])
                 weights.append(weight[k])
     if len(set(truth)) == 2:
@@ -318,28 +398,23 @@ def build(sample: Sample, space: Space) -> Model:
     return model
 
 
-def _known_terms(docs: DataFrame, number: dict[str, int], modulus: int, remainder: int, text: str) -> DataFrame:
-    """The known terms of every document, stored: what both the frequencies and the scores are made from."""
+def _known_terms(docs: DataFrame, number: dict[str, int], carry: Sequence[Column], text: str) -> DataFrame:
+    """The known terms of every document, stored: what both the frequencies and the scores are made from.
+
+    Returns ``terms``, ``counts`` and the carried columns as ``c0``, ``c1`` and so on, whatever they were called.
+    """
+    rows = docs.select(F.col(text).cast("string").alias("text"), *[c.alias(f"c{k}") for k, c in enumerate(carry)])
+    schema = T.StructType(
+        [T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("terms", "counts")] + list(rows.schema)[1:]
+    )
 
     def run(batches):
+        finder = Finder(number)
         for batch in batches:
-            found = [hits(number, x) for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array([list(f) for f in found], pa.list_(pa.int32())),
-                    pa.array([list(f.values()) for f in found], pa.list_(pa.int32())),
-                ],
-                names=["doc_id", "held_out", "terms", "counts"],
-            )
+            found = finder.columns(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([*found, *batch.columns[1:]], names=schema.names)
 
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        held_out(modulus, remainder).alias("held_out"),
-        F.col(text).cast("string").alias("text"),
-    ).mapInArrow(run, "doc_id bigint, held_out boolean, terms array<int>, counts array<int>")
-    return materialise(rows, "toxic-terms")
+    return materialise(rows.mapInArrow(run, schema), "toxic-terms")
 
 
 def _frequencies(rows: DataFrame, n: int) -> np.ndarray:
@@ -364,11 +439,10 @@ def _frequencies(rows: DataFrame, n: int) -> np.ndarray:
 
 @dataclass
 class Judge:
-    """The fitted model, or the flat score where there is nothing to learn from; and the known terms of the documents."""
+    """The fitted model, or the flat score where there is nothing to learn from; and the known terms of all documents."""
 
     model: Model | None
     flat: float
-    number: dict[str, int]
     rows: DataFrame
 
     def scorer(self):
@@ -376,12 +450,13 @@ class Judge:
         model, flat = self.model, self.flat
         seen: dict[bytes, tuple] = {}
 
-        def of(rows: list[tuple[list[int], list[int]]]) -> list[tuple[float, list[dict]]]:
+        def of(terms: pa.ListArray, counts: pa.ListArray) -> list[tuple[float, list[dict]]]:
+            rows = _rows(terms, counts)
             if not model:
                 return [(flat, [])] * len(rows)
             if len(seen) > 20_000:
                 seen.clear()
-            keys = [hashlib.blake2b(np.array(row, np.int64).tobytes(), digest_size=16).digest() for row in rows]
+            keys = [hashlib.blake2b(t.tobytes() + c.tobytes(), digest_size=16).digest() for t, c in rows]
             new = {key: row for key, row in zip(keys, rows, strict=True) if key not in seen}
             for key, (s, near) in zip(new, model.scores(list(new.values())), strict=True):
                 seen[key] = (s, [{"doc_id": model.ids[i], "cosine": c, "toxic": int(model.toxic[i])} for c, i in near])
@@ -390,17 +465,25 @@ class Judge:
         return of
 
 
-def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, text: str = "text") -> Judge:
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    modulus: int = 4,
+    remainder: int = 2,
+    text: str = "text",
+    carry: Sequence[Column] = (),
+) -> Judge:
+    """The fitted model, and the terms of all documents with the carried columns."""
     sample = independent(
         labelled_sample(docs, labels, "toxic", modulus, remainder, PER_LABEL, MOST_CHARS, text)
     )
     known, ratio = sample_terms(sample) if all(sample.texts) else ([], np.zeros(0))
     number = {t: k for k, t in enumerate(known)}
-    rows = _known_terms(docs, number, modulus, remainder, text)
+    rows = _known_terms(docs, number, carry, text)
     total = rows.count()
     idf = np.log((total + 1) / (_frequencies(rows, len(number)) + 1)) + 1
     space = Space(number, idf, np.where(ratio >= LEAST_RATIO, ratio / LEAST_RATIO, 0.0))
-    return Judge(build(sample, space) if number else None, sample.share, number, rows)
+    return Judge(build(sample, space) if number else None, sample.share, rows)
 
 
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
@@ -408,17 +491,18 @@ _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())
 
 def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, text: str = "text") -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` and ``evidence`` of every row."""
-    judge = fit(docs, labels, modulus, remainder, text)
+    carry = [F.col("doc_id").cast("bigint"), held_out(modulus, remainder)]
+    judge = fit(docs, labels, modulus, remainder, text, carry)
     rows, judge.rows = judge.rows, None  # the function that goes to the tasks holds no table
 
     def run(batches):
         of = judge.scorer()
         for batch in batches:
-            found = of(list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)))
+            found = of(batch.column(0), batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    batch.column(1),
+                    batch.column(2),
+                    batch.column(3),
                     pa.array([s for s, _ in found], pa.float64()),
                     pa.array([int(s >= THRESHOLD) for s, _ in found], pa.int32()),
                     pa.array([near for _, near in found], _EVIDENCE),
@@ -434,16 +518,19 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int =
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs``, as they are, that are not predicted toxic; texts are judged where they lie."""
-    judge = fit(docs, labels, text=text)
-    judge.rows = None
-    at = docs.columns.index(text)
+    """The rows of ``docs``, as they are, that are not predicted toxic.
+
+    They are stored with their terms, which are taken once, for frequencies and scores alike.
+    """
+    judge = fit(docs, labels, text=text, carry=[F.col(f"`{c}`") for c in docs.columns])
+    rows, judge.rows = judge.rows, None
 
     def run(batches):
         of = judge.scorer()
         for batch in batches:
-            found = [hits(judge.number, x) for x in batch.column(at).to_pylist()]
-            clean = [s < THRESHOLD for s, _ in of([(list(f), list(f.values())) for f in found])]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+            clean = [s < THRESHOLD for s, _ in of(batch.column(0), batch.column(1))]
+            kept = pa.RecordBatch.from_arrays(batch.columns[2:], names=docs_schema.names)
+            yield kept.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    docs_schema = T.StructType(list(rows.schema)[2:])
+    return rows.mapInArrow(run, docs_schema).toDF(*docs.columns)
