@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdcstrata.functions.scalars import percent
+from cdcstrata.operators.selection import exact_quantiles
+from cdcstrata.sources.scratch import release, store
 
 
 def sum_or_zero(c: Column | str) -> Column:
@@ -40,32 +42,67 @@ def with_percent(grouped: DataFrame, count: str = "cnt", name: str = "percent",
     return grouped.withColumn(name, percent(F.col(count), total))
 
 
+_PROFILE = "column string, count bigint, mean double, stddev double, min {kind}, p25 double, p50 double, p75 double, max {kind}"
+_QUARTILES = (0.25, 0.5, 0.75)
+
+
 def numeric_profile(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """One row per column: count, mean, stddev, min, quartiles, max.
 
-    Quartiles are exact and interpolated; exact ones keep a count per distinct value. With ``accuracy`` they come from
-    a mergeable sketch with relative rank error 1/accuracy, which any number of values fits. All columns are
-    profiled in the same pass. Minimum and maximum keep the columns' type where they share a whole-number one
-    and are doubles otherwise.
+    Quartiles are exact and interpolated. They are found by distributed selection, in a few passes over a stored copy of
+    the columns, and no task holds more than a sketch; that runs when the profile is asked for. With ``accuracy``
+    they come from a mergeable sketch with relative rank error 1/accuracy, in one pass and with nothing stored. All
+    columns are profiled together. Minimum and maximum keep the columns' type where they share a whole-number one
+    and are doubles otherwise. NaN is not a value.
     """
     kinds = dict(df.select(*columns).dtypes)
-    whole = all(k in ("tinyint", "smallint", "int", "bigint") for k in kinds.values())
-    kind = "bigint" if whole else "double"
-    points = [0.25, 0.5, 0.75]
-    stats = []
-    for c in columns:
-        quartiles = F.percentile(c, points) if accuracy is None else F.percentile_approx(c, points, accuracy)
-        stats.append(
+    whole = {c: kinds[c] in ("tinyint", "smallint", "int", "bigint") for c in columns}
+    kind = "bigint" if all(whole.values()) else "double"
+    typed = df.select(
+        *[F.col(c).cast("bigint") if whole[c] else F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns]
+    )
+    if accuracy is not None:
+        return _sketched_profile(typed, columns, kind, accuracy)
+    spark, path = df.sparkSession, store(typed, "profile")
+    stored = spark.read.schema(typed.schema).parquet(path)
+    stats = stored.agg(
+        *[
             F.struct(
-                F.lit(c).alias("column"),
                 F.count(c).alias("count"),
                 F.avg(c).alias("mean"),
                 F.stddev(c).alias("stddev"),
                 F.min(c).cast(kind).alias("min"),
-                quartiles.cast("array<double>").alias("quartiles"),
                 F.max(c).cast(kind).alias("max"),
-            )
+                (F.kll_sketch_agg_bigint if whole[c] else F.kll_sketch_agg_double)(c).alias("sketch"),
+            ).alias(f"c{k}")
+            for k, c in enumerate(columns)
+        ]
+    ).first()
+    sketches = {
+        c: ("bigint" if whole[c] else "double", bytes(stats[k]["sketch"] or b""), stats[k]["count"])
+        for k, c in enumerate(columns)
+    }
+    quartiles = exact_quantiles(stored, _QUARTILES, sketches)
+    rows = [
+        (c, s["count"], s["mean"], s["stddev"], s["min"], *quartiles[c], s["max"]) for c, s in zip(columns, stats, strict=True)
+    ]
+    release(spark, path)
+    return spark.createDataFrame(rows, _PROFILE.format(kind=kind))
+
+
+def _sketched_profile(df: DataFrame, columns: Sequence[str], kind: str, accuracy: int) -> DataFrame:
+    stats = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count(c).alias("count"),
+            F.avg(c).alias("mean"),
+            F.stddev(c).alias("stddev"),
+            F.min(c).cast(kind).alias("min"),
+            F.percentile_approx(c, list(_QUARTILES), accuracy).cast("array<double>").alias("quartiles"),
+            F.max(c).cast(kind).alias("max"),
         )
+        for c in columns
+    ]
     rows = df.agg(F.array(*stats).alias("stats")).select(F.inline("stats"))
     return rows.select(
         "column",
