@@ -389,6 +389,17 @@ class Tables:
             f"{EPOCH} + 5 * 86400 AS updated_at",
         )
 
+    @cached_property
+    def crm_events(self) -> DataFrame:
+        """The journal of events, as what users did on their leads."""
+        return self.table("events").selectExpr(
+            "event_id AS id",
+            "event_type AS type",
+            "'leads' AS entity_type",
+            "user_id AS entity_id",
+            "CAST(timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ)) AS BIGINT) AS created_at",
+        )
+
 
 _OPEN: dict[tuple, Tables] = {}
 

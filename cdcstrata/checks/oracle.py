@@ -366,6 +366,7 @@ def _gold() -> dict[str, str]:
         ]
     )
     live = f"op <> 'd' AND status = 'signed' AND {YEARS}"
+    out["gold_general_indicators_bucketed"] = out["gold_general_indicators"]
     out |= {
         "gold_export_by_country": _with(
             f"SELECT {country_head.format(cert='cert3', tin='company_tin', name='company_name')}, current_sum AS export_income "
@@ -666,6 +667,13 @@ def _bi() -> dict[str, str]:
             *needs,
             **marts,
         ),
+        "bi_countries_merged": _with(
+            "SELECT a.year AS first_year, b.year AS last_year, country, COUNT(DISTINCT bin) AS companies_count "
+            "FROM (SELECT DISTINCT year FROM x) a JOIN (SELECT DISTINCT year FROM x) b ON a.year <= b.year "
+            "JOIN x ON x.year BETWEEN a.year AND b.year WHERE bin IS NOT NULL GROUP BY 1, 2, 3",
+            *needs,
+            **marts,
+        ),
         "bi_countries_by_year": _with(
             "SELECT year, COUNT(*) AS cnt, COUNT(DISTINCT country) AS countries FROM x GROUP BY year", *needs, **marts
         ),
@@ -815,6 +823,10 @@ ON lpad(CAST(c AS STRING), 12, '0') = company_tin""",
         ),
     }
     out["crm_incremental_load"] = out["crm_leads_silver"]
+    out["crm_events_load"] = (
+        "SELECT event_id, event_type, 'leads' AS entity_type, user_id AS entity_id, date_trunc('second', ts) AS created_at, "
+        "CAST(year(ts) AS INTEGER) AS year FROM events"
+    )
     return out
 
 
@@ -861,6 +873,14 @@ def _incremental() -> dict[str, str]:
         "inc_upsert_equals_full": _with(newest, "rep"),
         "inc_refresh_equals_full": _with(AFTER_DELETES, "silver", "rep"),
         **_kept_up(),
+        "refresh_observed_counts": _with(
+            "SELECT 'silver_reports' AS table_name, COUNT(*) AS cnt FROM silver UNION ALL SELECT 'silver_participants', COUNT(*) FROM participants "
+            f"UNION ALL SELECT 'silver_companies', COUNT(*) FROM ({_silver()['silver_companies']}) UNION ALL SELECT 'report_certificates', COUNT(*) FROM resolved "
+            + "".join(f"UNION ALL SELECT '{m}', COUNT(*) FROM resolved " for m in fl.MARTS)
+            + "UNION ALL SELECT 'export_by_country', COUNT(*) FROM resolved JOIN valid_exports ON report_id = k",
+            "resolved",
+            "valid_exports",
+        ),
         "stream_cdc_equals_batch": _with(newest, "rep"),
         "refresh_silver_reports": _silver()["silver_reports_masked_first"],
         "refresh_silver_participants": _silver()["silver_participants"],

@@ -14,14 +14,29 @@ from cdcstrata.checks.rules import START_YEAR
 from cdcstrata.functions.payload import json_str, parse_payload
 from cdcstrata.functions.periods import days_before, previous_quarter
 from cdcstrata.functions.scalars import labelled_digits
-from cdcstrata.operators import aggregates, predicates, quality, versions
+from cdcstrata.operators import aggregates, bitmaps, predicates, quality, versions
 from cdcstrata.plans import bi, crm, deltas, fields, gold, refresh, registry, silver, summary, visits
 from cdcstrata.sources import readers, writers
+from cdcstrata.sources.load_state import LoadState
 from cdcstrata.sources.scratch import materialise, release, scratch_path
 from cdcstrata.sources.tables import TableSpec, create_table
 from cdcstrata.streaming import changes
 
 Build = Callable[[Tables], DataFrame]
+
+
+class _CutShort(LoadState):
+    """Marks that are not committed, as when a run ends between its data and its last mark."""
+
+    class Cut(Exception):
+        pass
+
+    def commit(self, entity: str, mark: int | None, run_id: str) -> None:
+        if entity in ("leads", "events"):
+            raise self.Cut
+        super().commit(entity, mark, run_id)
+
+
 TIN = "777777000007"  # the company that the one-company report is about
 NATURAL = list(silver.NATURAL_KEY)
 
@@ -171,7 +186,24 @@ def _gold_tables() -> dict[str, Build]:
         out[f"gold_{name}_cert2"] = _mart(name, 2)
         out[f"gold_{name}_cert0"] = _mart(name, 0)
         out[f"gold_{name}_unsigned"] = _mart(name, signed_only=False)
+    def bucketed(t: Tables) -> DataFrame:
+        """The headline mart from reports and lookup that lie in buckets by request."""
+        base, key = f"check_{uuid.uuid4().hex}", ["service_request_id"]
+        tables = {
+            "reports": predicates.signed(_silver(t, columns=gold.NEEDED["general_indicators"])),
+            "lookup": gold.certificate_lookup(_participants(t), t.request_cdc),
+        }
+        try:
+            for name, rows in tables.items():
+                writers.write_bucketed(rows, f"{base}_{name}", key, buckets=8)
+            reports, lookup = (t.spark.table(f"{base}_{name}") for name in tables)
+            return materialise(gold.general_indicators(gold.with_certificates(reports, lookup)), "bucketed")
+        finally:
+            for name in tables:
+                t.spark.sql(f"DROP TABLE IF EXISTS {base}_{name}")
+
     return out | {
+        "gold_general_indicators_bucketed": bucketed,
         "gold_export_by_country": _export_by_country,
         "gold_export_by_country_stitched": _export_stitched,
         "gold_export_by_country_natural_key": lambda t: gold.export_by_country_natural_key(
@@ -271,7 +303,20 @@ def _bi() -> dict[str, Build]:
         return bi.export_share(_export_by_country(t, rows), gold.general_indicators(rows))
 
     per_company = ("general_indicators", "tax_benefits", "employees")
+    def merged(t: Tables) -> DataFrame:
+        """All ranges of years, answered from bitmaps of single years; ids of late years are counted on from earlier ones."""
+        rows = materialise(_export_by_country(t), "exports")
+        ids = bitmaps.extended_ids(rows.filter("year < 1998"), "bin")
+        ids = materialise(bitmaps.extended_ids(rows, "bin", ids), "companies")
+        stored = materialise(bi.exporter_bitmaps(rows, ids), "exporters", ["year"])
+        years = stored.agg(F.array_sort(F.collect_set("year")).alias("years"))  # a few
+        begun = years.select("years", F.explode("years").alias("first_year"))
+        later = F.filter("years", lambda y: y >= F.col("first_year"))
+        ranges = begun.select("first_year", F.explode(later).alias("last_year"))
+        return bi.exporters_of_ranges(stored, ranges)
+
     return {
+        "bi_countries_merged": merged,
         "bi_yearly_dashboard": lambda t: bi.yearly_dashboard(*_marts(t, *per_company)),
         "bi_company_detail": lambda t: bi.company_detail(*_marts(t, *per_company)),
         "bi_company_detail_tin": lambda t: bi.company_detail(*_marts(t, *per_company), tin=TIN),
@@ -314,16 +359,59 @@ def _crm() -> dict[str, Build]:
         rows = companies(t).drop("created_at", "updated_at", "responsible_user_name")
         return crm.link_by_bin(rows, _silver(t, columns=("income_total",)))
 
-    def incremental_load(t: Tables) -> DataFrame:
-        """Leads after a first load of their older versions and a second one of what changed since."""
+    def loaded(runs: Callable[[Tables], list[tuple[str, dict[str, DataFrame], bool]]], finish: Callable[[Tables, Callable], DataFrame]) -> Build:
+        """Tables after load runs (id, sources, whether it is cut off before its last mark), each cut one repeated."""
+
+        def build(t: Tables) -> DataFrame:
+            base = f"check_{uuid.uuid4().hex}"
+            table_of = lambda name: f"{base}_{name}"
+            state, names = LoadState(t.spark, f"{base}_state"), ["state"]
+            try:
+                for run_id, sources, cut in runs(t):
+                    names = list(dict.fromkeys([*names, *sources]))
+                    if cut:
+                        try:
+                            crm.load_run(t.spark, sources, table_of, _CutShort(t.spark, state.table), run_id)
+                        except _CutShort.Cut:
+                            pass
+                    crm.load_run(t.spark, sources, table_of, state, run_id)
+                return finish(t, lambda name: materialise(t.spark.table(table_of(name)), name))
+            finally:
+                for name in names:
+                    t.spark.sql(f"DROP TABLE IF EXISTS {table_of(name)}")
+
+        return build
+
+    def lead_runs(t: Tables) -> list:
+        """Leads in their older versions, then as they are, in a run that is cut off and repeated."""
         older = t.crm_leads.filter(F.col("status_id") == 10)
-        kept = lambda df, name: materialise(df, f"crm-{name}")
         parts = {"pipelines": t.crm_pipelines, "users": t.crm_users}
-        first = crm.load_entities({**parts, "leads": older}, kept)
-        second = crm.load_entities({**parts, "leads": t.crm_leads}, kept, first, since_epoch=0)
-        rows = crm.crm_leads_silver(second["leads"], crm.crm_pipeline_statuses(second["pipelines"]), second["users"])
+        return [("first", {**parts, "leads": older}, False), ("second", {**parts, "leads": _moved_on(t)}, True)]
+
+    def _moved_on(t: Tables) -> DataFrame:
+        """All leads, changed after the first load: its mark is the latest change of then."""
+        return t.crm_leads.withColumn("updated_at", F.col("updated_at") + F.lit(10**9))
+
+    def leads_after(t: Tables, table: Callable[[str], DataFrame]) -> DataFrame:
+        changed = table("leads").withColumn(
+            "updated_at", F.col("updated_at") - F.when(F.col("updated_at") > 10**9 + 10**8, 10**9).otherwise(0)
+        )
+        rows = crm.crm_leads_silver(changed, crm.crm_pipeline_statuses(table("pipelines")), table("users"))
         return joined_ids(rows, "contact_ids", "company_ids", "tags")
 
+    def event_runs(t: Tables) -> list:
+        """Two loads of the journal as it grows, the second cut off and repeated, and a third with the rest.
+
+        Every seventh event comes twice, and those of the hour before a load end again with the next.
+        """
+        events = t.crm_events.unionByName(t.crm_events.filter("id % 7 = 0"))
+        upto = lambda day: events.filter(F.col("created_at") < F.unix_timestamp(F.lit(f"{day} 12:00:00").cast("timestamp")))
+        return [
+            ("first", {"events": upto("2024-01-10")}, False),
+            ("second", {"events": upto("2024-01-20")}, True),
+            ("third", {"events": events}, False),
+        ]
+
     return {
         "crm_pipeline_statuses": statuses,
         "crm_leads_silver": lambda t: joined_ids(leads(t), "contact_ids", "company_ids", "tags"),
@@ -335,7 +423,8 @@ def _crm() -> dict[str, Build]:
         "crm_manager_activity": lambda t: crm.manager_activity(leads(t), t.crm_tasks, t.crm_users),
         "crm_client_analytics": lambda t: crm.client_analytics(leads(t), companies(t)),
         "crm_companies_with_reports": linked,
-        "crm_incremental_load": incremental_load,
+        "crm_incremental_load": loaded(lead_runs, leads_after),
+        "crm_events_load": loaded(event_runs, lambda t, table: crm.crm_events_silver(table("events"))),
     }
 
 
@@ -377,6 +466,13 @@ def _incremental() -> dict[str, Build]:
 
         return build
 
+    def observed(t: Tables) -> DataFrame:
+        """Rows of every table of a refresh, as the jobs that wrote them counted."""
+        rows = quality.WrittenRows()
+        bronze = refresh.Bronze(t.report_cdc(exports=True), t.request_cdc, t.company_cdc)
+        refresh.refresh_tables(bronze, refresh.counted(refresh.to_scratch, rows), START_YEAR)
+        return rows.counts(t.spark)
+
     def incremental(t: Tables) -> DataFrame:
         """The canonical table as of an early log, then refreshed by what changed since."""
 
@@ -446,6 +542,7 @@ def _incremental() -> dict[str, Build]:
             summed(lambda n: ({f"{n}_q": deltas.QUARTER}, f"{n}_q"))(t)
         ),
         "stream_cdc_equals_batch": streamed,
+        "refresh_observed_counts": observed,
         **{f"refresh_{name}": refreshed(name) for name in ("silver_reports", "silver_participants", "financing", "export_by_country")},
         "expr_previous_quarter": quarters,
         "expr_days_before": cutoffs,

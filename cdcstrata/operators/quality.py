@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cdcstrata.functions.scalars import MASK_PREFIX, is_blank, is_masked
@@ -21,6 +22,28 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+class WrittenRows:
+    """How many rows a run wrote to each table and read from each log, counted by the writing jobs themselves.
+
+    A count is part of the job that writes, so it costs no scan. It is put on top of what the writer gets, where a task
+    counts once, however often it is tried; counts of what is read stand below a shuffle, and count again what a lost
+    executor had to read again.
+    """
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def of(self, df: DataFrame, name: str) -> DataFrame:
+        """The same rows, counted under ``name`` when they are written. A name counts for one action."""
+        seen = self._seen[name] = Observation(f"{name}-{uuid.uuid4().hex}")
+        return df.observe(seen, F.count(F.lit(1)).alias("cnt"))
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """(table_name, cnt) of all names, once their jobs are through; waits for those that run."""
+        rows = [(name, seen.get["cnt"]) for name, seen in self._seen.items()]
+        return spark.createDataFrame(rows, "table_name string, cnt bigint")
+
+
 def status_buckets(
     df: DataFrame, bucket, name: str, income: str | None = None, share: bool = False
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdcstrata.functions.scalars import percent
+from cdcstrata.operators import bitmaps
 from cdcstrata.operators.aggregates import top_k
 from cdcstrata.operators.predicates import positive
 
@@ -79,6 +80,28 @@ def top_countries(export_by_country: DataFrame, year: int | None = None, k: int
     return top_k(totals, k, F.desc_nulls_last("total_export"), F.asc("country"))
 
 
+def exporter_bitmaps(export_by_country: DataFrame, ids: DataFrame) -> DataFrame:
+    """Which companies exported to each country in each year: ``year``, ``country``, ``piece``, ``bits``.
+
+    Store it by year: a year that is refreshed gives new rows for itself alone.
+    """
+    return bitmaps.distinct_bitmaps(export_by_country, ["year", "country"], "bin", ids)
+
+
+def exporters_between(stored: DataFrame, first: int, last: int) -> DataFrame:
+    """Companies that exported to each country in a range of years, from the stored bitmaps alone."""
+    years = stored.filter(F.col("year").between(first, last))
+    return bitmaps.counted(bitmaps.merged_bitmaps(years, ["country"]), ["country"], "companies_count")
+
+
+def exporters_of_ranges(stored: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The same for many ranges at once: ``first_year``, ``last_year``, ``country``, ``companies_count``."""
+    keys = ["first_year", "last_year", "country"]
+    years = ranges.withColumn("year", F.explode(F.sequence("first_year", "last_year")))
+    held = years.join(stored, "year")
+    return bitmaps.counted(bitmaps.merged_bitmaps(held, keys), keys, "companies_count")
+
+
 def export_countries_by_year(export_by_country: DataFrame) -> DataFrame:
     return export_by_country.groupBy("year").agg(
         F.count(F.lit(1)).alias("cnt"), F.countDistinct("country").alias("countries")

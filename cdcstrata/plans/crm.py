@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcstrata.operators.aggregates import sum_or_zero
 from cdcstrata.operators.versions import latest
+from cdcstrata.sources import writers
+from cdcstrata.sources.load_state import LoadState
 from cdcstrata.sources.writers import merged
 
 # Fixed values that decide results.
@@ -279,6 +281,17 @@ def link_by_bin(crm: DataFrame, silver: DataFrame, column: str = "bin") -> DataF
     return crm.join(figures, column, "left")
 
 
+def crm_events_silver(events: DataFrame) -> DataFrame:
+    """The journal of events, typed: what happened to which entity when."""
+    return events.select(
+        F.col("id").alias("event_id"),
+        F.col("type").alias("event_type"),
+        "entity_type",
+        "entity_id",
+        _moment("created_at"),
+    ).withColumn("year", F.year("created_at"))
+
+
 def entity_changes_since(df: DataFrame, since_epoch: int) -> DataFrame:
     """Incremental slice of an entity by its change time in epoch seconds."""
     return df.filter(F.col("updated_at") >= F.lit(since_epoch))
@@ -312,3 +325,70 @@ def load_entities(
             rows = _newest(rows)
         out[name] = save(rows, name)
     return out
+
+
+# What tells when a row of an entity came to be as it is; directories have none and are taken whole.
+CHANGE_TIME = {
+    "companies": "updated_at",
+    "contacts": "updated_at",
+    "leads": "updated_at",
+    "tasks": "updated_at",
+    "events": "created_at",
+}
+#: Seconds before the mark that a load reads again, for rows that the source made visible late.
+OVERLAP = 3600
+
+
+def load_run(
+    spark: SparkSession,
+    sources: Mapping[str, DataFrame],
+    table_of: Callable[[str], str],
+    state: LoadState,
+    run_id: str,
+    overlap: int = OVERLAP,
+) -> None:
+    """One run of the load: every entity from its own stored mark on, directories whole, in order of dependency.
+
+    Entities with a change time are merged into their table by id, the later change winning. Events are never changed:
+    they are appended, less those that the table has already. Each entity's mark is committed once its rows are in
+    the table, so a run that is cut off goes on, under the same id, with what it had not committed, and reads that again.
+    """
+    for name in (*LOAD_ORDER, "events"):
+        if name not in sources or state.is_done(name, run_id):
+            continue
+        time, table, mark = CHANGE_TIME.get(name), table_of(name), state.mark(name)
+        if time is None:
+            with writers.staged(sources[name], name) as rows:
+                writers.create_or_replace(rows, table)
+            state.commit(name, None, run_id)
+            continue
+        since = None if mark is None else mark - overlap
+        changed = sources[name] if since is None else sources[name].filter(F.col(time) >= since)
+        # Stored once, so that the mark is that of the rows that were loaded and not of later ones.
+        with writers.staged(changed, name) as rows:
+            if name == "events":
+                append_events(spark, rows, table, since)
+            elif spark.catalog.tableExists(table):
+                writers.upsert(spark, table, _newest(rows), ["id"], newer_by=[time])
+            else:
+                writers.create_or_replace(_newest(rows), table)
+            newest = rows.agg(F.max(time)).first()[0]
+        state.commit(name, max((m for m in (mark, newest) if m is not None), default=None), run_id)
+
+
+def append_events(spark: SparkSession, rows: DataFrame, table: str, since: int | None = None) -> None:
+    """Append the events that the table does not have, by id. It is partitioned by day of creation.
+
+    ``since`` is where the rows begin: of the table, only days from then on are read to find what is there already.
+    """
+    day = F.to_date(F.timestamp_seconds("created_at"))
+    new = rows.dropDuplicates(["id"]).withColumn("day", day)
+    if spark.catalog.tableExists(table):
+        there = spark.table(table)
+        if since is not None:
+            there = there.filter(F.col("day") >= F.to_date(F.timestamp_seconds(F.lit(since))))
+        new = new.join(there.select("id"), "id", "left_anti").select(*there.columns)
+        with writers.staged(new, "new-events") as new:
+            writers.append(writers.clustered(new, ["day"]), table, partition_by=["day"])
+    else:
+        writers.create_or_replace(writers.clustered(new, ["day"]), table, partition_by=["day"])

@@ -31,6 +31,7 @@ from cdcstrata.operators.predicates import (
     signed,
     with_op,
 )
+from cdcstrata.operators.quality import assert_unique
 from cdcstrata.operators.unnest import explode_items
 from cdcstrata.operators.versions import latest
 from cdcstrata.plans import fields as fl
@@ -96,49 +97,54 @@ def latest_certificates(requests: DataFrame, service_id: str = SERVICE_ID) -> Da
     )
 
 
-def certificate_for(
-    silver: DataFrame,
+KEY = "service_request_id"
+
+
+def certificate_lookup(
     participants: DataFrame | None = None,
     requests: DataFrame | None = None,
     service_id: str = SERVICE_ID,
-) -> DataFrame:
-    """Report rows with the certificate resolved over up to three levels.
+    *,
+    check_unique: bool = False,
+) -> DataFrame | None:
+    """What participants and requests say about a request's certificate: one row a request, None without either.
 
-    Level 1 is the report's own number, level 2 the participants table, level 3 the newest request
-    version (whose '-1' means none). Pass what there is: nothing, ``participants``, or both. The join is a
-    left join on a unique key, so rows neither vanish nor multiply. Spark broadcasts the lookup only when
-    its measured size allows; else a sort-merge join runs, whose hot keys are split at run time. That is
-    why it is a single join: two in a row on one key would rule the splitting out.
+    ``check_unique`` guards that: the lookup fails to evaluate if either side has a request twice, which would multiply
+    reports. It costs an aggregate over each side.
     """
-    key = "service_request_id"
-    number, issue, end = [blank_to_null("certificate_number")], [], []
-    tin = name = F.lit(None).cast("string")
     sides = []
     if participants is not None:
-        sides.append(
-            participants.select(
-                key,
-                F.col("certificate_number").alias("p_number"),
-                F.col("certificate_issue_date").alias("p_issue"),
-                F.col("certificate_end_date").alias("p_end"),
-                F.col("company_tin").alias("p_tin"),
-                F.col("company_name").alias("p_name"),
-            )
+        side = participants.select(
+            KEY,
+            F.col("certificate_number").alias("p_number"),
+            F.col("certificate_issue_date").alias("p_issue"),
+            F.col("certificate_end_date").alias("p_end"),
+            F.col("company_tin").alias("p_tin"),
+            F.col("company_name").alias("p_name"),
         )
+        sides.append(side)
+    if requests is not None:
+        sides.append(latest_certificates(requests, service_id).withColumnRenamed("id", KEY))
+    if check_unique:
+        sides = [assert_unique(side, [KEY]) for side in sides]
+    return reduce(lambda left, right: left.join(right, KEY, "full"), sides) if sides else None
+
+
+def with_certificates(silver: DataFrame, lookup: DataFrame | None) -> DataFrame:
+    """Report rows joined with a lookup of :func:`certificate_lookup`, as it is or as it was stored."""
+    columns = lookup.columns if lookup is not None else ()
+    number, issue, end = [blank_to_null("certificate_number")], [], []
+    tin = name = F.lit(None).cast("string")
+    if "p_number" in columns:
         number.append(F.col("p_number"))
         issue.append(F.col("p_issue"))
         end.append(F.col("p_end"))
         tin, name = F.col("p_tin"), F.col("p_name")
-    if requests is not None:
-        sides.append(latest_certificates(requests, service_id).withColumnRenamed("id", key))
+    if "cert_number" in columns:
         number.append(F.nullif(F.col("cert_number"), F.lit(NO_CERTIFICATE)))
         issue.append(F.col("cert_issue_date"))
         end.append(F.col("cert_end_date"))
-    out = silver
-    if sides:
-        # The lookups meet first: the reports then take part in one join only.
-        lookup = reduce(lambda left, right: left.join(right, key, "full"), sides)
-        out = silver.join(lookup, key, "left")
+    out = silver if lookup is None else silver.join(lookup, KEY, "left")
     none = F.lit(None).cast("date")
     return out.select(
         *silver.columns,
@@ -150,6 +156,25 @@ def certificate_for(
     )
 
 
+def certificate_for(
+    silver: DataFrame,
+    participants: DataFrame | None = None,
+    requests: DataFrame | None = None,
+    service_id: str = SERVICE_ID,
+    *,
+    check_unique: bool = False,
+) -> DataFrame:
+    """Report rows with the certificate resolved over up to three levels.
+
+    Level 1 is the report's own number, level 2 the participants table, level 3 the newest request
+    version (whose '-1' means none). Pass what there is: nothing, ``participants``, or both. The join is a
+    left join on a unique key, so rows neither vanish nor multiply; ``check_unique`` makes sure of it. Spark
+    broadcasts the lookup only when its measured size allows; else a sort-merge join runs, whose hot keys are split
+    at run time. That is why it is a single join: two in a row on one key would rule the splitting out.
+    """
+    return with_certificates(silver, certificate_lookup(participants, requests, service_id, check_unique=check_unique))
+
+
 def _resolved(silver, participants, requests, cert_fallback, signed_only, identity_fallback, service_id) -> DataFrame:
     if cert_fallback not in (0, 2, 3):
         raise ValueError("cert_fallback must be 0, 2 or 3")

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdcstrata.operators import quality
 from cdcstrata.operators.predicates import FIRST_YEAR, changed_since, signed
 from cdcstrata.plans import deltas, gold, silver
 from cdcstrata.sources import pending, writers
@@ -48,6 +49,7 @@ def refresh_tables(
             signed(reports),
             participants if cert_fallback >= 2 else None,
             bronze.requests if cert_fallback == 3 else None,
+            check_unique=True,
         ),
         "report_certificates",
     )
@@ -65,8 +67,15 @@ def to_scratch(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, name, ["year"] if "year" in df.columns else None)
 
 
-def to_catalog(database: str, fmt: str = "parquet") -> Callable[[DataFrame, str], DataFrame]:
-    """Save as catalog tables partitioned by year, load time added."""
+def counted(save: Callable[[DataFrame, str], DataFrame], rows: quality.WrittenRows) -> Callable[[DataFrame, str], DataFrame]:
+    """The same way of saving, each table counted as it is written."""
+    return lambda df, name: save(rows.of(df, name), name)
+
+
+def to_catalog(
+    database: str, fmt: str = "parquet", counts: quality.WrittenRows | None = None
+) -> Callable[[DataFrame, str], DataFrame]:
+    """Save as catalog tables partitioned by year, load time added, and with ``counts`` counted as they are written."""
 
     def save(df: DataFrame, name: str) -> DataFrame:
         table = f"{database}.{name}"
@@ -74,6 +83,8 @@ def to_catalog(database: str, fmt: str = "parquet") -> Callable[[DataFrame, str]
         rows = writers.with_load_time(df)
         if parts:
             rows = writers.clustered(rows, parts)
+        if counts is not None:
+            rows = counts.of(rows, name)
         writers.create_or_replace(rows, table, fmt, partition_by=parts)
         return df.sparkSession.table(table).drop("etl_loaded_at")
 

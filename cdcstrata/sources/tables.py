@@ -19,6 +19,8 @@ class TableSpec:
     comment: str = ""
     fmt: str = "parquet"
     props: Mapping[str, str] = field(default_factory=dict)
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
 
     def ddl(self, if_not_exists: bool = False) -> str:
         def column(f: T.StructField) -> str:
@@ -34,6 +36,9 @@ class TableSpec:
         ]
         if self.partition_by:
             parts.append(f"PARTITIONED BY ({', '.join(self.partition_by)})")
+        if self.bucket_by:
+            keys = ", ".join(f"`{c}`" for c in self.bucket_by)
+            parts.append(f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS")
         if self.comment:
             parts.append(f"COMMENT '{_quoted(self.comment)}'")
         if self.props:

@@ -48,6 +48,20 @@ def create_or_replace(
     target.createOrReplace()
 
 
+def write_bucketed(
+    df: DataFrame, name: str, keys: Sequence[str], buckets: int, fmt: str = "parquet", partition_by: Sequence[str] = ()
+) -> None:
+    """Create or replace a file table whose rows lie in buckets by ``keys``, sorted in each.
+
+    Tables with as many buckets on the same keys join without an exchange on either side. A bucket is written by one task, so
+    it is a file (one a table partition), and takes all rows of its keys: choose the number so that one fits an
+    executor, and bucket by a key that no large part of the rows shares, as a join of buckets cannot be split.
+    """
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.format(fmt).mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+
+
 def overwrite(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Replace all rows of a table."""
     create_or_replace(df, name, fmt, partition_by=partition_by)
