@@ -280,6 +280,17 @@ def _silver() -> dict[str, str]:
             "silver",
             "rep",
         ),
+        "silver_reports_xml_parsed": _with(
+            "SELECT * REPLACE (replace(replace(company_name, 'Signed ', 'Signed & '), 'Masked ', 'Masked & ') AS company_name) FROM silver",
+            "silver",
+        ),
+        "silver_reports_variant": _with(
+            _masked().replace("FROM rep ", "FROM spoiled "),
+            "rep",
+            spoiled="SELECT * REPLACE ("
+            + ", ".join(f"CASE WHEN id % 31 = 0 AND op = 'r' THEN NULL ELSE {c} END AS {c}" for c in PAYLOAD)
+            + ") FROM rep",
+        ),
         "silver_reports_tombstones_after": _with(AFTER_DELETES, "silver", "rep"),
         "silver_reports_by_id": _with(
             f"SELECT id AS report_id, service_request_id, year, report_type, status, {data_tin}, {data_name}, {', '.join(fl.SILVER_BY_ID)} "
@@ -882,6 +893,8 @@ def _incremental() -> dict[str, str]:
             "valid_exports",
         ),
         "stream_cdc_equals_batch": _with(newest, "rep"),
+        "stream_replays_dropped": _versions()["win_drop_replays"],
+        "refresh_released_marts": _gold()["gold_financing"],
         "refresh_silver_reports": _silver()["silver_reports_masked_first"],
         "refresh_silver_participants": _silver()["silver_participants"],
         "refresh_financing": _gold()["gold_financing"],

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from cdcstrata.checks.bronze import Tables, tables
 from cdcstrata.checks.rules import START_YEAR
-from cdcstrata.functions.payload import json_str, parse_payload
+from cdcstrata.functions.payload import json_str, parse_payload, parse_variant
 from cdcstrata.functions.periods import days_before, previous_quarter
 from cdcstrata.functions.scalars import labelled_digits
 from cdcstrata.operators import aggregates, bitmaps, predicates, quality, versions
 from cdcstrata.plans import bi, crm, deltas, fields, gold, refresh, registry, silver, summary, visits
-from cdcstrata.sources import readers, writers
+from cdcstrata.sources import readers, releases, writers
 from cdcstrata.sources.load_state import LoadState
 from cdcstrata.sources.scratch import materialise, release, scratch_path
 from cdcstrata.sources.tables import TableSpec, create_table
@@ -156,7 +156,21 @@ def _versions() -> dict[str, Build]:
     }
 
 
+def _marked_up(log: DataFrame) -> DataFrame:
+    """Signatures whose names hold an entity and whose company has attributes, one of them with an entity as well."""
+    signed = F.replace("signature", F.lit("<company>"), F.lit(r'<company id=\"7\" kind=\"a&amp;b\">'))
+    for name in ("Signed", "Masked"):
+        signed = F.replace(signed, F.lit(f"<name>{name} "), F.lit(f"<name>{name} &amp; "))
+    return log.withColumn("signature", signed)
+
+
 def _silver_tables() -> dict[str, Build]:
+    def variant(t: Tables) -> DataFrame:
+        """The canonical table from a log stored with VARIANT payloads, every 31st snapshot's being cut off."""
+        spoiled = F.when(F.expr("id % 31 = 0 AND op = 'r'"), F.substring("data", 1, 40)).otherwise(F.col("data"))
+        log = t.report_cdc().withColumn("data", spoiled)
+        return silver.silver_reports(materialise(parse_variant(log), "variant-log"), start_year=START_YEAR)
+
     return {
         "silver_reports_basic": lambda t: silver.silver_reports_basic(t.report_cdc(), START_YEAR),
         "silver_reports_natural_key": lambda t: silver.silver_reports_natural_key(t.report_cdc(exports=True)),
@@ -170,6 +184,10 @@ def _silver_tables() -> dict[str, Build]:
             t, attributes="snapshot", columns=(*fields.SILVER_REPORT, "country")
         ),
         "silver_reports_xml_last": lambda t: _silver(t, xml_mode="last"),
+        "silver_reports_xml_parsed": lambda t: silver.silver_reports(
+            _marked_up(t.report_cdc()), start_year=START_YEAR, xml_mode="parsed"
+        ),
+        "silver_reports_variant": variant,
         "silver_reports_tombstones_after": lambda t: _silver(t, tombstones="after"),
         "silver_reports_by_id": lambda t: silver.silver_reports_by_id(t.report_cdc()),
         "silver_preview": lambda t: silver.silver_preview(t.report_cdc()),
@@ -457,6 +475,56 @@ def _incremental() -> dict[str, Build]:
         release(t.spark, source, target, progress)
         return rows
 
+    def once(t: Tables) -> DataFrame:
+        """The log as it comes year by year, with redeliveries soon after and two years late, in three runs of the stream."""
+        source, target, progress = (scratch_path(t.spark, n) for n in ("deliveries", "once", "progress"))
+        log = materialise(_cut(t.report_cdc()).withColumn("came", F.year("updated_ts")), "deliveries")
+        years = [r["came"] for r in log.select("came").distinct().orderBy("came").collect()]  # a file for each
+        schema = log.drop("came").schema
+        for n, year in enumerate(years):
+            soon = log.filter((F.col("came") == year) & (F.col("id") % 3 == 0))
+            late = log.filter((F.col("came") == year - 2) & (F.col("id") % 5 == 0))
+            files = log.filter(F.col("came") == year).unionByName(soon).unionByName(late).drop("came")
+            files.coalesce(1).write.mode("append").parquet(source)
+            if n % 3 == 2 or n == len(years) - 1:
+                stream = changes.read_changes(t.spark, source, schema, files_per_batch=1)
+                changes.append_once(stream, target, progress, "40 days").awaitTermination()
+        rows = materialise(_carried(t.spark.read.schema(schema).parquet(target)), "once")
+        release(t.spark, source, target, progress)
+        return rows
+
+    def released(t: Tables) -> DataFrame:
+        """A mart as readers see it after two runs over three tables, the second cut off and gone on with."""
+        base = f"check_{uuid.uuid4().hex}"
+        tables = {f"{base}_reports": ["year"], f"{base}_resolved": ["year"], f"{base}_financing": ["year"]}
+        runs = releases.Releases(t.spark, base, tables)
+
+        def build(log: DataFrame, cut: bool = False) -> dict:
+            def mart(of):
+                if cut:
+                    raise RuntimeError("cut off")
+                return gold.financing(of(f"{base}_resolved"))
+
+            columns = gold.NEEDED["financing"]
+            return {
+                f"{base}_reports": lambda of: silver.silver_reports(log, start_year=START_YEAR, columns=columns),
+                f"{base}_resolved": lambda of: gold.certificate_for(
+                    predicates.signed(of(f"{base}_reports")), _participants(t), t.request_cdc
+                ),
+                f"{base}_financing": mart,
+            }
+
+        try:
+            runs.refresh("first", build(t.report_cdc().filter(before)))
+            try:
+                runs.refresh("second", build(t.report_cdc(), cut=True))
+            except RuntimeError:
+                pass
+            runs.refresh("third", build(t.report_cdc()))
+            return materialise(t.spark.table(f"{base}_financing"), "released")
+        finally:
+            runs.drop()
+
     def refreshed(table: str) -> Build:
         marts = () if table.startswith("silver") else (table,)
 
@@ -542,6 +610,8 @@ def _incremental() -> dict[str, Build]:
             summed(lambda n: ({f"{n}_q": deltas.QUARTER}, f"{n}_q"))(t)
         ),
         "stream_cdc_equals_batch": streamed,
+        "stream_replays_dropped": once,
+        "refresh_released_marts": released,
         "refresh_observed_counts": observed,
         **{f"refresh_{name}": refreshed(name) for name in ("silver_reports", "silver_participants", "financing", "export_by_country")},
         "expr_previous_quarter": quarters,

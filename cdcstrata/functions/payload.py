@@ -32,8 +32,14 @@ def parse_payload(df: DataFrame, fields: Iterable[str], payload: str = "data", i
     """Parse a JSON column once into a struct of strings holding just ``fields``.
 
     Catalyst keeps this a single parse per row and prunes fields nobody selects, where n calls of
-    ``get_json_object`` would scan the text n times.
+    ``get_json_object`` would scan the text n times. Of a VARIANT column (:func:`parse_variant`) the fields are taken as they
+    are; the column itself then only tells whether a payload is there, so that nothing wide is carried along.
     """
+    if _is_variant(df, payload):
+        names = list(dict.fromkeys(fields))
+        doc = F.struct(*[F.try_variant_get(payload, f"$.{f}", "string").alias(f) for f in names])
+        there = F.when(F.col(payload).isNotNull(), F.lit("variant"))
+        return df.select("*", doc.alias(into)).withColumn(payload, there)
     schema = T.StructType([T.StructField(f, T.StringType()) for f in dict.fromkeys(fields)])
     return df.withColumn(into, F.from_json(F.col(payload), schema))
 
@@ -58,12 +64,46 @@ def has_item_country(c: Column | str) -> Column:
     return ~is_blank(c) & (_col(c) != F.lit(NO_COUNTRY))
 
 
+def xml_child(c: Column | str, scope: str, tag: str) -> Column:
+    """Text of the first ``<tag>`` in the first ``<scope>`` below the root of an XML document; NULL where there is none.
+
+    The document is parsed: entities are decoded, attributes allowed, white space around the text dropped. What is no XML
+    gives NULL, in place of an error. Several tags of one document are one parse where they are asked for together, as
+    Spark shares equal expressions.
+    """
+    text = T.StructType([T.StructField("_VALUE", T.StringType())])
+    inner = T.StructType([T.StructField(tag, T.ArrayType(text))])
+    parsed = F.from_xml(_col(c), T.StructType([T.StructField(scope, T.ArrayType(inner))]), {"mode": "PERMISSIVE"})
+    first = F.get(parsed[scope], F.lit(0))[tag]
+    return F.get(first, F.lit(0))["_VALUE"]
+
+
+def parse_variant(df: DataFrame, payload: str = "data") -> DataFrame:
+    """The payload column as VARIANT, parsed once, for a log that many tables are built from.
+
+    A placeholder for an unavailable payload becomes NULL. Text that is no JSON is kept as a VARIANT string, which has no fields
+    but is there; so is a document that names a field twice. Written to Parquet it stays a VARIANT, and readers take their
+    fields without reading the text again.
+    """
+    text = F.nullif(F.col(payload), F.lit(UNAVAILABLE_PAYLOAD))
+    return df.withColumn(payload, F.coalesce(F.try_parse_json(text), text.cast(T.VariantType())))
+
+
+def _is_variant(df: DataFrame, payload: str) -> bool:
+    return isinstance(df.schema[payload].dataType, T.VariantType)
+
+
 def xml_tag(c: Column | str, scope: str, tag: str, content: str = "[^<]+", mode: str = "first") -> Column:
     """Text of ``<tag>`` inside ``<scope>``, NULL where there is none.
 
     ``mode="first"`` takes the first tag of the scope element. ``mode="last"`` takes the last such tag
-    anywhere after the scope opens, even past its end (the older behaviour, kept for parity).
+    anywhere after the scope opens, even past its end (the older behaviour, kept for parity). Both match text.
+    ``mode="parsed"`` reads the document as XML (see :func:`xml_child`): entities are decoded, tags may carry attributes,
+    and the scope is a child of the root; ``content`` must match the whole text.
     """
+    if mode == "parsed":
+        text = xml_child(_col(c), scope, tag)
+        return F.when(text.rlike(f"^(?:{content})$") if content != "[^<]+" else text != F.lit(""), text)
     s, t = re.escape(scope), re.escape(tag)
     if mode == "first":
         # Two plain patterns: one with a lookahead for the end of the scope steps through every character.
@@ -72,6 +112,6 @@ def xml_tag(c: Column | str, scope: str, tag: str, content: str = "[^<]+", mode:
     elif mode == "last":
         matches = F.regexp_extract_all(_col(c), F.lit(f"(?s)<{s}>.*<{t}>({content})</{t}>"), F.lit(1))
     else:
-        raise ValueError(f"mode must be 'first' or 'last', not {mode!r}")
+        raise ValueError(f"mode must be 'first', 'last' or 'parsed', not {mode!r}")
     # Indexing gives NULL for no match without naming the match twice, as a test for '' would.
     return F.get(matches, F.lit(0))

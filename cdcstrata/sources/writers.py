@@ -161,12 +161,17 @@ def swap_partitions(
     left = rows.select(*columns).distinct().withColumn("__left", F.lit(True))
     same = [F.col(f"h.{c}").eqNullSafe(F.col(f"l.{c}")) for c in columns]
     gone = hit.distinct().alias("h").join(left.alias("l"), same, "left_anti")
-    for row in gone.collect():
+    drop_partitions(spark, name, gone, fmt)
+
+
+def drop_partitions(spark: SparkSession, name: str, gone: DataFrame, fmt: str = "parquet") -> None:
+    """Drop the partitions listed in ``gone``, which has all partition columns; they reach the driver."""
+    for row in gone.distinct().collect():
         if fmt in FILE_FORMATS:
-            values = ", ".join(f"`{c}` = {_literal(row[c])}" for c in columns)
+            values = ", ".join(f"`{c}` = {_literal(row[c])}" for c in gone.columns)
             spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({values})")
         else:
-            values = " AND ".join(f"`{c}` <=> {_literal(row[c])}" for c in columns)
+            values = " AND ".join(f"`{c}` <=> {_literal(row[c])}" for c in gone.columns)
             spark.sql(f"DELETE FROM {name} WHERE {values}")
 
 

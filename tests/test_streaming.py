@@ -81,3 +81,31 @@ def test_replays_are_dropped_within_the_delay(spark, log, tmp_path):
     ).start()
     query.awaitTermination()
     assert spark.table("replays").count() == 2
+
+
+def deliver(spark, path, *rows):
+    df = spark.createDataFrame([(i, f"2024-{day} 00:00:00", v) for i, day, v in rows], "id long, t string, v string")
+    df.selectExpr("id", "CAST(t AS TIMESTAMP_NTZ) AS updated_ts", "'u' AS op", "v").coalesce(1).write.mode("append").parquet(path)
+
+
+def test_replays_inside_and_beyond_the_watermark(spark, tmp_path):
+    """Known again inside the delay and after a restart, late beyond it; a first delivery that is too late is late as well."""
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    schema, late = "id bigint, updated_ts timestamp_ntz, op string, v string", 0
+
+    def run():
+        query = changes.append_once(changes.read_changes(spark, source, schema, files_per_batch=1), target, progress, "10 days")
+        query.awaitTermination()
+        return changes.late_rows(query)
+
+    deliver(spark, source, (1, "01-01", "a"), (1, "01-01", "a"), (2, "01-02", "b"))
+    deliver(spark, source, (1, "01-01", "a"), (3, "01-09", "c"))  # again, inside the delay
+    late += run()
+    deliver(spark, source, (2, "01-02", "b"), (2, "01-20", "b2"))  # again, after a restart
+    late += run()
+    assert late == 0
+    deliver(spark, source, (1, "01-01", "a"), (4, "01-03", "d"), (5, "01-25", "e"))  # both before the watermark
+    late += run()
+    assert late == 2
+    got = sorted((r["id"], r["v"]) for r in spark.read.parquet(target).collect())
+    assert got == [(1, "a"), (2, "b"), (2, "b2"), (3, "c"), (5, "e")]
