@@ -724,6 +724,7 @@ SELECT year, CAST(month(visit_date) AS INTEGER) AS month, iin, CAST(COUNT(*) AS
 FROM daily GROUP BY 1, 2, 3"""
     return {
         "visits_silver": _with("SELECT * FROM visits", visits=events),
+        "visits_load": _with("SELECT * FROM visits", visits=events),
         "visits_daily": _with("SELECT * FROM daily", visits=events, daily=daily),
         "visits_of_days": (
             "SELECT CAST(ts AS DATE) AS visit_date, '{\"' || lpad(CAST(user_id AS STRING), 12, '0') || '\":[{\"event\":\"' || "
@@ -903,7 +904,12 @@ def _incremental() -> dict[str, str]:
         "'quarter' || CAST(quarter(o_orderdate - INTERVAL 3 MONTH) AS STRING) AS report_type FROM orders",
         "expr_days_before": "SELECT o_orderkey AS id, CAST(CAST(o_orderdate AS DATE) - 45 AS DATE) AS cutoff FROM orders",
         "expr_labelled_digits": "SELECT c_custkey AS id, CASE WHEN c_custkey % 4 > 0 THEN CAST(c_custkey AS STRING) END AS digits FROM customer",
-        "src_bound_sql": "SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 3 = 0",
+        "src_bound_sql": "SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= DATE '1994-06-01'",
+        "src_rows": _with(
+            "SELECT status, year, COUNT(*) AS cnt, CASE status WHEN 'draft' THEN 'Черновик' WHEN 'signed' THEN 'Подписан' END AS label "
+            "FROM rep GROUP BY status, year",
+            "rep",
+        ),
     }
 
 
@@ -927,9 +933,21 @@ def _sinks() -> dict[str, str]:
         # CSV does not tell an empty text from none.
         "sink_sorted_csv": _with(
             "SELECT " + ", ".join(c if c != "certificate_number" and c != "company_tin" else f"NULLIF({c}, '') AS {c}" for c in columns if c != "updated_ts")
-            + " FROM rep WHERE op IN ('r', 'c')",
+            + ", row_number() OVER (ORDER BY year DESC, report_type, id DESC) AS line FROM rep WHERE op IN ('r', 'c')",
+            "rep",
+        ),
+        "sink_sorted_summary": (
+            "SELECT year, report_type, total_reports, income_total, period, row_number() OVER (ORDER BY year DESC, report_type) AS line "
+            f"FROM ({_summaries()['sum_quarter']})"
+        ),
+        "sink_preview": _with(
+            f"SELECT {', '.join(c for c in columns if c != 'updated_ts')} FROM rep WHERE op IN ('r', 'c') ORDER BY year DESC, report_type, id DESC LIMIT 10",
             "rep",
         ),
+        "sink_upsert_by_key": rows(
+            status="CASE WHEN year IN (1996, 1997) THEN status ELSE 'old' END",
+            year="CAST(CASE WHEN year IN (1996, 1997) AND id % 2 = 0 THEN 1999 ELSE year END AS INTEGER)",
+        ),
     }
 
 

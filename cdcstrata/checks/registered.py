@@ -350,7 +350,19 @@ def _visits() -> dict[str, Build]:
     def events(t: Tables) -> DataFrame:
         return visits.visits_silver(visits.visits_bronze(t.visit_responses))
 
+    def loaded(t: Tables) -> DataFrame:
+        """All days in a first load, one of them in part; then that day by itself, twice."""
+
+        def work(name: str) -> None:
+            part = F.expr("visit_date <> DATE'2024-01-07' OR raw_json LIKE '%entry%'")
+            visits.load_days(t.spark, t.visit_responses.filter(part), name, "2024-01-01", "2024-02-15")
+            for _ in range(2):
+                visits.load_days(t.spark, t.visit_responses, name, "2024-01-07")
+
+        return _through_table(t, work)
+
     return {
+        "visits_load": loaded,
         "visits_silver": events,
         "visits_of_days": lambda t: visits.visits_of_days(t.visit_responses, "2024-01-05", "2024-01-09"),
         "visits_company": lambda t: visits.link_to_company(visits.daily_attendance(events(t)), t.people),
@@ -597,8 +609,17 @@ def _incremental() -> dict[str, Build]:
 
     def bound(t: Tables) -> DataFrame:
         t.table("orders").createOrReplaceTempView("bound_orders")
-        text = "SELECT o_orderkey AS id, o_orderstatus AS status FROM bound_orders WHERE o_orderstatus = :s AND o_custkey % :m = 0"
-        return readers.sql(t.spark, text, s="F", m=3)
+        text = (
+            "SELECT o_orderkey AS id, o_orderstatus AS status FROM bound_orders "
+            "WHERE o_orderstatus = :status AND o_orderdate >= CAST(:since AS DATE)"
+        )
+        return readers.sql(t.spark, text, status="F", since="1994-06-01")
+
+    def named(t: Tables) -> DataFrame:
+        """A handful of rows from the driver beside a table: what statuses are called."""
+        labels = readers.from_rows(t.spark, [("draft", "Черновик"), ("signed", "Подписан")], "status string, label string")
+        groups = t.report_cdc().groupBy("year", "status").agg(F.count(F.lit(1)).alias("cnt"))
+        return groups.join(labels, "status", "left")
 
     return {
         "inc_changed_since": lambda t: predicates.changed_since(t.report_cdc(), "1999-06-01 00:00:00").select(*columns),
@@ -618,6 +639,7 @@ def _incremental() -> dict[str, Build]:
         "expr_days_before": cutoffs,
         "expr_labelled_digits": labelled,
         "src_bound_sql": bound,
+        "src_rows": named,
     }
 
 
@@ -646,6 +668,15 @@ def _through_table(t: Tables, work: Callable[[str], None]) -> DataFrame:
         t.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def _written_in_order(t: Tables, df: DataFrame, order=()) -> DataFrame:
+    """A CSV folder and what it holds, with line numbers."""
+    path = scratch_path(t.spark, "export")
+    writers.export_csv(df, path, order)
+    lines = materialise(readers.read_csv_in_order(t.spark, path, df.schema), "lines")
+    release(t.spark, path)
+    return lines
+
+
 def _sinks() -> dict[str, Build]:
     def rows(t: Tables) -> DataFrame:
         kept = _cut(predicates.with_op(t.report_cdc(), "r", "c"))
@@ -694,10 +725,25 @@ def _sinks() -> dict[str, Build]:
 
     def exported(t: Tables) -> DataFrame:
         """A sorted CSV export, read back with the line numbers that the order gives."""
-        df, path = rows(t).drop("updated_ts"), scratch_path(t.spark, "export")
         order = (F.desc("year"), F.asc("report_type"), F.desc("id"))
-        writers.export_csv(aggregates.sort_for_export(df, *order), path, order)
-        return t.spark.read.schema(df.schema).option("header", True).csv(path)
+        return _written_in_order(t, rows(t).drop("updated_ts"), order)
+
+    def sorted_summary(t: Tables) -> DataFrame:
+        """The quarter summary as people read it: newest year first, quarters in order, the yearly figures last."""
+        summed = summary.quarter_summary(_silver(t)).select("year", "report_type", "total_reports", "income_total", "period")
+        return _written_in_order(t, aggregates.sort_for_export(summed, F.desc("year"), F.asc("report_type")))
+
+    def previewed(t: Tables) -> DataFrame:
+        """The first rows of an order, as a dry run shows them."""
+        return writers.preview(aggregates.sort_for_export(rows(t).drop("updated_ts"), F.desc("year"), F.asc("report_type"), F.desc("id")))
+
+    def upserted_by_key(t: Tables, df: DataFrame, name: str) -> None:
+        """Rows of two years change, a part of them into another year; the key does not hold the year."""
+        once = df.withColumn("status", F.lit("old"))
+        writers.create_or_replace(once, name, partition_by=["year"])
+        moved = F.when(F.expr("id % 2 = 0"), F.lit(1999)).otherwise(F.col("year")).cast("int")
+        changes_ = df.filter("year IN (1996, 1997)").withColumn("year", moved)
+        writers.upsert(t.spark, name, changes_, ["id"])
 
     return {
         "sink_create_or_replace": sink(replaced),
@@ -710,6 +756,9 @@ def _sinks() -> dict[str, Build]:
         "sink_truncate": sink(truncated),
         "sink_load_time": lambda t: sink(timed)(t).filter("etl_loaded_at IS NOT NULL").drop("etl_loaded_at"),
         "sink_sorted_csv": exported,
+        "sink_sorted_summary": sorted_summary,
+        "sink_preview": previewed,
+        "sink_upsert_by_key": sink(upserted_by_key),
     }
 
 

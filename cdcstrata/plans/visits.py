@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cdcstrata.sources import writers
+
 # Fixed values that decide results.
 ENTRY, EXIT = "entry", "exit"
 PERSON_ID = "^[0-9]{12}$"
@@ -85,6 +87,22 @@ def visits_of_days(responses: DataFrame, first: str, last: str | None = None) ->
     return responses.filter((day >= F.lit(first).cast("date")) & (day <= F.lit(last or first).cast("date")))
 
 
+def load_days(
+    spark: SparkSession, responses: DataFrame, table: str, first: str, last: str | None = None
+) -> None:
+    """Load a day, or for the first load a range of days, into the table of valid events, partitioned by ``visit_date``.
+
+    Each day that is asked for is replaced as a whole and one without events is emptied, so a day can be loaded again,
+    after a cut or when its responses were mended. Of the responses, the days' slice is read once.
+    """
+    rows = visits_silver(visits_bronze(visits_of_days(responses, first, last)))
+    if not spark.catalog.tableExists(table):
+        writers.create_or_replace(rows.limit(0), table, partition_by=["visit_date"])
+    days = f"explode(sequence(DATE'{first}', DATE'{last or first}')) AS visit_date"
+    with writers.staged(writers.clustered(rows, ["visit_date"]), "visits") as rows:
+        writers.swap_partitions(spark, table, rows, spark.range(1).selectExpr(days))
+
+
 def link_to_company(daily: DataFrame, people: DataFrame) -> DataFrame:
     """Attendance with the company number of the person, where the directory (iin, bin) knows one."""
     return daily.join(people.select("iin", "bin"), "iin", "left")

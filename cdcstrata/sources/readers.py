@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cdcstrata.operators.numbering import numbered
+
 
 def read_table(spark: SparkSession, name: str, schema: T.StructType | None = None) -> DataFrame:
     """A catalog table by one- to three-part name, or a Parquet folder where ``name`` holds a slash."""
@@ -70,6 +72,22 @@ def from_rows(spark: SparkSession, rows: Sequence[Any], schema: T.StructType | s
     return spark.createDataFrame(rows, schema)
 
 
+def read_csv_in_order(spark: SparkSession, path: str, schema: T.StructType, number: str = "line") -> DataFrame:
+    """A folder of CSV files with headers, each row with its line number through all files, in the order of their names.
+
+    A file is read in pieces, which carry where they begin; so the number follows from name, piece and place in it.
+    """
+    rows = spark.read.schema(schema).option("header", True).csv(path)
+    placed = rows.select(
+        *schema.names,
+        F.col("_metadata.file_name").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__start"),
+        F.monotonically_increasing_id().alias("__place"),
+    )
+    lined = numbered(placed, ["__file", "__start", "__place"], number)
+    return lined.drop("__file", "__start", "__place")
+
+
 def describe(spark: SparkSession, table: str) -> DataFrame:
     """(name, type, nullable, partition) of a table's columns."""
     cols = [(c.name, c.dataType, c.nullable, c.isPartition) for c in spark.catalog.listColumns(table)]

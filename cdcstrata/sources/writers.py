@@ -238,9 +238,11 @@ def upsert(
 ) -> None:
     """MERGE ``source`` into a table on ``keys``; source keys must be unique.
 
-    File tables: only partitions that occur in the source are read and rewritten, which needs the
-    partition columns to be part of the key. The merged rows are first written to shared scratch and
-    swapped in from there: if the swap is cut off, running it again from the scratch copy mends it.
+    File tables: with ``partition_by``, partition columns that are part of the key, only partitions that occur in the
+    source are read and rewritten. Of another partitioned table those are rewritten that hold a key of the source, or
+    take one; to find them, its keys are read and nothing else, and a row that moved leaves nothing behind. The merged
+    rows are first written to shared scratch and swapped in from there: if the swap is cut off, running it again from
+    the scratch copy mends it.
     """
     if fmt not in FILE_FORMATS:
         on = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
@@ -253,6 +255,10 @@ def upsert(
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be part of the key, or a moved row would stay behind")
     target = spark.table(name)
+    parts = partition_columns(spark, name)
+    if parts and not partition_by:
+        _upsert_where_keys_lie(spark, name, source, keys, newer_by, parts, fmt)
+        return
     if partition_by:
         touched = source.select(*partition_by).distinct()
         target = target.join(touched, list(partition_by), "left_semi")
@@ -263,6 +269,31 @@ def upsert(
             _overwrite_all(rows, spark, name)
 
 
+def _upsert_where_keys_lie(
+    spark: SparkSession,
+    name: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    newer_by: Sequence[str],
+    parts: Sequence[str],
+    fmt: str,
+) -> None:
+    """The partitions that hold a key of the source, joined by the source's own, are merged as one and replaced."""
+    target = spark.table(name)
+    with staged(source.select(*target.columns), "upsert-source") as source:
+        held = _among(target.select(*keys, *parts), source.select(*keys), keys).select(*parts)
+        with staged(held.unionByName(source.select(*parts)).distinct(), "upsert-partitions") as hit:
+            near = _among(target, hit, parts)
+            with staged(merged(near, source, keys, newer_by), "upsert") as rows:
+                swap_partitions(spark, name, rows, hit, fmt)
+
+
+def _among(rows: DataFrame, others: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows whose columns are those of one of the others, NULL equal to NULL."""
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in columns]
+    return rows.alias("r").join(others.alias("o"), same, "left_semi")
+
+
 def delete_where(spark: SparkSession, name: str, predicate: str, fmt: str = "parquet") -> None:
     """Delete the rows an SQL predicate matches; a predicate that is NULL keeps the row.
 

@@ -11,7 +11,7 @@ from cdcstrata.sources.scratch import scratch_root
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
-WRITES = ("dq_numeric_profile", "silver_reports_variant", "bi_countries_merged", "gold_general_indicators_bucketed", "inc_upsert", "inc_refresh", "inc_summary", "stream_", "refresh_", "sink_", "crm_incremental", "crm_events")
+WRITES = ("dq_numeric_profile", "silver_reports_variant", "bi_countries_merged", "gold_general_indicators_bucketed", "inc_upsert", "inc_refresh", "inc_summary", "stream_", "refresh_", "sink_", "crm_incremental", "crm_events", "visits_load")
 
 
 def _reads_a_footer(tracker, job):

@@ -263,3 +263,27 @@ def test_refresh_into_a_database(spark, log):
     got = spark.table("marts.general_indicators").first()
     assert got.bin == "1" and got.etl_loaded_at is not None
     spark.sql("DROP DATABASE marts CASCADE")
+
+
+def test_upsert_where_the_key_lies(spark, name):
+    """A key without the partition column: the old row goes wherever it was, other partitions are not touched."""
+    rows_ = [(1, "a", 2021), (2, "b", 2022), (3, "c", 2023), (4, "d", 2024), (5, "e", None)]
+    writers.create_or_replace(frame(spark, *rows_), name, partition_by=["year"])
+    before = {f.rsplit("/", 1)[0]: f for f in spark.table(name).inputFiles()}
+    writers.upsert(spark, name, frame(spark, (1, "moved", 2022), (3, "changed", 2023), (6, "new", 2025), (5, "named", 2025)), ["k"])
+    assert rows(spark, name, "k", "v", "year") == [
+        (1, "moved", 2022), (2, "b", 2022), (3, "changed", 2023), (4, "d", 2024), (5, "named", 2025), (6, "new", 2025)]
+    after = {f.rsplit("/", 1)[0]: f for f in spark.table(name).inputFiles()}
+    kept = [p for p in before if p.endswith("year=2024")]
+    assert kept and all(after[p] == before[p] for p in kept)
+    assert not [p for p in after if p.endswith("year=2021")]
+
+
+def test_export_is_read_in_order(spark, tmp_path):
+    df = spark.range(5000).selectExpr("id * 7 % 5000 AS k", "IF(id % 3 = 0, NULL, concat('v,', id)) AS v").repartition(6)
+    for files in (None, 1):
+        path = str(tmp_path / f"csv{files}")
+        writers.export_csv(df, path, [F.desc("k")], files)
+        lines = readers.read_csv_in_order(spark, path, df.schema).collect()
+        assert [r["k"] for r in sorted(lines, key=lambda r: r["line"])] == list(range(4999, -1, -1))
+        assert sorted(r["line"] for r in lines) == list(range(1, 5001))

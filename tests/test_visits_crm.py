@@ -115,3 +115,30 @@ def test_entities_load_in_order_and_merge(sales):
     second = crm.load_entities({"leads": leads}, save, first, since_epoch=FEB)
     got = {r.id: r.status_id for r in second["leads"].collect()}
     assert got == {1: 142, 2: 143, 3: 142, 4: 99}
+
+
+def test_a_day_is_loaded_again(spark):
+    from datetime import date
+
+    from cdcstrata.plans import visits
+
+    def responses(*events):
+        rows = [(date(2024, 1, day), f'{{"{iin:012d}": [{{"event": "{event}", "time": "{time}"}}]}}') for day, iin, event, time in events]
+        return spark.createDataFrame(rows, "visit_date date, raw_json string")
+
+    def held():
+        return sorted((r["visit_date"].day, int(r["iin"]), r["event"]) for r in spark.table("visits_again").collect())
+
+    spark.sql("DROP TABLE IF EXISTS visits_again")
+    try:
+        first = responses((1, 5, "entry", "09:00:00"), (2, 5, "entry", "09:00:00"), (3, 6, "exit", "18:00:00"))
+        visits.load_days(spark, first, "visits_again", "2024-01-01", "2024-01-03")
+        assert held() == [(1, 5, "entry"), (2, 5, "entry"), (3, 6, "exit")]
+        mended = responses((2, 5, "entry", "09:00:00"), (2, 5, "exit", "10:00:00"), (3, 9, "entry", "09:00:00"))
+        for _ in range(2):
+            visits.load_days(spark, mended, "visits_again", "2024-01-02")
+            assert held() == [(1, 5, "entry"), (2, 5, "entry"), (2, 5, "exit"), (3, 6, "exit")]
+        visits.load_days(spark, responses((9, 1, "entry", "09:00:00")), "visits_again", "2024-01-03")  # a day without events
+        assert [d for d, _, _ in held()] == [1, 2, 2]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS visits_again")
