@@ -44,7 +44,8 @@ def labelled_sample(
     """At most ``per_label`` texts of either label, none held out and none of over ``most_chars`` characters.
 
     Labelled rows are counted and ranked by a hash of their id in the narrow label table; only the chosen ids meet the
-    documents. An id whose labels contradict each other, and a null label, teach nothing.
+    documents. An id whose labels contradict each other, and a null label, teach nothing; of an id with several texts
+    the least one is taken.
     """
     known = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -67,7 +68,8 @@ def labelled_sample(
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
         .join(F.broadcast(ids), "doc_id")  # 2 * per_label ids at most
         .filter(F.col("text").isNotNull() & (F.char_length("text") <= most_chars))
-        .select("doc_id", "label", "text")
+        .groupBy("doc_id", "label")
+        .agg(F.min("text").alias("text"))  # one text an id, however often it comes: 2 * per_label rows
         .collect()
     )
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))

@@ -13,7 +13,7 @@ and words may grow without limit. Prefix sums run over blocks of ``BLOCK_DOCS``
 no window holds a large source. All draws come from hashes of fixed seeds: reruns agree.
 
 Nulls: a null source is one of its own and comes last; a null text has no words and is never drawn. Rows that repeat
-a doc_id are rows of their own. An empty table gives an empty mix.
+a doc_id are rows of their own, whatever column they differ in. An empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -170,13 +170,21 @@ def _block_starts(blocks: DataFrame) -> DataFrame:
     )
 
 
+def row_id(docs: DataFrame) -> Column:
+    """128 bits of all columns of a row, nulls marked: rows that share it are equal in every column."""
+    columns = [F.to_json(F.col(f"`{c}`")) if kind.startswith("map") else F.col(f"`{c}`") for c, kind in docs.dtypes]
+    marked = [x for c in columns for x in (c.isNull(), c)]
+    return F.struct(F.xxhash64(F.lit(SEED), *marked).alias("a"), F.xxhash64(F.lit(SEED + 2), *marked).alias("b"))
+
+
 def sized(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The narrow rows that the mix is computed from, stored once: ``doc_id``, ``source``, ``size``, ``row_key``."""
+    """The narrow rows that the mix is computed from, stored once: ``doc_id``, ``source``, ``size``, ``row_key``, ``row_id``."""
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         word_count(text).alias("size"),
         F.xxhash64(F.lit(SEED), "doc_id", "source", text).alias("row_key"),
+        row_id(docs).alias("row_id"),
     )
     return materialise(rows, "mix-sizes")
 
@@ -220,7 +228,7 @@ def planned(rows: DataFrame, shards: int = 8, **rules) -> tuple[DataFrame, DataF
         .agg(F.first("block_start").alias("block_start"), F.collect_list(F.struct("round", "shard")).alias("draws"))
     )
     keys = [F.col("source").alias("__t"), F.col("block").alias("__b"), "block_start", "draws"]
-    before = Window.partitionBy("source", "block").orderBy("row_key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("source", "block").orderBy("row_key", "doc_id", "row_id").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         blocked.withColumn("ahead", F.coalesce(F.sum("size").over(before), F.lit(0)))
         .join(ranked.select(*keys), F.expr("source <=> __t AND block = __b"), "left")
@@ -239,14 +247,20 @@ def _words_drawn(round_number: Column) -> Column:
 
 
 def taken(docs: DataFrame, shards: int = 8, text: str = "text", **rules) -> DataFrame:
-    """One row per row: ``doc_id``, ``size``, ``source_size``, ``target`` and ``taken``, as registered."""
+    """One row per row: ``doc_id``, ``size``, ``source_size``, ``target`` and ``taken``, as registered, and ``shards``.
+
+    ``shards`` names the output shard of each draw, in the order of the rounds, as the tree has dealt them.
+    """
     placed, _ = planned(sized(docs, text), shards, **rules)
     total = F.aggregate(
         F.coalesce(F.col("draws"), F.array().cast("array<struct<round:int,shard:int>>")),
         F.lit(0).cast("bigint"),
         lambda a, d: a + _words_drawn(d["round"]),
     )
-    return placed.select("doc_id", "size", "source_size", "target", total.alias("taken"))
+    drawn = F.filter("draws", lambda d: _words_drawn(d["round"]) > 0)
+    shard = F.transform(F.array_sort(drawn), lambda d: d["shard"].cast("string"))
+    named = F.coalesce(F.array_join(shard, ","), F.lit(""))
+    return placed.select("doc_id", "size", "source_size", "target", total.alias("taken"), named.alias("shards"))
 
 
 def mix(docs: DataFrame, shards: int = 8, text: str = "text", **rules) -> DataFrame:
@@ -257,24 +271,25 @@ def mix(docs: DataFrame, shards: int = 8, text: str = "text", **rules) -> DataFr
     A document that the target ends in is cut after its ``words`` first words; its text keeps what stands
     between and after them. Sorting a shard by ``position_key`` shuffles it locally.
     """
-    keyed = docs.drop("shard", "position_key", "words").withColumn("__key", F.xxhash64(F.lit(SEED), "doc_id", "source", text))
+    docs = docs.drop("shard", "position_key", "words")
+    keyed = docs.withColumn("__key", row_id(docs))
     placed, _ = planned(sized(docs, text), shards, **rules)
     draws = (
-        placed.select("row_key", "size", "source_size", "target", "place", F.explode("draws").alias("draw"))
+        placed.select("row_id", "row_key", "size", "source_size", "target", "place", F.explode("draws").alias("draw"))
         .withColumn("words", _words_drawn(F.col("draw.round")))
         .filter("words > 0")
         .select(
-            "row_key",
+            "row_id",
             F.col("size").alias("__size"),
             "words",
             F.col("draw.shard").alias("shard"),
-            F.xxhash64(F.lit(SEED + 1), "row_key", "draw.round").alias("position_key"),
+            F.xxhash64(F.lit(SEED + 1), "row_id", "draw.round").alias("position_key"),
         )
     )
     # Rows that are equal in every column have one key; each of their draws is one of theirs, so a row stands for them.
     unique = keyed.dropDuplicates(["__key"])
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(rf"^[\x20\x09-\x0D]*{WORD}|[\x20\x09-\x0D]+{WORD}"), F.lit(0)), 1, F.col("words").cast("int")), "")
-    joined = unique.join(draws, F.col("__key") == F.col("row_key"))
+    joined = unique.join(draws, F.col("__key") == F.col("row_id"))
     return joined.withColumn(text, F.when(F.col("words") < F.col("__size"), cut).otherwise(F.col(text))).drop(
-        "__key", "row_key", "__size"
+        "__key", "row_id", "__size"
     )

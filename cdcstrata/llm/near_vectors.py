@@ -6,10 +6,9 @@ two shards of a label, a shard and itself included, are one task: all vectors of
 every vector queries every shard. A task compares a sample of its queries with brute force and doubles its beam until,
 among the queries of every degree (by powers of two), at least ``AUDIT`` of a query's links are found on average, itself
 left out; so a large group does not hide what others lose. It samples until ``AUDITED`` queries of less than the greatest
-degree are seen, or all queries;
-a beam as wide as the shard is brute force itself. Cosines are
+degree are seen, ``MOST_AUDITED`` at most, in random order; a beam as wide as the shard is brute force itself. Cosines are
 computed in double precision, so no pair below the threshold is linked. A task gives counts and a spanning forest of
-its links, not the pairs; pairs of shards are disjoint, so counts add up.
+its links, not the pairs, which it holds as bits; pairs of shards are disjoint, so counts add up.
 
 Vectors that are null, empty, zero, or hold a null or non-finite component, and vectors without a label, link with
 nothing and are components of their own. Rows that repeat a vec_id are rows with their own links. An empty table gives
@@ -30,14 +29,15 @@ from cdcstrata.sources.scratch import materialise
 LEAST = 0.93
 SHARD = 8192
 BEAM, AUDIT, AUDITED = 32, 0.995, 96
+MOST_AUDITED = 2048  # queries compared by brute force, drawn at random: a degree that one in 400 has is seen with 99.4 %
 
 _INDEX = (
-    "label int, dim int, shard int, n int, entry int, ids array<bigint>, copies array<bigint>, vectors binary, "
+    "label string, dim int, shard int, n int, entry int, ids array<bigint>, copies array<bigint>, vectors binary, "
     "layers array<binary>"
 )
 _INDEX_ARROW = pa.schema(
     [
-        ("label", pa.int32()),
+        ("label", pa.string()),
         ("dim", pa.int32()),
         ("shard", pa.int32()),
         ("n", pa.int32()),
@@ -55,13 +55,13 @@ def usable(vectors: DataFrame) -> DataFrame:
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
-        F.col("label").cast("int").alias("label"),
+        F.col("label").cast("string").alias("label"),
         F.col("embedding").cast("array<double>").alias("vector"),
     )
     rows = rows.filter(F.col("label").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 0) & ~bad)
     rows = rows.filter(F.exists("vector", lambda x: x != 0.0)).withColumn("dim", F.size("vector"))
     text = F.array_join(F.transform("vector", lambda x: (x + 0.0).cast("string")), ",")
-    return rows.withColumn("key", F.sha2(F.concat_ws(":", F.col("label").cast("string"), text), 256))
+    return rows.withColumn("key", F.sha2(F.concat_ws(":", F.length("label").cast("string"), "label", text), 256))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -87,16 +87,101 @@ def _indexed(classes: DataFrame) -> DataFrame:
     return materialise(dealt.groupBy("label", "dim", "shard").applyInArrow(build, _INDEX), "vector-graphs")
 
 
-def _links(a: Graph, b: Graph, beam: int) -> set[tuple[int, int]]:
+class Links:
+    """Which vectors of two shards are linked, a bit each: at most 8 MB for two shards of 8,192, however near they all are."""
+
+    def __init__(self, rows: int, columns: int):
+        self.bits, self.columns = np.zeros((rows, -(-columns // 8)), np.uint8), columns
+
+    def add(self, row: int, columns: np.ndarray) -> None:
+        np.bitwise_or.at(self.bits[row], columns >> 3, (128 >> (columns & 7)).astype(np.uint8))
+
+    def add_to_column(self, rows: np.ndarray, column: int) -> None:
+        self.bits[rows, column >> 3] |= np.uint8(128 >> (column & 7))
+
+    def rows(self, some: np.ndarray | slice) -> np.ndarray:
+        return np.unpackbits(self.bits[some], axis=1, count=self.columns).astype(bool)
+
+    def without_self(self) -> None:
+        k = np.arange(len(self.bits))
+        self.bits[k, k >> 3] &= ~(128 >> (k & 7)).astype(np.uint8)
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Links) and np.array_equal(self.bits, other.bits)
+
+    def counts(self, left: np.ndarray, right: np.ndarray, rows: int = 512) -> tuple[np.ndarray, np.ndarray]:
+        """For each row the sum of ``right`` over its links, for each column that of ``left``."""
+        by_row, by_column = np.zeros(len(self.bits), np.int64), np.zeros(self.columns, np.int64)
+        for at in range(0, len(self.bits), rows):
+            part = self.rows(slice(at, at + rows))
+            by_row[at : at + rows] = part @ right
+            by_column += left[at : at + rows] @ part
+        return by_row, by_column
+
+    def forest(self, same: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and columns of links that connect what all of them connect, found a frontier at a time.
+
+        With ``same`` a row and the column of its number are one vector.
+        """
+        row_left, column_left = np.ones(len(self.bits), bool), np.ones(self.columns, bool)
+        xs, ys = [], []
+        for begin in np.flatnonzero(self.bits.any(axis=1)).tolist():
+            if not row_left[begin]:
+                continue
+            row_left[begin] = False
+            if same:
+                column_left[begin] = False
+            frontier = np.array([begin])
+            while len(frontier):
+                reached = []
+                for at in range(0, len(frontier), 512):
+                    part = frontier[at : at + 512]
+                    linked = self.rows(part) & column_left
+                    new = np.flatnonzero(linked.any(axis=0))
+                    column_left[new] = False
+                    xs.append(part[linked[:, new].argmax(axis=0)])
+                    ys.append(new)
+                    reached.append(new)
+                new = np.concatenate(reached)
+                if same:
+                    row_left[new] = False
+                    frontier = new
+                else:
+                    frontier = self._rows_of(new, row_left, xs, ys)
+        none = np.empty(0, np.int64)
+        return np.concatenate([none, *xs]), np.concatenate([none, *ys])
+
+    def _rows_of(self, columns: np.ndarray, row_left: np.ndarray, xs: list, ys: list) -> np.ndarray:
+        """Rows that are left and link with one of the columns; their links are added to the lists."""
+        if not len(columns):
+            return columns
+        mask = np.zeros(self.columns, bool)
+        mask[columns] = True
+        packed, left, found = np.packbits(mask), np.flatnonzero(row_left), []
+        for at in range(0, len(left), 512):
+            part = left[at : at + 512]
+            hit = self.bits[part] & packed
+            some = hit.any(axis=1)
+            linked = np.unpackbits(hit[some], axis=1, count=self.columns)
+            xs.append(part[some])
+            ys.append(linked.argmax(axis=1))
+            found.append(part[some])
+        new = np.concatenate(found) if found else left
+        row_left[new] = False
+        return new
+
+
+def _links(a: Graph, b: Graph, beam: int) -> Links:
     """Pairs (place in a, place in b) that either graph's queries find."""
-    found: set[tuple[int, int]] = set()
+    found = Links(len(a.vectors), len(b.vectors))
     for k in range(len(a.vectors)):
-        found.update((k, int(j)) for j in b.within(a.vectors[k], LEAST, beam))
+        near = np.asarray(b.within(a.vectors[k], LEAST, beam), np.int64)
+        found.add(k, near)
+        if a is b:
+            found.add_to_column(near, k)
     if a is not b:
         for j in range(len(b.vectors)):
-            found.update((int(k), j) for k in a.within(b.vectors[j], LEAST, beam))
-    else:
-        found |= {(j, k) for k, j in found}
+            found.add_to_column(np.asarray(a.within(b.vectors[j], LEAST, beam), np.int64), j)
     return found
 
 
@@ -116,6 +201,8 @@ def _sampled(graph: Graph, queries: np.ndarray, same: bool, rows: int = 512) ->
                 some.append((k, links))
         if sum(len(some) for degree, some in by_degree.items() if degree < max(by_degree)) >= AUDITED:
             break
+        if at + rows >= MOST_AUDITED:
+            break
     return [by_degree[degree] for degree in sorted(by_degree)]
 
 
@@ -130,15 +217,14 @@ def _passes(graph: Graph, queries: np.ndarray, sampled: list[list[tuple[int, np.
     return True
 
 
-def _brute(a: Graph, b: Graph, rows: int = 512) -> set[tuple[int, int]]:
-    found: set[tuple[int, int]] = set()
+def _brute(a: Graph, b: Graph, rows: int = 512) -> Links:
+    found = Links(len(a.vectors), len(b.vectors))
     for at in range(0, len(a.vectors), rows):
-        x, y = np.nonzero(a.vectors[at : at + rows] @ b.vectors.T >= LEAST)
-        found.update(zip((x + at).tolist(), y.tolist(), strict=True))
+        found.bits[at : at + rows] = np.packbits(a.vectors[at : at + rows] @ b.vectors.T >= LEAST, axis=1)
     return found
 
 
-def audited_links(a: Graph, b: Graph) -> tuple[set[tuple[int, int]], int]:
+def audited_links(a: Graph, b: Graph) -> tuple[Links, int]:
     """The links between two shards, and the beam at which the audit passed."""
     beam = BEAM
     size = max(len(a.vectors), len(b.vectors))
@@ -152,25 +238,6 @@ def audited_links(a: Graph, b: Graph) -> tuple[set[tuple[int, int]], int]:
     return _brute(a, b), beam
 
 
-def _forest(pairs: set[tuple[int, int]], a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Links, as ids, enough to connect what the pairs connect."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := parent.setdefault(x, x)) != x:
-            parent[x] = parent[up]
-            x = parent[up]
-        return x
-
-    kept = []
-    for k, j in sorted(pairs):
-        x, y = root(a[k]), root(b[j])
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            kept.append((a[k], b[j]))
-    return kept
-
-
 def _compared(index: DataFrame) -> DataFrame:
     """Rows ``class_id``, ``links`` (vectors linked, by pair of shards), and ``a``, ``b`` (links of a spanning forest)."""
     named = ["shard", "n", "entry", "ids", "copies", "vectors", "layers"]
@@ -187,19 +254,21 @@ def _compared(index: DataFrame) -> DataFrame:
                 b = a if same else Graph.of(row["b_n"], row["b_entry"], row["b_vectors"], row["b_layers"])
                 found, _ = audited_links(a, b)
                 if same:
-                    found = {(k, j) for k, j in found if k != j}
-                links: dict[int, int] = {}
-                for k, j in found:
-                    links[row["a_ids"][k]] = links.get(row["a_ids"][k], 0) + row["b_copies"][j]
-                    if not same:
-                        links[row["b_ids"][j]] = links.get(row["b_ids"][j], 0) + row["a_copies"][k]
-                forest = _forest(found, row["a_ids"], row["b_ids"])
+                    found.without_self()
+                a_ids, b_ids, a_copies, b_copies = (
+                    np.array(row[name], np.int64) for name in ("a_ids", "b_ids", "a_copies", "b_copies")
+                )
+                of_a, of_b = found.counts(a_copies, b_copies)
+                ids, links = (a_ids, of_a) if same else (np.concatenate(x) for x in ((a_ids, b_ids), (of_a, of_b)))
+                ids, links = ids[links > 0], links[links > 0]
+                x, y = found.forest(same)
+                n, m = len(ids), len(x)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([*links, *[None] * len(forest)], pa.int64()),
-                        pa.array([*links.values(), *[None] * len(forest)], pa.int64()),
-                        pa.array([*[None] * len(links), *(x for x, _ in forest)], pa.int64()),
-                        pa.array([*[None] * len(links), *(y for _, y in forest)], pa.int64()),
+                        pa.concat_arrays([pa.array(ids), pa.nulls(m, pa.int64())]),
+                        pa.concat_arrays([pa.array(links), pa.nulls(m, pa.int64())]),
+                        pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(a_ids[x])]),
+                        pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(b_ids[y])]),
                     ],
                     names=["class_id", "links", "a", "b"],
                 )

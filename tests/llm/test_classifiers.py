@@ -147,3 +147,10 @@ def test_terms_of_many_texts_are_those_of_each(odd_texts):
         assert each == [T.hits(number, x) for x in texts]
     none, _ = T.Finder({}).columns([None, "a"])
     assert none.to_pylist() == [[], []] and T.Finder(number).columns([])[0].to_pylist() == []
+
+
+def test_a_sample_has_one_text_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(50)] + [(2, "other")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 0, 1), (2, 0, 0)], LABELS)
+    found = labelled_sample(docs, labels, "toxic", 4, 9, 50, 20_000)
+    assert found.texts == (["other"], ["text 0"]) and found.ids == ([2], [1])

@@ -56,6 +56,29 @@ def test_taken_words_meet_targets(spark, corpus):
     assert sorted(map(key, found)) == sorted(map(key, again))
 
 
+def test_rows_that_differ_in_one_column(spark):
+    """Rows equal but for a column that the mix does not read are all drawn, each with its own columns."""
+    rows = [(1, "one two three", lang, "a", n) for lang, n in (("en", 1), ("de", 1), (None, 1), ("en", None))] * 2
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "map('k', lang) AS m")
+    mixed = M.mix(docs, share=1.0).collect()
+    drawn = sorted((str(r["lang"]), str(r["n_chars"])) for r in mixed)
+    assert drawn == sorted((str(x), str(n)) for _, _, x, _, n in rows)
+    taken = M.taken(docs).collect()
+    assert sum(r["taken"] for r in taken) == 36
+
+
+def test_shards_come_from_the_tree(spark, corpus):
+    docs = frame(spark, corpus)
+    by_shards = {}
+    for shards in (2, 8):
+        rows = M.taken(docs, shards=shards).collect()
+        named = [int(s) for r in rows for s in r["shards"].split(",") if s]
+        assert set(named) == set(range(shards))
+        assert all(bool(r["shards"]) == (r["taken"] > 0) for r in rows)
+        by_shards[shards] = sorted((r["doc_id"], r["size"], r["shards"]) for r in rows)
+    assert by_shards[2] != by_shards[8]
+
+
 def test_water_level_in_sql(spark):
     for sizes in ({"a": 10, "b": 1000, "c": 30, "d": 500}, {"a": 5}, {"a": 1, "b": 1, "c": 10**6}, {"a": 0, "b": 7}):
         df = spark.createDataFrame(list(sizes.items()), "source string, size bigint")

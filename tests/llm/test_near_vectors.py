@@ -91,3 +91,54 @@ def test_repeats_and_empty(spark):
     assert result(spark, [(1, v, 0), (1, v, 0), (1, None, 0), (2, [2.0, 4.0], 0)]) == [
         (1, 0, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
     assert result(spark, []) == []
+
+
+def test_a_shard_of_near_vectors_fits(monkeypatch):
+    """All pairs of 4,096 distinct vectors around one centre are linked; they are held as bits."""
+    import resource
+
+    r = np.random.default_rng(5)
+    vectors = N._unit(r.normal(size=16) + 0.01 * r.normal(size=(4096, 16)))
+    graph = Graph(vectors, [np.full((4096, 8), -1)], 0)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    found = N._brute(graph, graph)
+    found.without_self()
+    ones = np.ones(4096, np.int64)
+    rows, columns = found.counts(ones, ones)
+    assert (rows == 4095).all() and (columns == 4095).all()
+    x, y = found.forest(True)
+    assert len(x) == 4095 and len(set(y.tolist()) | {0}) == 4096
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000  # kB
+
+
+@pytest.mark.parametrize("same", [True, False])
+@pytest.mark.parametrize("seed", range(6))
+def test_forest_connects_what_the_links_connect(same, seed):
+    r = np.random.default_rng(seed)
+    n, m = (60, 60) if same else (60, 45)
+    dense = r.random((n, m)) < 0.02
+    if same:
+        dense = dense | dense.T
+        np.fill_diagonal(dense, False)
+    links = N.Links(n, m)
+    for k in range(n):
+        links.add(k, np.flatnonzero(dense[k]))
+    assert (links.rows(slice(0, n)) == dense).all()
+
+    def parts(pairs):
+        label = {(s, k): (s, k) for s, size in ((0, n), (1 - same, m)) for k in range(size)}
+        for _ in range(n + m):
+            for x, y in pairs:
+                a, b = (0, x), (1 - same, y)
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    x, y = links.forest(same)
+    assert all(dense[a, b] for a, b in zip(x, y, strict=True))
+    assert parts(list(zip(x.tolist(), y.tolist(), strict=True))) == parts(list(zip(*map(lambda v: v.tolist(), np.nonzero(dense)), strict=True)))
+
+
+def test_labels_of_other_types(spark):
+    rows = [(1, [1.0, 0.1], "a"), (2, [1.0, 0.1001], "a"), (3, [1.0, 0.1], "b"), (4, [1.0, 0.1], None)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string")
+    assert {r["vec_id"]: r["component_id"] for r in N.near_duplicates(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}

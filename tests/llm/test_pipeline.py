@@ -92,4 +92,22 @@ def test_empty_tables(spark, folder):
 def test_registered(spark):
     names = set(registry.queries())
     assert names <= set(entry.queries()) and "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
+
+
+def test_rows_that_share_an_id_are_rows(spark, folder):
+    """Different texts of one id are not united, by themselves or by way of the groups that each is in."""
+    a, b, c = (prose(k, 40) for k in (1, 2, 3))
+    rows = [(1, a, "en", "a", 1), (1, b, "de", "a", 1), (0, a + " end", "en", "a", 1), (5, b, "en", "a", 1), (6, c, "en", "a", 1), (6, c, "xx", "b", 2)]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS __row", "2 AS class_id", "'x' AS `order`")
+    for parts in (1, 5):
+        kept = corpus_pipeline.drop_near_copies(spark, docs.repartition(parts), folder).collect()
+        assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(0, a + " end"), (1, b), (6, c)])
+
+
+def test_stages_take_extra_columns(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(40)
+    extra = docs.selectExpr("*", "1 AS shard", "'t' AS terms", "2 AS words", "map('a', 1) AS label", "3 AS class_id", "'i' AS ids")
+    for name, stage in corpus_pipeline.STAGES:
+        both = [stage(spark, df, folder) for df in (docs, extra)]
+        assert both[0].columns == both[1].columns and both[0].count() == both[1].count(), name
