@@ -25,15 +25,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links connect: that of the least id. Rows without an id stay.
+    """One row of each group that links connect: that of the least id, then of the least text. Rows without an id stay.
 
-    The texts meet the ids once, dealt by id, and rows that repeat an id fall together in the same place.
+    Rows are stored with a number of their own and compared by it, so rows that share an id and hold different texts are
+    rows of different groups, unless a link joins them.
     """
     bound_batches(spark)
-    groups = near_texts.jaccard_join(docs.select("doc_id", "text"))
-    first = groups.filter("doc_id = class_id").select("doc_id").distinct()
-    named = docs.select(*COLUMNS).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*COLUMNS).unionByName(docs.select(*COLUMNS).filter(F.col("doc_id").isNull()))
+    rows = docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id())
+    rows = materialise(rows, "corpus-rows")
+    named = rows.filter(F.col("doc_id").isNotNull())
+    groups = near_texts.jaccard_join(named.select(F.col("__row").alias("doc_id"), "text"))
+    order = F.struct("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text"), "__row")
+    first = (
+        groups.select(F.col("doc_id").alias("__row"), "class_id")
+        .join(named.select("__row", order.alias("order")), "__row")
+        .groupBy("class_id")
+        .agg(F.min("order").alias("first"))
+        .select("first.__row")
+    )
+    kept = named.join(first, "__row", "left_semi")
+    return kept.unionByName(rows.filter(F.col("doc_id").isNull())).select(*COLUMNS)
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
