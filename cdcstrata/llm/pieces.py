@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding of BPE models, with a max-plus parallel scan for giant documents.
 
-A text of up to ``GIANT`` characters is encoded by the library. A longer one is cut into chunks that are worked on apart:
+A text of up to ``GIANT`` characters is encoded by the library whole. A longer one is cut into chunks that are worked on
+apart:
 
 A BPE segmentation is the one path of pieces through the text in which every two neighbours, encoded together, stay as
 they are. So a step of the path weighs 0 if its two pieces fit and minus infinity if not, and the best path is a
@@ -31,8 +32,8 @@ from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
 from cdcstrata.sources.scratch import materialise
 
-GIANT = 65_536
-CHUNK = 32_768
+GIANT = 32_768
+CHUNK = 16_384
 SPACE = "▁"
 _NORMAL, _BYTE, _BPE = 1, 6, 2
 _START = -1

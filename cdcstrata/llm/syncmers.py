@@ -24,8 +24,10 @@ PIECE = rf"[{_WIDE}]|[^\s{_WIDE}]{{1,24}}"
 _NO_ID = -(2**63)
 
 
-def with_anchors(docs: DataFrame, text: str, name: str = "anchors") -> DataFrame:
-    """Adds the distinct anchor hashes of a text column, and drops nothing.
+def with_anchors(docs: DataFrame, text: str, name: str = "anchors", placed: str = "placed") -> DataFrame:
+    """Adds the distinct anchor hashes of a text column, and under ``placed`` hashes of each with its piece number.
+
+    Two texts share a placed one where they hold the same anchor at the same piece. Nothing is dropped.
 
     The steps are columns of their own, each read several times by the next, so that Catalyst keeps them apart and
     an array is made once a row.
@@ -74,6 +76,13 @@ def with_anchors(docs: DataFrame, text: str, name: str = "anchors") -> DataFrame
             )
             .otherwise(F.array(F.shiftrightunsigned(F.xxhash64("__hashes"), 32))),
         )
+        .withColumn(
+            placed,
+            F.transform(
+                F.coalesce("__chosen", F.array().cast("array<int>")),
+                lambda i: F.xxhash64(i, F.get("__inner", i), F.get("__inner", i + 2), F.get("__hashes", i + K - 1)),
+            ),
+        )
         .drop("__pieces", "__n", "__hashes", "__inner", "__chosen")
     )
 
@@ -149,15 +158,15 @@ def with_next(docs: DataFrame, text: str = "text", parts: int | None = None) ->
         .select("doc_id", "key", "text", F.explode(places).alias("at"))
         .filter("at.range IS NOT NULL")
         .select("doc_id", "key", "text", F.col("at.range").alias("range"), F.col("at.guest").alias("guest"))
-        .repartition("range")
+        .repartitionByRange(parts, "range")  # by hash, several ranges would fall together and other tasks stay empty
     )
     order = Window.partitionBy("range").orderBy("guest", "key", "text")
-    kept = with_anchors(dealt, "text").withColumn("kept", sketch("anchors")).drop("anchors")
+    kept = with_anchors(dealt, "text").withColumn("kept", sketch("anchors")).withColumn("n_anchors", F.size("anchors")).drop("anchors")
     return (
         kept.withColumn("next_text", F.lead("text").over(order))
         .withColumn("next_kept", F.lead("kept").over(order))
         .filter(~F.col("guest"))
-        .select("doc_id", "text", "kept", "next_text", "next_kept")
+        .select("doc_id", "text", "kept", "placed", "n_anchors", "next_text", "next_kept")
     )
 
 
@@ -165,6 +174,8 @@ def compared(docs: DataFrame, text: str = "text") -> DataFrame:
     """Each document's fingerprint beside that of its edited text and that of the next document, as registered.
 
     The edited text has its last half replaced by as many of the next document's first characters, or all of them.
+    ``n_anchors`` counts the text's distinct anchors, whole, and ``placed_edited`` the anchors that the edited text holds at
+    the same piece. The likenesses are estimates from at most 64 hashes, with a standard error of 0.06 at most.
     """
     rows = with_next(docs, text).withColumn("n_chars", F.char_length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
@@ -174,7 +185,7 @@ def compared(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     rows = rows.withColumn("edited", edited).drop("text", "next_text")
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
-    rows = with_anchors(rows, "edited", "edited_anchors").withColumn("edited_kept", sketch("edited_anchors"))
+    rows = with_anchors(rows, "edited", "edited_anchors", "edited_placed").withColumn("edited_kept", sketch("edited_anchors"))
     return rows.select(
         "doc_id",
         "n_chars",
@@ -183,4 +194,6 @@ def compared(docs: DataFrame, text: str = "text") -> DataFrame:
         printed("edited_kept").alias("edited_fingerprint"),
         likeness("kept", "edited_kept").alias("near_edited"),
         likeness("kept", "next_kept").alias("near_next"),
+        F.col("n_anchors").cast("bigint").alias("n_anchors"),
+        F.size(F.array_intersect("placed", "edited_placed")).cast("bigint").alias("placed_edited"),
     )
