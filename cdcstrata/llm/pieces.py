@@ -49,6 +49,7 @@ class Pieces:
         rules = model.normalizer_spec
         if model.trainer_spec.model_type != _BPE or rules.precompiled_charsmap or rules.remove_extra_whitespaces:
             raise ValueError("a BPE model without character rules is wanted")
+        self.library = _library(path)
         self.prefix = SPACE if rules.add_dummy_prefix else ""
         self.id_of = {p.piece: i for i, p in enumerate(model.pieces) if p.type == _NORMAL}
         self.score = {p.piece: p.score for p in model.pieces if p.type == _NORMAL}
@@ -112,6 +113,10 @@ class Pieces:
             at += n
         return found
 
+    def run_ids(self, text: str) -> list[int]:
+        """Ids of a run of whole words, which begins with a space: no piece reaches over its ends."""
+        return self.library.encode((text[1:] if self.prefix else text).replace(SPACE, " "))
+
     def ids(self, piece: str) -> list[int]:
         found = self.id_of.get(piece)
         return [self.byte_ids[b] for b in piece.encode()] if found is None else [found]
@@ -138,17 +143,17 @@ _WORD_START = re.compile(f"(?<!{SPACE}){SPACE}")
 LONG_WORD = 64
 
 Ends = dict[int, dict[int, int]]
-Words = dict[int, tuple[int, list[str]]]
+Runs = dict[int, int]
 
 
-def paths(pieces: Pieces, window: str, begin: int, end: int, states: list[int]) -> tuple[Ends, Words]:
+def paths(pieces: Pieces, window: str, begin: int, end: int, states: list[int]) -> tuple[Ends, Runs]:
     """Where pieces end, where they begin, and the set of entry states, as bits, from which a path leads there.
 
-    All paths pass the beginning of a word and go on alike, so a word is taken in one step, if it is not too long and
-    ends within the chunk; by its end, where it begins and its pieces are given as well. Else steps are single pieces.
+    All paths pass the beginning of a word and go on alike, so a run of words is taken in one step, as far as they are not
+    too long and end within the chunk; by its end, where it begins is given as well. Else steps are single pieces.
     """
     ends: Ends = {}
-    words: Words = {}
+    runs: Runs = {}
     for k, state in enumerate(states):
         before, beyond = (0, 0) if state == _START else divmod(state, 64)
         ends.setdefault(begin + beyond, {})[begin - before] = 1 << k
@@ -162,9 +167,11 @@ def paths(pieces: Pieces, window: str, begin: int, end: int, states: list[int])
             mask = 0
             for reached in here.values():
                 mask |= reached
-            found = pieces.word(window[at:stop])
-            words[stop] = (at, found)
-            ends[stop] = {stop - len(found[-1]): mask}
+            first = at
+            while (more := next_word.get(stop)) is not None and more - stop <= LONG_WORD:
+                at, stop = stop, more
+            runs[stop] = first
+            ends[stop] = {stop - len(pieces.word(window[at:stop])[-1]): mask}
             at = stop
             continue
         if here:
@@ -180,7 +187,7 @@ def paths(pieces: Pieces, window: str, begin: int, end: int, states: list[int])
                 if mask:
                     ends.setdefault(stop, {})[at] = mask
         at += 1
-    return ends, words
+    return ends, runs
 
 
 def exits(ends: Ends, end: int) -> dict[int, int]:
@@ -206,22 +213,22 @@ def transfer(pieces: Pieces, window: str, begin: int, end: int) -> tuple[list[in
 
 def trace(pieces: Pieces, window: str, begin: int, end: int, entry: int, exit_state: int) -> list[int]:
     """Ids of the pieces that begin in the chunk, on the one path between two states."""
-    ends, words = paths(pieces, window, begin, end, [entry])
+    ends, runs = paths(pieces, window, begin, end, [entry])
     before, beyond = divmod(exit_state, 64)
     start, stop, found = end - before, end + beyond, []
     while start >= begin:
-        if stop in words:
-            start, whole = words[stop]
-            found += reversed(whole)
+        if stop in runs:
+            start = runs[stop]
+            found.append(pieces.run_ids(window[start:stop]))
             last = next(iter(ends[start]))
         else:
             piece = window[start:stop]
-            found.append(piece)
+            found.append(pieces.ids(piece))
             last = next(s for s in ends[start] if s == start or pieces.fit(window[s:start], piece))
         if last == start:  # the beginning of the text
             break
         start, stop = last, start
-    return [i for piece in reversed(found) for i in pieces.ids(piece)]
+    return [i for some in reversed(found) for i in some]
 
 
 # --- the scan -------------------------------------------------------------------------------------
