@@ -417,33 +417,46 @@ def _known_terms(docs: DataFrame, number: dict[str, int], carry: Sequence[Column
     return materialise(rows.mapInArrow(run, schema), "toxic-terms")
 
 
-def _frequencies(rows: DataFrame, n: int) -> np.ndarray:
-    """How many documents hold each known term."""
+def _frequencies(held: DataFrame, n: int) -> tuple[int, np.ndarray]:
+    """How many rows there are and how many hold each known term, from a column of lists of them, or of texts' terms."""
 
     def run(batches):
-        held = np.zeros(n, np.int64)
+        held, rows = np.zeros(n, np.int64), 0
         for batch in batches:
-            held += np.bincount(batch.column(0).flatten().to_numpy(), minlength=n)
+            held += np.bincount(batch.column(0).flatten().to_numpy(), minlength=n)[:n]
+            rows += len(batch)
         some = np.nonzero(held)[0]
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([rows], pa.int64())], names=["term", "held"])
         for at in range(0, len(some), 10_000):
             part = some[at : at + 10_000]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(held[part])], names=["term", "held"])
 
+    counted = held.mapInArrow(run, "term int, held bigint").groupBy("term").agg(F.sum("held").alias("held"))
+    found = counted.toArrow()  # a row for each term of the sample at most, and one for the rows
+    term, count = found["term"].to_numpy(), found["held"].to_numpy()
     frequency = np.zeros(n)
-    if n:
-        counted = rows.select("terms").mapInArrow(run, "term int, held bigint").groupBy("term").agg(F.sum("held").alias("held"))
-        found = counted.toArrow()  # a row for each term of the sample at most
-        frequency[found["term"].to_numpy()] = found["held"].to_numpy()
-    return frequency
+    frequency[term[term >= 0]] = count[term >= 0]
+    return int(count[term < 0].sum()), frequency
+
+
+def _terms_of(docs: DataFrame, number: dict[str, int], text: str) -> DataFrame:
+    """The known terms of every document, not stored."""
+
+    def run(batches):
+        finder = Finder(number)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([finder.columns(batch.column(0).to_pylist())[0]], names=["terms"])
+
+    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "terms array<int>")
 
 
 @dataclass
 class Judge:
-    """The fitted model, or the flat score where there is nothing to learn from; and the known terms of all documents."""
+    """The fitted model, or the flat score where there is nothing to learn from; the numbers of the known terms."""
 
     model: Model | None
     flat: float
-    rows: DataFrame
+    number: dict[str, int]
 
     def scorer(self):
         """A function from texts, as terms and their counts, to (score, evidence) of each, which remembers what it has seen."""
@@ -471,19 +484,19 @@ def fit(
     modulus: int = 4,
     remainder: int = 2,
     text: str = "text",
-    carry: Sequence[Column] = (),
-) -> Judge:
-    """The fitted model, and the terms of all documents with the carried columns."""
+    carry: Sequence[Column] | None = None,
+) -> tuple[Judge, DataFrame | None]:
+    """The fitted model; with columns to ``carry``, also the stored terms of all documents beside them."""
     sample = independent(
         labelled_sample(docs, labels, "toxic", modulus, remainder, PER_LABEL, MOST_CHARS, text)
     )
     known, ratio = sample_terms(sample) if all(sample.texts) else ([], np.zeros(0))
     number = {t: k for k, t in enumerate(known)}
-    rows = _known_terms(docs, number, carry, text)
-    total = rows.count()
-    idf = np.log((total + 1) / (_frequencies(rows, len(number)) + 1)) + 1
+    rows = None if carry is None else _known_terms(docs, number, carry, text)
+    total, held = _frequencies(_terms_of(docs, number, text) if rows is None else rows.select("terms"), len(number))
+    idf = np.log((total + 1) / (held + 1)) + 1
     space = Space(number, idf, np.where(ratio >= LEAST_RATIO, ratio / LEAST_RATIO, 0.0))
-    return Judge(build(sample, space) if number else None, sample.share, rows)
+    return Judge(build(sample, space) if number else None, sample.share, number), rows
 
 
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
@@ -492,8 +505,7 @@ _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())
 def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, text: str = "text") -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` and ``evidence`` of every row."""
     carry = [F.col("doc_id").cast("bigint"), held_out(modulus, remainder)]
-    judge = fit(docs, labels, modulus, remainder, text, carry)
-    rows, judge.rows = judge.rows, None  # the function that goes to the tasks holds no table
+    judge, rows = fit(docs, labels, modulus, remainder, text, carry)
 
     def run(batches):
         of = judge.scorer()
@@ -518,19 +530,17 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int =
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs``, as they are, that are not predicted toxic.
+    """The rows of ``docs``, as they are, that are not predicted toxic; nothing of them is stored.
 
-    They are stored with their terms, which are taken once, for frequencies and scores alike.
+    Their terms are taken twice, for the frequencies and for the scores, which costs less than a copy of the corpus.
     """
-    judge = fit(docs, labels, text=text, carry=[F.col(f"`{c}`") for c in docs.columns])
-    rows, judge.rows = judge.rows, None
+    judge, _ = fit(docs, labels, text=text)
+    at = docs.columns.index(text)
 
     def run(batches):
-        of = judge.scorer()
+        of, finder = judge.scorer(), Finder(judge.number)
         for batch in batches:
-            clean = [s < THRESHOLD for s, _ in of(batch.column(0), batch.column(1))]
-            kept = pa.RecordBatch.from_arrays(batch.columns[2:], names=docs_schema.names)
-            yield kept.filter(pa.array(clean, pa.bool_()))
+            clean = [s < THRESHOLD for s, _ in of(*finder.columns(batch.column(at).to_pylist()))]
+            yield batch.filter(pa.array(clean, pa.bool_()))
 
-    docs_schema = T.StructType(list(rows.schema)[2:])
-    return rows.mapInArrow(run, docs_schema).toDF(*docs.columns)
+    return docs.mapInArrow(run, docs.schema)
