@@ -112,9 +112,8 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Space:
-    """Terms, how rare they are among all documents, and how much they tell of a label."""
+    """How rare each term is among all documents, and how much it tells of a label."""
 
-    number: dict[str, int]
     idf: np.ndarray
     telling: np.ndarray
 
@@ -140,10 +139,8 @@ def hits(number: dict[str, int], text: str | None) -> dict[int, int]:
     return found
 
 
-class Finder:
-    """The known terms of many texts at once: words are told apart and looked up by Arrow, each once."""
-
-    CHARS = 4_000_000  # so much text at a time, or one text, which bounds the memory
+class Known:
+    """The terms that have a number, as the tasks get them: words and stems, each with their numbers, in Arrow's form."""
 
     def __init__(self, number: dict[str, int]):
         self.size = max(1, len(number))
@@ -152,6 +149,15 @@ class Finder:
             some = {t.removesuffix("*"): k for t, k in number.items() if t.endswith("*") == bool(ending)}
             self.sets.append((pa.array(some, pa.large_string()), np.array([*some.values(), -1], np.int64)))
 
+
+class Finder:
+    """The known terms of many texts at once: words are told apart and looked up by Arrow, each once."""
+
+    CHARS = 2_000_000  # so much text at a time, or one text, which bounds the memory
+
+    def __init__(self, known: Known):
+        self.size, self.sets = known.size, known.sets
+
     def columns(self, texts: Sequence[str | None]) -> tuple[pa.Array, pa.Array]:
         """Terms and counts of each text as two columns of lists."""
         parts, few, chars = [], [], 0
@@ -367,12 +373,12 @@ def _calibrated(votes: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tup
     return (float(beta[0]), float(beta[1])) if np.isfinite(beta).all() and beta[0] > 0 else (1.0, 0.0)
 
 
-def build(sample: Sample, space: Space) -> Model:
+def build(sample: Sample, space: Space, number: dict[str, int]) -> Model:
     texts, ids = [x for some in sample.texts for x in some], [i for some in sample.ids for i in some]
     toxic = np.repeat([0, 1], [len(some) for some in sample.texts])
     each = [sample.rows[k] / max(1, len(sample.texts[k])) for k in (0, 1)]
     weight = np.repeat(each, [len(some) for some in sample.texts])
-    vectors = [space.vector(list(c), list(c.values())) for c in (hits(space.number, x) for x in texts)]
+    vectors = [space.vector(list(c), list(c.values())) for c in (hits(number, x) for x in texts)]
     telling = np.nonzero(space.telling > 0)[0]
     column = np.full(len(space.telling), -1)
     column[telling] = np.arange(len(telling))
@@ -398,7 +404,7 @@ def build(sample: Sample, space: Space) -> Model:
     return model
 
 
-def _known_terms(docs: DataFrame, number: dict[str, int], carry: Sequence[Column], text: str) -> DataFrame:
+def _known_terms(docs: DataFrame, known: Known, carry: Sequence[Column], text: str) -> DataFrame:
     """The known terms of every document, stored: what both the frequencies and the scores are made from.
 
     Returns ``terms``, ``counts`` and the carried columns as ``c0``, ``c1`` and so on, whatever they were called.
@@ -409,7 +415,7 @@ def _known_terms(docs: DataFrame, number: dict[str, int], carry: Sequence[Column
     )
 
     def run(batches):
-        finder = Finder(number)
+        finder = Finder(known)
         for batch in batches:
             found = finder.columns(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([*found, *batch.columns[1:]], names=schema.names)
@@ -417,13 +423,18 @@ def _known_terms(docs: DataFrame, number: dict[str, int], carry: Sequence[Column
     return materialise(rows.mapInArrow(run, schema), "toxic-terms")
 
 
-def _frequencies(held: DataFrame, n: int) -> tuple[int, np.ndarray]:
-    """How many rows there are and how many hold each known term, from a column of lists of them, or of texts' terms."""
+def _frequencies(column: DataFrame, n: int, known: Known | None = None) -> tuple[int, np.ndarray]:
+    """How many rows there are and how many hold each of n terms: from lists of terms, or with ``known`` from texts.
+
+    Texts are read and counted by one function, so that a task has one Python worker.
+    """
 
     def run(batches):
         held, rows = np.zeros(n, np.int64), 0
+        finder = known and Finder(known)
         for batch in batches:
-            held += np.bincount(batch.column(0).flatten().to_numpy(), minlength=n)[:n]
+            lists = finder.columns(batch.column(0).to_pylist())[0] if finder else batch.column(0)
+            held += np.bincount(lists.flatten().to_numpy(), minlength=n)[:n]
             rows += len(batch)
         some = np.nonzero(held)[0]
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([rows], pa.int64())], names=["term", "held"])
@@ -431,7 +442,7 @@ def _frequencies(held: DataFrame, n: int) -> tuple[int, np.ndarray]:
             part = some[at : at + 10_000]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(held[part])], names=["term", "held"])
 
-    counted = held.mapInArrow(run, "term int, held bigint").groupBy("term").agg(F.sum("held").alias("held"))
+    counted = column.mapInArrow(run, "term int, held bigint").groupBy("term").agg(F.sum("held").alias("held"))
     found = counted.toArrow()  # a row for each term of the sample at most, and one for the rows
     term, count = found["term"].to_numpy(), found["held"].to_numpy()
     frequency = np.zeros(n)
@@ -439,40 +450,33 @@ def _frequencies(held: DataFrame, n: int) -> tuple[int, np.ndarray]:
     return int(count[term < 0].sum()), frequency
 
 
-def _terms_of(docs: DataFrame, number: dict[str, int], text: str) -> DataFrame:
-    """The known terms of every document, not stored."""
-
-    def run(batches):
-        finder = Finder(number)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([finder.columns(batch.column(0).to_pylist())[0]], names=["terms"])
-
-    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "terms array<int>")
-
-
 @dataclass
 class Judge:
-    """The fitted model, or the flat score where there is nothing to learn from; the numbers of the known terms."""
+    """The fitted model, or the flat score where there is nothing to learn from; the known terms."""
 
     model: Model | None
     flat: float
-    number: dict[str, int]
+    known: Known
+
+    def evidence(self, near: Sequence[tuple[float, int]]) -> list[dict]:
+        """Neighbours by the ids of their documents."""
+        return [{"doc_id": self.model.ids[i], "cosine": c, "toxic": int(self.model.toxic[i])} for c, i in near]
 
     def scorer(self):
-        """A function from texts, as terms and their counts, to (score, evidence) of each, which remembers what it has seen."""
+        """A function from texts, as terms and their counts, to (score, neighbours) of each, which remembers what it has seen."""
         model, flat = self.model, self.flat
         seen: dict[bytes, tuple] = {}
 
-        def of(terms: pa.ListArray, counts: pa.ListArray) -> list[tuple[float, list[dict]]]:
+        def of(terms: pa.ListArray, counts: pa.ListArray) -> list[tuple[float, Sequence]]:
             rows = _rows(terms, counts)
             if not model:
-                return [(flat, [])] * len(rows)
-            if len(seen) > 20_000:
+                return [(flat, ())] * len(rows)
+            if len(seen) > 10_000:
                 seen.clear()
             keys = [hashlib.blake2b(t.tobytes() + c.tobytes(), digest_size=16).digest() for t, c in rows]
             new = {key: row for key, row in zip(keys, rows, strict=True) if key not in seen}
             for key, (s, near) in zip(new, model.scores(list(new.values())), strict=True):
-                seen[key] = (s, [{"doc_id": model.ids[i], "cosine": c, "toxic": int(model.toxic[i])} for c, i in near])
+                seen[key] = (s, tuple(near))
             return [seen[key] for key in keys]
 
         return of
@@ -490,13 +494,17 @@ def fit(
     sample = independent(
         labelled_sample(docs, labels, "toxic", modulus, remainder, PER_LABEL, MOST_CHARS, text)
     )
-    known, ratio = sample_terms(sample) if all(sample.texts) else ([], np.zeros(0))
-    number = {t: k for k, t in enumerate(known)}
-    rows = None if carry is None else _known_terms(docs, number, carry, text)
-    total, held = _frequencies(_terms_of(docs, number, text) if rows is None else rows.select("terms"), len(number))
+    terms_, ratio = sample_terms(sample) if all(sample.texts) else ([], np.zeros(0))
+    number = {t: k for k, t in enumerate(terms_)}
+    known, rows = Known(number), None
+    if carry is None:
+        total, held = _frequencies(docs.select(F.col(text).cast("string")), len(number), known)
+    else:
+        rows = _known_terms(docs, known, carry, text)
+        total, held = _frequencies(rows.select("terms"), len(number))
     idf = np.log((total + 1) / (held + 1)) + 1
-    space = Space(number, idf, np.where(ratio >= LEAST_RATIO, ratio / LEAST_RATIO, 0.0))
-    return Judge(build(sample, space) if number else None, sample.share, number), rows
+    space = Space(idf, np.where(ratio >= LEAST_RATIO, ratio / LEAST_RATIO, 0.0))
+    return Judge(build(sample, space, number) if number else None, sample.share, known), rows
 
 
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
@@ -517,7 +525,7 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int =
                     batch.column(3),
                     pa.array([s for s, _ in found], pa.float64()),
                     pa.array([int(s >= THRESHOLD) for s, _ in found], pa.int32()),
-                    pa.array([near for _, near in found], _EVIDENCE),
+                    pa.array([judge.evidence(near) for _, near in found], _EVIDENCE),
                 ],
                 names=["doc_id", "held_out", "score", "predicted", "evidence"],
             )
@@ -538,7 +546,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text") -> Dat
     at = docs.columns.index(text)
 
     def run(batches):
-        of, finder = judge.scorer(), Finder(judge.number)
+        of, finder = judge.scorer(), Finder(judge.known)
         for batch in batches:
             clean = [s < THRESHOLD for s, _ in of(*finder.columns(batch.column(at).to_pylist()))]
             yield batch.filter(pa.array(clean, pa.bool_()))

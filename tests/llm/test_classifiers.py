@@ -140,13 +140,13 @@ def test_terms_of_many_texts_are_those_of_each(odd_texts):
     texts = [*odd_texts, "²½ ab² İstanbul ΣΑΣ 日本語 a_b1c Straße", "one " * 50, "x1y2z3", "*"]
     number = {t: k for k, t in enumerate(sorted({t for x in texts[::2] for t in T.terms(x)}))}
     for chars in (10, 4_000_000):
-        finder = T.Finder(number)
+        finder = T.Finder(T.Known(number))
         finder.CHARS = chars
         found, counts = finder.columns(texts)
         each = [dict(zip(t.as_py(), c.as_py(), strict=True)) for t, c in zip(found, counts, strict=True)]
         assert each == [T.hits(number, x) for x in texts]
-    none, _ = T.Finder({}).columns([None, "a"])
-    assert none.to_pylist() == [[], []] and T.Finder(number).columns([])[0].to_pylist() == []
+    none, _ = T.Finder(T.Known({})).columns([None, "a"])
+    assert none.to_pylist() == [[], []] and T.Finder(T.Known(number)).columns([])[0].to_pylist() == []
 
 
 def test_a_sample_has_one_text_an_id(spark):

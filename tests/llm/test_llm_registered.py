@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     df = registry.queries()[name](spark, FOLDER)
     found = con.execute(registry.oracle_sql()[name])
@@ -33,6 +33,8 @@ CONTRACT = {
     "op8_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op9_secrets": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     "op10_shards": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
+    "op11_merkle": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+    "op13_line_dedup": "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string",
 }
 
 
