@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 #: Spark's own limit is 64 MB a batch, of which a task holds a few copies in either process.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 

@@ -153,7 +153,7 @@ class Known:
 class Finder:
     """The known terms of many texts at once: words are told apart and looked up by Arrow, each once."""
 
-    CHARS = 2_000_000  # so much text at a time, or one text, which bounds the memory
+    CHARS = 1_000_000  # so much text at a time, or one text, which bounds the memory
 
     def __init__(self, known: Known):
         self.size, self.sets = known.size, known.sets
@@ -216,12 +216,11 @@ class BlockMaxIndex:
         self.column = np.full(self.terms, -1)
         self.column[common] = np.arange(len(common))
         dense = self.column[terms] >= 0
-        self.matrix = np.zeros((len(held), len(common)), np.float32)
-        self.matrix[places[dense], self.column[terms[dense]]] = weights[dense]
-        # The same weights in double precision, example by example; ``row`` tells where each begins.
+        # The weights of common terms in double precision, example by example; ``row`` tells where each begins.
         by_row = np.nonzero(dense)[0][np.argsort(places[dense], kind="stable")]
         self.rows = self.column[terms[by_row]].astype(np.int32), weights[by_row]
         self.row = np.searchsorted(places[by_row], np.arange(len(held) + 1))
+        self.columns = len(common)
         terms, self.places, self.weights = terms[~dense], places[~dense], weights[~dense]
         self.blocks = -(-len(held) // BLOCK)
         # A group is the postings of a term in a block.
@@ -234,6 +233,17 @@ class BlockMaxIndex:
         self.most = np.maximum.reduceat(self.weights, begins) if len(begins) else np.zeros(0)
         self.first = np.searchsorted(terms[begins], np.arange(self.terms + 1))  # group of each term
 
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        """The common terms' weights as a matrix in single precision."""
+        found = np.zeros((len(self.order), self.columns), np.float32)
+        found[np.repeat(np.arange(len(self.order)), np.diff(self.row)), self.rows[0]] = self.rows[1]
+        return found
+
+    def __getstate__(self) -> dict:
+        """Tasks make the matrix anew: it is the larger part of the index."""
+        return {k: v for k, v in self.__dict__.items() if k != "matrix"}
+
     def nearest(self, query: Vector, k: int) -> list[tuple[float, int]]:
         """The k greatest cosines with their vectors' numbers; vectors without a common term are not listed."""
         return self.nearest_all([query], k)[0]
@@ -244,7 +254,7 @@ class BlockMaxIndex:
         for at in range(0, len(queries), QUERIES):
             split = [_split(q) for q in queries[at : at + QUERIES]]
             split = [(t[t < self.terms], w[t < self.terms]) for t, w in split]
-            dense = np.zeros((len(split), self.matrix.shape[1]))
+            dense = np.zeros((len(split), self.columns))
             for row, (t, w) in zip(dense, split, strict=True):
                 column = self.column[t]
                 row[column[column >= 0]] = w[column >= 0]
@@ -436,6 +446,7 @@ def _frequencies(column: DataFrame, n: int, known: Known | None = None) -> tuple
             lists = finder.columns(batch.column(0).to_pylist())[0] if finder else batch.column(0)
             held += np.bincount(lists.flatten().to_numpy(), minlength=n)[:n]
             rows += len(batch)
+        pa.default_memory_pool().release_unused()  # the worker lives on
         some = np.nonzero(held)[0]
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([rows], pa.int64())], names=["term", "held"])
         for at in range(0, len(some), 10_000):
@@ -550,5 +561,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text") -> Dat
         for batch in batches:
             clean = [s < THRESHOLD for s, _ in of(*finder.columns(batch.column(at).to_pylist()))]
             yield batch.filter(pa.array(clean, pa.bool_()))
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return docs.mapInArrow(run, docs.schema)
