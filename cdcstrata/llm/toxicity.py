@@ -19,6 +19,7 @@ Repeated rows are scored alike.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 import re
@@ -240,8 +241,11 @@ class BlockMaxIndex:
         found[np.repeat(np.arange(len(self.order)), np.diff(self.row)), self.rows[0]] = self.rows[1]
         return found
 
+    def lean(self) -> None:
+        """Let the matrix go, the larger part of the index: the driver needs it no more, and tasks make it anew."""
+        self.__dict__.pop("matrix", None)
+
     def __getstate__(self) -> dict:
-        """Tasks make the matrix anew: it is the larger part of the index."""
         return {k: v for k, v in self.__dict__.items() if k != "matrix"}
 
     def nearest(self, query: Vector, k: int) -> list[tuple[float, int]]:
@@ -402,7 +406,8 @@ def build(sample: Sample, space: Space, number: dict[str, int]) -> Model:
     )
     votes, truth, weights = [], [], []
     copies = Counter(texts)
-    listed = model.index.nearest_all(vectors, NEIGHBOURS + max(copies.values(), default=0))
+    most = NEIGHBOURS + max(copies.values(), default=0)
+    listed = (f for at in range(0, len(vectors), QUERIES) for f in model.index.nearest_all(vectors[at : at + QUERIES], most))
     for k, (v, found) in enumerate(zip(vectors, listed, strict=True)):
         if len(v):
             if others := [(c, i) for c, i in found if texts[i] != texts[k]][:NEIGHBOURS]:
@@ -411,6 +416,7 @@ def build(sample: Sample, space: Space, number: dict[str, int]) -> Model:
                 weights.append(weight[k])
     if len(set(truth)) == 2:
         model.slope, model.shift = _calibrated(np.array(votes), np.array(truth), np.array(weights))
+    model.index.lean()
     return model
 
 
@@ -515,7 +521,10 @@ def fit(
         total, held = _frequencies(rows.select("terms"), len(number))
     idf = np.log((total + 1) / (held + 1)) + 1
     space = Space(idf, np.where(ratio >= LEAST_RATIO, ratio / LEAST_RATIO, 0.0))
-    return Judge(build(sample, space, number) if number else None, sample.share, known), rows
+    judge = Judge(build(sample, space, number) if number else None, sample.share, known)
+    del sample, terms_, number, held
+    gc.collect()  # the driver goes on with the next stage, and is smaller than what the sample took
+    return judge, rows
 
 
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
