@@ -19,7 +19,6 @@ Repeated rows are scored alike.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import math
 import re
@@ -35,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cdcstrata.llm.batches import bound_batches, give_back
 from cdcstrata.llm.labelled import Sample, held_out, labelled_sample
 from cdcstrata.sources.scratch import materialise
 
@@ -452,7 +452,7 @@ def _frequencies(column: DataFrame, n: int, known: Known | None = None) -> tuple
             lists = finder.columns(batch.column(0).to_pylist())[0] if finder else batch.column(0)
             held += np.bincount(lists.flatten().to_numpy(), minlength=n)[:n]
             rows += len(batch)
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        give_back()  # the worker lives on
         some = np.nonzero(held)[0]
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([rows], pa.int64())], names=["term", "held"])
         for at in range(0, len(some), 10_000):
@@ -508,6 +508,7 @@ def fit(
     carry: Sequence[Column] | None = None,
 ) -> tuple[Judge, DataFrame | None]:
     """The fitted model; with columns to ``carry``, also the stored terms of all documents beside them."""
+    bound_batches(docs.sparkSession, "4m")  # a task holds the model beside its batches
     sample = independent(
         labelled_sample(docs, labels, "toxic", modulus, remainder, PER_LABEL, MOST_CHARS, text)
     )
@@ -523,7 +524,7 @@ def fit(
     space = Space(idf, np.where(ratio >= LEAST_RATIO, ratio / LEAST_RATIO, 0.0))
     judge = Judge(build(sample, space, number) if number else None, sample.share, known)
     del sample, terms_, number, held
-    gc.collect()  # the driver goes on with the next stage, and is smaller than what the sample took
+    give_back()  # the driver goes on with the next stage, and is smaller than what the sample took
     return judge, rows
 
 
@@ -570,6 +571,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text") -> Dat
         for batch in batches:
             clean = [s < THRESHOLD for s, _ in of(*finder.columns(batch.column(at).to_pylist()))]
             yield batch.filter(pa.array(clean, pa.bool_()))
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        give_back()  # the worker lives on
 
     return docs.mapInArrow(run, docs.schema)
