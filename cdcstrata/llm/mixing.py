@@ -272,14 +272,16 @@ def mix(docs: DataFrame, shards: int = 8, text: str = "text", **rules) -> DataFr
     between and after them. Sorting a shard by ``position_key`` shuffles it locally.
     """
     docs = docs.drop("shard", "position_key", "words")
-    keyed = docs.withColumn("__key", row_id(docs))
+    key = row_id(docs)
+    keyed = docs.withColumn("__a", key["a"]).withColumn("__b", key["b"])
     placed, _ = planned(sized(docs, text), shards, **rules)
     draws = (
         placed.select("row_id", "row_key", "size", "source_size", "target", "place", F.explode("draws").alias("draw"))
         .withColumn("words", _words_drawn(F.col("draw.round")))
         .filter("words > 0")
         .select(
-            "row_id",
+            F.col("row_id.a").alias("__row_a"),
+            F.col("row_id.b").alias("__row_b"),
             F.col("size").alias("__size"),
             "words",
             F.col("draw.shard").alias("shard"),
@@ -287,9 +289,10 @@ def mix(docs: DataFrame, shards: int = 8, text: str = "text", **rules) -> DataFr
         )
     )
     # Rows that are equal in every column have one key; each of their draws is one of theirs, so a row stands for them.
-    unique = keyed.dropDuplicates(["__key"])
+    # The key is two plain columns, so that the join meets the rows where they lie already.
+    unique = keyed.dropDuplicates(["__a", "__b"])
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(rf"^[\x20\x09-\x0D]*{WORD}|[\x20\x09-\x0D]+{WORD}"), F.lit(0)), 1, F.col("words").cast("int")), "")
-    joined = unique.join(draws, F.col("__key") == F.col("row_id"))
+    joined = unique.join(draws, (F.col("__a") == F.col("__row_a")) & (F.col("__b") == F.col("__row_b")))
     return joined.withColumn(text, F.when(F.col("words") < F.col("__size"), cut).otherwise(F.col(text))).drop(
-        "__key", "row_id", "__size"
+        "__a", "__b", "__row_a", "__row_b", "__size"
     )
