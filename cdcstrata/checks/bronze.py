@@ -20,7 +20,7 @@ from cdcstrata.functions.payload import UNAVAILABLE_PAYLOAD
 from cdcstrata.plans.fields import EXPORT_CURRENT, EXPORT_PREVIOUS
 from cdcstrata.plans.registry import REGISTRIES
 from cdcstrata.session import tune
-from cdcstrata.sources.scratch import store
+from cdcstrata.sources.scratch import TEXT, store
 
 EPOCH = "CAST(datediff(CAST(d AS DATE), DATE'1970-01-01') AS BIGINT) * 86400"
 LEAD_STATUS = "CASE WHEN s = 'F' THEN 142 WHEN s = 'P' THEN 143 WHEN k % 2 = 0 THEN 10 ELSE 20 END"
@@ -132,14 +132,17 @@ class Tables:
                 return self.spark.read.schema(schema).parquet(path)
             except AnalysisException:
                 del self._stored[name]
-        self._stored[name] = (store(log, name), log.schema)
+        self._stored[name] = (store(log, name, **TEXT), log.schema)
         return self.stored(name, log)
 
     # --- report log ---------------------------------------------------------------------------
 
     @cached_property
     def export_arrays(self) -> DataFrame:
-        """Per order key: JSON array of {country, current_sum}, one object per supplier nation."""
+        """Per order key: JSON array of {country, current_sum}, one object per supplier nation.
+
+        Line items are laid out by order once; sums, arrays and the join with the orders all take that layout.
+        """
         lines = self.table("lineitem").selectExpr(
             "l_orderkey AS k", "l_suppkey AS s_suppkey", "CAST(floor(l_extendedprice) AS BIGINT) AS amount"
         )
@@ -147,6 +150,8 @@ class Tables:
         nations = self.table("nation").selectExpr("n_nationkey", f"{r.EXPORT_COUNTRY} AS country")
         sums = (
             lines.join(suppliers, "s_suppkey")
+            .select("k", "n_nationkey", "amount")
+            .repartition("k")
             .groupBy("k", "n_nationkey")
             .agg(F.sum("amount").alias("current_sum"))
             .join(nations, "n_nationkey")
