@@ -488,19 +488,22 @@ def _incremental() -> dict[str, Build]:
         return rows
 
     def once(t: Tables) -> DataFrame:
-        """The log as it comes year by year, with redeliveries soon after and two years late, in three runs of the stream."""
+        """The log as it comes year by year, with redeliveries soon after and two years late, a run of the stream for each.
+
+        A run takes a year's files as one batch, since the watermark moves on with every batch; so a year may be as many files
+        as tasks that write it.
+        """
         source, target, progress = (scratch_path(t.spark, n) for n in ("deliveries", "once", "progress"))
-        log = materialise(_cut(t.report_cdc()).withColumn("came", F.year("updated_ts")), "deliveries")
-        years = [r["came"] for r in log.select("came").distinct().orderBy("came").collect()]  # a file for each
+        log = materialise(_cut(t.report_cdc()).withColumn("came", F.year("updated_ts")), "deliveries", ["came"])
+        years = [r["came"] for r in log.select("came").distinct().orderBy("came").collect()]  # a batch for each
         schema = log.drop("came").schema
-        for n, year in enumerate(years):
+        for year in years:
             soon = log.filter((F.col("came") == year) & (F.col("id") % 3 == 0))
             late = log.filter((F.col("came") == year - 2) & (F.col("id") % 5 == 0))
             files = log.filter(F.col("came") == year).unionByName(soon).unionByName(late).drop("came")
-            files.coalesce(1).write.mode("append").parquet(source)
-            if n % 3 == 2 or n == len(years) - 1:
-                stream = changes.read_changes(t.spark, source, schema, files_per_batch=1)
-                changes.append_once(stream, target, progress, "40 days").awaitTermination()
+            files.write.mode("append").parquet(source)
+            stream = changes.read_changes(t.spark, source, schema)
+            changes.append_once(stream, target, progress, "40 days").awaitTermination()
         rows = materialise(_carried(t.spark.read.schema(schema).parquet(target)), "once")
         release(t.spark, source, target, progress)
         return rows
