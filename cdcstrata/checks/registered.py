@@ -474,12 +474,14 @@ def _incremental() -> dict[str, Build]:
         return _carried(predicates.not_deleted(_through_table(t, work)))
 
     def streamed(t: Tables) -> DataFrame:
-        """The log as files, read back as a stream in batches of a file, compacted twice on the way."""
+        """The log as files, read back as a stream in six batches, compacted twice on the way."""
         source, target, progress = (scratch_path(t.spark, n) for n in ("changes", "current", "progress"))
-        log = t.report_cdc().select(*columns, "updated_at", "data")
+        log, known = t.report_cdc().select(*columns, "updated_at", "data"), 0
         for part in range(3):
-            log.filter(F.pmod("id", F.lit(3)) == part).repartition(2, "id").write.mode("append").parquet(source)
-            stream = changes.read_changes(t.spark, source, log.schema, files_per_batch=1)
+            log.filter(F.pmod("id", F.lit(3)) == part).write.mode("append").parquet(source, compression="zstd")
+            files = len(t.spark.read.schema(log.schema).parquet(source).inputFiles())
+            half, known = max(1, (files - known + 1) // 2), files
+            stream = changes.read_changes(t.spark, source, log.schema, files_per_batch=half)
             changes.apply_cdc_stream(stream, target, progress).awaitTermination()
             if part < 2:
                 changes.compact(t.spark, target, log.schema)

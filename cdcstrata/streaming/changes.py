@@ -17,6 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cdcstrata.operators.versions import latest
 
+_COMPRESSION = "zstd"  # a change table is mostly payload text, and compactions write it again
+
 
 def read_changes(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
     """A folder of Parquet change files as a stream."""
@@ -85,7 +87,7 @@ def apply_cdc_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         newest = latest(batch, keys, order_by, tombstones="keep", require_payload=require_payload)
-        newest.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        newest.write.mode("overwrite").parquet(f"{target}/batch={batch_id}", compression=_COMPRESSION)
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -158,6 +160,6 @@ def compact(
     if last is None or live == [f"upto_batch={last}"]:
         return
     newest = latest(read_change_table(spark, target, schema), keys, order_by, tombstones="keep")
-    newest.write.mode("overwrite").parquet(f"{target}/upto_batch={last}")
+    newest.write.mode("overwrite").parquet(f"{target}/upto_batch={last}", compression=_COMPRESSION)
     for name in stale:
         files.delete(path(f"{target}/{name}"), True)

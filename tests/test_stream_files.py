@@ -20,3 +20,9 @@ def test_a_year_is_not_one_file(spark, tmp_path, monkeypatch):
     rows, files = _sources(spark, tmp_path, monkeypatch, "stream_replays_dropped")
     assert files > 4  # it was one a year, made by one task
     assert rows == sum(1 + (n % 3 == 0) + (n % 20 == 0) + (n % 9 == 0) for n in range(1, 400))  # every version once
+
+
+def test_a_third_of_the_log_is_not_two_files(spark, tmp_path, monkeypatch):
+    rows, files = _sources(spark, tmp_path, monkeypatch, "stream_cdc_equals_batch")
+    assert files > 6
+    assert rows == sum(n % 20 != 0 or n % 9 == 0 for n in range(1, 400))  # an update may come after the delete
