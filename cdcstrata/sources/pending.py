@@ -1,6 +1,6 @@
 """Swaps of partitions in several tables that are all done or done again.
 
-What goes into the tables is staged first, and the plan of the swaps written down in the shared folder. A plan counts once
+What goes into the tables is staged first, by the partitions that are replaced, and the plan of the swaps written down in the shared folder. A plan counts once
 Spark's mark of success is there. Then the swaps run, each replacing whole partitions by staged rows, so a plan that
 is cut off can be run again from the start; when it is through, it is deleted with what it staged. Until it is written,
 no table is touched.
@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cdcstrata.sources import writers
 from cdcstrata.sources.scratch import release, scratch_root, store
@@ -43,7 +44,9 @@ def swap_all(spark: SparkSession, name: str, swaps: Sequence[Swap]) -> None:
     resume(spark, name)
     plan = []
     for step, swap in enumerate(swaps):
-        rows, hit = store(swap.rows, f"{name}-{step}"), store(swap.hit, f"{name}-{step}-hit")
+        typed = [F.col(f.name).cast(f.dataType) for f in spark.table(swap.table).schema]
+        rows = store(swap.rows.select(*typed), f"{name}-{step}", swap.hit.columns)
+        hit = store(swap.hit, f"{name}-{step}-hit")
         plan.append((step, swap.table, rows, hit, swap.fmt))
     spark.createDataFrame(plan, _SCHEMA).coalesce(1).write.mode("overwrite").parquet(_place(spark, name))
     resume(spark, name)
@@ -56,6 +59,7 @@ def resume(spark: SparkSession, name: str) -> bool:
         return False
     plan = sorted(spark.read.schema(_SCHEMA).parquet(place).collect(), key=lambda s: s["step"])
     for s in plan:
-        writers.swap_partitions(spark, s["table"], spark.read.parquet(s["rows"]), spark.read.parquet(s["hit"]), s["fmt"])
+        rows = spark.read.schema(spark.table(s["table"]).schema).parquet(s["rows"])
+        writers.swap_partitions(spark, s["table"], rows, spark.read.parquet(s["hit"]), s["fmt"], laid_out=True)
     release(spark, place, *[p for s in plan for p in (s["rows"], s["hit"])])
     return True

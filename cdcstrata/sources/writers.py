@@ -110,12 +110,12 @@ def _overwrite_all(df: DataFrame, spark: SparkSession, name: str) -> None:
         rows.write.insertInto(name, overwrite=True)
 
 
-def _by_position(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
-    """Columns in table order, since ``insertInto`` goes by position, clustered by table partition."""
+def _by_position(df: DataFrame, spark: SparkSession, table: str, laid_out: bool = False) -> DataFrame:
+    """Columns in table order, since ``insertInto`` goes by position, clustered by table partition unless they are ``laid_out``."""
     columns = spark.catalog.listColumns(table)
     ordered = df.select(*[c.name for c in columns])
     parts = [c.name for c in columns if c.isPartition]
-    return clustered(ordered, parts) if parts else ordered
+    return clustered(ordered, parts) if parts and not laid_out else ordered
 
 
 def clustered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
@@ -127,13 +127,16 @@ def clustered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *parts)
 
 
-def overwrite_partitions(df: DataFrame, name: str, fmt: str = "parquet") -> None:
-    """Replace just the partitions that occur in ``df``; a rerun leaves the same table behind."""
+def overwrite_partitions(df: DataFrame, name: str, fmt: str = "parquet", laid_out: bool = False) -> None:
+    """Replace just the partitions that occur in ``df``; a rerun leaves the same table behind.
+
+    Rows that are read from files which are partitioned like the table are ``laid_out`` and not shuffled again.
+    """
     if fmt not in FILE_FORMATS:
         df.writeTo(name).overwritePartitions()
         return
     spark = df.sparkSession
-    rows = _by_position(df, spark, name)
+    rows = _by_position(df, spark, name, laid_out)
     with _overwrite_mode(spark, "dynamic"):
         rows.write.insertInto(name, overwrite=True)
 
@@ -150,14 +153,14 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
 
 
 def swap_partitions(
-    spark: SparkSession, name: str, rows: DataFrame, hit: DataFrame, fmt: str = "parquet"
+    spark: SparkSession, name: str, rows: DataFrame, hit: DataFrame, fmt: str = "parquet", laid_out: bool = False
 ) -> None:
     """Replace the partitions listed in ``hit`` by ``rows``; those that no row is left for go away.
 
     ``hit`` has the table's partition columns; its distinct values, a few a partition column, reach the driver.
     """
     columns = hit.columns
-    overwrite_partitions(rows, name, fmt)
+    overwrite_partitions(rows, name, fmt, laid_out)
     left = rows.select(*columns).distinct().withColumn("__left", F.lit(True))
     same = [F.col(f"h.{c}").eqNullSafe(F.col(f"l.{c}")) for c in columns]
     gone = hit.distinct().alias("h").join(left.alias("l"), same, "left_anti")
