@@ -60,6 +60,6 @@ def resume(spark: SparkSession, name: str) -> bool:
     plan = sorted(spark.read.schema(_SCHEMA).parquet(place).collect(), key=lambda s: s["step"])
     for s in plan:
         rows = spark.read.schema(spark.table(s["table"]).schema).parquet(s["rows"])
-        writers.swap_partitions(spark, s["table"], rows, spark.read.parquet(s["hit"]), s["fmt"], laid_out=True)
+        writers.swap_partitions(spark, s["table"], rows, spark.read.parquet(s["hit"]), s["fmt"], True)
     release(spark, place, *[p for s in plan for p in (s["rows"], s["hit"])])
     return True
