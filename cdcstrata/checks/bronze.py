@@ -44,13 +44,18 @@ def _select(fields: dict[str, str]) -> list[str]:
 
 
 def _member(name: str, raw: str) -> str:
-    """``,"name":raw``, or nothing where raw is NULL."""
-    return f"coalesce(',\"{name}\":' || {raw}, '')"
+    """``"name":raw``, or NULL where raw is NULL."""
+    return f"'\"{name}\":' || ({raw})"
 
 
-def _with_members(document: str, members: list[str]) -> str:
-    """JSON object text with further members before the closing brace."""
-    return f"concat(rtrim('}}', {document}), {', '.join(members)}, '}}')"
+def _plain_text(name: str, rule: str) -> str:
+    """A member of a text that needs no escapes: the rule makes it of its own constants and of numbers."""
+    return f"'\"{name}\":\"' || ({rule}) || '\"'"
+
+
+def _object(members: list[str]) -> str:
+    """JSON object text of the members that are not NULL, put together without a writer's detour over a struct."""
+    return f"concat('{{', concat_ws(',', {', '.join(members)}), '}}')"
 
 
 def _items(count: str, item: dict[str, str]) -> str:
@@ -176,6 +181,9 @@ class Tables:
 
     def _report_log(self, exports: bool = False, registries: tuple[str, ...] = ()) -> DataFrame:
         base = self.order_base
+        texts = [_plain_text(name, rule) for name, rule in r.TEXT_RULES.items()]
+        numbers = [_member(name, f"CAST({rule} AS STRING)") for name, rule in r.NUMBER_RULES.items()]
+        flags = []
         members = [_member("income_total", r.INCOME_RAW), _member("activity_fields", r.ACTIVITY)]
         if exports:
             base = base.join(self.export_arrays, "k", "left")
@@ -184,11 +192,10 @@ class Tables:
             members.append(_member(EXPORT_CURRENT, f"CASE WHEN {r.EXPORT_IS_NUMBER} THEN {number} ELSE {array} END"))
             previous = {"country": r.PREVIOUS_COUNTRY, "sum": r.PREVIOUS_SUM}
             members.append(_member(EXPORT_PREVIOUS, f"({_items(r.PREVIOUS_COUNT, previous)})"))
-        fields = {**r.TEXT_RULES, **r.NUMBER_RULES}
         for position, (name, spec) in enumerate(REGISTRIES.items(), start=1):
             is_export = spec.array in (EXPORT_CURRENT, EXPORT_PREVIOUS)
             if name in registries or spec.flag in r.MART_FLAGS or (exports and is_export):
-                fields[spec.flag] = r.flag_rule(position)
+                flags.append(_plain_text(spec.flag, r.flag_rule(position)))
             if name in registries:
                 members.append(_member(spec.array, f"({_items(r.ITEM_COUNT, item_rules(position, spec))})"))
         changed = "d + make_interval(0, 0, 0, lag)"
@@ -198,7 +205,7 @@ class Tables:
             "op",
             f"{changed} AS updated_ts",
             f"{changed} AS updated_at",
-            f"CASE WHEN op IN ('r', 'c') THEN {_with_members(_json(fields), members)} "
+            f"CASE WHEN op IN ('r', 'c') THEN {_object([*texts, *numbers, *flags, *members])} "
             f"WHEN op = 'u' AND k % 2 = 0 THEN '{UNAVAILABLE_PAYLOAD}' END AS data",
             f"CASE WHEN op IN ('r', 'c') THEN {_signature(r.SIGNED_TIN, r.SIGNED_NAME, r.FULL_NAME)} "
             f"WHEN op = 'u' THEN {_signature(r.MASKED_TIN, masked_name, masked_name)} END AS signature",

@@ -41,7 +41,9 @@ def parse_payload(df: DataFrame, fields: Iterable[str], payload: str = "data", i
         there = F.when(F.col(payload).isNotNull(), F.lit("variant"))
         return df.select("*", doc.alias(into)).withColumn(payload, there)
     schema = T.StructType([T.StructField(f, T.StringType()) for f in dict.fromkeys(fields)])
-    return df.withColumn(into, F.from_json(F.col(payload), schema))
+    # A placeholder has no fields; taken for a document, it would cost a parser's error a row.
+    text = F.when(F.col(payload) != UNAVAILABLE_PAYLOAD, F.col(payload))
+    return df.withColumn(into, F.from_json(text, schema))
 
 
 def parse_nested(df: DataFrame, schema: str, payload: str = "data", into: str = "doc") -> DataFrame:

@@ -39,6 +39,15 @@ def to_int(c: Column | str) -> Column:
     return _read(c, "int")
 
 
+def text_to_bigint(c: str) -> Column:
+    """:func:`to_bigint` of a text column: plain digits are read as they are, what else there is by way of the decimal.
+
+    The plain reading also takes off DEL characters at the ends, which the decimal does not; so texts with one go the long way.
+    """
+    plain = f"if(contains({c}, '\x7f'), NULL, try_cast({c} AS bigint))"
+    return F.expr(f"coalesce({plain}, try_cast(try_cast({c} AS {_WIDE_DECIMAL}) AS bigint))")
+
+
 def to_date(c: Column | str) -> Column:
     """ISO text to DATE; '' and impossible dates are NULL."""
     return _col(c).try_cast("date")

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cdcstrata.functions.scalars import to_bigint, to_int
+from cdcstrata.functions.scalars import text_to_bigint, to_int
 
 # Names of payload fields, as they appear in the JSON.
 STAFF = ("residents_count", "nonresidents_count", "gph_count")
@@ -212,4 +212,4 @@ def typed(doc: str, field: str, ints: Iterable[str] = ()) -> Column:
     name = f"{doc}.{field}"
     if field in ints:
         return to_int(name)
-    return to_bigint(name) if field in NUMERIC else F.col(name)
+    return text_to_bigint(name) if field in NUMERIC else F.col(name)

@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 # For copies that are mostly text: zstd takes half their disk, and smaller row groups let a scan be split as finely as before.
-TEXT = {"compression": "zstd", "parquet.block.size": str(32 << 20)}
+# At its first level it takes no longer than snappy; dictionaries of texts that differ are built only to be dropped.
+TEXT = {
+    "compression": "zstd",
+    "parquet.compression.codec.zstd.level": "1",
+    "parquet.enable.dictionary": "false",
+    "parquet.block.size": str(32 << 20),
+}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -37,9 +43,9 @@ def store(df: DataFrame, name: str, partition_by: list[str] | None = None, **opt
     return path
 
 
-def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None, **options: str) -> DataFrame:
     """Write once, read back: cuts the lineage, survives executor loss, feeds several consumers."""
-    return df.sparkSession.read.schema(df.schema).parquet(store(df, name, partition_by))
+    return df.sparkSession.read.schema(df.schema).parquet(store(df, name, partition_by, **options))
 
 
 def release(spark: SparkSession, *paths: str) -> None:
