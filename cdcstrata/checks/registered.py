@@ -18,7 +18,7 @@ from cdcstrata.operators import aggregates, bitmaps, predicates, quality, versio
 from cdcstrata.plans import bi, crm, deltas, fields, gold, refresh, registry, silver, summary, visits
 from cdcstrata.sources import readers, releases, writers
 from cdcstrata.sources.load_state import LoadState
-from cdcstrata.sources.scratch import materialise, release, scratch_path
+from cdcstrata.sources.scratch import TEXT, materialise, release, scratch_path
 from cdcstrata.sources.tables import TableSpec, create_table
 from cdcstrata.streaming import changes
 
@@ -169,7 +169,7 @@ def _silver_tables() -> dict[str, Build]:
         """The canonical table from a log stored with VARIANT payloads, every 31st snapshot's being cut off."""
         spoiled = F.when(F.expr("id % 31 = 0 AND op = 'r'"), F.substring("data", 1, 40)).otherwise(F.col("data"))
         log = t.report_cdc().withColumn("data", spoiled)
-        return silver.silver_reports(materialise(parse_variant(log), "variant-log"), start_year=START_YEAR)
+        return silver.silver_reports(materialise(parse_variant(log), "variant-log", **TEXT), start_year=START_YEAR)
 
     return {
         "silver_reports_basic": lambda t: silver.silver_reports_basic(t.report_cdc(), START_YEAR),
