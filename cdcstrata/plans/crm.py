@@ -33,8 +33,9 @@ def custom_field(fields: Column, name: str) -> Column:
     return F.get(match["values"], F.lit(0))["value"]
 
 
-def _custom_fields() -> Column:
-    return F.from_json("custom_fields_values", _CUSTOM_FIELDS)
+def _with_custom_fields(df: DataFrame) -> DataFrame:
+    """The custom fields as a column of their own: lambdas share no parse, so each field that is asked for would repeat it."""
+    return df.withColumn("__custom", F.from_json("custom_fields_values", _CUSTOM_FIELDS))
 
 
 def _references(column: str, field: str = "id") -> Column:
@@ -78,8 +79,8 @@ def crm_leads_silver(leads: DataFrame, statuses: DataFrame, users: DataFrame) ->
 
     ``loss_reason_id`` is passed through as text: there is no directory of reasons.
     """
-    cf = _custom_fields()
-    rows = _newest(leads).select(
+    cf = F.col("__custom")
+    rows = _with_custom_fields(_newest(leads)).select(
         F.col("id").alias("lead_id"),
         F.col("name").alias("lead_name"),
         "price",
@@ -125,8 +126,8 @@ def mask_email(c: Column) -> Column:
 
 def crm_contacts_silver(contacts: DataFrame, users: DataFrame) -> DataFrame:
     """Newest version of every contact; phone and e-mail leave here masked."""
-    cf = _custom_fields()
-    rows = _newest(contacts).select(
+    cf = F.col("__custom")
+    rows = _with_custom_fields(_newest(contacts)).select(
         F.col("id").alias("contact_id"),
         F.col("name").alias("full_name"),
         "first_name",
@@ -146,8 +147,8 @@ def crm_contacts_silver(contacts: DataFrame, users: DataFrame) -> DataFrame:
 
 def crm_companies_silver(companies: DataFrame, users: DataFrame) -> DataFrame:
     """Newest version of every company with its number and industry."""
-    cf = _custom_fields()
-    rows = _newest(companies).select(
+    cf = F.col("__custom")
+    rows = _with_custom_fields(_newest(companies)).select(
         F.col("id").alias("company_id"),
         F.col("name").alias("company_name"),
         "responsible_user_id",

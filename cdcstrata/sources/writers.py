@@ -14,7 +14,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcstrata.sources.scratch import release, store
+from cdcstrata.sources.scratch import TEXT, release, store
 
 FILE_FORMATS = ("parquet", "orc")
 
@@ -147,7 +147,7 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
 
     If the swap fails the copy stays, so that it can be run again.
     """
-    path = store(df, name)
+    path = store(df, name, **TEXT)
     yield df.sparkSession.read.schema(df.schema).parquet(path)
     release(df.sparkSession, path)
 
