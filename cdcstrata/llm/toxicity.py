@@ -3,8 +3,9 @@
 Terms are words in lower case and, for words of over five letters, their first five. The vector space holds every term
 of a bounded sample of labelled rows (``PER_LABEL`` of either label, of at most ``MOST_CHARS`` characters, near copies
 left out); a term that no example has can match none. Document frequencies are counted over all documents. The examples
-are indexed: a matrix for the terms that many of them hold, and for the others postings by term in blocks of 64 examples,
-each with its greatest weight. Queries go 64 at a time. Each adds up the bounds of all blocks, opens the likeliest ones
+are indexed: a matrix for the terms that many of them hold, and postings by term for the others. Short lists of postings
+are added as they are, as a bound would cost no less; long ones lie in blocks of 64 examples, each with its greatest
+weight. Queries go 64 at a time. The bounds of all blocks are one product of matrices; a query opens its likeliest blocks
 first and then those alone whose bound reaches its k-th best cosine, so the neighbours are exact; what comes into
 question is summed anew in double precision.
 
@@ -43,7 +44,8 @@ LEAST_RATIO = 10.0  # from which a term says something of a label: by chance, on
 BLOCK = 64
 QUERIES, TOGETHER, FIRST_BLOCKS = 64, 16, 12  # queries that share a pass over the matrix, and over the postings
 SLACK = 2e-4  # single precision over at most MOST_COMMON products of weights whose squares sum to one
-COMMON, MOST_COMMON = 32, 2048  # a term that one example in so many holds is common; at most so many terms are
+COMMON, MOST_COMMON = 16, 2048  # a term that one example in so many holds is common; at most so many terms are
+LONG, MOST_LONG = 2 * BLOCK, 16_384  # postings from which a list has bounds; at most so many lists have
 NEIGHBOURS, EVIDENCE = 30, 3
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
@@ -148,11 +150,14 @@ class Known:
         self.sets = []
         for ending in ("", "*"):
             some = {t.removesuffix("*"): k for t, k in number.items() if t.endswith("*") == bool(ending)}
-            self.sets.append((pa.array(some, pa.large_string()), np.array([*some.values(), -1], np.int64)))
+            self.sets.append((pa.array(some, pa.large_string()), np.array([*some.values()], np.int64)))
 
 
 class Finder:
-    """The known terms of many texts at once: words are told apart and looked up by Arrow, each once."""
+    """The known terms of many texts at once: words are told apart by Arrow, and the known ones looked up among them.
+
+    The other way round, Arrow would put all known terms in a table anew for every portion of text.
+    """
 
     CHARS = 1_000_000  # so much text at a time, or one text, which bounds the memory
 
@@ -177,15 +182,25 @@ class Finder:
         split = pc.split_pattern_regex(pa.array([(x or "").lower() for x in texts], pa.large_string()), pattern=_BETWEEN)
         words = split.flatten().dictionary_encode()
         code, text = words.indices.to_numpy(), np.repeat(np.arange(len(texts)), split.value_lengths().to_numpy())
-        known = words.dictionary
-        stems = pc.if_else(pc.greater(pc.utf8_length(known), STEM), pc.utf8_slice_codeunits(known, 0, STEM), None)
+        asked = words.dictionary
+        stems = pc.if_else(pc.greater(pc.utf8_length(asked), STEM), pc.utf8_slice_codeunits(asked, 0, STEM), None)
+        stems = stems.dictionary_encode()
+        stem = pc.fill_null(stems.indices, -1).to_numpy()[code]
         keys = []
-        for asked, (value_set, numbers) in zip((known, stems), self.sets, strict=True):
-            found = numbers[pc.fill_null(pc.index_in(asked, value_set=value_set), -1).to_numpy()][code]
+        for some, at, known in zip((asked, stems.dictionary), (code, stem), self.sets, strict=True):
+            found = self._numbers(some, *known)[at]
             keys.append(text[found >= 0] * self.size + found[found >= 0])
         key, counts = np.unique(np.concatenate(keys), return_counts=True)
         return np.bincount(key // self.size, minlength=len(texts)), key % self.size, counts
 
+    @staticmethod
+    def _numbers(asked: pa.Array, known: pa.Array, numbers: np.ndarray) -> np.ndarray:
+        """The number of each string asked for, -1 without one; and -1 at the end, for no string."""
+        places = pc.index_in(known, value_set=asked)
+        found = np.full(len(asked) + 1, -1)
+        found[places.drop_null().to_numpy()] = numbers[places.is_valid().to_numpy(zero_copy_only=False)]
+        return found
+
 
 def _rows(terms: pa.ListArray, counts: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
     """The two columns as an array of terms and one of counts for each row."""
@@ -222,17 +237,23 @@ class BlockMaxIndex:
         self.rows = self.column[terms[by_row]].astype(np.int32), weights[by_row]
         self.row = np.searchsorted(places[by_row], np.arange(len(held) + 1))
         self.columns = len(common)
-        terms, self.places, self.weights = terms[~dense], places[~dense], weights[~dense]
+        terms, self.places, self.weights = terms[~dense], places[~dense].astype(np.int64), weights[~dense]
         self.blocks = -(-len(held) // BLOCK)
-        # A group is the postings of a term in a block.
-        block = self.places // BLOCK
-        new = np.ones(len(terms), bool)
-        new[1:] = (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])
-        begins = np.nonzero(new)[0]
-        self.begins = np.append(begins, len(terms))
-        self.block = block[begins]
-        self.most = np.maximum.reduceat(self.weights, begins) if len(begins) else np.zeros(0)
-        self.first = np.searchsorted(terms[begins], np.arange(self.terms + 1))  # group of each term
+        self.first = np.searchsorted(terms, np.arange(self.terms + 1))  # posting of each term
+        sizes = np.diff(self.first)
+        long = np.argsort(-sizes, kind="stable")[:MOST_LONG]
+        long = np.sort(long[sizes[long] >= LONG])
+        self.line = np.full(self.terms, -1)
+        self.line[long] = np.arange(len(long))
+        # Of every long list, the greatest weight in each block, and where the block's postings begin.
+        line = self.line[terms]
+        at = line[line >= 0] * self.blocks + self.places[line >= 0] // BLOCK
+        self.most = np.zeros((len(long), self.blocks))
+        np.maximum.at(self.most.ravel(), at, self.weights[line >= 0])
+        counts = np.bincount(at, minlength=self.most.size).reshape(self.most.shape)
+        self.begins = np.zeros((len(long), self.blocks + 1), np.int32)
+        np.cumsum(counts, axis=1, out=self.begins[:, 1:])
+        self.begins += self.first[long, None].astype(np.int32)
 
     @cached_property
     def matrix(self) -> np.ndarray:
@@ -277,22 +298,23 @@ class BlockMaxIndex:
             return [[] for _ in split]
         q = np.repeat(np.arange(count), [len(t) for t, _ in split])
         t, w = (np.concatenate(x) for x in zip(*split, strict=True))
-        sizes = self.first[t + 1] - self.first[t]
-        groups, asked, share = _ranges(self.first[t], sizes), np.repeat(q, sizes), np.repeat(w, sizes)
-        at = asked * self.blocks + self.block[groups]
-        bound = np.bincount(at, share * self.most[groups], count * self.blocks).reshape(count, -1).astype(float)
-        bound += np.maximum.reduceat(cosine, np.arange(0, n, BLOCK), axis=1)
-        # What the matrix gives is a part of each cosine, so its k-th best is no more than the k-th best cosine.
-        open_ = bound >= np.maximum(self._least(cosine, k), np.finfo(float).tiny)[:, None]
-        first = np.zeros_like(open_)
-        best = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST_BLOCKS]
-        np.put_along_axis(first, best, True, axis=1)
+        line = self.line[t]
         rest = np.zeros(count * n)
-        self._add(rest, groups, asked, share, (first & open_).ravel()[at])
-        # With the likeliest blocks known, no other is opened than those that may hold one of the k best.
-        least = self._least(cosine + rest.reshape(count, n), k)
-        more = open_ & ~first & (bound >= least[:, None])
-        self._add(rest, groups, asked, share, more.ravel()[at])
+        some = line < 0
+        self._add(rest, self.first[t[some]], self.first[t[some] + 1], q[some], w[some])
+        if not some.all():
+            line, q, w = line[~some], q[~some], w[~some]
+            asked = np.zeros((count, len(self.most)))
+            asked[q, line] = w
+            known = cosine + rest.reshape(count, n)
+            bound = asked @ self.most + np.maximum.reduceat(known, np.arange(0, n, BLOCK), axis=1)
+            first = np.zeros(bound.shape, bool)
+            best = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST_BLOCKS]
+            np.put_along_axis(first, best, True, axis=1)
+            self._open(rest, first, q, line, w)
+            # With the likeliest blocks known, no other is opened than those that may hold one of the k best.
+            least = self._least(cosine + rest.reshape(count, n), k)
+            self._open(rest, ~first & (bound >= least[:, None]), q, line, w)
         rest = rest.reshape(count, n)
         cosine = cosine + rest
         least = np.maximum(self._least(cosine, k), 0)
@@ -308,13 +330,18 @@ class BlockMaxIndex:
         listed = list(zip(exact[order].tolist(), numbers[order].tolist(), strict=True))
         return [listed[a : min(a + k, b)] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
-    def _add(self, rest: np.ndarray, groups: np.ndarray, asked: np.ndarray, share: np.ndarray, some: np.ndarray) -> None:
-        """Add the postings of some groups to the cosines of the queries that ask for them."""
-        chosen = groups[some]
-        sizes = self.begins[chosen + 1] - self.begins[chosen]
-        at = _ranges(self.begins[chosen], sizes)
-        to = np.repeat(asked[some] * len(self.order), sizes) + self.places[at]
-        rest += np.bincount(to, self.weights[at] * np.repeat(share[some], sizes), len(rest))
+    def _open(self, rest: np.ndarray, blocks: np.ndarray, q: np.ndarray, line: np.ndarray, w: np.ndarray) -> None:
+        """Add the postings that long lists have in some blocks, chosen by query."""
+        begins = self.begins[line]
+        which, block = np.nonzero(blocks[q] & (begins[:, 1:] > begins[:, :-1]))
+        self._add(rest, begins[which, block], begins[which, block + 1], q[which], w[which])
+
+    def _add(self, rest: np.ndarray, begins: np.ndarray, ends: np.ndarray, q: np.ndarray, w: np.ndarray) -> None:
+        """Add ranges of postings to the cosines of the queries that ask for them, with their weights there."""
+        sizes = ends - begins
+        at = _ranges(begins, sizes)
+        to = np.repeat(q * len(self.order), sizes) + self.places[at]
+        rest += np.bincount(to, self.weights[at] * np.repeat(w, sizes), len(rest))
 
     @staticmethod
     def _least(cosine: np.ndarray, k: int) -> np.ndarray:
@@ -550,6 +577,7 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int =
                 ],
                 names=["doc_id", "held_out", "score", "predicted", "evidence"],
             )
+        give_back()  # the worker lives on
 
     return rows.mapInArrow(
         run,

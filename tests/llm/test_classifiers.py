@@ -124,6 +124,43 @@ def test_index_is_exact():
         assert T.BlockMaxIndex([]).nearest(query, 7) == []
 
 
+def test_only_long_lists_have_bounds(monkeypatch):
+    """A bound of a short list costs what its postings cost; long, short and common terms together stay exact."""
+    r = random.Random(6)
+    vectors = []
+    for k in range(900):
+        # Terms 0 to 9 are common, 10 to 39 have some 30 postings, most of them close together, the others a few.
+        some = {r.randrange(10), 10 + (k // 30 + r.randrange(2)) % 30, *(r.randrange(40, 400) for _ in range(r.randint(0, 5)))}
+        raw = {t: r.random() + 0.1 for t in some}
+        length = math.sqrt(sum(w * w for w in raw.values()))
+        vectors.append(tuple(sorted((t, w / length) for t, w in raw.items())))
+    held = np.bincount([t for v in vectors for t, _ in v])
+    for long, lists in ((25, int(((held >= 25) & (held * T.COMMON < 900)).sum())), (10_000, 0)):
+        monkeypatch.setattr(T, "LONG", long)
+        index = T.BlockMaxIndex(vectors)
+        assert index.most.shape == (lists, 15) and (lists > 20 or long > 900) and index.columns >= 10
+        for query in vectors[::9]:
+            every = sorted(((-sum(dict(query).get(t, 0) * w for t, w in v), k) for k, v in enumerate(vectors)))
+            want = [(-c, k) for c, k in every if c < 0][:5]
+            assert [c for c, _ in index.nearest(query, 5)] == pytest.approx([c for c, _ in want])
+        together = index.nearest_all(vectors[::9], 5)
+        assert together == [index.nearest(query, 5) for query in vectors[::9]]
+
+
+def test_look_ups_take_no_table_of_all_terms(monkeypatch):
+    """Known terms are looked up among the words of a text: its few words make the table, once for each portion."""
+    sizes, look_up = [], T.pc.index_in
+    monkeypatch.setattr(T.pc, "index_in", lambda asked, value_set: sizes.append(len(value_set)) or look_up(asked, value_set=value_set))
+    names = sorted({f"{a}{b}{c}{d}" for a in "abcdefgh" for b in "abcdefgh" for c in "abcdefgh" for d in ("", "xyz")})
+    number = {t: k for k, t in enumerate([*names, "abcxy*"])}
+    found, counts = T.Finder(T.Known(number)).columns(["abc abcxyz abc nothing", None])
+    assert [dict(zip(t, c, strict=True)) for t, c in zip(found.to_pylist(), counts.to_pylist(), strict=True)] == [
+        {number["abc"]: 2, number["abcxyz"]: 1, number["abcxy*"]: 1},
+        {},
+    ]
+    assert sizes and max(sizes) <= 4
+
+
 def test_rare_terms_find_their_neighbour(spark, data):
     """Words of one example alone go with no label by any ratio, yet they are what its nearest text has in common."""
     docs, labels = corpus()
