@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
+from cdcstrata.llm.batches import give_back
 from cdcstrata.sources.scratch import materialise
 
 GIANT = 32_768
@@ -402,6 +403,7 @@ def _checked(path: str, encoded: bool):
                     ],
                     names=["doc_id", "n_chars", "n_ids", "ids", "ids_crc32", "round_trip"],
                 )
+        give_back()  # the worker lives on
 
     return run
 

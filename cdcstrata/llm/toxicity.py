@@ -31,6 +31,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -555,6 +556,17 @@ def fit(
     return judge, rows
 
 
+def _sent(docs: DataFrame, judge: Judge) -> Broadcast[Judge]:
+    """The model for the tasks: each worker reads it once. Within a task's function it would be read for each task, and
+    be held a second time as bytes."""
+    return docs.sparkSession.sparkContext.broadcast(judge)
+
+
+def _received(sent: Broadcast[Judge]) -> Judge:
+    give_back()  # what the worker did before may be of another stage
+    return sent.value
+
+
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
 
@@ -562,8 +574,10 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int =
     """``doc_id``, ``held_out``, ``score``, ``predicted`` and ``evidence`` of every row."""
     carry = [F.col("doc_id").cast("bigint"), held_out(modulus, remainder)]
     judge, rows = fit(docs, labels, modulus, remainder, text, carry)
+    sent = _sent(docs, judge)
 
     def run(batches):
+        judge = _received(sent)
         of = judge.scorer()
         for batch in batches:
             found = of(batch.column(0), batch.column(1))
@@ -592,9 +606,10 @@ def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text") -> Dat
     Their terms are taken twice, for the frequencies and for the scores, which costs less than a copy of the corpus.
     """
     judge, _ = fit(docs, labels, text=text)
-    at = docs.columns.index(text)
+    sent, at = _sent(docs, judge), docs.columns.index(text)
 
     def run(batches):
+        judge = _received(sent)
         of, finder = judge.scorer(), Finder(judge.known)
         for batch in batches:
             clean = [s < THRESHOLD for s, _ in of(*finder.columns(batch.column(at).to_pylist()))]

@@ -161,6 +161,22 @@ def test_look_ups_take_no_table_of_all_terms(monkeypatch):
     assert sizes and max(sizes) <= 4
 
 
+def test_workers_hold_one_model(data, monkeypatch):
+    """The model goes to the tasks as a broadcast, not within a function, and is read when the worker has given back the rest."""
+    sent, shipped = [], type(data[0]).mapInArrow
+    monkeypatch.setattr(type(data[0]), "mapInArrow", lambda df, f, *a, **b: sent.append(f) or shipped(df, f, *a, **b))
+    T.score(*data)
+    T.without_toxic(*data)
+    held = [c.cell_contents for f in sent for c in f.__closure__ or ()]
+    assert not any(isinstance(x, T.Judge | T.Model) for x in held)
+    models = [x for x in held if isinstance(x, T.Broadcast)]
+    assert len(models) == 2 and all(isinstance(x.value, T.Judge) for x in models)
+    steps = []
+    monkeypatch.setattr(T, "give_back", lambda: steps.append("given back"))
+    monkeypatch.setattr(T.Judge, "scorer", lambda self: steps.append("scorer"))
+    assert list(sent[-1](iter(()))) == [] and steps == ["given back", "scorer", "given back"]
+
+
 def test_rare_terms_find_their_neighbour(spark, data):
     """Words of one example alone go with no label by any ratio, yet they are what its nearest text has in common."""
     docs, labels = corpus()
